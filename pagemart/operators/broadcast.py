@@ -1,0 +1,20 @@
+"""Broadcast only what is proven small.
+
+``broadcast_if_small`` counts at most ``max_rows + 1`` rows of the candidate side (a ``limit``,
+so the check stops early on a big input) and hints a broadcast only below the bound. Above it the
+join stays a shuffle join, where adaptive execution may still split skewed partitions.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows we accept to ship to every executor for a dimension / id set (a few narrow columns).
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
