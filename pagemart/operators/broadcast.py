@@ -7,14 +7,35 @@ join stays a shuffle join, where adaptive execution may still split skewed parti
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows we accept to ship to every executor for a dimension / id set (a few narrow columns).
 DEFAULT_MAX_ROWS = 2_000_000
 
+# DataFrames whose row count is already known (e.g. a dimension sized when its ids were made),
+# so a second check does not run another job.
+_KNOWN_ROWS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+
+
+def remember_rows(df: DataFrame, n: int) -> DataFrame:
+    """Record that ``df`` has ``n`` rows (at most); returns ``df``."""
+    _KNOWN_ROWS[df] = n
+    return df
+
+
+def bounded_rows(df: DataFrame, max_rows: int) -> int:
+    """Row count of ``df`` capped at ``max_rows + 1`` (a limit: stops early on big inputs)."""
+    known = _KNOWN_ROWS.get(df)
+    if known is not None:
+        return known
+    n = df.limit(max_rows + 1).count()
+    _KNOWN_ROWS[df] = n if n <= max_rows else max_rows + 1
+    return n
+
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if bounded_rows(df, max_rows) <= max_rows else df

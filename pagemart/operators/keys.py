@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .broadcast import DEFAULT_MAX_ROWS, bounded_rows, remember_rows
+
 _PID, _MID = "__pid", "__mid"
 
 
@@ -28,12 +30,21 @@ def date_key(d: Column, start: dt.date, end: dt.date | None = None) -> Column:
     return F.when(inside, F.datediff(d, F.lit(start)) + F.lit(1))
 
 
-def sequential_ids(df: DataFrame, order: Sequence[str], id_col: str, start: int = 1) -> DataFrame:
+def sequential_ids(df: DataFrame, order: Sequence[str], id_col: str, start: int = 1,
+                   single_task_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """Add ``id_col`` = ``start``-based rank of each row in ``order`` (which must be unique per
-    row, e.g. the natural key of a dimension). Output rows come range-partitioned by ``order``.
+    row, e.g. the natural key of a dimension).
 
-    The sorted rows are checkpointed (reliable checkpoint in ``spark.checkpoint.dir``) so the
-    offset pass and the id pass read the same partitions even after an executor loss."""
+    Up to ``single_task_rows`` rows (checked with a bounded count) the rows are sorted in one
+    task, a proven-small sort. Above that they are range-partitioned and sorted per partition,
+    checkpointed (reliable checkpoint in ``spark.checkpoint.dir``) so the offset pass and the id
+    pass read the same partitions even after an executor loss, and each partition adds the row
+    count of the partitions before it."""
+    n = bounded_rows(df, single_task_rows)
+    if n <= single_task_rows:
+        one = df.coalesce(1).sortWithinPartitions(*order)
+        out = one.select(*df.columns, (F.monotonically_increasing_id() + F.lit(start)).cast("int").alias(id_col))
+        return remember_rows(out, n)
     ordered = (df.repartitionByRange(*order).sortWithinPartitions(*order)
                  .withColumn(_PID, F.spark_partition_id())
                  .withColumn(_MID, F.monotonically_increasing_id())

@@ -22,9 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import json_fields, to_int
-from ..operators import broadcast_if_small, date_key, sequential_ids, unique_ids
-from ..operators.broadcast import DEFAULT_MAX_ROWS
-from .ods import CLIENT_COLUMNS, FAN_KINDS, INSIGHT_COUNTERS, VIDEO_FIELDS
+from ..operators import date_key, sequential_ids, unique_ids
+from ..operators.broadcast import DEFAULT_MAX_ROWS, bounded_rows
+from .ods import CLIENT_COLUMNS, INSIGHT_COUNTERS, VIDEO_FIELDS, video_columns
 
 # Fixed value (must equal the reference): first day of the date dimension.
 DATE_START = dt.date(2010, 1, 1)
@@ -43,22 +43,34 @@ def today_utc() -> dt.date:
     return dt.datetime.now(dt.timezone.utc).date()
 
 
-def dim_date(spark: SparkSession, start: dt.date = DATE_START, end: dt.date | None = None) -> DataFrame:
-    """One row per day ``start..end`` (both included; ``end`` defaults to today, UTC) with
-    date_id = day number from 1, ISO week, calendar year/month/day/quarter."""
-    end = end or today_utc()
-    n = max((end - start).days + 1, 0)
-    days = spark.range(0, n, 1, max(1, n // DATE_ROWS_PER_PARTITION))
-    d = F.date_add(F.lit(start), F.col("id").cast("int"))
-    return days.select(
-        (F.col("id") + 1).cast("int").alias("date_id"),
+def _date_row(d: Column, start: dt.date) -> list[Column]:
+    return [
+        date_key(d, start).cast("int").alias("date_id"),
         d.alias("full_date"),
         F.year(d).alias("year"),
         F.month(d).alias("month"),
         F.dayofmonth(d).alias("day"),
         F.weekofyear(d).alias("week"),
         F.quarter(d).alias("quarter"),
-    )
+    ]
+
+
+def dim_date(spark: SparkSession, start: dt.date = DATE_START, end: dt.date | None = None) -> DataFrame:
+    """One row per day ``start..end`` (both included; ``end`` defaults to today, UTC) with
+    date_id = day number from 1, ISO week, calendar year/month/day/quarter."""
+    end = end or today_utc()
+    n = max((end - start).days + 1, 0)
+    days = spark.range(0, n, 1, max(1, n // DATE_ROWS_PER_PARTITION))
+    return days.select(*_date_row(F.date_add(F.lit(start), F.col("id").cast("int")), start))
+
+
+def dim_date_through(days: DataFrame, start: dt.date = DATE_START) -> DataFrame:
+    """The date dimension from ``start`` through the last day in ``days`` (column ``d``), lazily:
+    one aggregate row expanded into the day series (bounded by the number of days spanned)."""
+    last = days.agg(F.max("d").alias("last_day"))
+    series = F.when(F.col("last_day") >= F.lit(start),
+                    F.sequence(F.lit(start), F.col("last_day"), F.expr("INTERVAL 1 DAY")))
+    return last.select(F.explode(series).alias("d")).select(*_date_row(F.col("d"), start))
 
 
 def dim_client(clients_clean: DataFrame) -> DataFrame:
@@ -74,21 +86,10 @@ def dim_post_type(posts_clean: DataFrame) -> DataFrame:
     return sequential_ids(labels, ["label"], "post_type_id").select("post_type_id", "label")
 
 
-def fan_locations(fans: dict[str, DataFrame]) -> DataFrame:
-    """All fan rows of the three kinds as (location_type, location_label, ...)."""
-    parts = [df.select(F.lit(kind).alias("location_type"), F.col(FAN_KINDS[kind][1]).alias("location_label"),
-                       "insight_id", "client_id", "insight_date", "nb_fans")
-             for kind, df in fans.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def dim_location(fans: dict[str, DataFrame]) -> DataFrame:
-    """Distinct (type, label) over the country, city and locale fan tables (a NULL label is one
-    value, as in UNION) with dense ids in (type, label) order."""
-    pairs = fan_locations(fans).select("location_type", "location_label").distinct()
+def dim_location(fan_rows: DataFrame) -> DataFrame:
+    """Distinct (type, label) over the fan entries of all kinds (``ods.fan_entries``; a NULL
+    label is one value, as in UNION) with dense ids in (type, label) order."""
+    pairs = fan_rows.select("location_type", "location_label").distinct()
     return sequential_ids(pairs, ["location_type", "location_label"], "location_id").select(
         "location_id", "location_type", "location_label")
 
@@ -99,38 +100,47 @@ def click_columns(click_map: Column) -> dict[str, Column]:
     return {name: to_int(clicks[key]).alias(name) for key, name in CLICK_FIELDS}
 
 
-def fact_posts(posts_clean: DataFrame, post_types: DataFrame, video: DataFrame, start: dt.date = DATE_START,
-               end: dt.date | None = None, max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def fact_posts(posts_clean: DataFrame, post_types: DataFrame, video: DataFrame | None = None,
+               start: dt.date = DATE_START, end: dt.date | None = None,
+               max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """Posts with date, post-type and video keys/counters and the click map split in three.
-    The post-type join is broadcast when the dimension is proven small; the video table is as
-    large as the posts, so that join is a shuffle on post_id."""
-    end = end or today_utc()
-    types = broadcast_if_small(post_types.select(F.col("label").alias("__label"), "post_type_id"), max_broadcast_rows)
-    vids = video.select("post_id", *VIDEO_FIELDS)
-    joined = (posts_clean.join(types, F.col("post_type") == F.col("__label"), "left")
-                         .join(vids, "post_id", "left"))
+
+    The post-type dimension is joined by label, broadcast when proven small. Video counters:
+    with ``video`` (the video table) a left join on post_id; with ``video=None`` the posts must
+    carry the raw payload (``ods.ods_posts(keep_payload=True)``) and the counters are parsed
+    from it in the same pass. Both give the same rows, since the video table is a projection
+    of the same staged post; the second needs no shuffle of two post-sized tables."""
+    if bounded_rows(post_types, max_broadcast_rows) <= max_broadcast_rows:
+        post_types = F.broadcast(post_types)
+    types = post_types.select(F.col("label").alias("__label"), "post_type_id")
+    joined = posts_clean.join(types, F.col("post_type") == F.col("__label"), "left")
     cols = {"date_id": date_key(F.to_date("creation_time"), start, end).cast("int").alias("date_id")}
+    if video is None:
+        cols.update(video_columns(F.col("data")))
+    else:
+        joined = joined.join(video.select("post_id", *VIDEO_FIELDS), "post_id", "left")
     cols.update(click_columns(F.col("post_clicks_by_type")))
     return joined.select(*[cols.get(c, F.col(c)) for c in FACT_POST_COLUMNS])
 
 
 def fact_insights(insights_clean: DataFrame, start: dt.date = DATE_START, end: dt.date | None = None) -> DataFrame:
-    """Insights with their date key (NULL when the day is outside the date dimension)."""
-    end = end or today_utc()
+    """Insights with their date key (NULL when the day is outside the date dimension;
+    ``end=None``: the dimension reaches the last day of the data)."""
     return insights_clean.select("insight_id", "client_id",
                                  date_key(F.col("insight_date"), start, end).cast("int").alias("date_id"),
                                  *INSIGHT_COUNTERS)
 
 
-def fact_fan_demographics(fans: dict[str, DataFrame], locations: DataFrame, start: dt.date = DATE_START,
+def fact_fan_demographics(fan_rows: DataFrame, locations: DataFrame, start: dt.date = DATE_START,
                           end: dt.date | None = None, with_fact_id: bool = True,
                           max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """One row per fan entry whose (type, label) is a location and whose day is in the date
-    dimension (both inner joins in the load: other rows are dropped). ``fact_id`` is unique but
-    not dense, like a SERIAL filled by one statement."""
-    end = end or today_utc()
-    locs = broadcast_if_small(locations, max_broadcast_rows)
-    rows = fan_locations(fans).join(locs, ["location_type", "location_label"], "inner")
+    """One row per fan entry (``ods.fan_entries``, all kinds in one table) whose (type, label)
+    is a location and whose day is in the date dimension (both inner joins in the load: other
+    rows are dropped). One join on (type, label) serves all three kinds. ``fact_id`` is unique
+    but not dense, like a SERIAL filled by one statement."""
+    if bounded_rows(locations, max_broadcast_rows) <= max_broadcast_rows:
+        locations = F.broadcast(locations)
+    rows = fan_rows.join(locations, ["location_type", "location_label"], "inner")
     date_id = date_key(F.col("insight_date"), start, end).cast("int")
     out = rows.select("insight_id", "client_id", date_id.alias("date_id"), "location_id", "nb_fans") \
               .where(F.col("date_id").isNotNull())

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import (has_json, initcap_words, int_to_bool, json_fields, locale_braces, platform_ok,
                          post_type, reactions_total, simple_braces, to_int)
 from ..functions.text import blank_to_null
-from ..operators import broadcast_if_small, explode_json_object, first_wins
+from ..operators import broadcast_if_small, first_wins, json_members
 from ..operators.broadcast import DEFAULT_MAX_ROWS
 
 CLIENT_COLUMNS = ("client_id", "name", "managed", "social_type", "actif", "type", "picture")
@@ -72,7 +72,7 @@ def eligible_pages(stg_clients: DataFrame, stg_unmanaged: DataFrame) -> DataFram
 
 
 def ods_posts(stg_posts: DataFrame, pages: DataFrame, strict_deleted: bool = False, carry_clicks: bool = False,
-              max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+              max_broadcast_rows: int = DEFAULT_MAX_ROWS, keep_payload: bool = False) -> DataFrame:
     """Posts of eligible pages with derived type and reaction total.
 
     Literal filter of the load: ``is_deleted = 0 AND page in managed OR page in unmanaged`` --
@@ -81,7 +81,9 @@ def ods_posts(stg_posts: DataFrame, pages: DataFrame, strict_deleted: bool = Fal
     ``post_clicks_by_type`` is NULL unless ``carry_clicks=True``.
 
     ``pages`` is the small side (one row per page): broadcast when its size is proven, else a
-    shuffle join (adaptive execution splits a hot page's partition)."""
+    shuffle join (adaptive execution splits a hot page's partition). ``keep_payload=True`` adds
+    the raw ``data`` payload as an 18th column so the post fact can take the video counters from
+    the same row instead of joining the video table back on post_id."""
     flags = broadcast_if_small(pages, max_broadcast_rows)
     joined = stg_posts.join(flags, "page_id", "left")
     m = F.coalesce(F.col("in_managed"), F.lit(False))
@@ -98,6 +100,7 @@ def ods_posts(stg_posts: DataFrame, pages: DataFrame, strict_deleted: bool = Fal
         reactions_total().alias("reactions"),
         "reach", "reach_organic", "reach_paid", "is_real",
         clicks.alias("post_clicks_by_type"),
+        *([F.col("data")] if keep_payload else []),
     )
 
 
@@ -113,29 +116,48 @@ def ods_insights(stg_insights: DataFrame, pages: DataFrame, max_broadcast_rows:
     )
 
 
+def fan_entries(insights: DataFrame, kinds=tuple(FAN_KINDS), clean: bool = False, strict: bool = False) -> DataFrame:
+    """Members of the fan maps of every insight, all ``kinds`` in one pass over the insights:
+    (location_type, insight_id, client_id, insight_date, location_label, nb_fans).
+
+    Per kind: texts that carry no JSON (NULL, '', '0', '[]', '{}') are skipped before parsing,
+    the rest are brace-repaired and exploded, and a repeated key keeps its first value.
+    ``clean=True`` also applies the cleaning pass: labels trimmed, blank labels dropped, first
+    wins again when two labels meet after trimming. Both are decided inside the row (no
+    shuffle)."""
+    key_fn = blank_to_null if clean else None
+    per_kind = F.array(*[
+        F.struct(F.lit(kind).alias("t"),
+                 F.when(has_json(F.col(FAN_KINDS[kind][0])),
+                        json_members(FAN_KINDS[kind][2](F.col(FAN_KINDS[kind][0])), key_fn, True, clean)).alias("m"))
+        for kind in kinds])
+    keep = ["insight_id", "client_id", "insight_date"]
+    by_kind = insights.select(*keep, F.explode(per_kind).alias("__kind"))
+    members = by_kind.select(*keep, F.col("__kind.t").alias("location_type"), F.explode("__kind.m").alias("__m"))
+    return members.select("location_type", *keep, F.col("__m.k").alias("location_label"),
+                          to_int(F.col("__m.v"), strict).alias("nb_fans"))
+
+
 def ods_fans(insights: DataFrame, kind: str, clean: bool = False, strict: bool = False) -> DataFrame:
-    """One row per member of an insight's fan map (country / city / locale).
+    """The ODS fan table of one kind (country / city / locale): insight_id, client_id,
+    insight_date, <kind>, nb_fans. See ``fan_entries``."""
+    label = FAN_KINDS[kind][1]
+    return fan_entries(insights, (kind,), clean, strict).select(
+        "insight_id", "client_id", "insight_date", F.col("location_label").alias(label), "nb_fans")
+
 
-    Texts that carry no JSON (NULL, '', '0', '[]', '{}') are skipped before parsing; the rest
-    are brace-repaired and exploded; a repeated key keeps its first value. ``clean=True`` also
-    applies the cleaning pass: labels trimmed, blank labels dropped, first wins again when two
-    labels meet after trimming (this needs no shuffle: it is decided inside the row)."""
-    text_col, label, repair = FAN_KINDS[kind]
-    src = insights.where(has_json(F.col(text_col)))
-    rows = explode_json_object(
-        src, repair(F.col(text_col)), ["insight_id", "client_id", "insight_date"], label, "__value",
-        key_fn=blank_to_null if clean else None, drop_null_keys=clean)
-    return rows.select("insight_id", "client_id", "insight_date", label,
-                       to_int(F.col("__value"), strict).alias("nb_fans"))
+def video_columns(payload_text, strict: bool = False) -> dict:
+    """The five video counters of a post payload text (``data.data.*``) as INT, parsed once.
+    A payload without JSON (see ``has_json``) gives NULLs."""
+    payload = json_fields(payload_text, VIDEO_FIELDS, under="data")
+    return {f: F.when(has_json(payload_text), to_int(payload[f], strict)).alias(f) for f in VIDEO_FIELDS}
 
 
 def ods_data_video(stg_posts: DataFrame, strict: bool = False, with_load_time: bool = True) -> DataFrame:
     """Video counters from the post payload ``data.data.*`` as INT, for every staged post whose
     payload text carries JSON (no page or delete filter, as in the load)."""
     src = stg_posts.where(has_json(F.col("data")))
-    # parse the payload once (one from_json) instead of once per field
-    payload = json_fields(F.col("data"), VIDEO_FIELDS, under="data")
-    cols = [F.col("id").alias("post_id")] + [to_int(payload[f], strict).alias(f) for f in VIDEO_FIELDS]
+    cols = [F.col("id").alias("post_id"), *video_columns(F.col("data"), strict).values()]
     if with_load_time:
         cols.append(F.current_timestamp().alias("created_at"))
     return src.select(*cols)

@@ -25,7 +25,8 @@ from .sources import testdata
 
 
 class Layers:
-    """Lazily built staging, ODS and DW DataFrames of one test scale."""
+    """Lazily built staging, ODS and DW DataFrames of one test scale. Shared intermediate
+    DataFrames are built once per instance so size checks run once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, start: dt.date = dw.DATE_START):
         self.spark, self.sf_dir, self.start = spark, sf_dir, start
@@ -35,43 +36,42 @@ class Layers:
     def pages(self) -> DataFrame:
         return ods.eligible_pages(self.stg.clients, self.stg.unmanaged_clients)
 
-    @cached_property
-    def end(self) -> dt.date:
-        """Last day of the date dimension: the latest post or insight day in the data (the load
-        uses today; the data's own last day keeps the registered queries reproducible)."""
-        days = (self.stg.posts.select(F.to_date("creation_time").alias("d"))
+    def days(self) -> DataFrame:
+        """Every post and insight day of the data (the date dimension runs through the last)."""
+        return (self.stg.posts.select(F.to_date("creation_time").alias("d"))
                 .unionByName(self.stg.insights.select(F.col("day").alias("d"))))
-        return days.agg(F.max("d")).first()[0]
 
     def ods_clients(self) -> DataFrame:
         return ods.ods_clients(self.stg.clients, self.stg.unmanaged_clients)
 
-    def ods_posts(self, strict_deleted: bool = False) -> DataFrame:
-        return ods.ods_posts(self.stg.posts, self.pages, strict_deleted=strict_deleted)
+    def ods_posts(self, strict_deleted: bool = False, keep_payload: bool = False) -> DataFrame:
+        return ods.ods_posts(self.stg.posts, self.pages, strict_deleted=strict_deleted, keep_payload=keep_payload)
 
+    @cached_property
     def ods_insights(self) -> DataFrame:
         return ods.ods_insights(self.stg.insights, self.pages)
 
-    def fans(self, kind: str, clean_: bool = False) -> DataFrame:
-        return ods.ods_fans(self.ods_insights(), kind, clean=clean_)
+    def fans(self, kind: str) -> DataFrame:
+        return ods.ods_fans(self.ods_insights, kind)
 
-    def clean_fans(self) -> dict[str, DataFrame]:
-        return {k: self.fans(k, clean_=True) for k in ods.FAN_KINDS}
+    @cached_property
+    def clean_fan_rows(self) -> DataFrame:
+        return ods.fan_entries(self.ods_insights, clean=True)
 
     def video(self) -> DataFrame:
         return ods.ods_data_video(self.stg.posts, with_load_time=False)
 
-    def clean_posts(self) -> DataFrame:
-        return clean.clean_posts(self.ods_posts())
+    def clean_posts(self, keep_payload: bool = False) -> DataFrame:
+        return clean.clean_posts(self.ods_posts(keep_payload=keep_payload))
 
     def clean_clients(self) -> DataFrame:
         return clean.clean_clients(self.ods_clients())
 
     def clean_insights(self) -> DataFrame:
-        return clean.clean_insights(self.ods_insights())
+        return clean.clean_insights(self.ods_insights)
 
     def dim_date(self) -> DataFrame:
-        return dw.dim_date(self.spark, self.start, self.end)
+        return dw.dim_date_through(self.days(), self.start)
 
     @cached_property
     def dim_post_type(self) -> DataFrame:
@@ -79,17 +79,18 @@ class Layers:
 
     @cached_property
     def dim_location(self) -> DataFrame:
-        return dw.dim_location(self.clean_fans())
+        return dw.dim_location(self.clean_fan_rows)
 
+    # Facts: the date dimension runs through the data's last day, so only the lower bound of
+    # the series can put a fact outside it (end=None).
     def fact_posts(self) -> DataFrame:
-        return dw.fact_posts(self.clean_posts(), self.dim_post_type, self.video(), self.start, self.end)
+        return dw.fact_posts(self.clean_posts(keep_payload=True), self.dim_post_type, None, self.start)
 
     def fact_insights(self) -> DataFrame:
-        return dw.fact_insights(self.clean_insights(), self.start, self.end)
+        return dw.fact_insights(self.clean_insights(), self.start)
 
     def fact_fan_demographics(self) -> DataFrame:
-        return dw.fact_fan_demographics(self.clean_fans(), self.dim_location, self.start, self.end,
-                                        with_fact_id=False)
+        return dw.fact_fan_demographics(self.clean_fan_rows, self.dim_location, self.start, with_fact_id=False)
 
 
 def _both_client_lists(L: Layers) -> DataFrame:
@@ -145,17 +146,12 @@ def _L(fn: Callable[[Layers], DataFrame]) -> Callable[[SparkSession, str], DataF
     return run
 
 
-def _fans_union(fans: dict[str, DataFrame]) -> DataFrame:
-    return dw.fan_locations(fans).select("location_type", "insight_id", "client_id", "insight_date",
-                                         "location_label", "nb_fans")
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # ODS jobs (tables as loaded)
     "ods_clients": _L(lambda L: L.ods_clients()),
     "ods_posts": _L(lambda L: L.ods_posts()),
     "ods_posts_strict": _L(lambda L: L.ods_posts(strict_deleted=True)),
-    "ods_insights": _L(lambda L: L.ods_insights()),
+    "ods_insights": _L(lambda L: L.ods_insights),
     "fans_country": _L(lambda L: L.fans("country")),
     "fans_city": _L(lambda L: L.fans("city")),
     "fans_locale": _L(lambda L: L.fans("locale")),
@@ -164,7 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_clients": _L(lambda L: L.clean_clients()),
     "clean_posts": _L(lambda L: L.clean_posts()),
     "clean_insights": _L(lambda L: L.clean_insights()),
-    "clean_fans": _L(lambda L: _fans_union(L.clean_fans())),
+    "clean_fans": _L(lambda L: L.clean_fan_rows),
     # star schema
     "dim_date": _L(lambda L: L.dim_date()),
     "dim_client": _L(lambda L: dw.dim_client(L.clean_clients())),
@@ -202,7 +198,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "insert_or_replace": q_insert_or_replace,
     # data-quality checks
     "check_pk": q_check_pk,
-    "check_unique": _L(lambda L: unique_violations(dw.fan_locations(L.clean_fans()), ["location_type", "location_label"])),
+    "check_unique": _L(lambda L: unique_violations(L.clean_fan_rows, ["location_type", "location_label"])),
     "check_fk": _L(lambda L: orphans(L.video().select("post_id"), ["post_id"], L.ods_posts(), ["post_id"])),
     "check_json": _L(lambda L: bad_json(
         L.stg.insights.where(has_json(F.col("page_fans_locale"))), locale_braces(F.col("page_fans_locale")), ["id"])),
