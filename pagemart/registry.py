@@ -137,6 +137,21 @@ def q_check_pk(spark, sf_dir):
     return duplicate_keys(_lineitem(spark, sf_dir), LINE_KEY)
 
 
+# ---- ingestion: landed responses built from the tables -> staging ----------------------
+
+def _ingested(spark: SparkSession, sf_dir: str):
+    from .sources import landing, responses
+    return responses.ingest(landing.landed_responses(spark, sf_dir))
+
+
+def _staged_as_adapter(table: str, adapter) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cols = adapter(spark, sf_dir).columns
+        return getattr(_ingested(spark, sf_dir), table).select(*cols)
+    run.__name__ = f"ingest_{table}"
+    return run
+
+
 # ---- registry ----------------------------------------------------------------------------
 
 def _L(fn: Callable[[Layers], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -192,6 +207,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "id", simple_braces(F.col("page_fans_country")).alias("country_text"),
         simple_braces(F.col("page_fans_city")).alias("city_text"),
         locale_braces(F.col("page_fans_locale")).alias("locale_text"))),
+    # ingestion of landed responses (accept, split, record-driven upsert, rejects)
+    "ingest_clients": _staged_as_adapter("clients", testdata.stg_clients),
+    "ingest_unmanaged_clients": _staged_as_adapter("unmanaged_clients", testdata.stg_unmanaged_clients),
+    "ingest_insights": _staged_as_adapter("insights", testdata.stg_insights),
+    "ingest_posts": _staged_as_adapter("posts", testdata.stg_posts),
+    "ingest_rejects": lambda spark, sf_dir: _ingested(spark, sf_dir).rejects.select("source", "page_id", "chunk", "reason"),
     # keyed write semantics on lineitem as a record stream
     "upsert_partial": q_upsert_partial,
     "insert_ignore": q_insert_ignore,

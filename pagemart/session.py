@@ -15,6 +15,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # a repeated JSON key keeps its last value when landed responses are parsed (as in Python)
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
