@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import json_fields, to_int
 from ..operators import date_key, sequential_ids, unique_ids
-from ..operators.broadcast import DEFAULT_MAX_ROWS, bounded_rows
+from ..operators.broadcast import DEFAULT_MAX_ROWS, bounded_rows, remember_rows
 from .ods import CLIENT_COLUMNS, INSIGHT_COUNTERS, VIDEO_FIELDS, video_columns
 
 # Fixed value (must equal the reference): first day of the date dimension.
@@ -83,15 +83,17 @@ def dim_client(clients_clean: DataFrame) -> DataFrame:
 def dim_post_type(posts_clean: DataFrame) -> DataFrame:
     """Distinct non-NULL post type labels with dense ids in label order."""
     labels = posts_clean.where(F.col("post_type").isNotNull()).select(F.col("post_type").alias("label")).distinct()
-    return sequential_ids(labels, ["label"], "post_type_id").select("post_type_id", "label")
+    ids = sequential_ids(labels, ["label"], "post_type_id")
+    return remember_rows(ids.select("post_type_id", "label"), bounded_rows(ids, DEFAULT_MAX_ROWS))
 
 
 def dim_location(fan_rows: DataFrame) -> DataFrame:
     """Distinct (type, label) over the fan entries of all kinds (``ods.fan_entries``; a NULL
     label is one value, as in UNION) with dense ids in (type, label) order."""
     pairs = fan_rows.select("location_type", "location_label").distinct()
-    return sequential_ids(pairs, ["location_type", "location_label"], "location_id").select(
-        "location_id", "location_type", "location_label")
+    ids = sequential_ids(pairs, ["location_type", "location_label"], "location_id")
+    return remember_rows(ids.select("location_id", "location_type", "location_label"),
+                         bounded_rows(ids, DEFAULT_MAX_ROWS))
 
 
 def click_columns(click_map: Column) -> dict[str, Column]:

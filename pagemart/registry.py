@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .functions import (blank_to_null, has_json, initcap_words, locale_braces, platform_ok, post_type,
                         reactions_total, simple_braces, strip_nul)
 from .functions.posts import clean_post_type
-from .operators import (bad_json, duplicate_keys, insert_ignore, insert_or_replace, orphans, unique_violations,
+from .operators import (bad_ints, bad_json, duplicate_keys, insert_ignore, insert_or_replace, orphans, unique_violations,
                         upsert_partial)
 from .plans import clean, dw, ods
 from .sources import testdata
@@ -152,6 +152,20 @@ def _staged_as_adapter(table: str, adapter) -> Callable[[SparkSession, str], Dat
     return run
 
 
+def _fan_value_ints(L: Layers) -> DataFrame:
+    """Fan map values that are not integers (the load's ``value::INT`` would fail)."""
+    from .operators.explode import explode_json_object
+    parts = []
+    for kind, (col, _, repair) in ods.FAN_KINDS.items():
+        src = L.ods_insights.where(has_json(F.col(col)))
+        rows = explode_json_object(src, repair(F.col(col)), ["insight_id"], "label", "value")
+        parts.append(bad_ints(rows.withColumn("kind", F.lit(kind)), F.col("value"), ["kind", "insight_id", "label"]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # ---- registry ----------------------------------------------------------------------------
 
 def _L(fn: Callable[[Layers], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -221,6 +235,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_pk": q_check_pk,
     "check_unique": _L(lambda L: unique_violations(L.clean_fan_rows, ["location_type", "location_label"])),
     "check_fk": _L(lambda L: orphans(L.video().select("post_id"), ["post_id"], L.ods_posts(), ["post_id"])),
+    "check_ints": _L(_fan_value_ints),
     "check_json": _L(lambda L: bad_json(
         L.stg.insights.where(has_json(F.col("page_fans_locale"))), locale_braces(F.col("page_fans_locale")), ["id"])),
 }
