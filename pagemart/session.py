@@ -20,6 +20,21 @@ BASE_CONF = {
 }
 
 
+# Settings for a large cluster (not applied by ``build_session``; pass as ``extra`` or put them in
+# the cluster defaults). Shuffles start wide and AQE coalesces them to ~256 MB partitions, so
+# the same job fits 1 GB or 100 TB without retuning; skewed join partitions are split.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # broadcasts are decided by the explicit row-count checks of ``operators.broadcast``
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def build_session(master: str = "local[8]", app: str = "pagemart", shuffle_partitions: int = 8,
                   driver_memory: str | None = None, extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)

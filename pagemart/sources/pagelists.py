@@ -49,3 +49,9 @@ def list_entries(managed: DataFrame, unmanaged: DataFrame) -> DataFrame:
         return df.select(F.lit(source).alias("source"), F.lit(SOURCE_RANK[source]).alias("source_rank"),
                          F.col("list_pos").cast("bigint").alias("list_pos"), F.col("id").alias("page_id"))
     return tag(managed, MANAGED).unionByName(tag(unmanaged, UNMANAGED))
+
+
+def invalid_entries(entries: DataFrame) -> DataFrame:
+    """List entries without a page id. The loader reads the id outside its error handling, so
+    such an entry stops the whole run there; here they are reported and the rest proceeds."""
+    return entries.where(F.col("page_id").isNull())

@@ -43,6 +43,10 @@ def test_unmanaged_list_page_or_id(spark, scratch):
         json.dump({"data": [{"page": {"id": 7}}, {"id": 8}, {}]}, f, indent=2)
     got = [tuple(r) for r in pagelists.read_unmanaged_list(spark, p).collect()]
     assert got == [(0, 7), (1, 8), (2, None)]
+    managed = spark.createDataFrame([(0, 1, "a", "facebook", 1)], "list_pos int, id int, name string, social_type string, managed int")
+    entries = pagelists.list_entries(managed, pagelists.read_unmanaged_list(spark, p))
+    assert [(r.source, r.list_pos) for r in pagelists.invalid_entries(entries).collect()] == [("unmanaged", 2)]
+    assert [r.source_rank for r in entries.orderBy("source_rank", "list_pos").collect()] == [0, 1, 1, 1]
     lines = os.path.join(scratch, "unmanaged.jsonl")
     with open(lines, "w") as f:
         f.write('{"page": {"id": 7}}\n{"id": 8}\n')

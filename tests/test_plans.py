@@ -54,3 +54,8 @@ def test_fans_single_scan_for_three_maps(spark):
 def test_demographics_one_location_join(spark):
     p = plan(E.queries()["fact_fan_demographics"](spark, SF001))
     assert "SortMergeJoin" not in p
+
+
+def test_insights_semi_join_on_managed_pages(spark):
+    p = plan(E.queries()["ods_insights"](spark, SF001))
+    assert "LeftSemi" in p and "BroadcastHashJoin" in p
