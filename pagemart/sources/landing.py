@@ -1,9 +1,10 @@
 """Landed API responses built by Spark from the test tables (the ingest job's input in tests).
 
 Every page of both lists gets responses that carry its client record, its insights (events of
-``user_id = page``) and its posts (orders of ``o_custkey = page``), paginated by id blocks of
-``CHUNK`` (at most ``CHUNK`` posts and ``CHUNK`` insights per response, so no response grows
-with a hot page). Deterministic variations exercise the acceptance and upsert rules:
+``user_id = page``) and its posts (orders of ``o_custkey = page``), paginated: a page with ``n``
+records of its larger kind is split into ``ceil(n / CHUNK)`` responses by ``id mod pages``, so a
+response holds about ``CHUNK`` records and none grows with a hot page (the per-page counts are
+one small aggregation). Deterministic variations exercise the acceptance and upsert rules:
 
 - managed list (even keys): HTTP 404 when ``page % 23 = 0``; ``"success": false`` when
   ``page % 29 = 0``; otherwise ``"success": true`` and full records;
@@ -47,24 +48,30 @@ def list_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(source, source_rank, list_pos, page_id, chunk, status, body), one row per response."""
     entries = list_entries(spark, sf_dir)
-    pages = broadcast_if_small(entries.select("source", "page_id"))
     posts = testdata.stg_posts(spark, sf_dir)
     insights = testdata.stg_insights(spark, sf_dir)
+    # responses per page: enough for CHUNK records each of the larger kind (posts or insights)
+    per_kind = (posts.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_posts"))
+                .join(insights.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_insights")), "page_id", "full"))
+    chunks_of = per_kind.select("page_id", F.greatest(F.lit(1), F.ceil(
+        F.greatest(F.coalesce("n_posts", F.lit(0)), F.coalesce("n_insights", F.lit(0))) / F.lit(CHUNK))).alias("n_chunks"))
+    pages = broadcast_if_small(entries.select("source", "page_id").join(chunks_of, "page_id", "left")
+                               .select("source", "page_id", F.coalesce("n_chunks", F.lit(1)).alias("n_chunks")))
     both_lists = F.col("page_id") % 10 == 0
     partial = (F.col("source") == "unmanaged") & both_lists
     partial_json = _json([F.col("id"), F.col("page_id"),
                           F.when(F.col("id") % 2 == 0, F.lit(None).cast("int")).otherwise(F.col("likes")).alias("likes"),
                           F.col("message")])
     post_rows = posts.join(pages, "page_id").select(
-        "source", "page_id", (F.col("id") / F.lit(CHUNK)).cast("long").alias("chunk"),
+        "source", "page_id", (F.col("id") % F.col("n_chunks")).alias("chunk"),
         F.struct(F.col("id"), F.when(partial, partial_json).otherwise(_json([F.col(c) for c in posts.columns]))
                  .alias("j")).alias("post"),
         F.lit(None).cast("struct<id:bigint,j:string>").alias("insight"))
     insight_rows = insights.join(pages, "page_id").select(
-        "source", "page_id", (F.col("id") / F.lit(CHUNK)).cast("long").alias("chunk"),
+        "source", "page_id", (F.col("id") % F.col("n_chunks")).alias("chunk"),
         F.lit(None).cast("struct<id:bigint,j:string>").alias("post"),
         F.struct(F.col("id"), _json([F.col(c) for c in insights.columns]).alias("j")).alias("insight"))
-    page_rows = entries.select("source", "page_id", F.lit(0).cast("long").alias("chunk"),
+    page_rows = entries.select("source", "page_id", F.lit(0).cast("bigint").alias("chunk"),
                                F.lit(None).cast("struct<id:bigint,j:string>").alias("post"),
                                F.lit(None).cast("struct<id:bigint,j:string>").alias("insight"))
     chunks = (post_rows.unionByName(insight_rows).unionByName(page_rows)
