@@ -49,12 +49,6 @@ def to_int(c: Column, strict: bool = False) -> Column:
     return c.cast("int") if strict else c.try_cast("int")
 
 
-def json_field_int(c: Column, path: str, strict: bool = False) -> Column:
-    """INT value at a JSONPath (``$.data.total_video_views`` or ``$['photo view']`` for keys
-    with blanks). A missing key, JSON null or a non-object gives NULL."""
-    return to_int(F.get_json_object(c, path), strict)
-
-
 def json_fields(c: Column, fields, under: str | None = None) -> Column:
     """Parse the JSON object text once and return a struct of the named members as text
     (optionally of the object nested under key ``under``). Missing members, JSON null, a

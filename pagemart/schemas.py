@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 _CLIENT = """id int, name string, social_id string, social_type string, type string, state string, picture string,
 cover string, related_instagram_id string, created_at timestamp_ntz, updated_at timestamp_ntz, owner_id int,
@@ -38,19 +38,7 @@ STG_CLIENT_COLUMNS = _parse(_CLIENT)
 STG_POST_COLUMNS = _parse(_POST)
 STG_INSIGHT_COLUMNS = _parse(_INSIGHT)
 
-# staging table -> columns; client records of the unmanaged list go to their own table
-STG_TABLES = {
-    "stg_clients": STG_CLIENT_COLUMNS,
-    "stg_unmanaged_clients": STG_CLIENT_COLUMNS,
-    "stg_posts": STG_POST_COLUMNS,
-    "stg_insights": STG_INSIGHT_COLUMNS,
-}
-
-
-def struct_of(cols: list[tuple[str, str]]) -> StructType:
-    return StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in cols))
-
 
 def all_strings(cols: list[tuple[str, str]]) -> StructType:
-    from pyspark.sql.types import StringType
+    """The columns as a struct of strings (how a JSON record is read before typing)."""
     return StructType([StructField(n, StringType()) for n, _ in cols])

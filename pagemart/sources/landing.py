@@ -26,7 +26,6 @@ from . import testdata
 
 CHUNK = 1024
 JSON_OPTS = {"ignoreNullFields": "false"}
-PARTIAL_POST_KEYS = ("id", "page_id", "likes", "message")
 
 
 def _json(cols) -> Column:

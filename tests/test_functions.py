@@ -108,3 +108,10 @@ def test_safe_int_tolerant_and_strict(spark):
 
 def test_strip_nul(spark):
     assert col_values(spark, ["a\x00b", None, "ab"], strip_nul) == ["ab", None, "ab"]
+
+
+def test_strip_nul_strings_keeps_other_types(spark):
+    from pagemart.functions import strip_nul_strings
+    df = spark.createDataFrame([(1, "a\x00", ["b\x00"])], "n int, s string, a array<string>")
+    out = strip_nul_strings(df)
+    assert out.columns == df.columns and out.first() == (1, "a", ["b\x00"])
