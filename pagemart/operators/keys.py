@@ -36,13 +36,15 @@ def sequential_ids(df: DataFrame, order: Sequence[str], id_col: str, start: int
     row, e.g. the natural key of a dimension).
 
     Up to ``single_task_rows`` rows (checked with a bounded count) the rows are sorted in one
-    task, a proven-small sort. Above that they are range-partitioned and sorted per partition,
+    task, a proven-small sort; whatever produces them stays parallel. Above that they are range-partitioned and sorted per partition,
     checkpointed (reliable checkpoint in ``spark.checkpoint.dir``) so the offset pass and the id
     pass read the same partitions even after an executor loss, and each partition adds the row
     count of the partitions before it."""
     n = bounded_rows(df, single_task_rows)
     if n <= single_task_rows:
-        one = df.coalesce(1).sortWithinPartitions(*order)
+        # repartition, not coalesce: coalesce(1) would pull the producing stage (e.g. the final
+        # step of a DISTINCT, which reads every map task's partial result) into the one task too
+        one = df.repartition(1).sortWithinPartitions(*order)
         out = one.select(*df.columns, (F.monotonically_increasing_id() + F.lit(start)).cast("int").alias(id_col))
         return remember_rows(out, n)
     ordered = (df.repartitionByRange(*order).sortWithinPartitions(*order)

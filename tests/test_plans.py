@@ -59,3 +59,25 @@ def test_demographics_one_location_join(spark):
 def test_insights_semi_join_on_managed_pages(spark):
     p = plan(E.queries()["ods_insights"](spark, SF001))
     assert "LeftSemi" in p and "BroadcastHashJoin" in p
+
+
+def test_dense_ids_keep_distinct_parallel(spark):
+    p = plan(E.queries()["dim_location"](spark, SF001))
+    # the DISTINCT's final aggregation is fed by a hash exchange, then one small exchange to a
+    # single partition for the sort (no coalesce pulling the aggregation into one task)
+    assert "Coalesce 1" not in p
+    assert "SinglePartition" in p and "hashpartitioning(location_type" in p
+
+
+def test_hot_key_aggregations_are_partial(spark):
+    from pyspark.sql import functions as F
+    from pagemart.operators import first_wins, upsert_partial
+    # one key holds a third of the rows
+    df = spark.range(3000).select((F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))).alias("k"),
+                                  F.col("id").alias("seq"), F.col("id").cast("string").alias("v"),
+                                  F.array(F.lit("v")).alias("present"))
+    for out in (first_wins(df.drop("present"), ["k"], ["seq"]), upsert_partial(df, ["k"], ["seq"], "present", ["v"])):
+        p = plan(out)
+        assert "partial_" in p  # map-side combine before the shuffle: the hot key is one row per task
+        assert "Window" not in p
+    assert first_wins(df.drop("present"), ["k"], ["seq"]).where("k = 7").first().v == "0"
