@@ -52,14 +52,19 @@ def build_session(master: str = "local[8]", app: str = "pagemart", shuffle_parti
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (tests, laptops) take a
-    fresh scratch folder. Returns the directory in use."""
+    """Use the cluster's ``spark.checkpoint.dir`` (a shared folder). Only when it is unset on a
+    local master (tests, laptops) take ``fallback`` or a fresh scratch folder; on a cluster an
+    unset setting is an error, since a machine-local folder would not survive an executor loss.
+    Returns the directory in use."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (dense ids of large "
+                               "dimensions checkpoint there)")
         configured = fallback or tempfile.mkdtemp(prefix="pagemart-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
