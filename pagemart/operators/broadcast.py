@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows we accept to ship to every executor for a dimension / id set (a few narrow columns).
+# A cluster can set ``spark.pagemart.broadcastMaxRows`` instead of changing code.
 DEFAULT_MAX_ROWS = 2_000_000
+MAX_ROWS_CONF = "spark.pagemart.broadcastMaxRows"
 
 # DataFrames whose row count is already known (e.g. a dimension sized when its ids were made),
 # so a second check does not run another job.
@@ -36,6 +38,14 @@ def bounded_rows(df: DataFrame, max_rows: int) -> int:
     return n
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
+def configured_max_rows(df: DataFrame, default: int = DEFAULT_MAX_ROWS) -> int:
+    """The session's ``spark.pagemart.broadcastMaxRows``, else ``default``."""
+    value = df.sparkSession.conf.get(MAX_ROWS_CONF, None)
+    return int(value) if value else default
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows (default: the session
+    setting, else 2M), else ``df`` unchanged."""
+    max_rows = max_rows if max_rows is not None else configured_max_rows(df)
     return F.broadcast(df) if bounded_rows(df, max_rows) <= max_rows else df

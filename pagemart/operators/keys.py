@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .broadcast import DEFAULT_MAX_ROWS, bounded_rows, remember_rows
+from .broadcast import bounded_rows, configured_max_rows, remember_rows
 
 _PID, _MID = "__pid", "__mid"
 
@@ -31,15 +31,16 @@ def date_key(d: Column, start: dt.date, end: dt.date | None = None) -> Column:
 
 
 def sequential_ids(df: DataFrame, order: Sequence[str], id_col: str, start: int = 1,
-                   single_task_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+                   single_task_rows: int | None = None) -> DataFrame:
     """Add ``id_col`` = ``start``-based rank of each row in ``order`` (which must be unique per
     row, e.g. the natural key of a dimension).
 
-    Up to ``single_task_rows`` rows (checked with a bounded count) the rows are sorted in one
+    Up to ``single_task_rows`` rows (default: the broadcast bound; checked with a bounded count) the rows are sorted in one
     task, a proven-small sort; whatever produces them stays parallel. Above that they are range-partitioned and sorted per partition,
     checkpointed (reliable checkpoint in ``spark.checkpoint.dir``) so the offset pass and the id
     pass read the same partitions even after an executor loss, and each partition adds the row
     count of the partitions before it."""
+    single_task_rows = single_task_rows or configured_max_rows(df)
     n = bounded_rows(df, single_task_rows)
     if n <= single_task_rows:
         # repartition, not coalesce: coalesce(1) would pull the producing stage (e.g. the final

@@ -13,7 +13,6 @@ from ..functions import (has_json, initcap_words, int_to_bool, json_fields, loca
                          post_type, reactions_total, simple_braces, to_int)
 from ..functions.text import blank_to_null
 from ..operators import broadcast_if_small, first_wins, json_members
-from ..operators.broadcast import DEFAULT_MAX_ROWS
 
 CLIENT_COLUMNS = ("client_id", "name", "managed", "social_type", "actif", "type", "picture")
 
@@ -72,7 +71,7 @@ def eligible_pages(stg_clients: DataFrame, stg_unmanaged: DataFrame) -> DataFram
 
 
 def ods_posts(stg_posts: DataFrame, pages: DataFrame, strict_deleted: bool = False, carry_clicks: bool = False,
-              max_broadcast_rows: int = DEFAULT_MAX_ROWS, keep_payload: bool = False) -> DataFrame:
+              max_broadcast_rows: int | None = None, keep_payload: bool = False) -> DataFrame:
     """Posts of eligible pages with derived type and reaction total.
 
     Literal filter of the load: ``is_deleted = 0 AND page in managed OR page in unmanaged`` --
@@ -104,7 +103,7 @@ def ods_posts(stg_posts: DataFrame, pages: DataFrame, strict_deleted: bool = Fal
     )
 
 
-def ods_insights(stg_insights: DataFrame, pages: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def ods_insights(stg_insights: DataFrame, pages: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
     """Insights of eligible **managed** pages only (unmanaged insights are staged but dropped)."""
     managed = broadcast_if_small(pages.where("in_managed").select("page_id"), max_broadcast_rows)
     return stg_insights.join(managed, "page_id", "left_semi").select(

@@ -126,3 +126,21 @@ def test_quality_checks(spark):
     assert rows(orphans(df, ["k"], parent), "k") == [(2,), (3,)]
     js = spark.createDataFrame([(1, '{"a":1}}'), (2, "{bad"), (3, '{"a":1}'), (4, None)], "id int, t string")
     assert rows(bad_json(js, F.col("t"), ["id"]), "id", "reason") == [(1, "trailing text"), (2, "unparsable")]
+
+
+def test_broadcast_bound_from_session_setting(spark):
+    from pagemart.operators import broadcast_if_small
+    from pagemart.operators.broadcast import configured_max_rows
+
+    def hinted(d):
+        return "broadcast" in d._jdf.queryExecution().logical().toString().lower()
+
+    spark.conf.set("spark.pagemart.broadcastMaxRows", "10")
+    try:
+        assert configured_max_rows(spark.range(1)) == 10
+        assert not hinted(broadcast_if_small(spark.range(50)))
+        assert hinted(broadcast_if_small(spark.range(5)))
+    finally:
+        spark.conf.unset("spark.pagemart.broadcastMaxRows")
+    assert configured_max_rows(spark.range(1)) == 2_000_000
+    assert hinted(broadcast_if_small(spark.range(50)))
