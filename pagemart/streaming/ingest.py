@@ -11,6 +11,11 @@ marker, so a batch that is retried after a failure rewrites the same version (id
 readers only see committed versions (``LayerStore.read``). Rejected pages of each batch are kept
 with the version. ``trigger(availableNow=True)`` processes everything landed so far and stops,
 which is how a daily run uses it; a continuous trigger works the same way.
+
+Staging is a full refresh per load (the run empties it first): give each load (e.g. each day) its
+own ``landing_dir``, ``root`` and checkpoint folder, see ``daily_paths``. Within a load, versions
+build on each other; a new load starts from nothing. A version rewrites the load's staging, so
+its cost follows one load's volume, not the history.
 """
 
 from __future__ import annotations
@@ -45,6 +50,14 @@ def stage_batch(spark: SparkSession, batch: DataFrame, root: str, batch_id: int)
     return store
 
 
+def daily_paths(base: str, day: str) -> dict[str, str]:
+    """Folders of one daily load under a shared ``base``: landed files, staging versions, stream
+    checkpoint."""
+    base = base.rstrip("/")
+    return {"landing_dir": f"{base}/landed/{day}", "root": f"{base}/staging/{day}",
+            "checkpoint_dir": f"{base}/checkpoints/ingest/{day}"}
+
+
 def start_ingest_stream(spark: SparkSession, landing_dir: str, root: str, checkpoint_dir: str,
                         fmt: str = "parquet", available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start the stream; returns the ``StreamingQuery``."""

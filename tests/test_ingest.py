@@ -115,6 +115,13 @@ def test_streaming_batches_upsert_into_previous_version(spark, scratch):
     assert set(STAGING_TABLES) <= {"stg_clients", "stg_unmanaged_clients", "stg_insights", "stg_posts"}
 
 
+def test_daily_paths_separate_loads():
+    from pagemart.streaming.ingest import daily_paths
+    a, b = daily_paths("/shared/x/", "2025-01-01"), daily_paths("/shared/x", "2025-01-02")
+    assert a["root"] != b["root"] and a["checkpoint_dir"] != b["checkpoint_dir"]
+    assert a["landing_dir"] == "/shared/x/landed/2025-01-01"
+
+
 def test_landing_fixture_rejects_and_pages(spark):
     lr = landing.landed_responses(spark, SF001)
     st = ingest(lr)
