@@ -90,3 +90,68 @@ def test_explode_first_key_wins(spark, objects):
             seen.setdefault(k, None if v is None else str(v))
         want += [(i, k, v) for k, v in seen.items()]
     assert got == sorted(want, key=lambda r: (r[0], r[1], r[2] is not None, r[2] or ""))
+
+
+TYPES = st.one_of(st.none(), st.sampled_from(["", "storie", " storie ", "Photo", " Video ", "  ", "x"]))
+URLS = st.one_of(st.none(), st.sampled_from(["/reel/1", "/reel/", "/p/1", "", "x/reel/"]))
+STATUSES = st.one_of(st.none(), st.sampled_from(["", "added_photos", "added_video", "mobile_status_update",
+                                                 "shared_story", "storie_photo", "storie_video", "other"]))
+
+
+def py_post_type(t, u, s):
+    if t not in (None, ""):
+        label = t
+    elif u is not None and u.startswith("/reel/"):
+        label = "Reels"
+    elif s in ("added_photos",):
+        label = "Photo"
+    elif s == "added_video":
+        label = "Video"
+    elif s == "mobile_status_update":
+        label = "Reels"
+    elif s in ("shared_story", "storie_photo", "storie_video"):
+        label = "Story"
+    elif s in (None, ""):
+        label = "Texte"
+    else:
+        label = None
+    # cleaning: exact 'storie' renamed first, then trimmed, blank -> NULL
+    if label == "storie":
+        label = "Story"
+    if label is not None:
+        label = label.strip(" ") or None
+    return label
+
+
+@SETTINGS
+@given(st.lists(st.tuples(TYPES, URLS, STATUSES), min_size=1, max_size=60))
+def test_post_type_truth_table(spark, rows):
+    from pagemart.functions import clean_post_type, post_type
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, t string, u string, s string")
+    got = [r[0] for r in df.orderBy("i").select(clean_post_type(post_type(F.col("t"), F.col("u"), F.col("s")))).collect()]
+    assert got == [py_post_type(*r) for r in rows]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from([1, 2, 3, 4]), st.one_of(st.none(), st.integers(0, 1))), min_size=1,
+                max_size=40))
+def test_deleted_post_precedence(spark, rows):
+    from pagemart.plans import ods
+    clients = "id int, name string, social_type string, type string, picture string, actif int, managed int"
+    # page 1 managed, page 2 unmanaged, page 3 on both lists, page 4 on none
+    managed = spark.createDataFrame([(1, "a", "facebook", "", "", 1, 1), (3, "c", "facebook", "", "", 1, 1)], clients)
+    unmanaged = spark.createDataFrame([(2, "b", "facebook", "", "", 1, 0), (3, "c", "facebook", "", "", 1, 0)], clients)
+    posts = spark.createDataFrame([(i, page, deleted) for i, (page, deleted) in enumerate(rows)],
+                                  "id long, page_id int, is_deleted int")
+    for c in ("social_type", "type", "url", "status_type", "message", "is_real", "post_clicks_by_type", "data"):
+        posts = posts.withColumn(c, F.lit(None).cast("string"))
+    for c in ("likes", "wow", "sad", "haha", "angry", "love", "thankful", "comments", "shares", "views", "clicks",
+              "reach", "reach_organic", "reach_paid"):
+        posts = posts.withColumn(c, F.lit(None).cast("int"))
+    posts = posts.withColumn("creation_time", F.lit(None).cast("timestamp_ntz"))
+    pages = ods.eligible_pages(managed, unmanaged)
+    got = sorted(r.post_id for r in ods.ods_posts(posts, pages).collect())
+    in_m, in_u = {1, 3}, {2, 3}
+    want = sorted(i for i, (page, deleted) in enumerate(rows)
+                  if (deleted == 0 and page in in_m) or page in in_u)
+    assert got == want
