@@ -2,9 +2,10 @@
 
 - ``date_key``        the date dimension is a gap-free day series, so its key is arithmetic:
                       ``days since start + 1``; facts compute it instead of joining the dim.
-- ``sequential_ids``  dense 1..n in the order of a natural key (label dims): range-partition and
-                      sort, then add each partition's row offset. Only one small row per
-                      partition ever meets on one task (the offsets), never the data itself.
+- ``sequential_ids``  dense 1..n in the order of a natural key (label dims): a proven-small set
+                      is sorted in one task; a larger one is range-partitioned and sorted, and
+                      each partition adds the row count of the partitions before it (only one
+                      small row per partition meets on one task, never the data itself).
 - ``unique_ids``      unique, increasing per partition, not dense: the contract of a SERIAL
                       column filled by one statement, for large fact tables.
 """
@@ -35,11 +36,12 @@ def sequential_ids(df: DataFrame, order: Sequence[str], id_col: str, start: int
     """Add ``id_col`` = ``start``-based rank of each row in ``order`` (which must be unique per
     row, e.g. the natural key of a dimension).
 
-    Up to ``single_task_rows`` rows (default: the broadcast bound; checked with a bounded count) the rows are sorted in one
-    task, a proven-small sort; whatever produces them stays parallel. Above that they are range-partitioned and sorted per partition,
-    checkpointed (reliable checkpoint in ``spark.checkpoint.dir``) so the offset pass and the id
-    pass read the same partitions even after an executor loss, and each partition adds the row
-    count of the partitions before it."""
+    Up to ``single_task_rows`` rows (default: the broadcast bound; checked with a bounded count)
+    the rows are sorted in one task, a proven-small sort; whatever produces them stays parallel.
+    Above that they are range-partitioned and sorted per partition, checkpointed (reliable
+    checkpoint in ``spark.checkpoint.dir``) so the offset pass and the id pass read the same
+    partitions even after an executor loss, and each partition adds the row count of the
+    partitions before it."""
     single_task_rows = single_task_rows or configured_max_rows(df)
     n = bounded_rows(df, single_task_rows)
     if n <= single_task_rows:

@@ -13,6 +13,7 @@ from ..functions import (has_json, initcap_words, int_to_bool, json_fields, loca
                          post_type, reactions_total, simple_braces, to_int)
 from ..functions.text import blank_to_null
 from ..operators import broadcast_if_small, first_wins, json_members
+from ..operators.explode import first_heads
 
 CLIENT_COLUMNS = ("client_id", "name", "managed", "social_type", "actif", "type", "picture")
 
@@ -125,13 +126,15 @@ def fan_entries(insights: DataFrame, kinds=tuple(FAN_KINDS), clean: bool = False
     wins again when two labels meet after trimming. Both are decided inside the row (no
     shuffle)."""
     key_fn = blank_to_null if clean else None
-    per_kind = F.array(*[
-        F.struct(F.lit(kind).alias("t"),
-                 F.when(has_json(F.col(FAN_KINDS[kind][0])),
-                        json_members(FAN_KINDS[kind][2](F.col(FAN_KINDS[kind][0])), key_fn, True, clean)).alias("m"))
-        for kind in kinds])
     keep = ["insight_id", "client_id", "insight_date"]
-    by_kind = insights.select(*keep, F.explode(per_kind).alias("__kind"))
+    # stage 1: parse and sort each map once (a column); stage 2 reads it (see first_heads)
+    sorted_maps = insights.select(*keep, *[
+        F.when(has_json(F.col(FAN_KINDS[kind][0])),
+               json_members(FAN_KINDS[kind][2](F.col(FAN_KINDS[kind][0])), key_fn, clean)).alias(f"__m_{kind}")
+        for kind in kinds])
+    per_kind = F.array(*[F.struct(F.lit(kind).alias("t"), first_heads(F.col(f"__m_{kind}")).alias("m"))
+                         for kind in kinds])
+    by_kind = sorted_maps.select(*keep, F.explode(per_kind).alias("__kind"))
     members = by_kind.select(*keep, F.col("__kind.t").alias("location_type"), F.explode("__kind.m").alias("__m"))
     return members.select("location_type", *keep, F.col("__m.k").alias("location_label"),
                           to_int(F.col("__m.v"), strict).alias("nb_fans"))
