@@ -12,6 +12,11 @@ readers only see committed versions (``LayerStore.read``). Rejected pages of eac
 with the version. ``trigger(availableNow=True)`` processes everything landed so far and stops,
 which is how a daily run uses it; a continuous trigger works the same way.
 
+Order: inside a batch, records are ordered by (list, list position, response page, array
+position); across batches the later batch wins, which is the fetch order when responses are
+landed as they are fetched (the managed list first, then the unmanaged one). The file source
+takes files oldest first.
+
 Staging is a full refresh per load (the run empties it first): give each load (e.g. each day) its
 own ``landing_dir``, ``root`` and checkpoint folder, see ``daily_paths``. Within a load, versions
 build on each other; a new load starts from nothing. A version rewrites the load's staging, so
