@@ -15,6 +15,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,17 +50,14 @@ class LayerStore:
 
     def latest_run(self, before: str | None = None) -> str | None:
         """Newest committed run id (run ids sort by their UTC start time), optionally the
-        newest one that sorts before ``before``."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.root.rstrip('/')}/{MARKERS}")
-        fs = p.getFileSystem(conf)
-        if not fs.exists(p):
+        newest one that sorts before ``before``. Reads the small commit markers only."""
+        try:
+            markers = self.spark.read.schema("run_id string").json(f"{self.root.rstrip('/')}/{MARKERS}/*")
+        except AnalysisException:  # no run committed yet
             return None
-        runs = sorted(s.getPath().getName() for s in fs.listStatus(p))
         if before is not None:
-            runs = [r for r in runs if r < before]
-        return runs[-1] if runs else None
+            markers = markers.where(F.col("run_id") < F.lit(before))
+        return markers.agg(F.max("run_id")).first()[0]
 
     def read(self, table: str, run_id: str | None = None) -> DataFrame:
         """A table of the given run (default: the newest committed run)."""
