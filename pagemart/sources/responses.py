@@ -13,7 +13,9 @@ Rules (as the loader applies them):
   null overwrites), last record per id wins: managed list before unmanaged list, then list
   position, page chunk and position in the array;
 - a page that fails any rule is rejected as a whole (the loader could leave half a page
-  behind; here nothing of it is written) and reported with a reason.
+  behind; here nothing of it is written) and reported with a reason. The unit is one landed
+  response: when an answer is paginated, each of its responses is accepted or rejected on its
+  own (with one response per page, as the loader fetches, that is the page).
 
 Validation runs inside each response row with array functions: no shuffle is needed to reject
 a page. The body is parsed once (to a VARIANT) and each value is cast once. With
