@@ -37,7 +37,8 @@ def orphans(child: DataFrame, fk: Sequence[str], parent: DataFrame, pk: Sequence
     """Foreign-key violations: child rows whose non-NULL key has no parent row."""
     fk = list(fk)
     pk = list(pk or fk)
-    parent_keys = parent.select(*[F.col(p).alias(f) for p, f in zip(pk, fk)]).distinct()
+    # no DISTINCT: an anti join only tests existence, duplicates in the parent change nothing
+    parent_keys = parent.select(*[F.col(p).alias(f) for p, f in zip(pk, fk)])
     no_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in fk])
     return child.where(no_null).join(parent_keys, fk, "left_anti")
 
