@@ -151,6 +151,10 @@ def check_responses(landed: DataFrame) -> DataFrame:
     return parsed.withColumn("reason", reason).drop("__envelope")
 
 
+class RejectedTooMany(RuntimeError):
+    """More pages were rejected than a run accepts."""
+
+
 class Staged:
     """Staging tables after one ingest, plus the rejected pages. Each table is planned on
     first access, so a caller that needs one table does not build the others."""
@@ -185,6 +189,21 @@ class Staged:
     def rejects(self) -> DataFrame:
         return rejected(self.checked)
 
+    def reject_ratio(self) -> float:
+        """Share of landed responses rejected (one aggregation, two numbers to the driver)."""
+        row = self.checked.agg(F.count(F.lit(1)).alias("n"),
+                               F.count(F.col("reason")).alias("bad")).first()
+        return (row["bad"] / row["n"]) if row["n"] else 0.0
+
+    def check_rejects(self, max_ratio: float | None) -> None:
+        """Fail the run when more than ``max_ratio`` of the responses were rejected (the load
+        would otherwise "succeed" with little or nothing staged)."""
+        if max_ratio is None:
+            return
+        ratio = self.reject_ratio()
+        if ratio > max_ratio:
+            raise RejectedTooMany(f"{ratio:.1%} of the landed responses were rejected (limit {max_ratio:.1%})")
+
     def tables(self) -> dict[str, DataFrame]:
         return {"stg_clients": self.clients, "stg_unmanaged_clients": self.unmanaged_clients,
                 "stg_insights": self.insights, "stg_posts": self.posts}
@@ -217,8 +236,13 @@ def rejected(checked: DataFrame) -> DataFrame:
     return checked.select(*keep, F.explode(F.when(F.col("reason").isNotNull(), F.array("reason"))).alias("reason"))
 
 
-def ingest(landed: DataFrame, targets: dict[str, DataFrame] | None = None) -> Staged:
+def ingest(landed: DataFrame, targets: dict[str, DataFrame] | None = None,
+           max_reject_ratio: float | None = None) -> Staged:
     """Stage all accepted pages of ``landed`` (upserted into ``targets`` when given, keyed by
     table name ``stg_clients`` / ``stg_unmanaged_clients`` / ``stg_insights`` / ``stg_posts``;
-    the default is a full refresh, as the run truncates staging first)."""
-    return Staged(check_responses(landed), targets or {})
+    the default is a full refresh, as the run truncates staging first). With
+    ``max_reject_ratio`` the run fails (``RejectedTooMany``) when a larger share of the
+    responses is rejected."""
+    staged = Staged(check_responses(landed), targets or {})
+    staged.check_rejects(max_reject_ratio)
+    return staged

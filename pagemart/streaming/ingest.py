@@ -39,14 +39,16 @@ def version_id(batch_id: int) -> str:
     return f"b{batch_id:012d}"
 
 
-def stage_batch(spark: SparkSession, batch: DataFrame, root: str, batch_id: int) -> LayerStore:
+def stage_batch(spark: SparkSession, batch: DataFrame, root: str, batch_id: int,
+                max_reject_ratio: float | None = None) -> LayerStore:
     """Upsert one batch of landed responses into the newest staging version under ``root``
-    and commit the result as the version of ``batch_id``."""
+    and commit the result as the version of ``batch_id`` (a batch with too many rejected
+    responses fails before anything is written)."""
     previous = LayerStore(spark, root)
     # a retried batch upserts into the version before its own again (never into itself)
     last = previous.latest_run(before=version_id(batch_id))
     targets = {t: previous.read(t, last) for t in STAGING_TABLES} if last else {}
-    staged = ingest(batch, targets)
+    staged = ingest(batch, targets, max_reject_ratio)
     store = LayerStore(spark, root, run_id=version_id(batch_id), mode="overwrite")
     for name, df in staged.tables().items():
         store.write(df, name)
@@ -64,14 +66,15 @@ def daily_paths(base: str, day: str) -> dict[str, str]:
 
 
 def start_ingest_stream(spark: SparkSession, landing_dir: str, root: str, checkpoint_dir: str,
-                        fmt: str = "parquet", available_now: bool = True, max_files_per_trigger: int | None = None):
+                        fmt: str = "parquet", available_now: bool = True, max_files_per_trigger: int | None = None,
+                        max_reject_ratio: float | None = None):
     """Start the stream; returns the ``StreamingQuery``."""
     reader = spark.readStream.format(fmt).schema(LANDED_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     landed = reader.load(landing_dir)
     writer = (landed.writeStream
-              .foreachBatch(lambda df, batch_id: stage_batch(spark, df, root, batch_id))
+              .foreachBatch(lambda df, batch_id: stage_batch(spark, df, root, batch_id, max_reject_ratio))
               .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

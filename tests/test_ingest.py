@@ -130,3 +130,15 @@ def test_landing_fixture_rejects_and_pages(spark):
     # every accepted managed page is staged exactly once
     assert st.clients.count() == st.clients.select("id").distinct().count()
     assert st.posts.where(F.col("id").isNull()).count() == 0
+
+
+def test_run_fails_above_reject_ratio(spark):
+    import pytest
+    from pagemart.sources.responses import RejectedTooMany
+    rows = [("managed", 0, 0, 1, 0, 404, "x"), ("managed", 0, 1, 2, 0, 200, body({"id": 2})),
+            ("managed", 0, 2, 3, 0, 500, "x")]
+    st = ingest(landed(spark, rows))
+    assert abs(st.reject_ratio() - 2 / 3) < 1e-9
+    ingest(landed(spark, rows), max_reject_ratio=0.7)
+    with pytest.raises(RejectedTooMany):
+        ingest(landed(spark, rows), max_reject_ratio=0.5)
