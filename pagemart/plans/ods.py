@@ -6,14 +6,14 @@ cleaning pass (``plans.clean``) is a projection on top, fused by Catalyst into t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import (has_json, initcap_words, int_to_bool, json_fields, locale_braces, platform_ok,
                          post_type, reactions_total, simple_braces, to_int)
 from ..functions.text import blank_to_null
 from ..operators import broadcast_if_small, first_wins, json_members
-from ..operators.explode import first_heads
+from ..operators.explode import explode_json_object, first_heads
 
 CLIENT_COLUMNS = ("client_id", "name", "managed", "social_type", "actif", "type", "picture")
 
@@ -148,6 +148,29 @@ def ods_fans(insights: DataFrame, kind: str, clean: bool = False, strict: bool =
         "insight_id", "client_id", "insight_date", F.col("location_label").alias(label), "nb_fans")
 
 
+def fan_label_rejects(insights: DataFrame, kinds=tuple(FAN_KINDS)) -> DataFrame:
+    """Fan entries the cleaning pass drops (the database would refuse them): a label that is
+    blank after trimming (NULL in a key column), or one that meets an earlier label of the same
+    insight after trimming (duplicate key). Output: location_type, insight_id, raw_label,
+    reason. The collision test groups by (insight, kind, trimmed label), a group no larger than
+    one JSON object's members."""
+    parts = []
+    for kind in kinds:
+        col, _, repair = FAN_KINDS[kind]
+        rows = explode_json_object(insights.where(has_json(F.col(col))), repair(F.col(col)), ["insight_id"],
+                                   "raw_label", "__v", pos_name="pos")
+        parts.append(rows.select(F.lit(kind).alias("location_type"), "insight_id", "raw_label", "pos"))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    label = blank_to_null(F.col("raw_label"))
+    first = Window.partitionBy("insight_id", "location_type", label).orderBy("pos")
+    reason = (F.when(label.isNull(), F.lit("blank label"))
+               .when(F.row_number().over(first) > 1, F.lit("label collides after trim")))
+    return (rows.select("location_type", "insight_id", "raw_label", reason.alias("reason"))
+                .where(F.col("reason").isNotNull()))
+
+
 def video_columns(payload_text, strict: bool = False) -> dict:
     """The five video counters of a post payload text (``data.data.*``) as INT. A payload
     without JSON (see ``has_json``: NULL, '', '0', '[]', '{}') gives NULLs by itself, so no

@@ -236,6 +236,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_unique": _L(lambda L: unique_violations(L.clean_fan_rows, ["location_type", "location_label"])),
     "check_fk": _L(lambda L: orphans(L.video().select("post_id"), ["post_id"], L.ods_posts(), ["post_id"])),
     "check_ints": _L(_fan_value_ints),
+    "fan_label_rejects": _L(lambda L: ods.fan_label_rejects(L.ods_insights)),
     "check_json": _L(lambda L: bad_json(
         L.stg.insights.where(has_json(F.col("page_fans_locale"))), locale_braces(F.col("page_fans_locale")), ["id"])),
 }

@@ -71,3 +71,11 @@ def test_ods_outputs_follow_ddl_order(spark):
     assert tuple(E.queries()["ods_posts"](spark, SF001).columns) == ods.POST_COLUMNS
     assert tuple(E.queries()["ods_insights"](spark, SF001).columns) == ods.INSIGHT_COLUMNS
     assert tuple(E.queries()["ods_clients"](spark, SF001).columns) == ods.CLIENT_COLUMNS
+
+
+def test_fan_label_rejects(spark):
+    ins = spark.createDataFrame([(1, 7, dt.date(2024, 1, 1), '{" Tunis ":1,"Tunis":2,"  ":5,"Sfax":3,"Sfax":4}')],
+                                "insight_id long, client_id int, insight_date date, page_fans_country string")
+    ins = ins.withColumn("page_fans_city", F.lit(None).cast("string")).withColumn("page_fans_locale", F.lit(None).cast("string"))
+    got = sorted((r.raw_label, r.reason) for r in ods.fan_label_rejects(ins).collect())
+    assert got == [("  ", "blank label"), ("Tunis", "label collides after trim")]
