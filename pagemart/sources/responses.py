@@ -242,7 +242,8 @@ def ingest(landed: DataFrame, targets: dict[str, DataFrame] | None = None,
     table name ``stg_clients`` / ``stg_unmanaged_clients`` / ``stg_insights`` / ``stg_posts``;
     the default is a full refresh, as the run truncates staging first). With
     ``max_reject_ratio`` the run fails (``RejectedTooMany``) when a larger share of the
-    responses is rejected."""
+    responses is rejected; that check is one extra validation pass, so a job that writes the
+    rejects anyway should count them there instead (as ``streaming.ingest.stage_batch`` does)."""
     staged = Staged(check_responses(landed), targets or {})
     staged.check_rejects(max_reject_ratio)
     return staged

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.refresh import LayerStore
-from ..sources.responses import ingest
+from ..sources.responses import RejectedTooMany, ingest
 
 LANDED_SCHEMA = ("source string, source_rank int, list_pos bigint, page_id int, chunk int, status int, "
                  "body string")
@@ -42,17 +42,23 @@ def version_id(batch_id: int) -> str:
 def stage_batch(spark: SparkSession, batch: DataFrame, root: str, batch_id: int,
                 max_reject_ratio: float | None = None) -> LayerStore:
     """Upsert one batch of landed responses into the newest staging version under ``root``
-    and commit the result as the version of ``batch_id`` (a batch with too many rejected
-    responses fails before anything is written)."""
+    and commit the result as the version of ``batch_id``. A batch with too many rejected
+    responses fails before its commit marker, so readers never see it."""
     previous = LayerStore(spark, root)
     # a retried batch upserts into the version before its own again (never into itself)
     last = previous.latest_run(before=version_id(batch_id))
     targets = {t: previous.read(t, last) for t in STAGING_TABLES} if last else {}
-    staged = ingest(batch, targets, max_reject_ratio)
+    staged = ingest(batch, targets)
     store = LayerStore(spark, root, run_id=version_id(batch_id), mode="overwrite")
     for name, df in staged.tables().items():
         store.write(df, name)
-    store.write(staged.rejects, "stg_rejects")
+    rejects = store.write(staged.rejects, "stg_rejects")
+    if max_reject_ratio is not None:
+        # from what was written: no second validation pass; the version stays uncommitted
+        landed, bad = batch.count(), rejects.count()
+        if landed and bad / landed > max_reject_ratio:
+            raise RejectedTooMany(f"batch {batch_id}: {bad} of {landed} responses rejected "
+                                  f"(limit {max_reject_ratio:.1%})")
     store.commit()
     return store
 

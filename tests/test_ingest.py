@@ -142,3 +142,16 @@ def test_run_fails_above_reject_ratio(spark):
     ingest(landed(spark, rows), max_reject_ratio=0.7)
     with pytest.raises(RejectedTooMany):
         ingest(landed(spark, rows), max_reject_ratio=0.5)
+
+
+def test_stream_batch_over_reject_ratio_is_not_committed(spark, scratch):
+    import pytest
+    from pagemart.sources.responses import RejectedTooMany
+    from pagemart.streaming.ingest import stage_batch
+    root = os.path.join(scratch, "staging")
+    rows = [("managed", 0, 0, 1, 0, 404, "x"), ("managed", 0, 1, 2, 0, 200, body({"id": 2}))]
+    with pytest.raises(RejectedTooMany):
+        stage_batch(spark, landed(spark, rows), root, 0, max_reject_ratio=0.25)
+    assert LayerStore(spark, root).latest_run() is None
+    stage_batch(spark, landed(spark, rows), root, 1, max_reject_ratio=0.75)
+    assert LayerStore(spark, root).latest_run() == "b000000000001"
