@@ -75,7 +75,8 @@ def start_ingest_stream(spark: SparkSession, landing_dir: str, root: str, checkp
                         fmt: str = "parquet", available_now: bool = True, max_files_per_trigger: int | None = None,
                         max_reject_ratio: float | None = None):
     """Start the stream; returns the ``StreamingQuery``."""
-    reader = spark.readStream.format(fmt).schema(LANDED_SCHEMA)
+    # landed files may sit in sub-folders (one per fetcher, hour, ...)
+    reader = spark.readStream.format(fmt).schema(LANDED_SCHEMA).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     landed = reader.load(landing_dir)

@@ -39,3 +39,16 @@ def test_landed_to_star_schema(spark, scratch):
     managed_ids = out["dim_client"].where("managed").select("client_id")
     assert fi.join(managed_ids, "client_id", "left_anti").count() == 0
     assert out["ods_posts"].select("post_id").distinct().count() == out["ods_posts"].count()
+
+
+def test_command_line_jobs(spark, scratch):
+    from pagemart import jobs
+    base = os.path.join(scratch, "lake2")
+    day = "2025-02-01"
+    landing.landed_responses(spark, SF001).write.parquet(os.path.join(base, "landed", day, "part-0"))
+    version = jobs.main(["ingest", "--base", base, "--day", day, "--max-reject-ratio", "0.5"])
+    assert version == "b000000000000"
+    run = jobs.main(["refresh", "--base", base, "--day", day, "--start", "1990-01-01", "--end", "2025-01-01"])
+    dwh = LayerStore(spark, os.path.join(base, "dw"))
+    assert dwh.latest_run() == run
+    assert dwh.read("fact_posts").count() > 0
