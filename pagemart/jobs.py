@@ -19,13 +19,20 @@ from pyspark.sql import SparkSession
 
 from .plans.dw import DATE_START
 from .plans.refresh import LayerStore, refresh
-from .session import BASE_CONF
 from .streaming.ingest import STAGING_TABLES, daily_paths, start_ingest_stream
 
 
+# Only settings the results depend on; everything else (shuffle width, AQE, UI, memory) is the
+# cluster's, from spark-submit / spark-defaults (see session.CLUSTER_CONF for a starting point).
+JOB_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.variant.allowDuplicateKeys": "true",
+}
+
+
 def _session() -> SparkSession:
     builder = SparkSession.builder.appName("pagemart")
-    for k, v in BASE_CONF.items():
+    for k, v in JOB_CONF.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
 
