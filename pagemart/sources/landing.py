@@ -50,10 +50,12 @@ def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = testdata.stg_posts(spark, sf_dir)
     insights = testdata.stg_insights(spark, sf_dir)
     # responses per page: enough for CHUNK records each of the larger kind (posts or insights)
-    per_kind = (posts.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_posts"))
-                .join(insights.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_insights")), "page_id", "full"))
-    chunks_of = per_kind.select("page_id", F.greatest(F.lit(1), F.ceil(
-        F.greatest(F.coalesce("n_posts", F.lit(0)), F.coalesce("n_insights", F.lit(0))) / F.lit(CHUNK))).alias("n_chunks"))
+    # one aggregation over both kinds (no join of two per-page counts)
+    per_kind = (posts.select("page_id", F.lit(1).alias("p"), F.lit(0).alias("i"))
+                .unionByName(insights.select("page_id", F.lit(0).alias("p"), F.lit(1).alias("i")))
+                .groupBy("page_id").agg(F.sum("p").alias("n_posts"), F.sum("i").alias("n_insights")))
+    chunks_of = broadcast_if_small(per_kind.select("page_id", F.greatest(F.lit(1), F.ceil(
+        F.greatest("n_posts", "n_insights") / F.lit(CHUNK))).alias("n_chunks")))
     pages = broadcast_if_small(entries.select("source", "page_id").join(chunks_of, "page_id", "left")
                                .select("source", "page_id", F.coalesce("n_chunks", F.lit(1)).alias("n_chunks")))
     both_lists = F.col("page_id") % 10 == 0
@@ -77,7 +79,7 @@ def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
               .groupBy("source", "page_id", "chunk")
               .agg(F.array_sort(F.collect_list("post")).alias("posts"),
                    F.array_sort(F.collect_list("insight")).alias("insights")))
-    resp = chunks.join(entries, ["source", "page_id"])
+    resp = chunks.join(broadcast_if_small(entries), ["source", "page_id"])
     p = F.col("page_id")
     managed = F.col("source") == "managed"
     status = F.when(managed & (p % 23 == 0), F.lit(404)).otherwise(F.lit(200))

@@ -81,3 +81,28 @@ def test_hot_key_aggregations_are_partial(spark):
         assert "partial_" in p  # map-side combine before the shuffle: the hot key is one row per task
         assert "Window" not in p
     assert first_wins(df.drop("present"), ["k"], ["seq"]).where("k = 7").first().v == "0"
+
+
+def test_only_checked_broadcasts_no_sort_merge_joins(spark):
+    """With Spark's own size-based broadcast off, the joins still avoid shuffling the big side:
+    every broadcast in the plans comes from an explicit row-count check. The FK check is the one
+    join of two big tables (child rows against all posts)."""
+    big_big = {"check_fk"}
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                                "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        offenders = []
+        for name, fn in E.queries().items():
+            if name in big_big:
+                continue
+            if "SortMergeJoin" in plan(fn(spark, SF001)):
+                offenders.append(name)
+        assert offenders == []
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
