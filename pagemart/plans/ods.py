@@ -13,7 +13,7 @@ from ..functions import (has_json, initcap_words, int_to_bool, json_fields, loca
                          post_type, reactions_total, simple_braces, to_int)
 from ..functions.text import blank_to_null
 from ..operators import broadcast_if_small, first_wins, json_members
-from ..operators.explode import explode_json_object, first_heads
+from ..operators.explode import first_heads
 
 CLIENT_COLUMNS = ("client_id", "name", "managed", "social_type", "actif", "type", "picture")
 
@@ -116,7 +116,8 @@ def ods_insights(stg_insights: DataFrame, pages: DataFrame, max_broadcast_rows:
     )
 
 
-def fan_entries(insights: DataFrame, kinds=tuple(FAN_KINDS), clean: bool = False, strict: bool = False) -> DataFrame:
+def fan_entries(insights: DataFrame, kinds=tuple(FAN_KINDS), clean: bool = False, strict: bool = False,
+                with_text: bool = False) -> DataFrame:
     """Members of the fan maps of every insight, all ``kinds`` in one pass over the insights:
     (location_type, insight_id, client_id, insight_date, location_label, nb_fans).
 
@@ -124,7 +125,8 @@ def fan_entries(insights: DataFrame, kinds=tuple(FAN_KINDS), clean: bool = False
     the rest are brace-repaired and exploded, and a repeated key keeps its first value.
     ``clean=True`` also applies the cleaning pass: labels trimmed, blank labels dropped, first
     wins again when two labels meet after trimming. Both are decided inside the row (no
-    shuffle)."""
+    shuffle). ``with_text=True`` adds the member position ``pos`` and the raw value text
+    ``value_text`` (for the quality checks)."""
     key_fn = blank_to_null if clean else None
     keep = ["insight_id", "client_id", "insight_date"]
     # stage 1: parse and sort each map once (a column); stage 2 reads it (see first_heads)
@@ -136,8 +138,9 @@ def fan_entries(insights: DataFrame, kinds=tuple(FAN_KINDS), clean: bool = False
                          for kind in kinds])
     by_kind = sorted_maps.select(*keep, F.explode(per_kind).alias("__kind"))
     members = by_kind.select(*keep, F.col("__kind.t").alias("location_type"), F.explode("__kind.m").alias("__m"))
+    extra = [F.col("__m.p").alias("pos"), F.col("__m.v").alias("value_text")] if with_text else []
     return members.select("location_type", *keep, F.col("__m.k").alias("location_label"),
-                          to_int(F.col("__m.v"), strict).alias("nb_fans"))
+                          to_int(F.col("__m.v"), strict).alias("nb_fans"), *extra)
 
 
 def ods_fans(insights: DataFrame, kind: str, clean: bool = False, strict: bool = False) -> DataFrame:
@@ -152,17 +155,10 @@ def fan_label_rejects(insights: DataFrame, kinds=tuple(FAN_KINDS)) -> DataFrame:
     """Fan entries the cleaning pass drops (the database would refuse them): a label that is
     blank after trimming (NULL in a key column), or one that meets an earlier label of the same
     insight after trimming (duplicate key). Output: location_type, insight_id, raw_label,
-    reason. The collision test groups by (insight, kind, trimmed label), a group no larger than
-    one JSON object's members."""
-    parts = []
-    for kind in kinds:
-        col, _, repair = FAN_KINDS[kind]
-        rows = explode_json_object(insights.where(has_json(F.col(col))), repair(F.col(col)), ["insight_id"],
-                                   "raw_label", "__v", pos_name="pos")
-        parts.append(rows.select(F.lit(kind).alias("location_type"), "insight_id", "raw_label", "pos"))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
+    reason. One pass over the insights for all kinds; the collision test groups by (insight,
+    kind, trimmed label), a group no larger than one JSON object's members."""
+    rows = fan_entries(insights, kinds, with_text=True).select(
+        "location_type", "insight_id", F.col("location_label").alias("raw_label"), "pos")
     label = blank_to_null(F.col("raw_label"))
     first = Window.partitionBy("insight_id", "location_type", label).orderBy("pos")
     reason = (F.when(label.isNull(), F.lit("blank label"))

@@ -153,17 +153,11 @@ def _staged_as_adapter(table: str, adapter) -> Callable[[SparkSession, str], Dat
 
 
 def _fan_value_ints(L: Layers) -> DataFrame:
-    """Fan map values that are not integers (the load's ``value::INT`` would fail)."""
-    from .operators.explode import explode_json_object
-    parts = []
-    for kind, (col, _, repair) in ods.FAN_KINDS.items():
-        src = L.ods_insights.where(has_json(F.col(col)))
-        rows = explode_json_object(src, repair(F.col(col)), ["insight_id"], "label", "value")
-        parts.append(bad_ints(rows.withColumn("kind", F.lit(kind)), F.col("value"), ["kind", "insight_id", "label"]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Fan map values that are not integers (the load's ``value::INT`` would fail); one pass
+    over the insights for all three maps."""
+    rows = ods.fan_entries(L.ods_insights, with_text=True)
+    return bad_ints(rows.withColumnRenamed("location_type", "kind").withColumnRenamed("location_label", "label"),
+                    F.col("value_text"), ["kind", "insight_id", "label"])
 
 
 # ---- registry ----------------------------------------------------------------------------

@@ -79,3 +79,14 @@ def test_fan_label_rejects(spark):
     ins = ins.withColumn("page_fans_city", F.lit(None).cast("string")).withColumn("page_fans_locale", F.lit(None).cast("string"))
     got = sorted((r.raw_label, r.reason) for r in ods.fan_label_rejects(ins).collect())
     assert got == [("  ", "blank label"), ("Tunis", "label collides after trim")]
+
+
+def test_fan_values_that_are_not_integers(spark):
+    from pagemart.operators import bad_ints
+    ins = spark.createDataFrame([(1, 7, dt.date(2024, 1, 1), '{"TN":"x","FR":3,"DE":"12.0","IT":null}')],
+                                "insight_id long, client_id int, insight_date date, page_fans_country string")
+    ins = ins.withColumn("page_fans_city", F.lit(None).cast("string")).withColumn("page_fans_locale", F.lit(None).cast("string"))
+    rows = ods.fan_entries(ins, with_text=True)
+    got = sorted((r.location_label, r.text) for r in bad_ints(rows, F.col("value_text"), ["location_label"]).collect())
+    assert got == [("DE", "12.0"), ("TN", "x")]
+    assert {r.location_label: r.nb_fans for r in rows.collect()} == {"TN": None, "FR": 3, "DE": None, "IT": None}
