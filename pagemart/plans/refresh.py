@@ -45,8 +45,10 @@ class LayerStore:
         return self.spark.read.parquet(self.path(table))
 
     def commit(self) -> None:
-        self.spark.createDataFrame([(self.run_id,)], "run_id string").write.mode(self.mode).json(
-            f"{self.root.rstrip('/')}/{MARKERS}/{self.run_id}")
+        # one row built JVM-side in one partition (a DataFrame from a Python list would be spread
+        # over every core and need a Python worker per task just to write this marker)
+        marker = self.spark.range(1, numPartitions=1).select(F.lit(self.run_id).alias("run_id"))
+        marker.write.mode(self.mode).json(f"{self.root.rstrip('/')}/{MARKERS}/{self.run_id}")
 
     def latest_run(self, before: str | None = None) -> str | None:
         """Newest committed run id (run ids sort by their UTC start time), optionally the
