@@ -189,6 +189,23 @@ class Staged:
     def rejects(self) -> DataFrame:
         return rejected(self.checked)
 
+    def materialize(self) -> "Staged":
+        """Validate once for all outputs: a job that writes every staging table (and the
+        rejects) would otherwise re-run the whole validation per table. Keeps only what the
+        outputs read (keys, typed values, reason; not the raw text) and checkpoints it to
+        ``spark.checkpoint.dir``, which also cuts the lineage back to the landed files."""
+        def slim(arr: str) -> Column:
+            return F.transform(arr, lambda r: F.struct(r["keys"].alias("keys"), r["v"].alias("v")))
+        base = [c for c in self.checked.columns if c not in ("body", "page", "insights", "posts", "reason")]
+        slim_df = self.checked.select(
+            *base, "reason",
+            F.struct(F.col("page.keys").alias("keys"), F.col("page.v").alias("v")).alias("page"),
+            slim("insights").alias("insights"), slim("posts").alias("posts"))
+        self.checked = slim_df.checkpoint(eager=True)
+        for name in ("_pages", "clients", "unmanaged_clients", "insights", "posts", "rejects"):
+            self.__dict__.pop(name, None)
+        return self
+
     def reject_ratio(self) -> float:
         """Share of landed responses rejected (one aggregation, two numbers to the driver)."""
         row = self.checked.agg(F.count(F.lit(1)).alias("n"),

@@ -28,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.refresh import LayerStore
+from ..session import ensure_checkpoint_dir
 from ..sources.responses import RejectedTooMany, ingest
 
 LANDED_SCHEMA = ("source string, source_rank int, list_pos bigint, page_id int, chunk int, status int, "
@@ -48,7 +49,8 @@ def stage_batch(spark: SparkSession, batch: DataFrame, root: str, batch_id: int,
     # a retried batch upserts into the version before its own again (never into itself)
     last = previous.latest_run(before=version_id(batch_id))
     targets = {t: previous.read(t, last) for t in STAGING_TABLES} if last else {}
-    staged = ingest(batch, targets)
+    ensure_checkpoint_dir(spark)
+    staged = ingest(batch, targets).materialize()  # validate once for all five outputs
     store = LayerStore(spark, root, run_id=version_id(batch_id), mode="overwrite")
     for name, df in staged.tables().items():
         store.write(df, name)
