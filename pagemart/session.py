@@ -32,6 +32,8 @@ CLUSTER_CONF = {
     # broadcasts are decided by the explicit row-count checks of ``operators.broadcast``
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.parquet.filterPushdown": "true",
+    # checkpoints (validated batches, large dimensions) are removed once no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
