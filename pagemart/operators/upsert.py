@@ -63,12 +63,33 @@ def insert_or_replace(rows: DataFrame, keys: Sequence[str], target: DataFrame |
 
 
 def upsert_partial(records: DataFrame, keys: Sequence[str], seq: Sequence[str | Column], present: str,
-                   columns: Sequence[str], target: DataFrame | None = None) -> DataFrame:
+                   columns: Sequence[str], target: DataFrame | None = None,
+                   max_batch_keys: int | None = None) -> DataFrame:
     """Record-driven upsert. ``records`` carry ``present`` (array of the column names the record
     holds) and a total order ``seq``. Per key and column the value of the last record that holds
     the column wins, even when that value is NULL; a column no record holds keeps the target's
-    value (NULL for a new key)."""
+    value (NULL for a new key).
+
+    With a ``target``, when the batch touches at most ``max_batch_keys`` distinct keys (default:
+    the broadcast bound; checked with a bounded count), target rows the batch does not touch pass
+    through a broadcast anti join untouched, and only the touched ones join the records in the
+    aggregation. A small batch into a large table therefore shuffles the batch, not the table.
+    Above the bound the whole target takes part in the aggregation (same result)."""
     keys, columns = list(keys), list(columns)
+    if target is not None:
+        from .broadcast import bounded_rows, configured_max_rows
+        batch_keys = records.select(*keys).distinct()
+        limit = max_batch_keys if max_batch_keys is not None else configured_max_rows(records)
+        if bounded_rows(batch_keys, limit) <= limit:
+            hot = F.broadcast(batch_keys)
+            untouched = target.join(hot, keys, "left_anti").select(*keys, *columns)
+            touched = target.join(hot, keys, "left_semi")
+            return untouched.unionByName(_merge(records, keys, seq, present, columns, touched))
+    return _merge(records, keys, seq, present, columns, target)
+
+
+def _merge(records: DataFrame, keys: list[str], seq, present: str, columns: list[str],
+           target: DataFrame | None) -> DataFrame:
     recs = records.select(*keys, *columns, F.col(present).alias(present),
                           _order([F.lit(1), *seq]).alias(_SRC))
     if target is not None:

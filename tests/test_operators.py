@@ -144,3 +144,17 @@ def test_broadcast_bound_from_session_setting(spark):
         spark.conf.unset("spark.pagemart.broadcastMaxRows")
     assert configured_max_rows(spark.range(1)) == 2_000_000
     assert hinted(broadcast_if_small(spark.range(50)))
+
+
+def test_upsert_small_batch_into_large_target_same_result(spark):
+    target = spark.range(200).select(F.col("id").cast("int").alias("id"), F.col("id").cast("string").alias("v"),
+                                     F.lit("w").alias("w"))
+    recs = spark.createDataFrame([(3, 1, "a", None, ["v", "w"]), (3, 2, None, None, ["v"]), (500, 1, "n", "m", ["v", "w"])],
+                                 "id int, seq int, v string, w string, present array<string>")
+    incremental = upsert_partial(recs, ["id"], ["seq"], "present", ["v", "w"], target)
+    full = upsert_partial(recs, ["id"], ["seq"], "present", ["v", "w"], target, max_batch_keys=0)
+    assert rows(incremental, "id", "v", "w") == rows(full, "id", "v", "w")
+    got = {r.id: (r.v, r.w) for r in incremental.collect()}
+    assert got[3] == (None, None) and got[500] == ("n", "m") and got[7] == ("7", "w") and len(got) == 201
+    plan = incremental._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
