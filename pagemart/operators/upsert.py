@@ -64,7 +64,7 @@ def insert_or_replace(rows: DataFrame, keys: Sequence[str], target: DataFrame |
 
 def upsert_partial(records: DataFrame, keys: Sequence[str], seq: Sequence[str | Column], present: str,
                    columns: Sequence[str], target: DataFrame | None = None,
-                   max_batch_keys: int | None = None) -> DataFrame:
+                   max_batch_keys: int | None = None, split_conflicts: bool = False) -> DataFrame:
     """Record-driven upsert. ``records`` carry ``present`` (array of the column names the record
     holds) and a total order ``seq``. Per key and column the value of the last record that holds
     the column wins, even when that value is NULL; a column no record holds keeps the target's
@@ -74,7 +74,13 @@ def upsert_partial(records: DataFrame, keys: Sequence[str], seq: Sequence[str |
     the broadcast bound; checked with a bounded count), target rows the batch does not touch pass
     through a broadcast anti join untouched, and only the touched ones join the records in the
     aggregation. A small batch into a large table therefore shuffles the batch, not the table.
-    Above the bound the whole target takes part in the aggregation (same result)."""
+    Above the bound the whole target takes part in the aggregation (same result).
+
+    ``split_conflicts=True`` (for records that are cheap to read twice, e.g. checkpointed):
+    only the keys are shuffled first, to find the keys held by several records; records of a
+    single-record key take their values directly (no wide shuffle), and only the conflicting
+    ones go through the per-column aggregation. Same result; used when the conflicting keys
+    fit the broadcast bound."""
     keys, columns = list(keys), list(columns)
     if target is not None:
         from .broadcast import bounded_rows, configured_max_rows
@@ -85,9 +91,29 @@ def upsert_partial(records: DataFrame, keys: Sequence[str], seq: Sequence[str |
             untouched = target.join(hot, keys, "left_anti").select(*keys, *columns)
             touched = target.join(hot, keys, "left_semi")
             return untouched.unionByName(_merge(records, keys, seq, present, columns, touched))
+    if target is None and split_conflicts:
+        return _merge_split(records, keys, seq, present, columns, max_batch_keys)
     return _merge(records, keys, seq, present, columns, target)
 
 
+def _merge_split(records: DataFrame, keys: list[str], seq, present: str, columns: list[str],
+                 max_keys: int | None) -> DataFrame:
+    from functools import reduce
+    from .broadcast import bounded_rows, configured_max_rows
+    key_ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    repeated = (records.where(key_ok).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+                       .where(F.col("__n") > 1).select(*keys))
+    limit = max_keys if max_keys is not None else configured_max_rows(records)
+    if bounded_rows(repeated, limit) > limit:
+        return _merge(records, keys, seq, present, columns, None)
+    hot = F.broadcast(repeated)
+    # a lone record: a column it does not carry stays NULL, as the aggregation would give
+    singles = records.where(key_ok).join(hot, keys, "left_anti").select(
+        *keys, *[F.when(F.array_contains(F.col(present), F.lit(c)), F.col(c)).alias(c) for c in columns])
+    conflicting = records.join(hot, keys, "left_semi").unionByName(records.where(~key_ok))
+    return singles.unionByName(_merge(conflicting, keys, seq, present, columns, None))
+
+
 def _merge(records: DataFrame, keys: list[str], seq, present: str, columns: list[str],
            target: DataFrame | None) -> DataFrame:
     recs = records.select(*keys, *columns, F.col(present).alias(present),

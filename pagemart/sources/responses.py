@@ -161,6 +161,10 @@ class Staged:
 
     def __init__(self, checked: DataFrame, targets: dict[str, DataFrame]):
         self.checked, self.targets = checked, targets
+        # Splitting single-record ids from conflicting ones (``upsert_partial(split_conflicts=)``)
+        # shuffles ~9x fewer bytes but evaluated the records four times: measured at sf0.1 it cost
+        # 2.5x the task time, more than the shuffle it saves (docs/SHUFFLE.md). Off by default.
+        self.split_conflicts = False
 
     @cached_property
     def _pages(self) -> DataFrame:
@@ -169,21 +173,22 @@ class Staged:
     @cached_property
     def clients(self) -> DataFrame:
         return _stage(self._pages.where(F.col("source") == "managed"), STG_CLIENT_COLUMNS,
-                      self.targets.get("stg_clients"))
+                      self.targets.get("stg_clients"), self.split_conflicts)
 
     @cached_property
     def unmanaged_clients(self) -> DataFrame:
         return _stage(self._pages.where(F.col("source") == "unmanaged"), STG_CLIENT_COLUMNS,
-                      self.targets.get("stg_unmanaged_clients"))
+                      self.targets.get("stg_unmanaged_clients"), self.split_conflicts)
 
     @cached_property
     def insights(self) -> DataFrame:
         return _stage(_records(self.checked, "insights", many=True), STG_INSIGHT_COLUMNS,
-                      self.targets.get("stg_insights"))
+                      self.targets.get("stg_insights"), self.split_conflicts)
 
     @cached_property
     def posts(self) -> DataFrame:
-        return _stage(_records(self.checked, "posts", many=True), STG_POST_COLUMNS, self.targets.get("stg_posts"))
+        return _stage(_records(self.checked, "posts", many=True), STG_POST_COLUMNS, self.targets.get("stg_posts"),
+                      self.split_conflicts)
 
     @cached_property
     def rejects(self) -> DataFrame:
@@ -239,11 +244,11 @@ def _records(checked: DataFrame, field: str, many: bool) -> DataFrame:
     return rows.select(*base, pos.alias("array_pos"), F.col("r.keys").alias("present"), "r.v.*")
 
 
-def _stage(records: DataFrame, cols, target: DataFrame | None) -> DataFrame:
+def _stage(records: DataFrame, cols, target: DataFrame | None, split_conflicts: bool = False) -> DataFrame:
     names = [n for n, _ in cols]
     value_cols = [n for n in names if n != "id"]
     out = upsert_partial(records, ["id"], SEQ, "present", value_cols,
-                         target.select(*names) if target is not None else None)
+                         target.select(*names) if target is not None else None, split_conflicts=split_conflicts)
     return out.select(*names)
 
 

@@ -158,3 +158,13 @@ def test_upsert_small_batch_into_large_target_same_result(spark):
     assert got[3] == (None, None) and got[500] == ("n", "m") and got[7] == ("7", "w") and len(got) == 201
     plan = incremental._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
+
+
+def test_upsert_split_conflicts_same_result(spark):
+    data = [(k, s, f"{k}:{s}", ["v"] if (k + s) % 3 else ["v", "w"]) for k in range(30) for s in range(k % 3 + 1)]
+    data.append((None, 0, "null-key", ["v", "w"]))
+    df = spark.createDataFrame(data, "id int, seq int, v string, present array<string>").withColumn("w", F.col("v"))
+    plain = upsert_partial(df, ["id"], ["seq"], "present", ["v", "w"])
+    split = upsert_partial(df, ["id"], ["seq"], "present", ["v", "w"], split_conflicts=True)
+    fallback = upsert_partial(df, ["id"], ["seq"], "present", ["v", "w"], split_conflicts=True, max_batch_keys=0)
+    assert rows(split, "id", "v", "w") == rows(plain, "id", "v", "w") == rows(fallback, "id", "v", "w")
