@@ -35,6 +35,7 @@ from ..schemas import STG_CLIENT_COLUMNS, STG_INSIGHT_COLUMNS, STG_POST_COLUMNS,
 
 SEQ = ["source_rank", "list_pos", "chunk", "array_pos"]
 ZONE_SUFFIX = r"(Z|[+-]\d{2}(:?\d{2})?)$"
+ZONE_SUFFIX_SQL = ZONE_SUFFIX.replace("\\", "\\\\")  # as a SQL string literal
 
 
 def json_truthy_sql(v: str) -> str:
@@ -68,9 +69,6 @@ def _from_text_sql(x: str, typ: str) -> str:
     return f"replace({x}, char(0), '')"
 
 
-ZONE_SUFFIX_SQL = ZONE_SUFFIX.replace("\\", "\\\\")
-
-
 # The record expressions below are written as SQL text and turned into one Column each: built
 # node by node from Python they would cost thousands of driver round trips per plan.
 
@@ -104,7 +102,7 @@ def record_problem_sql(p: str, cols: list[tuple[str, str]]) -> str:
 
 
 def _first_problem_sql(arr: str, cols) -> str:
-    return (f"try_element_at(filter(transform({arr}, p -> {record_problem_sql('p', cols)}), b -> b IS NOT NULL), 1)")
+    return f"try_element_at(filter(transform({arr}, p -> {record_problem_sql('p', cols)}), b -> b IS NOT NULL), 1)"
 
 
 def check_responses(landed: DataFrame) -> DataFrame:
