@@ -155,3 +155,28 @@ def test_stream_batch_over_reject_ratio_is_not_committed(spark, scratch):
     assert LayerStore(spark, root).latest_run() is None
     stage_batch(spark, landed(spark, rows), root, 1, max_reject_ratio=0.75)
     assert LayerStore(spark, root).latest_run() == "b000000000001"
+
+
+def test_materialized_staging_equals_lazy(spark):
+    lr = landing.landed_responses(spark, SF001)
+    lazy, mat = ingest(lr), ingest(lr).materialize()
+    for name in ("clients", "unmanaged_clients", "insights", "posts", "rejects"):
+        a, b = getattr(lazy, name), getattr(mat, name)
+        assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str), name
+
+
+def test_latest_run_before(spark, scratch):
+    store = LayerStore(spark, scratch, run_id="b000000000001")
+    store.commit()
+    LayerStore(spark, scratch, run_id="b000000000003").commit()
+    s = LayerStore(spark, scratch)
+    assert s.latest_run() == "b000000000003"
+    assert s.latest_run(before="b000000000003") == "b000000000001"
+    assert s.latest_run(before="b000000000001") is None
+
+
+def test_refresh_job_needs_committed_staging(spark, scratch):
+    import pytest
+    from pagemart import jobs
+    with pytest.raises(FileNotFoundError):
+        jobs.run_refresh(spark, scratch, "2025-03-01")
