@@ -50,7 +50,7 @@ def run_ingest(spark: SparkSession, base: str, day: str, max_reject_ratio: float
 
 
 def run_refresh(spark: SparkSession, base: str, day: str, start: dt.date = DATE_START,
-                end: dt.date | None = None) -> str:
+                end: dt.date | None = None, partition_facts_by_year: bool = False) -> str:
     """ODS, dimensions and facts from the day's newest staging version; returns the run id."""
     staging = LayerStore(spark, daily_paths(base, day)["root"])
     version = staging.latest_run()
@@ -58,7 +58,7 @@ def run_refresh(spark: SparkSession, base: str, day: str, start: dt.date = DATE_
         raise FileNotFoundError(f"no committed staging for {day} under {base}")
     tables = {t: staging.read(t, version) for t in STAGING_TABLES}
     store = LayerStore(spark, f"{base.rstrip('/')}/dw")
-    refresh(spark, tables, store, start=start, end=end)
+    refresh(spark, tables, store, start=start, end=end, partition_facts_by_year=partition_facts_by_year)
     return store.run_id
 
 
@@ -71,11 +71,12 @@ def main(argv: list[str] | None = None) -> str | None:
     ap.add_argument("--format", default="parquet", help="format of the landed files (parquet or json)")
     ap.add_argument("--start", type=dt.date.fromisoformat, default=DATE_START, help="first day of dim_date")
     ap.add_argument("--end", type=dt.date.fromisoformat, default=None, help="last day of dim_date (default today)")
+    ap.add_argument("--partition-facts-by-year", action="store_true", help="write facts partitioned by year")
     args = ap.parse_args(argv)
     spark = _session()
     if args.command == "ingest":
         return run_ingest(spark, args.base, args.day, args.max_reject_ratio, args.format)
-    return run_refresh(spark, args.base, args.day, args.start, args.end)
+    return run_refresh(spark, args.base, args.day, args.start, args.end, args.partition_facts_by_year)
 
 
 if __name__ == "__main__":

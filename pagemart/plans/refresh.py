@@ -70,13 +70,16 @@ class LayerStore:
 
 
 def refresh(spark: SparkSession, staging: dict[str, DataFrame], store: LayerStore, start: dt.date = dw.DATE_START,
-            end: dt.date | None = None, strict_deleted: bool = False, carry_clicks: bool = False) -> dict[str, DataFrame]:
+            end: dt.date | None = None, strict_deleted: bool = False, carry_clicks: bool = False,
+            partition_facts_by_year: bool = False) -> dict[str, DataFrame]:
     """Run ODS, cleaning and DW from the four staging tables (``stg_clients``,
     ``stg_unmanaged_clients``, ``stg_posts``, ``stg_insights``); returns the written tables.
 
     Cleaning is fused into each ODS job (one pass, the stored ODS tables are the cleaned ones,
     as after the load's UPDATE statements). ``end`` of the date dimension defaults to today
-    (UTC); facts use the same bounds."""
+    (UTC); facts use the same bounds. ``partition_facts_by_year`` writes each fact partitioned
+    by the calendar year of its date key (an extra ``year`` column; NULL for facts outside the
+    date dimension), so readers that filter on dates skip whole folders."""
     end = end or dw.today_utc()
     stg_c, stg_u = staging["stg_clients"], staging["stg_unmanaged_clients"]
     stg_p, stg_i = staging["stg_posts"], staging["stg_insights"]
@@ -102,10 +105,15 @@ def refresh(spark: SparkSession, staging: dict[str, DataFrame], store: LayerStor
 
     # facts. The post fact takes the video counters from the same staged row as the post (the
     # video table is a projection of it), which replaces a shuffle join of two post-sized tables.
-    out["fact_posts"] = store.write(
-        dw.fact_posts(posts_with_payload, out["dim_post_type"], None, start, end), "fact_posts")
-    out["fact_insights"] = store.write(dw.fact_insights(out["ods_insights"], start, end), "fact_insights")
-    out["fact_fan_demographics"] = store.write(
+    def write_fact(df: DataFrame, name: str) -> DataFrame:
+        if not partition_facts_by_year:
+            return store.write(df, name)
+        year = F.year(F.date_add(F.lit(start), F.col("date_id") - 1))
+        return store.write(df.withColumn("year", year), name, ["year"])
+
+    out["fact_posts"] = write_fact(dw.fact_posts(posts_with_payload, out["dim_post_type"], None, start, end), "fact_posts")
+    out["fact_insights"] = write_fact(dw.fact_insights(out["ods_insights"], start, end), "fact_insights")
+    out["fact_fan_demographics"] = write_fact(
         dw.fact_fan_demographics(fan_rows, out["dim_location"], start, end), "fact_fan_demographics")
     store.commit()
     return out

@@ -49,3 +49,18 @@ def test_refresh_matches_registered_queries(spark, scratch):
     refresh(spark, staging, store2, end=end)
     assert store2.latest_run() == store2.run_id != first
     assert same_rows(store2.read("fact_posts"), store.read("fact_posts", first))
+
+
+def test_facts_partitioned_by_year_prune(spark, scratch):
+    stg = testdata.Staging(spark, SF01)
+    staging = {"stg_clients": stg.clients, "stg_unmanaged_clients": stg.unmanaged_clients,
+               "stg_posts": stg.posts, "stg_insights": stg.insights}
+    store = LayerStore(spark, scratch)
+    out = refresh(spark, staging, store, start=dt.date(1995, 1, 1), end=dt.date(2025, 1, 1),
+                  partition_facts_by_year=True)
+    fp = out["fact_posts"]
+    assert "year" in fp.columns
+    assert fp.where("year = 1998").count() == fp.where(F.col("date_id").between(
+        (dt.date(1998, 1, 1) - dt.date(1995, 1, 1)).days + 1, (dt.date(1998, 12, 31) - dt.date(1995, 1, 1)).days + 1)).count()
+    plan = fp.where("year = 1998")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
