@@ -180,3 +180,10 @@ def test_refresh_job_needs_committed_staging(spark, scratch):
     from pagemart import jobs
     with pytest.raises(FileNotFoundError):
         jobs.run_refresh(spark, scratch, "2025-03-01")
+
+
+def test_staging_independent_of_landed_row_order(spark):
+    lr = landing.landed_responses(spark, SF001)
+    a = ingest(lr.repartition(7, "page_id")).posts
+    b = ingest(lr.repartition(3).sortWithinPartitions(F.rand(seed=5))).posts
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
