@@ -52,10 +52,20 @@ def insert_ignore(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Co
     return first_wins(old.unionByName(new), keys, [_SRC]).drop(_SRC)
 
 
-def insert_or_replace(rows: DataFrame, keys: Sequence[str], target: DataFrame | None = None) -> DataFrame:
+class DuplicateKeyInBatch(ValueError):
+    """One batch sets the same key twice (the database refuses such an upsert)."""
+
+
+def insert_or_replace(rows: DataFrame, keys: Sequence[str], target: DataFrame | None = None,
+                      strict: bool = False) -> DataFrame:
     """Target after ``INSERT rows ON CONFLICT (keys) DO UPDATE`` of all columns. ``rows`` must be
-    unique on ``keys`` (the database rejects a batch touching one key twice; check with
-    ``quality.duplicate_keys`` first)."""
+    unique on ``keys``: the database rejects a batch touching one key twice. ``strict=True``
+    checks that first (one aggregation job, stops at the first repeated key) and raises
+    ``DuplicateKeyInBatch``; otherwise the first row of a repeated key wins."""
+    if strict:
+        repeated = rows.groupBy(*keys).count().where("count > 1").limit(1).collect()
+        if repeated:
+            raise DuplicateKeyInBatch(f"key {tuple(repeated[0])[:-1]} appears {repeated[0]['count']} times")
     if target is None:
         return rows
     both = rows.withColumn(_SRC, F.lit(0)).unionByName(target.select(*rows.columns).withColumn(_SRC, F.lit(1)))

@@ -168,3 +168,14 @@ def test_upsert_split_conflicts_same_result(spark):
     split = upsert_partial(df, ["id"], ["seq"], "present", ["v", "w"], split_conflicts=True)
     fallback = upsert_partial(df, ["id"], ["seq"], "present", ["v", "w"], split_conflicts=True, max_batch_keys=0)
     assert rows(split, "id", "v", "w") == rows(plain, "id", "v", "w") == rows(fallback, "id", "v", "w")
+
+
+def test_insert_or_replace_strict_rejects_repeated_keys(spark):
+    import pytest
+    from pagemart.operators.upsert import DuplicateKeyInBatch
+    target = spark.createDataFrame([(1, "old")], "k int, v string")
+    new = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    with pytest.raises(DuplicateKeyInBatch):
+        insert_or_replace(new, ["k"], target, strict=True)
+    ok = spark.createDataFrame([(1, "a"), (2, "c")], "k int, v string")
+    assert rows(insert_or_replace(ok, ["k"], target, strict=True), "k", "v") == [(1, "a"), (2, "c")]
