@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import nbsvm, simhash, weak_rules
 from .common import read_table
 
 
@@ -15,8 +15,20 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_rules.weak_quality(read_table(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = nbsvm.classify(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                            read_table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op3_rules": op3_rules,
+    "op7_quality": op7_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
