@@ -7,10 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import nbsvm, simhash, weak_rules
+from . import html_extract, line_dedup, mixing, nbsvm, simhash, token_counts, weak_rules
 from .common import read_table
 
 
+def op1_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -19,16 +23,36 @@ def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_rules.weak_quality(read_table(spark, sf_dir, "documents"))
 
 
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.deduplicate_lines(docs)
+
+
+def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.section_tokens(read_table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = nbsvm.classify(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
                             read_table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_extract": op1_extract,
     "op2_simhash": op2_simhash,
     "op3_rules": op3_rules,
+    "op5_lines": op5_lines,
+    "op6_tokens": op6_tokens,
     "op7_quality": op7_quality,
+    "op8_mix": op8_mix,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_mix": mixing.MIX_SQL,
+}
