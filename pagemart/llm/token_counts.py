@@ -37,7 +37,7 @@ class Encoder:
     def spans(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """First character and end (exclusive) of every token of the texts laid end to end; each text is
         encoded by itself. A token of part of a character covers it."""
-        ids = np.concatenate([self.encoding.encode_to_numpy(t, disallowed_special=()) for t in texts])
+        ids = np.concatenate([np.array(self.encoding.encode_ordinary(t), dtype=np.int64) for t in texts])
         ends = np.cumsum(self.n_bytes[ids])
         starts = ends - self.n_bytes[ids]
         if sum(map(len, texts)) != (ends[-1] if len(ends) else 0):     # not pure ASCII: bytes to characters
@@ -47,7 +47,7 @@ class Encoder:
         return starts, ends
 
 
-_SECTION_END = re.compile(r"[.!?]+\s+|\s*\n\s*")
+_SECTION_END = re.compile(r"(?:[.!?]+\s|\n)\s*")
 
 
 def sentence_sections(text: str) -> tuple[np.ndarray, np.ndarray]:
