@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_extract, line_dedup, mixing, nbsvm, simhash, token_counts, weak_rules
+from . import html_extract, line_dedup, mixing, nbsvm, simhash, span_dedup, token_counts, weak_rules
 from .common import read_table
 
 
@@ -43,6 +43,11 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return span_dedup.remove_repeated_spans(docs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extract": op1_extract,
     "op2_simhash": op2_simhash,
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_tokens": op6_tokens,
     "op7_quality": op7_quality,
     "op8_mix": op8_mix,
+    "op10_spans": op10_spans,
 }
 
 ORACLE_SQL: dict[str, str] = {
