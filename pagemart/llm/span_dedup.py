@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import as_text, doc_key, lookup, settle
 
@@ -132,5 +133,6 @@ def remove_repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "
                        pa.array([o[3] for o in out], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]
             columns[where] = texts
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, *results])
-    schema = docs.select(*kept).schema.add("n_sentences", "int").add("n_removed", "int")
-    return joined.mapInArrow(run, schema.add("removed", "array<struct<start:int,end:int>>"))
+    spans = T.ArrayType(T.StructType().add("start", "integer").add("end", "integer"))
+    schema = docs.select(*kept).schema.add("n_sentences", "integer").add("n_removed", "integer").add("removed", spans)
+    return joined.mapInArrow(run, schema)
