@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -184,12 +184,12 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", per_cla
     Only ids outside the held-out fold teach; label, language, source and id are never inputs of a
     score. A null or empty text is scored by the constant alone. Without labels of both classes every score is 0.5.
     Repeated rows are scored each. All columns of ``docs`` stay, except ones named like the three results."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, label, per_class))
+    shared = docs.sparkSession.sparkContext.broadcast(astuple(train(docs, labels, label, per_class)))
     kept = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
     schema = docs.select(*kept).schema
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        model, features = shared.value, Features()
+        model, features = Model(*shared.value), Features()
         score = np.array([model.score(features(t)) for t in as_text(b.column(b.num_columns - 1))])
         return pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(score)], names=[*kept, "score"])
     out = map_batches(docs.select(*kept, F.col("text").cast("binary").alias("_text")), run,

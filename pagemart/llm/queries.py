@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import html_extract, line_dedup, mixing, nbsvm, simhash, span_dedup, token_counts, weak_rules
+from . import ann, html_extract, line_dedup, mixing, nbsvm, simhash, span_dedup, token_counts, weak_rules
 from .common import read_table
 
 
@@ -43,6 +44,10 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return span_dedup.remove_repeated_spans(docs)
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_tokens": op6_tokens,
     "op7_quality": op7_quality,
     "op8_mix": op8_mix,
+    "op9_neighbours": op9_neighbours,
     "op10_spans": op10_spans,
 }
 
