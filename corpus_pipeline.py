@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemart.llm import nbsvm, simhash
+from pagemart.llm import lattice, line_dedup, mixing, nbsvm, simhash
 from pagemart.llm.common import read_table, settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,18 +20,41 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return scored.where("predicted = 1").select(*docs.columns)
 
 
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the multi-line chunks that an earlier document holds; n_chars follows the text."""
+    freed = line_dedup.deduplicate_lines(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+    return freed.select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id. A group without an id
-    keeps one of its documents."""
-    groups = simhash.near_duplicates(docs)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(first.withColumnRenamed("doc_id", "k"), F.col("doc_id").eqNullSafe(F.col("k"))) \
-        .drop("k").dropDuplicates(["doc_id"])
+    """One document of each group of near-duplicates: the one with the smallest id. Of rows that share an id
+    one stays, and one of all rows without an id whose group has none."""
+    groups = simhash.near_duplicates(docs.select("doc_id", "text"))
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("k")).distinct()
+    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("k")), "left_semi")
+    return kept.dropDuplicates(["doc_id"])
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of sources: every document once per epoch it is taken in, so a row may come up to three times."""
+    taken = mixing.mix(docs).select(F.col("doc_id").alias("m_id"), F.col("k_text").alias("m_text"), "copies").where("copies > 0")
+    text = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    met = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("m_id")) & (text == F.col("m_text")))
+    return met.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("col")
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every row, and the text they decode to."""
+    encoded = lattice.decode(lattice.encode(docs))
+    return encoded.select("doc_id", "lang", "source", "n_tokens", "ids", "decoded")
 
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality classifier", quality_classifier),
+    ("line dedup", line_dedup_stage),
     ("SimHash near-dedup", near_duplicates),
+    ("mixing sources to target weights", source_mix),
+    ("SentencePiece encoding and decoding", pieces),
 ]
 
 # SQL cannot express the classifier, the fingerprints or the lattice; tests hold stages against brute force.

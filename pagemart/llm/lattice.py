@@ -104,7 +104,7 @@ def encode_words(words: DataFrame, pieces: list[tuple[str, int, float]], byte0:
     edges = cuts.join(table, "piece", "left").where("id IS NOT NULL OR s + l = 1")
     inside = "shiftleft(shiftleft(1L, l - 1) - 1, s + 1)"
     edge = f"if(id IS NULL, NULL, struct(-score AS rank, s, l, id, {inside} AS inside, shiftleft(1L, s) | shiftleft(1L, s + l) AS ends))"
-    grouped = edges.groupBy("word").agg(F.array_sort(F.collect_list(F.expr(edge))).alias("edges"), *[F.first(c).alias(c) for c in keep])
+    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list(F.expr(edge))).alias("edges"), *[F.first(c).alias(c) for c in keep])
     lattice = grouped.withColumn("n", F.char_length("word"))
 
     def let(name: str, value: str, body: str) -> str:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_extract, line_dedup, mixing, nbsvm, simhash, span_dedup, token_counts, weak_rules
+from . import ann, html_extract, lattice, line_dedup, mixing, nbsvm, simhash, span_dedup, token_counts, weak_rules
 from .common import read_table
 
 
@@ -24,6 +24,11 @@ def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_rules.weak_quality(read_table(spark, sf_dir, "documents"))
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = lattice.encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return lattice.decode(encoded).select("doc_id", "n_tokens", "ids", "decoded")
+
+
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.deduplicate_lines(docs)
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extract": op1_extract,
     "op2_simhash": op2_simhash,
     "op3_rules": op3_rules,
+    "op4_pieces": op4_pieces,
     "op5_lines": op5_lines,
     "op6_tokens": op6_tokens,
     "op7_quality": op7_quality,
