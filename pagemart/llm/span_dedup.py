@@ -121,7 +121,7 @@ def remove_repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "
 
     results = ("n_sentences", "n_removed", "removed")
     kept = [c for c in docs.columns if c not in results]
-    joined = docs.select(*kept, *doc_key(doc_id, text)).join(gone, key, "left").select(*kept, "gone")
+    joined = docs.select(*kept, *doc_key(doc_id, text)).join(gone.hint("merge"), key, "left").select(*kept, "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where = kept.index(text)
