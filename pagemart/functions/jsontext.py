@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 OPEN, CLOSE = "{", "}"
+# the parser's own bound on one string (20M characters) is lifted: such texts would turn NULL
+JSON_OPTIONS = {"maxStringLen": str(2**31 - 1)}
 
 
 def simple_braces(c: Column) -> Column:
@@ -37,10 +39,24 @@ def locale_braces(c: Column) -> Column:
              .otherwise(F.concat(F.lit(OPEN), t, F.lit(CLOSE))))
 
 
+def _as_objects(c: Column) -> Column:
+    """The text as the items of an array: exactly one non-NULL item when it is one JSON object and nothing
+    else (``{..} x``, ``{..}}``, two objects and a cut object are not)."""
+    return F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<map<string,string>>", JSON_OPTIONS)
+
+
 def json_entries(c: Column) -> Column:
     """``array<struct<key,value>>`` of a JSON object's members in document order, values as
-    text (objects/arrays as their JSON text, JSON null as NULL). Repeated keys are all kept."""
-    return F.map_entries(F.from_json(c, "map<string,string>"))
+    text (objects/arrays as their JSON text, JSON null as NULL). Repeated keys are all kept. NULL
+    for a text that is not exactly one object."""
+    items = _as_objects(c)
+    return F.map_entries(F.when(F.size(items) == 1, items[0]))
+
+
+def is_one_object(c: Column) -> Column:
+    """Whether the text is one JSON object and nothing else; NULL for NULL."""
+    items = _as_objects(c)
+    return F.when(c.isNotNull(), F.coalesce((F.size(items) == 1) & items[0].isNotNull(), F.lit(False)))
 
 
 def to_int(c: Column, strict: bool = False) -> Column:
@@ -56,13 +72,5 @@ def json_fields(c: Column, fields, under: str | None = None) -> Column:
     blanks (``'photo view'``)."""
     inner = StructType([StructField(f, StringType()) for f in fields])
     schema = StructType([StructField(under, inner)]) if under else inner
-    parsed = F.from_json(c, schema)
+    parsed = F.from_json(c, schema, JSON_OPTIONS)
     return parsed[under] if under else parsed
-
-
-def brace_balanced(c: Column) -> Column:
-    """True when ``{`` and ``}`` counts agree. ``from_json`` accepts trailing text after a
-    complete object (``{"a":1}}``), a strict JSON parser does not; this exposes such text."""
-    opens = F.length(c) - F.length(F.replace(c, F.lit(OPEN), F.lit("")))
-    closes = F.length(c) - F.length(F.replace(c, F.lit(CLOSE), F.lit("")))
-    return opens == closes

@@ -19,7 +19,8 @@ from pyspark.sql import SparkSession
 
 from .plans.dw import DATE_START
 from .plans.refresh import LayerStore, refresh
-from .streaming.ingest import STAGING_TABLES, daily_paths, start_ingest_stream
+from .sources import pagelists
+from .streaming.ingest import LANDED_SCHEMA, STAGING_TABLES, daily_paths, start_ingest_stream
 
 
 # Only settings the results depend on; everything else (shuffle width, AQE, UI, memory) is the
@@ -38,11 +39,19 @@ def _session() -> SparkSession:
 
 
 def run_ingest(spark: SparkSession, base: str, day: str, max_reject_ratio: float | None = None,
-               fmt: str = "parquet") -> str | None:
-    """Stage the day's landed responses; returns the committed staging version."""
+               fmt: str = "parquet", managed_list: str | None = None, unmanaged_list: str | None = None) -> str | None:
+    """Stage the day's landed responses; returns the committed staging version. With the two page lists, ``source_rank`` and
+    ``list_pos`` of a response come from them, and the listed pages without a response are written as
+    ``<base>/staging/<day>/stg_missing_pages``."""
     p = daily_paths(base, day)
+    entries = None
+    if managed_list and unmanaged_list:
+        entries = pagelists.list_entries(pagelists.read_managed_list(spark, managed_list),
+                                         pagelists.read_unmanaged_list(spark, unmanaged_list))
+        landed = spark.read.format(fmt).schema(LANDED_SCHEMA).option("recursiveFileLookup", "true").load(p["landing_dir"])
+        pagelists.without_response(entries, landed).write.mode("overwrite").parquet(f"{p['root']}/stg_missing_pages")
     query = start_ingest_stream(spark, p["landing_dir"], p["root"], p["checkpoint_dir"], fmt=fmt,
-                                max_reject_ratio=max_reject_ratio)
+                                max_reject_ratio=max_reject_ratio, entries=entries)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(f"ingest of {day} failed") from None
@@ -50,7 +59,8 @@ def run_ingest(spark: SparkSession, base: str, day: str, max_reject_ratio: float
 
 
 def run_refresh(spark: SparkSession, base: str, day: str, start: dt.date = DATE_START,
-                end: dt.date | None = None, partition_facts_by_year: bool = False) -> str:
+                end: dt.date | None = None, partition_facts_by_year: bool = False, strict_deleted: bool = False,
+                carry_clicks: bool = False, strict: bool = False) -> str:
     """ODS, dimensions and facts from the day's newest staging version; returns the run id."""
     staging = LayerStore(spark, daily_paths(base, day)["root"])
     version = staging.latest_run()
@@ -58,7 +68,8 @@ def run_refresh(spark: SparkSession, base: str, day: str, start: dt.date = DATE_
         raise FileNotFoundError(f"no committed staging for {day} under {base}")
     tables = {t: staging.read(t, version) for t in STAGING_TABLES}
     store = LayerStore(spark, f"{base.rstrip('/')}/dw")
-    refresh(spark, tables, store, start=start, end=end, partition_facts_by_year=partition_facts_by_year)
+    refresh(spark, tables, store, start=start, end=end, partition_facts_by_year=partition_facts_by_year,
+            strict_deleted=strict_deleted, carry_clicks=carry_clicks, strict=strict)
     return store.run_id
 
 
@@ -72,11 +83,18 @@ def main(argv: list[str] | None = None) -> str | None:
     ap.add_argument("--start", type=dt.date.fromisoformat, default=DATE_START, help="first day of dim_date")
     ap.add_argument("--end", type=dt.date.fromisoformat, default=None, help="last day of dim_date (default today)")
     ap.add_argument("--partition-facts-by-year", action="store_true", help="write facts partitioned by year")
+    ap.add_argument("--strict-deleted", action="store_true", help="drop deleted posts of unmanaged pages too")
+    ap.add_argument("--carry-clicks", action="store_true", help="load the click map")
+    ap.add_argument("--strict", action="store_true", help="stop on values that cannot be loaded and on repeated keys")
+    ap.add_argument("--managed-list", default=None, help="managed page list (JSON document)")
+    ap.add_argument("--unmanaged-list", default=None, help="unmanaged page list (JSON document)")
     args = ap.parse_args(argv)
     spark = _session()
     if args.command == "ingest":
-        return run_ingest(spark, args.base, args.day, args.max_reject_ratio, args.format)
-    return run_refresh(spark, args.base, args.day, args.start, args.end, args.partition_facts_by_year)
+        return run_ingest(spark, args.base, args.day, args.max_reject_ratio, args.format,
+                          args.managed_list, args.unmanaged_list)
+    return run_refresh(spark, args.base, args.day, args.start, args.end, args.partition_facts_by_year,
+                       args.strict_deleted, args.carry_clicks, args.strict)
 
 
 if __name__ == "__main__":

@@ -2,10 +2,9 @@
 
 - ``date_key``        the date dimension is a gap-free day series, so its key is arithmetic:
                       ``days since start + 1``; facts compute it instead of joining the dim.
-- ``sequential_ids``  dense 1..n in the order of a natural key (label dims): a proven-small set
-                      is sorted in one task; a larger one is range-partitioned and sorted, and
-                      each partition adds the row count of the partitions before it (only one
-                      small row per partition meets on one task, never the data itself).
+- ``sequential_ids``  dense 1..n in the order of a natural key (label dims): rows are ranked within
+                      an order-preserving bucket (a prefix of the last key column), and each bucket adds
+                      the row count of the buckets before it. One plan for every size.
 - ``unique_ids``      unique, increasing per partition, not dense: the contract of a SERIAL
                       column filled by one statement, for large fact tables.
 """
@@ -18,9 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .broadcast import bounded_rows, configured_max_rows, remember_rows
-
-_PID, _MID = "__pid", "__mid"
+_BUCKET, _BEFORE = "__b", "__before"
+PREFIX = 3  # characters of the last key column that make a bucket
 
 
 def date_key(d: Column, start: dt.date, end: dt.date | None = None) -> Column:
@@ -31,37 +29,22 @@ def date_key(d: Column, start: dt.date, end: dt.date | None = None) -> Column:
     return F.when(inside, F.datediff(d, F.lit(start)) + F.lit(1))
 
 
-def sequential_ids(df: DataFrame, order: Sequence[str], id_col: str, start: int = 1,
-                   single_task_rows: int | None = None) -> DataFrame:
+def sequential_ids(df: DataFrame, order: Sequence[str], id_col: str, start: int = 1) -> DataFrame:
     """Add ``id_col`` = ``start``-based rank of each row in ``order`` (which must be unique per
-    row, e.g. the natural key of a dimension).
-
-    Up to ``single_task_rows`` rows (default: the broadcast bound; checked with a bounded count)
-    the rows are sorted in one task, a proven-small sort; whatever produces them stays parallel.
-    Above that they are range-partitioned and sorted per partition, checkpointed (reliable
-    checkpoint in ``spark.checkpoint.dir``) so the offset pass and the id pass read the same
-    partitions even after an executor loss, and each partition adds the row count of the
-    partitions before it."""
-    single_task_rows = single_task_rows or configured_max_rows(df)
-    n = bounded_rows(df, single_task_rows)
-    if n <= single_task_rows:
-        # repartition, not coalesce: coalesce(1) would pull the producing stage (e.g. the final
-        # step of a DISTINCT, which reads every map task's partial result) into the one task too
-        one = df.repartition(1).sortWithinPartitions(*order)
-        out = one.select(*df.columns, (F.monotonically_increasing_id() + F.lit(start)).cast("int").alias(id_col))
-        return remember_rows(out, n)
-    ordered = (df.repartitionByRange(*order).sortWithinPartitions(*order)
-                 .withColumn(_PID, F.spark_partition_id())
-                 .withColumn(_MID, F.monotonically_increasing_id())
-                 .checkpoint(eager=True))
-    per_part = ordered.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"), F.min(_MID).alias("__m0"))
-    # one row per partition: a window without partitionBy is bounded by the partition count
-    offsets = per_part.select(
-        _PID, "__m0",
-        (F.sum("__n").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1))).alias("__off"))
-    ids = (F.coalesce(F.col("__off"), F.lit(0)) + F.col(_MID) - F.col("__m0") + F.lit(start)).cast("int")
-    return (ordered.join(F.broadcast(offsets), _PID)
-                   .select(*df.columns, ids.alias(id_col)))
+    row, e.g. the natural key of a dimension; NULL comes first, as in an ascending sort).
+
+    Rows are ranked inside a bucket: the key columns before the last, and the first ``PREFIX``
+    characters of the last (a prefix sorts as its text does). Only the bucket counts, one small
+    row per bucket, meet in one task to be summed up."""
+    *head, last = order
+    prefix = F.substring(last, 1, PREFIX) if dict(df.dtypes)[last] == "string" else F.col(last)
+    bucketed = df.withColumn(_BUCKET, F.struct(*head, prefix.alias("p")))
+    counts = bucketed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(_BUCKET, F.coalesce(before, F.lit(0)).alias(_BEFORE))
+    rank = F.row_number().over(Window.partitionBy(_BUCKET).orderBy(last))
+    return (bucketed.withColumn("__rank", rank).join(offsets, _BUCKET)
+            .select(*df.columns, (F.col(_BEFORE) + F.col("__rank") + F.lit(start - 1)).cast("int").alias(id_col)))
 
 
 def unique_ids(df: DataFrame, id_col: str) -> DataFrame:

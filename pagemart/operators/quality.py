@@ -14,7 +14,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsontext import brace_balanced
+from ..functions.jsontext import is_one_object
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "n_rows") -> DataFrame:
@@ -43,14 +43,14 @@ def orphans(child: DataFrame, fk: Sequence[str], parent: DataFrame, pk: Sequence
     return child.where(no_null).join(parent_keys, fk, "left_anti")
 
 
+NOT_ONE_OBJECT = "not one JSON object"
+
+
 def bad_json(df: DataFrame, text: Column, keep: Sequence[str], reason_col: str = "reason") -> DataFrame:
-    """Rows whose (repaired) JSON object text a strict parser refuses: unparsable for
-    ``from_json``, or unbalanced braces that ``from_json`` would silently accept."""
-    parsed = F.from_json(text, "map<string,string>")
-    reason = (F.when(parsed.isNull(), F.lit("unparsable"))
-               .when(~brace_balanced(text), F.lit("trailing text")))
-    return (df.select(*keep, text.alias("text"), reason.alias(reason_col))
-              .where(text.isNotNull() & F.col(reason_col).isNotNull()))
+    """Rows whose (repaired) text a strict parser refuses as a JSON object: cut or unparsable
+    text, text after the object, several objects, an array."""
+    return (df.select(*keep, text.alias("text")).where(~is_one_object(F.col("text")))
+              .withColumn(reason_col, F.lit(NOT_ONE_OBJECT)))
 
 
 def bad_ints(df: DataFrame, text: Column, keep: Sequence[str]) -> DataFrame:

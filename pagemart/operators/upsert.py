@@ -1,8 +1,8 @@
 """Keyed write semantics of the target database, as aggregations.
 
-All three are one ``groupBy(key)`` with ``min_by`` / ``max_by``: a hash aggregate with a
-map-side partial step, so a hot key collapses to one row per map task before the shuffle
-(no whole group is ever held by one task, unlike ``row_number`` over a window).
+All three are one ``groupBy(key)`` with ``min_by`` / ``max_by``: Spark plans a sort aggregate (the
+values are structs) with a map-side partial step, so a hot key collapses to one row per map task
+before the shuffle (no whole group is ever held by one task, unlike ``row_number`` over a window).
 
 - ``insert_ignore``      INSERT ... ON CONFLICT DO NOTHING: first row per key wins, an existing
                          target row is kept.
@@ -73,69 +73,32 @@ def insert_or_replace(rows: DataFrame, keys: Sequence[str], target: DataFrame |
 
 
 def upsert_partial(records: DataFrame, keys: Sequence[str], seq: Sequence[str | Column], present: str,
-                   columns: Sequence[str], target: DataFrame | None = None,
-                   max_batch_keys: int | None = None, split_conflicts: bool = False) -> DataFrame:
+                   columns: Sequence[str], target: DataFrame | None = None, order_col: str | None = None) -> DataFrame:
     """Record-driven upsert. ``records`` carry ``present`` (array of the column names the record
     holds) and a total order ``seq``. Per key and column the value of the last record that holds
     the column wins, even when that value is NULL; a column no record holds keeps the target's
     value (NULL for a new key).
 
-    With a ``target``, when the batch touches at most ``max_batch_keys`` distinct keys (default:
-    the broadcast bound; checked with a bounded count), target rows the batch does not touch pass
-    through a broadcast anti join untouched, and only the touched ones join the records in the
-    aggregation. A small batch into a large table therefore shuffles the batch, not the table.
-    Above the bound the whole target takes part in the aggregation (same result).
-
-    ``split_conflicts=True`` (for records that are cheap to read twice, e.g. checkpointed):
-    only the keys are shuffled first, to find the keys held by several records; records of a
-    single-record key take their values directly (no wide shuffle), and only the conflicting
-    ones go through the per-column aggregation. Same result; used when the conflicting keys
-    fit the broadcast bound."""
+    A ``target`` row counts as older than every record. With ``order_col`` the result also holds, per
+    key, the order of the record each column's value comes from (a map from column to order); a target
+    with that column competes by it, so any split of the same records into batches gives the same rows."""
     keys, columns = list(keys), list(columns)
+    recs = records.select(*keys, *columns, F.col(present).alias(present), _order([F.lit(1), *seq]).alias(_SRC))
+    seq_type = recs.schema[_SRC].dataType
+    stored = "__stored"
     if target is not None:
-        from .broadcast import bounded_rows, configured_max_rows
-        batch_keys = records.select(*keys).distinct()
-        limit = max_batch_keys if max_batch_keys is not None else configured_max_rows(records)
-        if bounded_rows(batch_keys, limit) <= limit:
-            hot = F.broadcast(batch_keys)
-            untouched = target.join(hot, keys, "left_anti").select(*keys, *columns)
-            touched = target.join(hot, keys, "left_semi")
-            return untouched.unionByName(_merge(records, keys, seq, present, columns, touched))
-    if target is None and split_conflicts:
-        return _merge_split(records, keys, seq, present, columns, max_batch_keys)
-    return _merge(records, keys, seq, present, columns, target)
-
-
-def _merge_split(records: DataFrame, keys: list[str], seq, present: str, columns: list[str],
-                 max_keys: int | None) -> DataFrame:
-    from functools import reduce
-    from .broadcast import bounded_rows, configured_max_rows
-    key_ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    repeated = (records.where(key_ok).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-                       .where(F.col("__n") > 1).select(*keys))
-    limit = max_keys if max_keys is not None else configured_max_rows(records)
-    if bounded_rows(repeated, limit) > limit:
-        return _merge(records, keys, seq, present, columns, None)
-    hot = F.broadcast(repeated)
-    # a lone record: a column it does not carry stays NULL, as the aggregation would give
-    singles = records.where(key_ok).join(hot, keys, "left_anti").select(
-        *keys, *[F.when(F.array_contains(F.col(present), F.lit(c)), F.col(c)).alias(c) for c in columns])
-    conflicting = records.join(hot, keys, "left_semi").unionByName(records.where(~key_ok))
-    return singles.unionByName(_merge(conflicting, keys, seq, present, columns, None))
-
-
-def _merge(records: DataFrame, keys: list[str], seq, present: str, columns: list[str],
-           target: DataFrame | None) -> DataFrame:
-    recs = records.select(*keys, *columns, F.col(present).alias(present),
-                          _order([F.lit(1), *seq]).alias(_SRC))
-    if target is not None:
-        seq_type = recs.schema[_SRC].dataType
         first = F.struct(F.lit(0).alias(seq_type.fields[0].name),
                          *[F.lit(None).cast(f.dataType).alias(f.name) for f in seq_type.fields[1:]])
-        base = target.select(*keys, *columns, F.array(*[F.lit(c) for c in columns]).alias(present),
-                             first.alias(_SRC))
-        recs = base.unionByName(recs)
+        known = order_col is not None and order_col in target.columns
+        base = target.select(*keys, *columns, (F.map_keys(order_col) if known else F.array(*map(F.lit, columns))).alias(present),
+                             first.alias(_SRC), *([F.col(order_col).alias(stored)] if known else []))
+        recs = base.unionByName(recs, allowMissingColumns=True)
+    own = f"coalesce({stored}['{{c}}'], {_SRC})" if stored in recs.columns else _SRC
+    order = {c: f"CASE WHEN array_contains(`{present}`, '{c}') THEN {own.format(c=c)} END" for c in columns}
     # one SQL expression per column (a Column built node by node costs a driver round trip per node)
-    picks = [F.expr(f"max_by(named_struct('v', `{c}`), CASE WHEN array_contains(`{present}`, '{c}') "
-                    f"THEN {_SRC} END).v").alias(c) for c in columns]
-    return recs.groupBy(*keys).agg(*picks)
+    picks = [F.expr(f"max_by(named_struct('v', `{c}`), {order[c]}).v").alias(c) for c in columns]
+    if order_col is None:
+        return recs.groupBy(*keys).agg(*picks)
+    lasts = F.expr("map_from_entries(filter(array(" + ", ".join(
+        f"named_struct('key', '{c}', 'value', max({order[c]}))" for c in columns) + "), e -> e.value IS NOT NULL))")
+    return recs.groupBy(*keys).agg(*picks, lasts.alias(order_col))

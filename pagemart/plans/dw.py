@@ -8,8 +8,8 @@ Scale notes
   left join of the load becomes "NULL outside the series", the inner join becomes a filter.
   No broadcast, no join, same result.
 - Label dimensions get dense ids in label order (``operators.sequential_ids``), so ids are
-  reproducible run to run (the database's SERIAL ids are not). Facts join them by label with a
-  broadcast whose size is checked first; above the bound it is a shuffle join.
+  reproducible run to run (the database's SERIAL ids are not). Facts join the written
+  dimension by label; Spark broadcasts it by its file size, else it is a shuffle join.
 - The demographics fact unions its three sources first and joins the location dimension once
   on (type, label) instead of three times.
 """
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from ..functions import json_fields, to_int
 from ..operators import date_key, sequential_ids, unique_ids
-from ..operators.broadcast import bounded_rows, configured_max_rows, remember_rows
 from .ods import CLIENT_COLUMNS, INSIGHT_COUNTERS, VIDEO_FIELDS, video_columns
 
 # Fixed value (must equal the reference): first day of the date dimension.
@@ -83,17 +82,15 @@ def dim_client(clients_clean: DataFrame) -> DataFrame:
 def dim_post_type(posts_clean: DataFrame) -> DataFrame:
     """Distinct non-NULL post type labels with dense ids in label order."""
     labels = posts_clean.where(F.col("post_type").isNotNull()).select(F.col("post_type").alias("label")).distinct()
-    ids = sequential_ids(labels, ["label"], "post_type_id")
-    return remember_rows(ids.select("post_type_id", "label"), bounded_rows(ids, configured_max_rows(ids)))
+    return sequential_ids(labels, ["label"], "post_type_id").select("post_type_id", "label")
 
 
 def dim_location(fan_rows: DataFrame) -> DataFrame:
     """Distinct (type, label) over the fan entries of all kinds (``ods.fan_entries``; a NULL
     label is one value, as in UNION) with dense ids in (type, label) order."""
     pairs = fan_rows.select("location_type", "location_label").distinct()
-    ids = sequential_ids(pairs, ["location_type", "location_label"], "location_id")
-    return remember_rows(ids.select("location_id", "location_type", "location_label"),
-                         bounded_rows(ids, configured_max_rows(ids)))
+    return sequential_ids(pairs, ["location_type", "location_label"], "location_id").select(
+        "location_id", "location_type", "location_label")
 
 
 def click_columns(click_map: Column) -> dict[str, Column]:
@@ -103,18 +100,14 @@ def click_columns(click_map: Column) -> dict[str, Column]:
 
 
 def fact_posts(posts_clean: DataFrame, post_types: DataFrame, video: DataFrame | None = None,
-               start: dt.date = DATE_START, end: dt.date | None = None,
-               max_broadcast_rows: int | None = None) -> DataFrame:
+               start: dt.date = DATE_START, end: dt.date | None = None) -> DataFrame:
     """Posts with date, post-type and video keys/counters and the click map split in three.
 
-    The post-type dimension is joined by label, broadcast when proven small. Video counters:
+    The post-type dimension is joined by label. Video counters:
     with ``video`` (the video table) a left join on post_id; with ``video=None`` the posts must
     carry the raw payload (``ods.ods_posts(keep_payload=True)``) and the counters are parsed
     from it in the same pass. Both give the same rows, since the video table is a projection
     of the same staged post; the second needs no shuffle of two post-sized tables."""
-    limit = max_broadcast_rows or configured_max_rows(post_types)
-    if bounded_rows(post_types, limit) <= limit:
-        post_types = F.broadcast(post_types)
     types = post_types.select(F.col("label").alias("__label"), "post_type_id")
     joined = posts_clean.join(types, F.col("post_type") == F.col("__label"), "left")
     cols = {"date_id": date_key(F.to_date("creation_time"), start, end).cast("int").alias("date_id")}
@@ -135,15 +128,11 @@ def fact_insights(insights_clean: DataFrame, start: dt.date = DATE_START, end: d
 
 
 def fact_fan_demographics(fan_rows: DataFrame, locations: DataFrame, start: dt.date = DATE_START,
-                          end: dt.date | None = None, with_fact_id: bool = True,
-                          max_broadcast_rows: int | None = None) -> DataFrame:
+                          end: dt.date | None = None, with_fact_id: bool = True) -> DataFrame:
     """One row per fan entry (``ods.fan_entries``, all kinds in one table) whose (type, label)
     is a location and whose day is in the date dimension (both inner joins in the load: other
     rows are dropped). One join on (type, label) serves all three kinds. ``fact_id`` is unique
     but not dense, like a SERIAL filled by one statement."""
-    limit = max_broadcast_rows or configured_max_rows(locations)
-    if bounded_rows(locations, limit) <= limit:
-        locations = F.broadcast(locations)
     rows = fan_rows.join(locations, ["location_type", "location_label"], "inner")
     date_id = date_key(F.col("insight_date"), start, end).cast("int")
     out = rows.select("insight_id", "client_id", date_id.alias("date_id"), "location_id", "nb_fans") \

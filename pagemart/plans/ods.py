@@ -6,13 +6,13 @@ cleaning pass (``plans.clean``) is a projection on top, fused by Catalyst into t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (has_json, initcap_words, int_to_bool, json_fields, locale_braces, platform_ok,
                          post_type, reactions_total, simple_braces, to_int)
 from ..functions.text import blank_to_null
-from ..operators import broadcast_if_small, first_wins, json_members
+from ..operators import first_wins, json_members
 from ..operators.explode import first_heads
 
 CLIENT_COLUMNS = ("client_id", "name", "managed", "social_type", "actif", "type", "picture")
@@ -72,7 +72,7 @@ def eligible_pages(stg_clients: DataFrame, stg_unmanaged: DataFrame) -> DataFram
 
 
 def ods_posts(stg_posts: DataFrame, pages: DataFrame, strict_deleted: bool = False, carry_clicks: bool = False,
-              max_broadcast_rows: int | None = None, keep_payload: bool = False) -> DataFrame:
+              keep_payload: bool = False) -> DataFrame:
     """Posts of eligible pages with derived type and reaction total.
 
     Literal filter of the load: ``is_deleted = 0 AND page in managed OR page in unmanaged`` --
@@ -80,12 +80,11 @@ def ods_posts(stg_posts: DataFrame, pages: DataFrame, strict_deleted: bool = Fal
     applies ``is_deleted = 0`` to both lists. The load does not select the click map, so
     ``post_clicks_by_type`` is NULL unless ``carry_clicks=True``.
 
-    ``pages`` is the small side (one row per page): broadcast when its size is proven, else a
-    shuffle join (adaptive execution splits a hot page's partition). ``keep_payload=True`` adds
+    ``pages`` has one row per page. Spark broadcasts it when its files are below the session's byte
+    bound, else it is a shuffle join (adaptive execution splits a hot page's partition). ``keep_payload=True`` adds
     the raw ``data`` payload as an 18th column so the post fact can take the video counters from
     the same row instead of joining the video table back on post_id."""
-    flags = broadcast_if_small(pages, max_broadcast_rows)
-    joined = stg_posts.join(flags, "page_id", "left")
+    joined = stg_posts.join(pages, "page_id", "left")
     m = F.coalesce(F.col("in_managed"), F.lit(False))
     u = F.coalesce(F.col("in_unmanaged"), F.lit(False))
     live = F.col("is_deleted") == 0
@@ -104,9 +103,9 @@ def ods_posts(stg_posts: DataFrame, pages: DataFrame, strict_deleted: bool = Fal
     )
 
 
-def ods_insights(stg_insights: DataFrame, pages: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def ods_insights(stg_insights: DataFrame, pages: DataFrame) -> DataFrame:
     """Insights of eligible **managed** pages only (unmanaged insights are staged but dropped)."""
-    managed = broadcast_if_small(pages.where("in_managed").select("page_id"), max_broadcast_rows)
+    managed = pages.where("in_managed").select("page_id")
     return stg_insights.join(managed, "page_id", "left_semi").select(
         F.col("id").alias("insight_id"),
         F.col("page_id").alias("client_id"),
@@ -151,22 +150,6 @@ def ods_fans(insights: DataFrame, kind: str, clean: bool = False, strict: bool =
         "insight_id", "client_id", "insight_date", F.col("location_label").alias(label), "nb_fans")
 
 
-def fan_label_rejects(insights: DataFrame, kinds=tuple(FAN_KINDS)) -> DataFrame:
-    """Fan entries the cleaning pass drops (the database would refuse them): a label that is
-    blank after trimming (NULL in a key column), or one that meets an earlier label of the same
-    insight after trimming (duplicate key). Output: location_type, insight_id, raw_label,
-    reason. One pass over the insights for all kinds; the collision test groups by (insight,
-    kind, trimmed label), a group no larger than one JSON object's members."""
-    rows = fan_entries(insights, kinds, with_text=True).select(
-        "location_type", "insight_id", F.col("location_label").alias("raw_label"), "pos")
-    label = blank_to_null(F.col("raw_label"))
-    first = Window.partitionBy("insight_id", "location_type", label).orderBy("pos")
-    reason = (F.when(label.isNull(), F.lit("blank label"))
-               .when(F.row_number().over(first) > 1, F.lit("label collides after trim")))
-    return (rows.select("location_type", "insight_id", "raw_label", reason.alias("reason"))
-                .where(F.col("reason").isNotNull()))
-
-
 def video_columns(payload_text, strict: bool = False) -> dict:
     """The five video counters of a post payload text (``data.data.*``) as INT. A payload
     without JSON (see ``has_json``: NULL, '', '0', '[]', '{}') gives NULLs by itself, so no

@@ -19,7 +19,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import clean, dw, ods
+from . import clean, constraints, dw, ods
+from .rejects import RejectedRows, refresh_rejects
 
 MARKERS = "_runs"
 
@@ -55,8 +56,10 @@ class LayerStore:
         newest one that sorts before ``before``. Reads the small commit markers only."""
         try:
             markers = self.spark.read.schema("run_id string").json(f"{self.root.rstrip('/')}/{MARKERS}/*")
-        except AnalysisException:  # no run committed yet
-            return None
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None  # no run committed yet
         if before is not None:
             markers = markers.where(F.col("run_id") < F.lit(before))
         return markers.agg(F.max("run_id")).first()[0]
@@ -71,7 +74,7 @@ class LayerStore:
 
 def refresh(spark: SparkSession, staging: dict[str, DataFrame], store: LayerStore, start: dt.date = dw.DATE_START,
             end: dt.date | None = None, strict_deleted: bool = False, carry_clicks: bool = False,
-            partition_facts_by_year: bool = False) -> dict[str, DataFrame]:
+            partition_facts_by_year: bool = False, strict: bool = False) -> dict[str, DataFrame]:
     """Run ODS, cleaning and DW from the four staging tables (``stg_clients``,
     ``stg_unmanaged_clients``, ``stg_posts``, ``stg_insights``); returns the written tables.
 
@@ -79,14 +82,18 @@ def refresh(spark: SparkSession, staging: dict[str, DataFrame], store: LayerStor
     as after the load's UPDATE statements). ``end`` of the date dimension defaults to today
     (UTC); facts use the same bounds. ``partition_facts_by_year`` writes each fact partitioned
     by the calendar year of its date key (an extra ``year`` column; NULL for facts outside the
-    date dimension), so readers that filter on dates skip whole folders."""
+    date dimension), so readers that filter on dates skip whole folders.
+
+    ``rejects`` holds every value that could not be loaded (bad JSON, bad integers, labels dropped by
+    cleaning) and ``broken_keys`` every violated key of the written tables; with ``strict`` a run
+    with rejects, or with a repeated primary key in the ODS, stops before it is committed."""
     end = end or dw.today_utc()
     stg_c, stg_u = staging["stg_clients"], staging["stg_unmanaged_clients"]
     stg_p, stg_i = staging["stg_posts"], staging["stg_insights"]
     out: dict[str, DataFrame] = {}
 
     # ODS (eligible pages are computed once and shared by posts and insights)
-    pages = ods.eligible_pages(stg_c, stg_u)
+    pages = store.write(ods.eligible_pages(stg_c, stg_u), "eligible_pages")
     out["ods_clients"] = store.write(clean.clean_clients(ods.ods_clients(stg_c, stg_u)), "ods_clients")
     posts_with_payload = clean.clean_posts(ods.ods_posts(stg_p, pages, strict_deleted, carry_clicks, keep_payload=True))
     out["ods_posts"] = store.write(posts_with_payload.drop("data"), "ods_posts")
@@ -97,6 +104,14 @@ def refresh(spark: SparkSession, staging: dict[str, DataFrame], store: LayerStor
             "insight_id", "client_id", "insight_date", F.col("location_label").alias(label), "nb_fans")
     out["ods_data_video"] = store.write(ods.ods_data_video(stg_p), "ods_data_video")
 
+    out["rejects"] = store.write(refresh_rejects(stg_p, ods.ods_insights(stg_i, pages), carry_clicks), "rejects")
+    if strict:
+        bad = out["rejects"].limit(1).collect()
+        keys = constraints.violations({t: out[t] for t in ("ods_clients", "ods_posts", "ods_insights", "ods_data_video")})
+        bad = bad or keys.where("broken LIKE 'primary%'").limit(1).collect()
+        if bad:
+            raise RejectedRows(f"run {store.run_id}: {bad[0].asDict()}")
+
     # dimensions, written before the facts that carry their ids
     out["dim_date"] = store.write(dw.dim_date(spark, start, end), "dim_date")
     out["dim_client"] = store.write(dw.dim_client(out["ods_clients"]), "dim_client")
@@ -115,5 +130,6 @@ def refresh(spark: SparkSession, staging: dict[str, DataFrame], store: LayerStor
     out["fact_insights"] = write_fact(dw.fact_insights(out["ods_insights"], start, end), "fact_insights")
     out["fact_fan_demographics"] = write_fact(
         dw.fact_fan_demographics(fan_rows, out["dim_location"], start, end), "fact_fan_demographics")
+    out["broken_keys"] = store.write(constraints.violations(out), "broken_keys")
     store.commit()
     return out

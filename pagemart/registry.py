@@ -20,7 +20,7 @@ from .functions import (blank_to_null, has_json, initcap_words, locale_braces, p
 from .functions.posts import clean_post_type
 from .operators import (bad_ints, bad_json, duplicate_keys, insert_ignore, insert_or_replace, orphans, unique_violations,
                         upsert_partial)
-from .plans import clean, dw, ods
+from .plans import clean, constraints, dw, ods, rejects
 from .sources import testdata
 
 
@@ -86,6 +86,17 @@ class Layers:
     def fact_posts(self) -> DataFrame:
         return dw.fact_posts(self.clean_posts(keep_payload=True), self.dim_post_type, None, self.start)
 
+    def fact_posts_with_clicks(self) -> DataFrame:
+        """The click map carried along, and the video table joined back on post_id (the load's own join)."""
+        posts = clean.clean_posts(ods.ods_posts(self.stg.posts, self.pages, carry_clicks=True))
+        return dw.fact_posts(posts, self.dim_post_type, self.video(), self.start)
+
+    def key_tables(self) -> dict[str, DataFrame]:
+        return {"ods_clients": self.ods_clients(), "ods_posts": self.ods_posts(), "ods_insights": self.ods_insights,
+                "ods_data_video": self.video(), "dim_date": self.dim_date(), "dim_client": dw.dim_client(self.clean_clients()),
+                "dim_post_type": self.dim_post_type, "dim_location": self.dim_location, "fact_posts": self.fact_posts(),
+                "fact_insights": self.fact_insights(), "fact_fan_demographics": self.fact_fan_demographics()}
+
     def fact_insights(self) -> DataFrame:
         return dw.fact_insights(self.clean_insights(), self.start)
 
@@ -133,6 +144,28 @@ def q_insert_or_replace(spark, sf_dir):
     return insert_or_replace(new, LINE_KEY, target)
 
 
+def _old_and_new_lines(spark, sf_dir):
+    li = _lineitem(spark, sf_dir)
+    cols = [*LINE_OUT, *[c for c in LINE_SEQ if c not in LINE_OUT]]
+    old = insert_ignore(li.where(F.col("l_linestatus") == "F").select(*cols), LINE_KEY, LINE_SEQ).select(*LINE_OUT)
+    return old, li.where((F.col("l_linestatus") == "O") | (F.col("l_partkey") % 3 == 0)), cols
+
+
+def q_insert_ignore_target(spark, sf_dir):
+    old, new, cols = _old_and_new_lines(spark, sf_dir)
+    new = insert_ignore(new.select(*cols), LINE_KEY, LINE_SEQ).select(*LINE_OUT)
+    return insert_ignore(new, LINE_KEY, ["l_shipdate"], old)
+
+
+def q_upsert_partial_target(spark, sf_dir):
+    old, new, _ = _old_and_new_lines(spark, sf_dir)
+    seq = [F.col(c).alias(f"s_{c}") for c in LINE_SEQ]
+    recs = new.select(*LINE_KEY, *seq, "l_quantity", F.when(F.col("l_tax") != 0, F.col("l_suppkey")).alias("l_suppkey"),
+                      F.when(F.col("l_returnflag") != "N", F.array(F.lit("l_quantity"), F.lit("l_suppkey")))
+                       .otherwise(F.array(F.lit("l_quantity"))).alias("present"))
+    return upsert_partial(recs, LINE_KEY, [f"s_{c}" for c in LINE_SEQ], "present", ["l_quantity", "l_suppkey"], old)
+
+
 def q_check_pk(spark, sf_dir):
     return duplicate_keys(_lineitem(spark, sf_dir), LINE_KEY)
 
@@ -152,6 +185,28 @@ def _staged_as_adapter(table: str, adapter) -> Callable[[SparkSession, str], Dat
     return run
 
 
+def _last_planned_day(spark: SparkSession, sf_dir: str) -> dt.date:
+    """A fixed end instead of today, so the result can be compared."""
+    return dt.date(2030, 12, 31)
+
+
+def _unique_values(L: Layers) -> DataFrame:
+    """Values a UNIQUE column holds twice: page ids over both lists (there are some), dimension labels (none)."""
+    def over(table: str, df: DataFrame, cols: list[str]) -> DataFrame:
+        return unique_violations(df, cols).select(F.lit(table).alias("tab"), F.concat_ws("|", *cols).alias("value"), "n_rows")
+    return (over("client lists", L.stg.clients.select("id").unionByName(L.stg.unmanaged_clients.select("id")), ["id"])
+            .unionByName(over("dim_location", L.dim_location, ["location_type", "location_label"]))
+            .unionByName(over("dim_post_type", L.dim_post_type, ["label"]))
+            .unionByName(over("dim_date", L.dim_date(), ["full_date"])))
+
+
+def _fan_texts(L: Layers) -> DataFrame:
+    """Fan texts of all three maps that are not one JSON object after repair."""
+    texts = F.array(*[F.struct(F.lit(c).alias("field"), F.when(has_json(F.col(c)), fix(F.col(c))).alias("t"))
+                      for c, _, fix in ods.FAN_KINDS.values()])
+    return bad_json(L.stg.insights.select("id", F.explode(texts).alias("x")).select("id", "x.field", "x.t"), F.col("t"), ["id", "field"])
+
+
 def _fan_value_ints(L: Layers) -> DataFrame:
     """Fan map values that are not integers (the load's ``value::INT`` would fail); one pass
     over the insights for all three maps."""
@@ -186,10 +241,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_fans": _L(lambda L: L.clean_fan_rows),
     # star schema
     "dim_date": _L(lambda L: L.dim_date()),
+    "dim_date_production": lambda spark, sf_dir: dw.dim_date(spark, end=_last_planned_day(spark, sf_dir)),
     "dim_client": _L(lambda L: dw.dim_client(L.clean_clients())),
     "dim_post_type": _L(lambda L: L.dim_post_type),
     "dim_location": _L(lambda L: L.dim_location),
     "fact_posts": _L(lambda L: L.fact_posts()),
+    "fact_posts_from_1995": lambda spark, sf_dir: Layers(spark, sf_dir, dt.date(1995, 1, 1)).fact_posts_with_clicks(),
     "fact_insights": _L(lambda L: L.fact_insights()),
     "fact_fan_demographics": _L(lambda L: L.fact_fan_demographics()),
     # scalar functions and predicates on whole staging tables
@@ -225,12 +282,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_partial": q_upsert_partial,
     "insert_ignore": q_insert_ignore,
     "insert_or_replace": q_insert_or_replace,
+    "insert_ignore_target": q_insert_ignore_target,
+    "upsert_partial_target": q_upsert_partial_target,
     # data-quality checks
     "check_pk": q_check_pk,
-    "check_unique": _L(lambda L: unique_violations(L.clean_fan_rows, ["location_type", "location_label"])),
+    "check_unique": _L(_unique_values),
+    "check_constraints": _L(lambda L: constraints.violations(L.key_tables())),
+    "refresh_rejects": _L(lambda L: rejects.refresh_rejects(L.stg.posts, L.ods_insights, carry_clicks=True)),
     "check_fk": _L(lambda L: orphans(L.video().select("post_id"), ["post_id"], L.ods_posts(), ["post_id"])),
     "check_ints": _L(_fan_value_ints),
-    "fan_label_rejects": _L(lambda L: ods.fan_label_rejects(L.ods_insights)),
-    "check_json": _L(lambda L: bad_json(
-        L.stg.insights.where(has_json(F.col("page_fans_locale"))), locale_braces(F.col("page_fans_locale")), ["id"])),
+    "fan_label_rejects": _L(lambda L: rejects.fan_rejects(L.ods_insights)
+                            .where(F.col("reason").isin(rejects.BLANK_LABEL, rejects.LABEL_COLLIDES))
+                            .select(F.replace("target", F.lit("ods_fans_"), F.lit("")).alias("location_type"),
+                                    F.col("row_id").alias("insight_id"), F.col("field").alias("raw_label"), "reason")),
+    "check_json": _L(_fan_texts),
 }

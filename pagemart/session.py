@@ -29,7 +29,7 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
     "spark.sql.files.maxPartitionBytes": "256m",
-    # broadcasts are decided by the explicit row-count checks of ``operators.broadcast``
+    # a join side is broadcast when its files are below this many bytes
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.parquet.filterPushdown": "true",
     # checkpoints (validated batches, large dimensions) are removed once no longer referenced

@@ -21,7 +21,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.broadcast import broadcast_if_small
 from . import testdata
 
 CHUNK = 1024
@@ -54,9 +53,9 @@ def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_kind = (posts.select("page_id", F.lit(1).alias("p"), F.lit(0).alias("i"))
                 .unionByName(insights.select("page_id", F.lit(0).alias("p"), F.lit(1).alias("i")))
                 .groupBy("page_id").agg(F.sum("p").alias("n_posts"), F.sum("i").alias("n_insights")))
-    chunks_of = broadcast_if_small(per_kind.select("page_id", F.greatest(F.lit(1), F.ceil(
-        F.greatest("n_posts", "n_insights") / F.lit(CHUNK))).alias("n_chunks")))
-    pages = broadcast_if_small(entries.select("source", "page_id").join(chunks_of, "page_id", "left")
+    chunks_of = per_kind.select("page_id", F.greatest(F.lit(1), F.ceil(
+        F.greatest("n_posts", "n_insights") / F.lit(CHUNK))).alias("n_chunks"))
+    pages = (entries.select("source", "page_id").join(chunks_of, "page_id", "left")
                                .select("source", "page_id", F.coalesce("n_chunks", F.lit(1)).alias("n_chunks")))
     both_lists = F.col("page_id") % 10 == 0
     partial = (F.col("source") == "unmanaged") & both_lists
@@ -79,7 +78,7 @@ def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
               .groupBy("source", "page_id", "chunk")
               .agg(F.array_sort(F.collect_list("post")).alias("posts"),
                    F.array_sort(F.collect_list("insight")).alias("insights")))
-    resp = chunks.join(broadcast_if_small(entries), ["source", "page_id"])
+    resp = chunks.join(entries, ["source", "page_id"])
     p = F.col("page_id")
     managed = F.col("source") == "managed"
     status = F.when(managed & (p % 23 == 0), F.lit(404)).otherwise(F.lit(200))

@@ -9,38 +9,49 @@ splittable) instead.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-MANAGED_LIST = "success boolean, message string, data array<struct<id:int, name:string, social_type:string, managed:int>>"
-MANAGED_ENTRY = "id int, name string, social_type string, managed int"
-UNMANAGED_LIST = "data array<struct<id:int, page:struct<id:int>>>"
-UNMANAGED_ENTRY = "id int, page struct<id:int>"
+MANAGED_LIST = "success boolean, message string, data array<struct<id:string, name:string, social_type:string, managed:int>>"
+MANAGED_ENTRY = "id string, name string, social_type string, managed int"
+# ids are read as text: a list may hold them as numbers or as strings
+UNMANAGED_LIST = "data array<struct<id:string, page:struct<id:string>>>"
+UNMANAGED_ENTRY = "id string, page struct<id:string>"
 
 MANAGED, UNMANAGED = "managed", "unmanaged"
 SOURCE_RANK = {MANAGED: 0, UNMANAGED: 1}  # the managed list is fetched first
 
 
 def _entries(spark: SparkSession, path: str, doc_schema: str, entry_schema: str, multiline: bool) -> DataFrame:
+    """Entries with ``list_pos``, their place in file order (files by name). A cut or malformed document, and one
+    without ``data``, stop the read."""
+    reader = spark.read.option("mode", "FAILFAST")
     if multiline:
-        doc = spark.read.schema(doc_schema).option("multiLine", True).json(path)
-        return doc.select(F.posexplode("data").alias("list_pos", "e")).select("list_pos", "e.*")
-    lines = spark.read.schema(entry_schema).json(path)
-    # one entry per line: file order is (file, offset); keep it as the list position
-    return lines.withColumn("list_pos", F.monotonically_increasing_id())
+        docs = reader.schema(doc_schema).option("multiLine", True).json(path).select("*", F.col("_metadata.file_path").alias("__file"))
+        data = F.when(F.col("data").isNull(), F.raise_error(F.concat(F.lit("page list without data: "), F.col("__file")))
+                      .cast(docs.schema["data"].dataType)).otherwise(F.col("data"))
+        rows = docs.select("__file", F.posexplode(data).alias("__at", "e")).select("__file", F.col("__at").cast("bigint").alias("__at"), "e.*")
+    else:
+        # Spark packs splits by size, so the place in the file is (file, block start, place in the split)
+        rows = (reader.schema(entry_schema).json(path)
+                .select("*", F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b")).alias("__file"))
+                .withColumn("__at", F.monotonically_increasing_id()))
+    position = F.row_number().over(Window.orderBy("__file", "__at")) - 1    # a list of pages, read whole by one task anyway
+    return rows.withColumn("list_pos", position).drop("__file", "__at")
 
 
 def read_managed_list(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """(list_pos, id, name, social_type, managed) in file order."""
     return _entries(spark, path, MANAGED_LIST, MANAGED_ENTRY, multiline).select(
-        "list_pos", "id", "name", "social_type", "managed")
+        "list_pos", F.col("id").cast("int").alias("id"), "name", "social_type", "managed")
 
 
 def read_unmanaged_list(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """(list_pos, id): the id is ``page.id`` when a page object is given, else ``id``. An entry
     with neither is kept with a NULL id; ``list_entries`` reports it."""
     e = _entries(spark, path, UNMANAGED_LIST, UNMANAGED_ENTRY, multiline)
-    return e.select("list_pos", F.when(F.col("page").isNotNull(), F.col("page.id")).otherwise(F.col("id")).alias("id"))
+    page_id = F.when(F.col("page").isNotNull(), F.col("page.id")).otherwise(F.col("id"))
+    return e.select("list_pos", page_id.cast("int").alias("id"))
 
 
 def list_entries(managed: DataFrame, unmanaged: DataFrame) -> DataFrame:
@@ -51,6 +62,12 @@ def list_entries(managed: DataFrame, unmanaged: DataFrame) -> DataFrame:
     return tag(managed, MANAGED).unionByName(tag(unmanaged, UNMANAGED))
 
 
+def without_response(entries: DataFrame, landed: DataFrame) -> DataFrame:
+    """Listed pages (entries with an id) for which no response landed."""
+    keys = ["source", "page_id"]
+    return entries.where(F.col("page_id").isNotNull()).join(landed.select(*keys), keys, "left_anti")
+
+
 def invalid_entries(entries: DataFrame) -> DataFrame:
     """List entries without a page id. The loader reads the id outside its error handling, so
     such an entry stops the whole run there; here they are reported and the rest proceeds."""

@@ -33,6 +33,9 @@ from pyspark.sql import functions as F
 from ..operators.upsert import upsert_partial
 from ..schemas import STG_CLIENT_COLUMNS, STG_INSIGHT_COLUMNS, STG_POST_COLUMNS, all_strings
 
+# The JSON parser takes strings up to 20M characters and values up to 128 MB. A larger body may be sound; it has to be
+# landed record by record (``ingest_records``).
+ONE_VALUE_BYTES = 20_000_000
 SEQ = ["source_rank", "list_pos", "chunk", "array_pos"]
 ZONE_SUFFIX = r"(Z|[+-]\d{2}(:?\d{2})?)$"
 ZONE_SUFFIX_SQL = ZONE_SUFFIX.replace("\\", "\\\\")  # as a SQL string literal
@@ -114,6 +117,7 @@ def check_responses(landed: DataFrame) -> DataFrame:
     # schema_of_variant, which would describe every nested record of the body.
     envelope = F.expr(f"""CASE
         WHEN status <> 200 THEN concat('http status ', CAST(status AS STRING))
+        WHEN __v IS NULL AND octet_length(body) > {ONE_VALUE_BYTES} THEN 'body is not JSON, or too large to parse as one value'
         WHEN __v IS NULL THEN 'body is not JSON'
         WHEN NOT {json_truthy_sql("try_variant_get(__v, '$.success', 'variant')")} THEN 'success is false or missing'
         WHEN try_variant_get(__v, '$.data.page', 'variant') IS NULL
@@ -157,12 +161,8 @@ class Staged:
     """Staging tables after one ingest, plus the rejected pages. Each table is planned on
     first access, so a caller that needs one table does not build the others."""
 
-    def __init__(self, checked: DataFrame, targets: dict[str, DataFrame]):
-        self.checked, self.targets = checked, targets
-        # Splitting single-record ids from conflicting ones (``upsert_partial(split_conflicts=)``)
-        # shuffles ~9x fewer bytes but evaluated the records four times: measured at sf0.1 it cost
-        # 2.5x the task time, more than the shuffle it saves (docs/SHUFFLE.md). Off by default.
-        self.split_conflicts = False
+    def __init__(self, checked: DataFrame, targets: dict[str, DataFrame], track_order: bool = False):
+        self.checked, self.targets, self.track_order = checked, targets, track_order
 
     @cached_property
     def _pages(self) -> DataFrame:
@@ -171,22 +171,21 @@ class Staged:
     @cached_property
     def clients(self) -> DataFrame:
         return _stage(self._pages.where(F.col("source") == "managed"), STG_CLIENT_COLUMNS,
-                      self.targets.get("stg_clients"), self.split_conflicts)
+                      self.targets.get("stg_clients"), self.track_order)
 
     @cached_property
     def unmanaged_clients(self) -> DataFrame:
         return _stage(self._pages.where(F.col("source") == "unmanaged"), STG_CLIENT_COLUMNS,
-                      self.targets.get("stg_unmanaged_clients"), self.split_conflicts)
+                      self.targets.get("stg_unmanaged_clients"), self.track_order)
 
     @cached_property
     def insights(self) -> DataFrame:
         return _stage(_records(self.checked, "insights", many=True), STG_INSIGHT_COLUMNS,
-                      self.targets.get("stg_insights"), self.split_conflicts)
+                      self.targets.get("stg_insights"), self.track_order)
 
     @cached_property
     def posts(self) -> DataFrame:
-        return _stage(_records(self.checked, "posts", many=True), STG_POST_COLUMNS, self.targets.get("stg_posts"),
-                      self.split_conflicts)
+        return _stage(_records(self.checked, "posts", many=True), STG_POST_COLUMNS, self.targets.get("stg_posts"), self.track_order)
 
     @cached_property
     def rejects(self) -> DataFrame:
@@ -242,12 +241,15 @@ def _records(checked: DataFrame, field: str, many: bool) -> DataFrame:
     return rows.select(*base, pos.alias("array_pos"), F.col("r.keys").alias("present"), "r.v.*")
 
 
-def _stage(records: DataFrame, cols, target: DataFrame | None, split_conflicts: bool = False) -> DataFrame:
+ORDER = "__order"   # per stored row: which record each column's value comes from
+
+
+def _stage(records: DataFrame, cols, target: DataFrame | None, track_order: bool = False) -> DataFrame:
     names = [n for n, _ in cols]
-    value_cols = [n for n in names if n != "id"]
-    out = upsert_partial(records, ["id"], SEQ, "present", value_cols,
-                         target.select(*names) if target is not None else None, split_conflicts=split_conflicts)
-    return out.select(*names)
+    known = [ORDER] if target is not None and ORDER in target.columns else []
+    out = upsert_partial(records, ["id"], SEQ, "present", [n for n in names if n != "id"],
+                         target.select(*names, *known) if target is not None else None, ORDER if track_order else None)
+    return out.select(*names, *([ORDER] if track_order else []))
 
 
 def rejected(checked: DataFrame) -> DataFrame:
@@ -257,13 +259,15 @@ def rejected(checked: DataFrame) -> DataFrame:
 
 
 def ingest(landed: DataFrame, targets: dict[str, DataFrame] | None = None,
-           max_reject_ratio: float | None = None) -> Staged:
+           max_reject_ratio: float | None = None, track_order: bool = False) -> Staged:
     """Stage all accepted pages of ``landed`` (upserted into ``targets`` when given, keyed by
     table name ``stg_clients`` / ``stg_unmanaged_clients`` / ``stg_insights`` / ``stg_posts``;
     the default is a full refresh, as the run truncates staging first). With
     ``max_reject_ratio`` the run fails (``RejectedTooMany``) when a larger share of the
     responses is rejected; that check is one extra validation pass, so a job that writes the
-    rejects anyway should count them there instead (as ``streaming.ingest.stage_batch`` does)."""
-    staged = Staged(check_responses(landed), targets or {})
+    rejects anyway should count them there instead (as ``streaming.ingest.stage_batch`` does).
+    ``track_order`` adds the column ``__order``: targets that have it are merged by record order,
+    whatever batch a record came in."""
+    staged = Staged(check_responses(landed), targets or {}, track_order)
     staged.check_rejects(max_reject_ratio)
     return staged

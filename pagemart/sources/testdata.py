@@ -81,7 +81,9 @@ def stg_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     null_int = F.lit(None).cast("int")
     video = F.concat(F.lit('{"data":{"total_video_views":'), _s(ck),
-                     F.lit(',"total_video_views_paid":null,"total_video_views_organic":"7"}}'))
+                     F.lit(',"total_video_views_paid":null,"total_video_views_organic":"7","total_video_views_autoplayed":'),
+                     F.when(k % 31 == 2, F.lit('"n/a"')).otherwise(_s(k % 6)),
+                     F.lit(',"total_video_views_clicked_to_play":'), _s(k % 3), F.lit("}}"))
     return o.select(
         k.alias("id"),
         i(ck).alias("page_id"),
@@ -90,7 +92,8 @@ def stg_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 4 == 0, F.concat(F.lit("/reel/"), _s(k))).when(k % 4 == 1, F.lit("/p/x")).alias("url"),
         _case(F.col("o_orderpriority"), PRIORITY_TYPE, F.lit(None).cast("string")).alias("type"),
         _case(k % 8, STATUS_BY_MOD8, F.lit(None).cast("string")).alias("status_type"),
-        F.when(k % 6 == 0, F.lit("   ")).otherwise(F.concat(F.lit("  msg "), F.col("o_orderpriority"))).alias("message"),
+        F.when(k % 6 == 0, F.lit("   ")).when(k % 37 == 1, F.concat(F.lit("cut"), F.char(F.lit(0)), F.lit("here")))
+         .otherwise(F.concat(F.lit("  msg "), F.col("o_orderpriority"))).alias("message"),
         i(k % 11).alias("likes"),
         F.when(k % 3 == 0, null_int).otherwise(i(k % 5)).alias("wow"),
         F.when(k % 2 == 0, null_int).otherwise(F.lit(1)).alias("sad"),
@@ -107,9 +110,10 @@ def stg_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         i(ck % 44).alias("reach_paid"),
         F.when(k % 5 == 0, F.lit(" ")).otherwise(F.lit("1")).alias("is_real"),
         F.when(F.col("o_orderstatus") == "F", F.lit(1)).when(k % 29 == 0, null_int).otherwise(F.lit(0)).alias("is_deleted"),
-        F.when(k % 5 == 0, F.lit(None).cast("string")).when(k % 5 == 1, F.lit("[]")).when(k % 5 == 2, video)
+        F.when(k % 41 == 3, F.lit('{"data":{"total_video_views":1')).when(k % 5 == 0, F.lit(None).cast("string"))
+         .when(k % 5 == 1, F.lit("[]")).when(k % 5 == 2, video)
          .when(k % 5 == 3, F.lit('{"other":1}')).otherwise(F.lit("")).alias("data"),
-        F.when(k % 3 == 0, F.concat(F.lit('{"photo view":'), _s(k % 9), F.lit(',"link clicks":2}'))).alias("post_clicks_by_type"),
+        F.when(k % 3 == 0, F.concat(F.lit('{"photo view":'), _s(k % 9), F.lit(',"link clicks":2,"other clicks":"'), _s(k % 7), F.when(k % 2 == 0, F.lit("x")).otherwise(F.lit("")), F.lit('"}'))).alias("post_clicks_by_type"),
     )
 
 
@@ -125,13 +129,13 @@ def stg_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
         return c.cast("bigint")
 
     s_null = F.lit(None).cast("string")
-    country = (F.when(ev % 7 == 0, props).when(ev % 7 == 1, F.substr(props, F.lit(2), plen - 2))
+    country = (F.when(ev % 43 == 1, F.lit('{"TN":1}{"FR":2}')).when(ev % 7 == 0, props).when(ev % 7 == 1, F.substr(props, F.lit(2), plen - 2))
                 .when(ev % 7 == 2, F.lit("")).when(ev % 7 == 3, F.lit("{}")).when(ev % 7 == 4, s_null)
                 .when(ev % 7 == 5, F.lit("[]"))
                 .otherwise(F.concat(F.lit('{"TN":'), _s(uid), F.lit(',"FR":3,"TN":9}'))))
-    city = (F.when(ev % 4 == 0, F.concat(F.lit(' {" Tunis ":'), _s(ev % 50), F.lit(',"Sfax":2}')))
+    city = (F.when(ev % 47 == 2, F.lit('{"Sfax":"many"," Tunis":4,"Tunis ":5,"  ":1,"Gabes":"6"}')).when(ev % 4 == 0, F.concat(F.lit(' {" Tunis ":'), _s(ev % 50), F.lit(',"Sfax":2}')))
              .when(ev % 4 == 1, F.lit('"Paris, FR":5')).when(ev % 4 == 2, F.lit("0")).otherwise(F.lit("   ")))
-    locale = (F.when(ev % 6 == 0, F.concat(props, F.lit("}"))).when(ev % 6 == 1, F.substr(props, F.lit(1), plen - 1))
+    locale = (F.when(ev % 53 == 3, F.lit('{"fr_FR":')).when(ev % 6 == 0, F.concat(props, F.lit("}"))).when(ev % 6 == 1, F.substr(props, F.lit(1), plen - 1))
                .when(ev % 6 == 2, F.substr(props, F.lit(2))).when(ev % 6 == 3, F.lit("  "))
                .when(ev % 6 == 4, props).otherwise(F.substr(props, F.lit(2), plen - 2)))
     return e.select(

@@ -12,10 +12,9 @@ readers only see committed versions (``LayerStore.read``). Rejected pages of eac
 with the version. ``trigger(availableNow=True)`` processes everything landed so far and stops,
 which is how a daily run uses it; a continuous trigger works the same way.
 
-Order: inside a batch, records are ordered by (list, list position, response page, array
-position); across batches the later batch wins, which is the fetch order when responses are
-landed as they are fetched (the managed list first, then the unmanaged one). The file source
-takes files oldest first.
+Order: records are ordered by (list, list position, response page, array position). Staging keeps the
+order of the record behind every stored value (column ``__order``), so the result does not depend on
+how the responses are split into batches, nor on the order the batches come in.
 
 Staging is a full refresh per load (the run empties it first): give each load (e.g. each day) its
 own ``landing_dir``, ``root`` and checkpoint folder, see ``daily_paths``. Within a load, versions
@@ -26,6 +25,7 @@ its cost follows one load's volume, not the history.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans.refresh import LayerStore
 from ..session import ensure_checkpoint_dir
@@ -50,7 +50,7 @@ def stage_batch(spark: SparkSession, batch: DataFrame, root: str, batch_id: int,
     last = previous.latest_run(before=version_id(batch_id))
     targets = {t: previous.read(t, last) for t in STAGING_TABLES} if last else {}
     ensure_checkpoint_dir(spark)
-    staged = ingest(batch, targets).materialize()  # validate once for all five outputs
+    staged = ingest(batch, targets, track_order=True).materialize()  # validate once for all five outputs
     store = LayerStore(spark, root, run_id=version_id(batch_id), mode="overwrite")
     for name, df in staged.tables().items():
         store.write(df, name)
@@ -75,13 +75,20 @@ def daily_paths(base: str, day: str) -> dict[str, str]:
 
 def start_ingest_stream(spark: SparkSession, landing_dir: str, root: str, checkpoint_dir: str,
                         fmt: str = "parquet", available_now: bool = True, max_files_per_trigger: int | None = None,
-                        max_reject_ratio: float | None = None):
-    """Start the stream; returns the ``StreamingQuery``."""
+                        max_reject_ratio: float | None = None, entries: DataFrame | None = None):
+    """Start the stream; returns the ``StreamingQuery``. ``entries`` (``pagelists.list_entries``) supplies source_rank and list_pos;
+    responses of pages that are on no list keep their own."""
     # landed files may sit in sub-folders (one per fetcher, hour, ...)
     reader = spark.readStream.format(fmt).schema(LANDED_SCHEMA).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     landed = reader.load(landing_dir)
+    if entries is not None:
+        listed = (entries.where("page_id IS NOT NULL").groupBy("source", "page_id")
+                  .agg(F.min("source_rank").alias("r"), F.min("list_pos").alias("p")))
+        landed = landed.join(listed, ["source", "page_id"], "left").select(
+            "source", F.coalesce("r", "source_rank").alias("source_rank"), F.coalesce("p", "list_pos").alias("list_pos"),
+            "page_id", "chunk", "status", "body")
     writer = (landed.writeStream
               .foreachBatch(lambda df, batch_id: stage_batch(spark, df, root, batch_id, max_reject_ratio))
               .option("checkpointLocation", checkpoint_dir))

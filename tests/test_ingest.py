@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -187,3 +189,29 @@ def test_staging_independent_of_landed_row_order(spark):
     a = ingest(lr.repartition(7, "page_id")).posts
     b = ingest(lr.repartition(3).sortWithinPartitions(F.rand(seed=5))).posts
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+def test_lists_stop_on_broken_documents(spark, scratch):
+    from py4j.protocol import Py4JError
+    from pyspark.errors import PySparkException
+    cut, bare = os.path.join(scratch, "cut.json"), os.path.join(scratch, "bare.json")
+    with open(cut, "w") as f:
+        f.write('{"data": [{"id": 1}, {"id"')
+    with open(bare, "w") as f:
+        f.write('{"success": true}')
+    for p in (cut, bare):
+        with pytest.raises((PySparkException, Py4JError)):
+            pagelists.read_unmanaged_list(spark, p).collect()
+
+
+def test_list_order_is_file_order(spark, scratch):
+    d = os.path.join(scratch, "lists")
+    os.makedirs(d)
+    for name, ids in (("a.jsonl", range(3)), ("b.jsonl", range(100, 2100))):
+        with open(os.path.join(d, name), "w") as f:
+            f.write("".join('{"id": "%d"}\n' % i for i in ids))
+    got = [r.id for r in pagelists.read_unmanaged_list(spark, d, multiline=False).orderBy("list_pos").collect()]
+    assert got == [*range(3), *range(100, 2100)]
+    entries = spark.createDataFrame([("unmanaged", 1, 0, 5), ("unmanaged", 1, 1, 6)], "source string, source_rank int, list_pos bigint, page_id int")
+    landed = spark.createDataFrame([("unmanaged", 1, 0, 6, 0, 200, "{}")], LANDED)
+    assert [r.page_id for r in pagelists.without_response(entries, landed).collect()] == [5]

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from pagemart.plans import clean, dw, ods
+from pagemart.plans import clean, dw, ods, rejects
 
 CLIENT = "id int, name string, social_type string, type string, picture string, actif int, managed int"
 POST = ("id bigint, page_id int, social_type string, creation_time timestamp_ntz, url string, type string, "
@@ -77,7 +77,7 @@ def test_fan_label_rejects(spark):
     ins = spark.createDataFrame([(1, 7, dt.date(2024, 1, 1), '{" Tunis ":1,"Tunis":2,"  ":5,"Sfax":3,"Sfax":4}')],
                                 "insight_id long, client_id int, insight_date date, page_fans_country string")
     ins = ins.withColumn("page_fans_city", F.lit(None).cast("string")).withColumn("page_fans_locale", F.lit(None).cast("string"))
-    got = sorted((r.raw_label, r.reason) for r in ods.fan_label_rejects(ins).collect())
+    got = sorted((r.field, r.reason) for r in rejects.fan_rejects(ins).collect())
     assert got == [("  ", "blank label"), ("Tunis", "label collides after trim")]
 
 

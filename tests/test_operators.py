@@ -98,15 +98,15 @@ def test_date_key_matches_date_dimension(spark):
     assert rows(joined, "d", "date_id") == rows(computed, "d", "date_id")
 
 
-def test_sequential_ids_dense_in_order_both_paths(spark):
-    labels = [f"l{i:04d}" for i in range(300)]
+def test_sequential_ids_dense_in_order(spark):
+    labels = [f"l{i:04d}" for i in range(300)] + ["", "l", "é", "zz"]
     random.Random(1).shuffle(labels)
-    df = spark.createDataFrame([(x,) for x in labels], "label string").repartition(6)
-    small = sequential_ids(df, ["label"], "id")
-    big = sequential_ids(df, ["label"], "id", single_task_rows=10)  # forces the range + checkpoint path
-    want = [(i + 1, f"l{i:04d}") for i in range(300)]
-    assert rows(small, "id", "label") == want
-    assert rows(big, "id", "label") == want
+    df = spark.createDataFrame([(x,) for x in [*labels, None]], "label string").repartition(6)
+    got = rows(sequential_ids(df, ["label"], "id"), "id", "label")
+    assert got == [(1, None)] + [(i + 2, x) for i, x in enumerate(sorted(labels, key=str.encode))]
+    pairs = spark.createDataFrame([(t, x) for t in ("country", "counter", "city") for x in labels[:50]], "t string, label string")
+    got = rows(sequential_ids(pairs, ["t", "label"], "id", start=5), "id", "t", "label")
+    assert got == [(i + 5, *p) for i, p in enumerate(sorted((t, x) for t in ("country", "counter", "city") for x in labels[:50]))]
 
 
 def test_dim_location_union_null_once(spark):
@@ -124,50 +124,45 @@ def test_quality_checks(spark):
     assert unique_violations(df, ["u"]).count() == 0
     parent = spark.createDataFrame([(1,)], "k int")
     assert rows(orphans(df, ["k"], parent), "k") == [(2,), (3,)]
-    js = spark.createDataFrame([(1, '{"a":1}}'), (2, "{bad"), (3, '{"a":1}'), (4, None)], "id int, t string")
-    assert rows(bad_json(js, F.col("t"), ["id"]), "id", "reason") == [(1, "trailing text"), (2, "unparsable")]
+    bad = ['{"a":1}{"b":2}', '{"a":1},{"b":2}', '{"a":1} x', '{"a":1}}', '{"a":1', "[1]", "{bad"]
+    good = ['{"a}":1}', "{}", '{"a":1,"a":2}', ' {"a":{"b":null}} ', None]
+    js = spark.createDataFrame([(i, t) for i, t in enumerate(bad + good)], "id int, t string")
+    assert [r[0] for r in rows(bad_json(js, F.col("t"), ["id"]), "id")] == list(range(len(bad)))
 
 
-def test_broadcast_bound_from_session_setting(spark):
-    from pagemart.operators import broadcast_if_small
-    from pagemart.operators.broadcast import configured_max_rows
+def test_long_strings_in_json_texts(spark):
+    from pagemart.functions import json_fields
+    from pagemart.functions.jsontext import json_entries
+    long = spark.range(1).select(F.concat(F.lit('{"k":"'), F.repeat(F.lit("x"), 25_000_000), F.lit('"}')).alias("t"))
+    row = long.select(F.length(json_entries(F.col("t"))[0]["value"]).alias("a"), F.length(json_fields(F.col("t"), ["k"])["k"]).alias("b")).first()
+    assert (row.a, row.b) == (25_000_000, 25_000_000)
 
-    def hinted(d):
-        return "broadcast" in d._jdf.queryExecution().logical().toString().lower()
 
-    spark.conf.set("spark.pagemart.broadcastMaxRows", "10")
-    try:
-        assert configured_max_rows(spark.range(1)) == 10
-        assert not hinted(broadcast_if_small(spark.range(50)))
-        assert hinted(broadcast_if_small(spark.range(5)))
-    finally:
-        spark.conf.unset("spark.pagemart.broadcastMaxRows")
-    assert configured_max_rows(spark.range(1)) == 2_000_000
-    assert hinted(broadcast_if_small(spark.range(50)))
-
-
-def test_upsert_small_batch_into_large_target_same_result(spark):
+def test_upsert_into_target(spark):
     target = spark.range(200).select(F.col("id").cast("int").alias("id"), F.col("id").cast("string").alias("v"),
                                      F.lit("w").alias("w"))
     recs = spark.createDataFrame([(3, 1, "a", None, ["v", "w"]), (3, 2, None, None, ["v"]), (500, 1, "n", "m", ["v", "w"])],
                                  "id int, seq int, v string, w string, present array<string>")
-    incremental = upsert_partial(recs, ["id"], ["seq"], "present", ["v", "w"], target)
-    full = upsert_partial(recs, ["id"], ["seq"], "present", ["v", "w"], target, max_batch_keys=0)
-    assert rows(incremental, "id", "v", "w") == rows(full, "id", "v", "w")
-    got = {r.id: (r.v, r.w) for r in incremental.collect()}
+    got = {r.id: (r.v, r.w) for r in upsert_partial(recs, ["id"], ["seq"], "present", ["v", "w"], target).collect()}
     assert got[3] == (None, None) and got[500] == ("n", "m") and got[7] == ("7", "w") and len(got) == 201
-    plan = incremental._jdf.queryExecution().executedPlan().toString()
-    assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
-
-
-def test_upsert_split_conflicts_same_result(spark):
-    data = [(k, s, f"{k}:{s}", ["v"] if (k + s) % 3 else ["v", "w"]) for k in range(30) for s in range(k % 3 + 1)]
-    data.append((None, 0, "null-key", ["v", "w"]))
-    df = spark.createDataFrame(data, "id int, seq int, v string, present array<string>").withColumn("w", F.col("v"))
-    plain = upsert_partial(df, ["id"], ["seq"], "present", ["v", "w"])
-    split = upsert_partial(df, ["id"], ["seq"], "present", ["v", "w"], split_conflicts=True)
-    fallback = upsert_partial(df, ["id"], ["seq"], "present", ["v", "w"], split_conflicts=True, max_batch_keys=0)
-    assert rows(split, "id", "v", "w") == rows(plain, "id", "v", "w") == rows(fallback, "id", "v", "w")
+
+
+def test_upsert_does_not_depend_on_batches(spark):
+    rng = random.Random(3)
+    data = [(rng.randrange(5), i, f"v{i}", f"w{i}", rng.sample(["v", "w"], rng.randrange(3))) for i in range(40)]
+    schema = "id int, seq int, v string, w string, present array<string>"
+
+    def staged(batches):
+        target = None
+        for b in batches:
+            target = upsert_partial(spark.createDataFrame(b, schema), ["id"], ["seq"], "present", ["v", "w"], target, "o")
+            target = spark.createDataFrame(target.collect(), target.schema)
+        return rows(target, "id", "v", "w")
+    whole = staged([data])
+    shuffled = data[:]
+    rng.shuffle(shuffled)
+    assert staged([shuffled[:11], shuffled[11:20], shuffled[20:]]) == whole
+    assert staged([data[30:], data[:30]]) == whole
 
 
 def test_insert_or_replace_strict_rejects_repeated_keys(spark):

@@ -1,39 +1,39 @@
-"""Plan shape: no Python UDF anywhere, pruned and filtered scans, broadcast of proven-small
-sides, no shuffle join where the plan promises none."""
+"""Plan shape: no Python UDF anywhere, pruned and filtered scans, no job before the action, no shuffle
+join where the plan promises none."""
 
 from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF001
+from pagemart.registry import QUERIES
 
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(E.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_python_udf(spark, name):
-    p = plan(E.queries()[name](spark, SF001))
+    p = plan(QUERIES[name](spark, SF001))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "PythonUDF" not in p
 
 
 def test_fact_posts_joins(spark):
-    p = plan(E.queries()["fact_posts"](spark, SF001))
+    p = plan(QUERIES["fact_posts"](spark, SF001))
     # post-type dim broadcast, eligible pages broadcast, video taken from the same row: no SMJ
     assert "SortMergeJoin" not in p
     assert p.count("BroadcastHashJoin") >= 2
 
 
 def test_fact_posts_has_no_date_join(spark):
-    p = plan(E.queries()["fact_posts"](spark, SF001))
+    p = plan(QUERIES["fact_posts"](spark, SF001))
     # the date key is computed, so there is exactly one scan per source table and no range scan
     assert "Range" not in p
 
 
 def test_staging_scan_is_pruned(spark):
-    df = E.queries()["ods_insights"](spark, SF001)
+    df = QUERIES["ods_insights"](spark, SF001)
     p = plan(df)
     # events has 6 columns; the insights job needs 4 of them
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,props:string>" in p
@@ -41,32 +41,31 @@ def test_staging_scan_is_pruned(spark):
 
 
 def test_platform_filter_pushed_to_scan(spark):
-    p = plan(E.queries()["ods_clients"](spark, SF001))
+    p = plan(QUERIES["ods_clients"](spark, SF001))
     assert "PushedFilters" in p
 
 
 def test_fans_single_scan_for_three_maps(spark):
-    p = plan(E.queries()["clean_fans"](spark, SF001))
+    p = plan(QUERIES["clean_fans"](spark, SF001))
     assert p.count("FileScan parquet") == 3  # events once + customer twice (eligible pages)
     assert "SortMergeJoin" not in p
 
 
 def test_demographics_one_location_join(spark):
-    p = plan(E.queries()["fact_fan_demographics"](spark, SF001))
+    p = plan(QUERIES["fact_fan_demographics"](spark, SF001))
     assert "SortMergeJoin" not in p
 
 
 def test_insights_semi_join_on_managed_pages(spark):
-    p = plan(E.queries()["ods_insights"](spark, SF001))
+    p = plan(QUERIES["ods_insights"](spark, SF001))
     assert "LeftSemi" in p and "BroadcastHashJoin" in p
 
 
-def test_dense_ids_keep_distinct_parallel(spark):
-    p = plan(E.queries()["dim_location"](spark, SF001))
-    # the DISTINCT's final aggregation is fed by a hash exchange, then one small exchange to a
-    # single partition for the sort (no coalesce pulling the aggregation into one task)
-    assert "Coalesce 1" not in p
-    assert "SinglePartition" in p and "hashpartitioning(location_type" in p
+def test_dense_ids_rank_in_buckets(spark):
+    p = plan(QUERIES["dim_location"](spark, SF001))
+    # labels are ranked per bucket; only the bucket counts meet in one task
+    assert "Coalesce 1" not in p and "hashpartitioning(__b" in p
+    assert p.count("SinglePartition") == 1 and p.count("FileScan parquet") <= 6
 
 
 def test_hot_key_aggregations_are_partial(spark):
@@ -83,26 +82,14 @@ def test_hot_key_aggregations_are_partial(spark):
     assert first_wins(df.drop("present"), ["k"], ["seq"]).where("k = 7").first().v == "0"
 
 
-def test_only_checked_broadcasts_no_sort_merge_joins(spark):
-    """With Spark's own size-based broadcast off, the joins still avoid shuffling the big side:
-    every broadcast in the plans comes from an explicit row-count check. The FK check is the one
-    join of two big tables (child rows against all posts)."""
-    big_big = {"check_fk"}
-    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
-                                                "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+@pytest.mark.parametrize("name", ["fact_posts", "fact_fan_demographics", "dim_post_type", "upsert_partial_target", "ingest_posts"])
+def test_building_a_query_starts_no_job(spark, name):
+    group = f"build-{name}"
+    spark.sparkContext.setJobGroup(group, "plan only")
     try:
-        for k in old:
-            spark.conf.set(k, "-1")
-        offenders = []
-        for name, fn in E.queries().items():
-            if name in big_big:
-                continue
-            if "SortMergeJoin" in plan(fn(spark, SF001)):
-                offenders.append(name)
-        assert offenders == []
+        QUERIES[name](spark, SF001)
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(s).name for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+        assert [s for s in stages if not s.startswith("parquet at")] == []      # reading a file's schema is a job of its own
     finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        spark.sparkContext._jsc.clearJobGroup()

@@ -3,11 +3,14 @@ leaves the first intact."""
 
 from __future__ import annotations
 
+import pytest
+
 import datetime as dt
 
 from pyspark.sql import functions as F
 
 from conftest import SF01
+from pagemart.plans.rejects import RejectedRows
 from pagemart.plans.refresh import LayerStore, refresh
 from pagemart.registry import Layers
 from pagemart.sources import testdata
@@ -42,6 +45,14 @@ def test_refresh_matches_registered_queries(spark, scratch):
     assert out["ods_data_video"].where(F.col("created_at").isNull()).count() == 0
     assert out["dim_date"].agg(F.max("full_date")).first()[0] == end
 
+    # what could not be loaded is reported: rows in = rows out + rejects, key checks over the run's own tables
+    assert out["rejects"].count() > 0
+    assert {r.reason for r in out["rejects"].select("reason").distinct().collect()} >= {"not one JSON object", "not an integer", "blank label"}
+    assert out["broken_keys"].where("broken LIKE 'primary%' OR broken LIKE 'unique%'").count() == 0
+    with pytest.raises(RejectedRows):
+        refresh(spark, staging, LayerStore(spark, scratch + "-strict"), end=end, strict=True)
+    assert LayerStore(spark, scratch + "-strict").latest_run() is None
+
     # the newest committed run is the one just written; a second run gets its own folder
     assert store.latest_run() == store.run_id
     first = store.run_id
