@@ -59,20 +59,15 @@ def doc_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
             F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("k_text")]
 
 
-def hot_keys(counted: DataFrame, keys: list[str], n: str, total: int, least: int = 1000) -> DataFrame:
-    """The rows of ``counted`` (one per key, ``n`` rows each) that are hot; at most ``HOT_KEYS``."""
-    return counted.where(F.col(n) > max(least, total // HOT_KEYS))
-
-
 def lookup(rows: DataFrame, table: DataFrame, keys: list[str], n: str, total: int) -> DataFrame:
     """Inner join of ``rows`` with ``table`` (one row per key, ``n`` = the key's row count in
     ``rows``, never null). Hot keys are joined by a broadcast of their bounded table rows, so no task
-    gets all rows of a hot key; the others by a shuffle join."""
+    gets all rows of a hot key; the others by a shuffle join, whatever the size of ``table``."""
     limit = max(1000, total // HOT_KEYS)
     hot = table.where(F.col(n) > limit)
     rest = table.where(F.col(n) <= limit)
     few = rows.join(F.broadcast(hot), keys)
-    many = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys)
+    many = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest.hint("merge"), keys)
     return few.unionByName(many)
 
 

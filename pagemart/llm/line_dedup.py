@@ -62,7 +62,7 @@ def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     # Bytes decide: chunks of a repeated hash meet by their text. Only if a hash stands for a single text are its later places removed.
     marked = lookup(places, again, hashes, "n", total).groupBy(*key).agg(F.collect_set("start").alias("marked"))
     spans = F.explode(F.filter("spans", lambda s: F.array_contains("marked", s["start"]))).alias("s")
-    suspects = (chunked(keyed.join(marked, key), "text", divisor).select(*key, "lines", spans)
+    suspects = (chunked(keyed.join(marked.hint("merge"), key), "text", divisor).select(*key, "lines", spans)
                 .select(*key, F.col("s.start").alias("start"), chunk_text(F.col("s")).alias("chunk"))
                 .select(place.alias("place"), F.xxhash64("chunk").alias("h"), F.xxhash64(F.lit(1), "chunk").alias("h2"), "chunk"))
     texts = suspects.groupBy(*hashes, "chunk").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
@@ -72,7 +72,7 @@ def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     removed = settle(late.groupBy(*key).agg(F.collect_set("start").alias("gone")), "line-gone")
 
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    whole = chunked(docs.select(*kept, *doc_key(doc_id, text)).join(removed, key, "left"), text, divisor)
+    whole = chunked(docs.select(*kept, *doc_key(doc_id, text)).join(removed.hint("merge"), key, "left"), text, divisor)
     stay = F.filter("spans", lambda s: ~F.array_contains("gone", s["start"]))
     left = F.flatten(F.transform(stay, lambda s: F.slice("lines", s["start"] + 1, s["n"])))
     return (whole.withColumn("left", F.when(F.col("gone").isNull(), F.col("lines")).otherwise(left))
