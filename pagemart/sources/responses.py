@@ -25,11 +25,12 @@ its last value, as a Python JSON load does; with it off such a body is rejected
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.jsontext import JSON_OPTIONS
 from ..operators.upsert import upsert_partial
 from ..schemas import STG_CLIENT_COLUMNS, STG_INSIGHT_COLUMNS, STG_POST_COLUMNS, all_strings
 
@@ -271,3 +272,70 @@ def ingest(landed: DataFrame, targets: dict[str, DataFrame] | None = None,
     staged = Staged(check_responses(landed), targets or {}, track_order)
     staged.check_rejects(max_reject_ratio)
     return staged
+
+
+PAGE_KEY = ["source", "source_rank", "list_pos", "page_id", "chunk"]
+PARTS = {"insight": STG_INSIGHT_COLUMNS, "post": STG_POST_COLUMNS}
+
+
+def _parsed_parts(rows: DataFrame, part: str, cols: list[tuple[str, str]]) -> DataFrame:
+    """Records of one part with their typed values and first problem. The text is parsed to a map of texts, so a
+    record's strings may have any length a row can hold."""
+    raw = ", ".join(f"'{n}', m['{n}']" for n, _ in cols)
+    parsed = (rows.where(F.col("part") == part)
+              # a generator keeps the parse from being put into every use of its result
+              .select(*PAGE_KEY, "array_pos", F.explode(F.array(F.from_json("body", "map<string,string>", JSON_OPTIONS))).alias("m"))
+              .select(*PAGE_KEY, "array_pos", F.expr(f"named_struct('keys', map_keys(m), 'raw', named_struct({raw}))").alias("p"))
+              .select(*PAGE_KEY, "array_pos", F.expr(type_record_sql("p", cols)).alias("r")))
+    return parsed.withColumn("problem", F.expr(f"concat('{part}: ', {record_problem_sql('r', cols)})"))
+
+
+class StagedRecords(Staged):
+    """Staging tables from responses landed record by record."""
+
+    def __init__(self, rows: DataFrame, targets: dict[str, DataFrame], track_order: bool = False):
+        envelopes = rows.where("part = 'envelope'").drop("part", "array_pos")
+        super().__init__(check_responses(envelopes), targets, track_order)
+        self.parts = {k: _parsed_parts(rows, k, cols) for k, cols in PARTS.items()}
+        self.all_pages = rows.select(*PAGE_KEY).distinct()
+
+    @cached_property
+    def bad_pages(self) -> DataFrame:
+        """One row per rejected response: its first problem, the envelope's before the records'."""
+        found = [self.checked.select(*PAGE_KEY, F.lit(0).alias("rank"), F.lit(-1).cast("bigint").alias("array_pos"), F.col("reason").alias("problem")),
+                 self.all_pages.join(self.checked.select(*PAGE_KEY), PAGE_KEY, "left_anti").select(
+                     *PAGE_KEY, F.lit(0).alias("rank"), F.lit(-1).cast("bigint").alias("array_pos"), F.lit("no envelope").alias("problem"))]
+        found += [p.select(*PAGE_KEY, F.lit(i).alias("rank"), F.col("array_pos").cast("bigint").alias("array_pos"), "problem")
+                  for i, p in enumerate(self.parts.values(), 1)]
+        every = reduce(DataFrame.unionByName, found).where("problem IS NOT NULL")
+        return every.groupBy(*PAGE_KEY).agg(F.min(F.struct("rank", "array_pos", "problem"))["problem"].alias("reason"))
+
+    @cached_property
+    def _pages(self) -> DataFrame:
+        return _records(self.checked.join(self.bad_pages.select(*PAGE_KEY), PAGE_KEY, "left_anti"), "page", many=False)
+
+    def _of(self, part: str) -> DataFrame:
+        good = self.parts[part].join(self.bad_pages.select(*PAGE_KEY), PAGE_KEY, "left_anti")
+        return good.select("source", "source_rank", "list_pos", "chunk", F.col("array_pos").cast("int").alias("array_pos"),
+                           F.col("r.keys").alias("present"), "r.v.*")
+
+    @cached_property
+    def insights(self) -> DataFrame:
+        return _stage(self._of("insight"), STG_INSIGHT_COLUMNS, self.targets.get("stg_insights"), self.track_order)
+
+    @cached_property
+    def posts(self) -> DataFrame:
+        return _stage(self._of("post"), STG_POST_COLUMNS, self.targets.get("stg_posts"), self.track_order)
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        return self.bad_pages.select("source", "list_pos", "page_id", "chunk", "reason")
+
+
+def ingest_records(rows: DataFrame, targets: dict[str, DataFrame] | None = None, track_order: bool = False) -> StagedRecords:
+    """Stage responses landed one record per row, for responses too large to be one value.
+
+    ``rows``: the columns of a landed response plus ``part`` and ``array_pos``. A response is one row with part 'envelope' (its
+    JSON with empty arrays, status as received) and a row per record with part 'insight' or 'post', its place in the array and its JSON as
+    body. Same rules and reasons as ``ingest``: one bad record rejects the whole response."""
+    return StagedRecords(rows, targets or {}, track_order)

@@ -215,3 +215,37 @@ def test_list_order_is_file_order(spark, scratch):
     entries = spark.createDataFrame([("unmanaged", 1, 0, 5), ("unmanaged", 1, 1, 6)], "source string, source_rank int, list_pos bigint, page_id int")
     landed = spark.createDataFrame([("unmanaged", 1, 0, 6, 0, 200, "{}")], LANDED)
     assert [r.page_id for r in pagelists.without_response(entries, landed).collect()] == [5]
+
+
+def test_records_landed_one_by_one(spark):
+    """The same responses whole and record by record give the same tables and rejects."""
+    from pagemart.sources.responses import ingest_records
+    page = {"id": 1, "name": "p"}
+    answers = [("managed", 0, 0, 1, 0, 200, page, [{"id": 10, "page_id": 1}], [{"id": 20, "likes": 3}, {"id": 21, "message": "m", "likes": None}]),
+               ("managed", 0, 1, 2, 0, 200, {"id": 2}, [{"id": 11, "bogus": 1}], [{"id": 22}]),
+               ("managed", 0, 2, 3, 0, 404, {"id": 3}, [], [{"id": 23}]),
+               ("unmanaged", 1, 0, 4, 0, 200, {"id": 4}, [], [{"id": 20, "likes": None}, {"id": 24, "likes": "x"}])]
+    whole = spark.createDataFrame([(*a[:6], body(a[6], a[7], a[8])) for a in answers], LANDED)
+    rows = []
+    for a in answers:
+        rows.append((*a[:6], body(a[6]), "envelope", None))
+        rows += [(*a[:6], json.dumps(r), part, i) for part, rs in (("insight", a[7]), ("post", a[8])) for i, r in enumerate(rs)]
+    by_record = ingest_records(spark.createDataFrame(rows, LANDED + ", part string, array_pos int"))
+    staged = ingest(whole)
+    for t in ("clients", "unmanaged_clients", "insights", "posts"):
+        assert sorted(map(str, getattr(by_record, t).collect())) == sorted(map(str, getattr(staged, t).collect())), t
+    reasons = lambda s: sorted((r.page_id, r.reason) for r in s.rejects.collect())
+    assert reasons(by_record) == reasons(staged) and len(reasons(staged)) == 3
+
+
+def test_a_very_long_value_is_staged_by_record(spark):
+    from pyspark.sql import functions as F
+    from pagemart.sources.responses import ingest_records
+    env = spark.createDataFrame([("managed", 0, 0, 1, 0, 200, body({"id": 1}), "envelope", None)], LANDED + ", part string, array_pos int")
+    long = spark.range(1).select(F.concat(F.lit('{"id": 5, "message": "'), F.repeat(F.lit("x"), 25_000_000), F.lit('"}')).alias("b"))
+    rec = env.drop("body", "part", "array_pos").crossJoin(long).select("*", F.lit("post").alias("part"), F.lit(0).alias("array_pos")).withColumnRenamed("b", "body")
+    out = ingest_records(env.unionByName(rec))
+    assert out.posts.select(F.length("message").alias("n")).first().n == 25_000_000 and out.rejects.count() == 0
+    whole = env.drop("part", "array_pos", "body").crossJoin(long.select(F.concat(
+        F.lit('{"success": true, "data": {"page": {"id": 1}, "insights": [], "posts": ['), "b", F.lit("]}}")).alias("body")))
+    assert "too large" in ingest(whole).rejects.first().reason
