@@ -30,16 +30,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near-duplicates: the one with the smallest id. Of rows that share an id
     one stays, and one of all rows without an id whose group has none."""
     groups = simhash.near_duplicates(docs.select("doc_id", "text"))
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("k")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("k")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    first = groups.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.where("doc_id IS NOT NULL").join(first.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    nameless = groups.where("component_id IS NULL").limit(1).select(F.lit(1).alias("one"))
+    one = docs.where("doc_id IS NULL").limit(1).withColumn("one", F.lit(1)).join(nameless, "one", "left_semi").drop("one")
+    return kept.select(*docs.columns).unionByName(one)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources: every document once per epoch it is taken in, so a row may come up to three times."""
     taken = mixing.mix(docs).select(F.col("doc_id").alias("m_id"), F.col("k_text").alias("m_text"), "copies").where("copies > 0")
     text = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    met = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("m_id")) & (text == F.col("m_text")))
+    met = docs.join(taken.hint("merge"), F.col("doc_id").eqNullSafe(F.col("m_id")) & (text == F.col("m_text")))
     return met.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("col")
 
 
