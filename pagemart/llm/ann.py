@@ -182,7 +182,7 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, vec_id: str =
     order = Window.partitionBy("vec").orderBy("vec_id")
     ids = (rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1)
            .groupBy("vec").agg(F.min("vec_id").alias("cid"), F.sort_array(F.collect_list("vec_id")).alias("ids")).drop("vec"))
-    total = classes.count()
+    total = classes.count()      # distinct vectors: what the lists hold
 
     lists = int(min(MAX_LISTS, max(1, total // LIST_ROWS)))
     sample = (classes.select("vec").orderBy(F.xxhash64("vec")).limit(SAMPLE_PER_LIST * MAX_LISTS if lists == MAX_LISTS
@@ -209,7 +209,7 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, vec_id: str =
     answers = settle(answers.join(classes.select(F.col("cid").alias("q"), "n"), "q").withColumnRenamed("q", "cid"), "ann-answers")
 
     queries = settle(rows.where(is_query).join(classes.select("vec", "cid"), "vec").select(F.col("vec_id").alias("query_id"), "cid"), "ann-queries")
-    each = (lookup(queries, answers, ["cid"], "n", total).select("query_id", F.explode("found").alias("f"))
+    each = (lookup(queries, answers, ["cid"], "n", rows.count()).select("query_id", F.explode("found").alias("f"))
             .select("query_id", "f.score", F.explode("f.ids").alias("vec_id")).where("vec_id <> query_id"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return each.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
