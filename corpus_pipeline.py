@@ -47,8 +47,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every row, and the text they decode to."""
-    encoded = lattice.decode(lattice.encode(docs))
-    return encoded.select("doc_id", "lang", "source", "n_tokens", "ids", "decoded")
+    return lattice.encode(docs, decoded="decoded").select("doc_id", "lang", "source", "n_tokens", "ids", "decoded")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -29,51 +29,57 @@ from .common import as_text, settle
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-FREQUENT = 1_000_000     # words in the broadcast tier at most
-LOCAL_COUNT = 4          # rarer words of a task are left to the shuffle tier
-FLUSH_WORDS = 1_000_000  # distinct words a task counts before it hands them on
+FREQUENT = 300_000       # words in the broadcast tier at most
+LOCAL_COUNT = 3          # rarer words of a task are left to the shuffle tier
+FLUSH_WORDS = 400_000    # distinct words a task counts before it hands them on
 BLOCK_BYTES = 8 << 20    # text per block of documents, about
 FOLD_LENGTH = 60         # characters; longer words are folded with a heap instead of the SQL aggregate
 
 # a word: the spaces before it and a run of letters, or of anything else (numerals that re counts as \w are no letters)
 _NUMERALS = "\u00b2\u00b3\u00b9\u00bc-\u00be\u2070-\u209c\u2150-\u218b\u2460-\u24ff"
 _LETTERS = f"[^\\W\\d_{_NUMERALS}]"
-WORD = re.compile(f"{SPACE}*(?:{_LETTERS}+|(?:(?!{SPACE})[\\W\\d_{_NUMERALS}])+)|{SPACE}+")
+WORD = re.compile(f" *(?:{_LETTERS}+|(?:[^\\w ]+|[\\d_{_NUMERALS}]+)+)| +")
 _LETTER = re.compile(_LETTERS)
 
 
 def piece_table(model_path: str = MODEL) -> tuple[list[tuple[str, int, float]], int, list[bytes]]:
-    """(piece, id, score) of the pieces that merge, the id of byte 0, and every id's bytes for decoding."""
+    """(piece, id, score) of the pieces that merge, with plain spaces, the id of byte 0, and every id's bytes for decoding."""
     sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
     n = sp.get_piece_size()
     plain = [i for i in range(n) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
-    pieces = [(sp.id_to_piece(i), i, float(sp.get_score(i))) for i in plain]
+    pieces = [(sp.id_to_piece(i).replace(SPACE, " "), i, float(sp.get_score(i))) for i in plain]
     for p, _, _ in pieces:
-        if any(b == SPACE != a or a != SPACE and bool(_LETTER.match(a)) != bool(_LETTER.match(b)) for a, b in zip(p, p[1:], strict=False)):
+        if any(b == " " != a or a != " " and bool(_LETTER.match(a)) != bool(_LETTER.match(b)) for a, b in zip(p, p[1:], strict=False)):
             raise ValueError(f"piece {p!r} reaches over a word boundary")
     byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
     if byte_ids != list(range(byte_ids[0], byte_ids[0] + 256)):
         raise ValueError("the byte pieces are not in a row")
     spelled = [b""] * n
     for p, i, _ in pieces:
-        spelled[i] = p.replace(SPACE, " ").encode()
+        spelled[i] = p.encode()
     for b, i in enumerate(byte_ids):
         spelled[i] = bytes([b])
     return pieces, byte_ids[0], spelled
 
 
 def words_of(text: str) -> list[str]:
-    """The words of a text, spaces made visible, with the tokenizer's leading space."""
-    return WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
+    """The words of a text behind the tokenizer's leading space; the model's visible space counts as a space."""
+    return WORD.findall(" " + (text.replace(SPACE, " ") if SPACE in text else text)) if text else []
 
 
-def heap_path(n: int, edges: dict[tuple[int, int], tuple[int, float]]) -> list[int]:
+def tokens_of(text: str) -> list[str] | None:
+    """What stands between the spaces of a text, if these are single: the words of token t are those of " " + t. None for other texts."""
+    return None if not text or "  " in text or text[0] == " " or SPACE in text else text.split(" ")
+
+
+def heap_path(word: str, known: dict[str, tuple[int, float]], longest: int) -> list[int]:
     """The same path as the SQL fold, for long words: boundaries left after joining the best pairs first."""
+    n = len(word)
     end, left, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
     heap: list[tuple[float, int, int, int]] = []
 
     def offer(i: int) -> None:
-        if i >= 0 and end[i] < n and (e := edges.get((i, end[end[i]]))):
+        if i >= 0 and end[i] < n and end[end[i]] - i <= longest and (e := known.get(word[i:end[end[i]]])):
             heapq.heappush(heap, (-e[1], i, end[i], end[end[i]]))
     for i in range(n):
         offer(i)
@@ -91,67 +97,88 @@ def heap_path(n: int, edges: dict[tuple[int, int], tuple[int, float]]) -> list[i
 def encode_words(words: DataFrame, pieces: list[tuple[str, int, float]], byte0: int, keep: list[str]) -> DataFrame:
     """``words(word, *keep)``, one row per word and partitioned by word, with ids array<int>: the lattice and its fold.
 
-    The fold's state is a bit per place between characters that still is a boundary (a negative number once nothing can be
-    joined). An edge joins a pair if both its ends are boundaries and exactly one boundary lies inside; edges are sorted by
-    score, then place, so the first such edge is the tokenizer's next merge."""
+    An edge is one number: score rank, place, length and id from the highest bits down, so sorted edges come in the order in
+    which the tokenizer merges. The fold's state has a bit per place between characters that still is a boundary (and the sign, once
+    nothing can be joined). An edge joins a pair if both its ends are boundaries and exactly one boundary lies inside; the
+    first such edge is the next merge."""
     spark = words.sparkSession
     longest = max(len(p) for p, _, _ in pieces)
-    table = F.broadcast(spark.createDataFrame(pieces, "piece string, id int, score double"))
-    cuts = (words.select("word", *keep, F.explode(F.expr("sequence(0, char_length(word) - 1)")).alias("s"))
-            .select("word", *keep, "s", F.explode(F.expr(f"sequence(1, least({longest}, char_length(word) - s))")).alias("l"))
+    if longest > 31 or max(i for _, i, _ in pieces) >= 1 << 20:
+        raise ValueError("pieces of up to 31 characters and ids below 2^20 are expected")
+    rank = {v: r for r, v in enumerate(sorted({-v for _, _, v in pieces}))}
+    table = F.broadcast(spark.createDataFrame([(p, (rank[-v] << 31) + i) for p, i, v in pieces], "piece string, code long"))
+    n = f"if(char_length(word) <= {FOLD_LENGTH}, char_length(word), 1)"      # a long word only keeps its row here
+    cuts = (words.select("word", *keep, F.explode(F.expr(f"sequence(0, {n} - 1)")).alias("s"))
+            .select("word", *keep, "s", F.explode(F.expr(f"sequence(1, least({longest}, {n} - s))")).alias("l"))
             .select("word", *keep, "s", "l", F.expr("substring(word, s + 1, l)").alias("piece")))
     # a word without any matching piece keeps one row without an edge
-    edges = cuts.join(table, "piece", "left").where("id IS NOT NULL OR s + l = 1")
-    inside = "shiftleft(shiftleft(1L, l - 1) - 1, s + 1)"
-    edge = f"if(id IS NULL, NULL, struct(-score AS rank, s, l, id, {inside} AS inside, shiftleft(1L, s) | shiftleft(1L, s + l) AS ends))"
-    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list(F.expr(edge))).alias("edges"), *[F.first(c).alias(c) for c in keep])
+    edges = cuts.join(table, "piece", "left").where("code IS NOT NULL OR s + l = 1")
+    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list(F.expr("code + s * 33554432L + l * 1048576L"))).alias("edges"),
+                                        *[F.first(c).alias(c) for c in keep])
     lattice = grouped.withColumn("n", F.char_length("word"))
 
     def let(name: str, value: str, body: str) -> str:
         """``body`` with ``value`` computed once; a column of an earlier select would be put into every lambda call."""
         return f"get(transform(array({value}), {name} -> {body}), 0)"
-    joined = "get(filter(pairs, e -> (m & e.ends) = e.ends AND bit_count(m & e.inside) = 1), 0).inside"
+    place, length = "cast(shiftright(e, 25) & 63 AS int)", "cast(shiftright(e, 20) & 31 AS int)"
+    at_id = "shiftright(e, 25) % 64 * 1048576L + (e & 1048575)"
+    pairs = f"""transform(filter(edges, e -> (shiftright(e, 20) & 31) > 1), e -> struct(
+                  shiftleft(shiftleft(1L, {length} + 1) - 1, {place}) AS span,
+                  shiftleft(1L, {place}) | shiftleft(1L, {place} + {length}) AS ends,
+                  shiftleft(shiftleft(1L, {length} - 1) - 1, {place} + 1) AS inside, {at_id} AS at_id))"""
+    joined = "get(filter(pairs, e -> bit_count(m & e.span) = 3 AND (m & e.ends) = e.ends), 0).inside"
     fold = f"""aggregate(sequence(1, n), shiftleft(1L, n + 1) - 1L,
-                 (m, x) -> if(m < 0, m, coalesce(m & ~{joined}, m | shiftleft(1L, 63))))"""
+                 (m, x) -> if(m < 0, m, coalesce(m & ~{joined}, m | shiftleft(1L, 63))), m -> m & {2**63 - 1}L)"""
+    # edges of the path: both ends are boundaries, none lies inside; a character without an edge is spelled in bytes
+    taken = f"""concat(transform(filter(pairs, e -> bit_count(path & e.span) = 2 AND (path & e.ends) = e.ends), e -> e.at_id),
+                  transform(filter(edges, e -> (shiftright(e, 20) & 31) = 1 AND (shiftright(path, {place}) & 3L) = 3), e -> {at_id}))"""
     spell = let("h", "hex(substring(word, a + 1, 1))", f"transform(sequence(0, length(h) div 2 - 1), j -> "
                 f"{byte0} + cast(conv(substring(h, 2 * j + 1, 2), 16, 10) AS int))")
-    span = "transform(filter(edges, e -> e.s = a AND e.l = b[i + 1] - a), e -> e.id)"
-    ids = let("pairs", "filter(edges, e -> e.l > 1)", let("path", fold, let(
-        "b", "filter(sequence(0, n), i -> (shiftright(path, i) & 1L) = 1)",
-        "flatten(transform(slice(b, 1, size(b) - 1), (a, i) -> " + let("one", span, f"if(size(one) = 1, one, {spell})") + "))")))
-    short = f"n <= {FOLD_LENGTH}"
-    folded = lattice.select("word", *keep, F.expr(f"if({short}, {ids}, NULL)").alias("ids"), F.expr(
-        f"if({short}, NULL, transform(edges, e -> struct(e.s, e.l, e.id, -e.rank AS score)))").alias("edges"))
+    span = "transform(filter(edges, e -> (shiftright(e, 20) & 2047) = a * 32 + b[i + 1] - a), e -> cast(e & 1048575 AS int))"
+    mixed = let("b", "filter(sequence(0, n), i -> (shiftright(path, i) & 1L) = 1)",
+                "flatten(transform(slice(b, 1, size(b) - 1), (a, i) -> " + let("one", span, f"if(size(one) = 1, one, {spell})") + "))")
+    ids = let("pairs", pairs, let("path", fold, let("taken", taken,
+              f"if(size(taken) = bit_count(path) - 1, transform(sort_array(taken), e -> cast(e & 1048575 AS int)), {mixed})")))
+    folded = lattice.select("word", *keep, F.expr(f"if(n <= {FOLD_LENGTH}, {ids}, NULL)").alias("ids"))
+    known = {p: (i, v) for p, i, v in pieces}
 
     def long_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            where, edges = batch.num_columns - 2, batch.column(batch.num_columns - 1)
-            ids = batch.column(where)
-            if edges.null_count < len(edges):
+            ids = batch.column(batch.num_columns - 1)
+            if ids.null_count:
                 filled = ids.to_pylist()
-                for i in np.flatnonzero(edges.is_valid().to_numpy(zero_copy_only=False)).tolist():
-                    word, found = batch.column(0)[i].as_py(), {(x["s"], x["s"] + x["l"]): (x["id"], x["score"]) for x in edges[i].as_py()}
-                    b = heap_path(len(word), found)
-                    filled[i] = [x for span in zip(b, b[1:], strict=False) for x in (
-                        [found[span][0]] if span in found else [byte0 + c for c in word[slice(*span)].encode()])]
+                for k in [k for k, x in enumerate(filled) if x is None]:
+                    word = batch.column(0)[k].as_py()
+                    b = heap_path(word, known, longest)
+                    filled[k] = [x for s, e in zip(b, b[1:], strict=False) for x in (
+                        [known[word[s:e]][0]] if word[s:e] in known else [byte0 + c for c in word[s:e].encode()])]
                 ids = pa.array(filled, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:where], ids], names=batch.schema.names[:-1])
-    return folded.mapInArrow(long_words, folded.drop("edges").schema)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=batch.schema.names)
+    return folded.mapInArrow(long_words, folded.schema)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter[str] = Counter()
+    tokens: Counter[str] = Counter()
 
     def flush() -> pa.RecordBatch:
+        for t, n in tokens.items():
+            for w in WORD.findall(" " + t):
+                counts[w] += n
         often = [(w, n) for w, n in counts.items() if n >= LOCAL_COUNT]
         counts.clear()
+        tokens.clear()
         return pa.RecordBatch.from_arrays([pa.array([w for w, _ in often], pa.string()), pa.array([n for _, n in often], pa.int64())],
                                           names=["word", "n"])
-    for b in batches:
+    for b in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
         for t in as_text(b.column(0)):
-            counts.update(words_of(t))
-            if len(counts) > FLUSH_WORDS:
-                yield flush()
+            single = tokens_of(t)
+            if single is None:
+                counts.update(words_of(t))
+            else:
+                tokens.update(single)
+        if len(counts) + len(tokens) > FLUSH_WORDS:
+            yield flush()
     yield flush()
 
 
@@ -179,16 +206,24 @@ def _packed(rows: pa.RecordBatch) -> bytes:
     return out.getvalue()
 
 
-def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL, frequent: int = FREQUENT) -> DataFrame:
-    """``docs`` with ids array<int> and n_tokens, as the model's own encoder gives them (no begin or end marks).
+def _spell(spelled: dict[int, bytes], ids: list[int]) -> str:
+    """The text of some ids: their bytes in a row, without the tokenizer's leading space."""
+    return b"".join([spelled.get(i, b"") for i in ids]).decode("utf-8", "replace").removeprefix(" ")
+
+
+def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL, frequent: int = FREQUENT, decoded: str | None = None) -> DataFrame:
+    """``docs`` with ids array<int> and n_tokens, as the model's own encoder gives them (no begin or end marks). ``decoded`` names a column
+    for the text that the ids decode to (as ``decode`` gives it), made where the ids are.
 
     A null or empty text has no ids. Characters without a piece become byte pieces. Repeated rows are encoded each. Columns named ids or
     n_tokens are replaced; all others stay."""
     spark = docs.sparkSession
-    pieces, byte0, _ = piece_table(model_path)
-    docs = docs.drop("ids", "n_tokens")
+    pieces, byte0, spelled_ids = piece_table(model_path)
+    results = ["ids", "n_tokens", *([decoded] if decoded else [])]
+    docs = docs.drop(*results)
     few, n_bytes = frequent_words(docs, text, frequent)
-    known = settle(encode_words(few.repartition("word"), pieces, byte0, []), "word-ids").toArrow()   # at most `frequent` rows
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))     # small in bytes, but work for every core
+    known = settle(encode_words(few.repartition(width, "word"), pieces, byte0, []), "word-ids").toArrow()   # at most `frequent` rows
     ids_of = {w: np.asarray(i.values, dtype=np.uint32).tobytes() for w, i in zip(known["word"].to_pylist(), known["ids"], strict=True)}
     shared = spark.sparkContext.broadcast(ids_of)
     blocks = max(1, -(-n_bytes // BLOCK_BYTES))
@@ -196,12 +231,20 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL, frequen
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
-        for b in batches:
-            found: set[tuple[str, int]] = set()
+        for b in (b.slice(i, 2000) for b in batches for i in range(0, b.num_rows, 2000)):
+            found: dict[int, set[str]] = {}
+            tokens: dict[int, set[str]] = {}
             for k, t in zip(b.column(0).to_pylist(), as_text(b.column(1)), strict=True):
-                found.update((w, k) for w in words_of(t) if w not in held)
-            if found:
-                words, at = zip(*found, strict=True)
+                single = tokens_of(t)
+                if single is None:
+                    found.setdefault(k, set()).update(w for w in words_of(t) if w not in held)
+                else:
+                    tokens.setdefault(k, set()).update(single)
+            for k, ts in tokens.items():
+                found.setdefault(k, set()).update(w for t in ts if " " + t not in held for w in WORD.findall(" " + t) if w not in held)
+            words = [w for ws in found.values() for w in ws]
+            at = [k for k, ws in found.items() for _ in ws]
+            if words:
                 yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(at, pa.int32())], names=["word", "block"])
     asked = docs.select(block, F.col(text).cast("binary")).mapInArrow(rare, "word string, block int")
     answers = encode_words(asked.groupBy("word").agg(F.collect_set("block").alias("blocks")), pieces, byte0, ["blocks"])
@@ -224,21 +267,32 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL, frequen
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, own, now = shared.value, {}, None
+        spelled = dict(enumerate(spelled_ids))
+        known: dict[str, bytes] = {}        # ids of the block's tokens
+
+        def ids_of_text(t: str) -> bytes:
+            single = tokens_of(t)
+            if single is None:
+                return b"".join([held.get(w) or own[w] for w in words_of(t)])
+            for x in set(single).difference(known):
+                known[x] = b"".join([held.get(w) or own[w] for w in WORD.findall(" " + x)])
+            return b"".join([known[x] for x in single])
         for b in batches:
             for k, kind, w, i, rows in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if k != now:
-                    now, own = k, {}
+                    now, own, known = k, {}, {}
                 if kind == 0:
                     own[w] = np.array(i, dtype=np.uint32).tobytes()
                     continue
                 part = pa.ipc.open_stream(rows).read_next_batch()
-                for first in range(0, part.num_rows, 500):
-                    docs_ = part.slice(first, 500)
-                    ids = [np.frombuffer(b"".join([held.get(w) or own[w] for w in words_of(t)]), dtype=np.uint32).astype(np.int32)
-                           for t in as_text(docs_.column(where))]
-                    yield pa.RecordBatch.from_arrays([*docs_.columns, pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int32())],
-                                                     names=[*docs_.schema.names, "ids", "n_tokens"])
-    schema = spark.createDataFrame([], docs.schema).withColumns({"ids": F.lit(None).cast("array<int>"), "n_tokens": F.lit(None).cast("int")}).schema
+                for first in range(0, part.num_rows, 200):
+                    docs_ = part.slice(first, 200)
+                    ids = [np.frombuffer(ids_of_text(t), dtype=np.uint32).astype(np.int32) for t in as_text(docs_.column(where))]
+                    more = [pa.array([_spell(spelled, x.tolist()) for x in ids], pa.string())] if decoded else []
+                    yield pa.RecordBatch.from_arrays([*docs_.columns, pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int32()), *more],
+                                                     names=[*docs_.schema.names, *results])
+    schema = spark.createDataFrame([], docs.schema).withColumns({"ids": F.lit(None).cast("array<int>"), "n_tokens": F.lit(None).cast("int"),
+                                                                         **({decoded: F.lit(None).cast("string")} if decoded else {})}).schema
     met = answers.unionByName(packed).repartition("block").sortWithinPartitions("block", "kind")
     return met.mapInArrow(assemble, schema)
 
@@ -253,7 +307,8 @@ def decode(encoded: DataFrame, ids: str = "ids", out: str = "decoded", model_pat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelled = dict(enumerate(shared.value))
-        for b in batches:
-            texts = [b"".join([spelled.get(i, b"") for i in x or ()]).decode("utf-8", "replace").removeprefix(" ") for x in b.column(where).to_pylist()]
+        # few rows at a time, one row's ids as Python numbers at a time
+        for b in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
+            texts = [_spell(spelled, row.values.to_pylist()) if row.is_valid else "" for row in b.column(where)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, out])
     return encoded.mapInArrow(run, encoded.withColumn(out, F.lit("")).schema)

@@ -25,8 +25,8 @@ def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = lattice.encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return lattice.decode(encoded).select("doc_id", "n_tokens", "ids", "decoded")
+    encoded = lattice.encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), decoded="decoded")
+    return encoded.select("doc_id", "n_tokens", "ids", "decoded")
 
 
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
