@@ -21,8 +21,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the multi-line chunks that an earlier document holds; n_chars follows the text."""
-    freed = line_dedup.deduplicate_lines(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+    """Documents without the passages of two or more lines that an earlier document holds; n_chars follows the text."""
+    freed = line_dedup.deduplicate_lines(docs, overlapping=True).withColumn("n_chars", F.char_length("text").cast("long"))
     return freed.select(*docs.columns)
 
 

@@ -31,7 +31,7 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.deduplicate_lines(docs)
+    return line_dedup.deduplicate_lines(docs, overlapping=True)
 
 
 def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

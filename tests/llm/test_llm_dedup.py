@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from pagemart.llm import line_dedup, simhash, span_dedup
+from pagemart.llm import line_dedup, queries, simhash, span_dedup
 from pagemart.llm.common import components, read_table
 
 SF = "/root/testdata/sf0.001"
@@ -155,6 +155,48 @@ def test_line_dedup_equals_brute_force(docs_of):
     assert sum(r.n_removed for r in got) > 100
 
 
+def test_line_dedup_takes_passages_anywhere(docs_of):
+    rng = random.Random(8)
+
+    def line(n):
+        return " ".join(words(rng, n)) + f" {rng.random()}"
+    passages = [[line(30) for _ in range(n)] for n in (2, 2, 2, 3, 3, 5, 5, 10)]
+    source = "\n".join(x for p in passages for x in [line(6), *p, line(6)])
+    rows, own = [(0, source), (1, source)], {0: source, 1: ""}
+    for i in range(2, 42):
+        head, tail = [line(6) for _ in range(i % 5)], [line(6) for _ in range(i % 3)]
+        rows.append((i, "\n".join([*head, *passages[i % 8], *tail])))
+        own[i] = "\n".join(head + tail)
+    common = line(6)
+    rows += [(i, f"{line(6)}\n{common}\n\n\n\n{line(6)}") for i in (50, 51)]     # one line in common is no passage
+    own |= dict(rows[-2:])
+    got = line_dedup.deduplicate_lines(docs_of(rows), overlapping=True).collect()
+    text = dict(rows)
+    for r in got:
+        assert r.text == own[r.doc_id], r.doc_id
+        assert r.n_lines == text[r.doc_id].count("\n") + 1
+    assert sum(r.n_removed for r in got) == source.count("\n") + 1 + sum(len(passages[i % 8]) for i in range(2, 42))
+
+
+def test_line_dedup_registered_with_windows(spark):
+    rows = read_table(spark, SF, "documents").select("doc_id", "text").toPandas().sort_values("doc_id")
+    seen, want = set(), {}
+    for i, t in zip(rows.doc_id, rows.text):
+        lines = (t or "").split("\n")
+        solid = [k for k, x in enumerate(lines) if x.strip()]
+        gone = set()
+        for a, b in zip(solid, solid[1:]):
+            body = tuple(lines[a:b + 1])
+            if body in seen:
+                gone |= set(range(a, b + 1))
+            seen.add(body)
+        want[i] = gone
+    got = {r.doc_id: r for r in queries.op5_lines(spark, SF).collect()}
+    assert sum(map(len, want.values())) > 0
+    for i, gone in want.items():
+        assert got[i].n_removed >= len(gone)
+
+
 def test_line_dedup_native_plan(spark):
     p = line_dedup.chunk_places(read_table(spark, SF, "documents").selectExpr("doc_id AS k_id", "doc_id AS k_text", "text"), 2)
     assert "Python" not in p._jdf.queryExecution().toString() and "Arrow" not in p._jdf.queryExecution().toString()
