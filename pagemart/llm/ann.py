@@ -3,7 +3,7 @@
 Centroids come from a two-level k-means on a bounded sample, with more sub-centroids for larger clusters,
 so that the posting lists are about even. A proximity graph over the centroids is searched in memory, by a beam. Every vector
 enters the list of its nearest centroid and, if it lies near a boundary, those of further centroids within a distance
-ratio. A query reads the lists whose centroids are within a ratio of its nearest one. Lists are cut into blocks, so a
+ratio. A query reads all lists whose centroids are within a ratio of its nearest one, however many they are. Lists are cut into blocks, so a
 long list is the work of many tasks. Equal vectors are one row of the index; their ids are kept beside it.
 """
 
@@ -23,8 +23,9 @@ LIST_ROWS = 200          # vectors per list aimed at
 MAX_LISTS = 16_384
 SAMPLE_PER_LIST = 8      # the sample has at most MAX_LISTS * SAMPLE_PER_LIST vectors
 REPLICA_RATIO, REPLICAS = 1.12, 4
-SEARCH_RATIO, SEARCH_LISTS = 1.35, 48
+SEARCH_RATIO = 1.35      # the only bound on the lists a query reads: their number follows the data, not the table's size
 BLOCK_ROWS = 4096
+SLICE_ROWS = 8192        # rows of a batch handed on
 DEGREE, BEAM = 16, 64
 
 
@@ -102,6 +103,11 @@ class CentroidGraph:
         order = np.argsort(dist, axis=1, kind="stable")[:, :n]
         return np.take_along_axis(nodes, order, 1), np.sqrt(np.take_along_axis(dist, order, 1))
 
+    def all(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All centroids, in their order, and their distances to every row of x."""
+        dist = np.sqrt(_distances(x, self.centroids))
+        return np.broadcast_to(np.arange(len(self.centroids)), dist.shape), dist
+
 
 def _matrix(column: pa.Array) -> np.ndarray:
     """Vectors from their bytes (little-endian doubles)."""
@@ -125,18 +131,21 @@ def clean_vectors(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return map_batches(rows, run, "vec_id long, vec binary")
 
 
-def assign_lists(classes: DataFrame, graph, ratio: float, most: int) -> DataFrame:
-    """``classes`` (cid, vec) once per posting list (list) whose centroid is within ``ratio`` of the nearest."""
+def assign_lists(classes: DataFrame, graph, ratio: float, most: int | None) -> DataFrame:
+    """``classes`` (cid, vec) once per posting list (list) whose centroid is within ``ratio`` of the nearest: of the ``most``
+    nearest the graph finds, or of all lists (None), by the distances to all centroids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = CentroidGraph(*graph.value)
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                lists, dist = index.search(_matrix(part.column(1)), most)
-                row, col = np.nonzero((lists >= 0) & (dist <= ratio * dist[:, :1] + 1e-12))
-                pick = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(lists[row, col], pa.int32()), part.column(0).take(pick), part.column(1).take(pick)],
-                                                 names=["list", "cid", "vec"])
+                lists, dist = index.search(_matrix(part.column(1)), most) if most else index.all(_matrix(part.column(1)))
+                row, col = np.nonzero((lists >= 0) & (dist <= ratio * dist.min(1, keepdims=True) + 1e-12))
+                for first in range(0, len(row), SLICE_ROWS):
+                    r, c = row[first:first + SLICE_ROWS], col[first:first + SLICE_ROWS]
+                    pick = pa.array(r)
+                    yield pa.RecordBatch.from_arrays([pa.array(lists[r, c], pa.int32()), part.column(0).take(pick), part.column(1).take(pick)],
+                                                     names=["list", "cid", "vec"])
     return classes.select("cid", "vec").mapInArrow(run, "list int, cid long, vec binary")
 
 
@@ -191,7 +200,7 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, vec_id: str =
     graph = spark.sparkContext.broadcast((built.centroids, built.neighbours, built.entries))
 
     postings = settle(assign_lists(classes, graph, REPLICA_RATIO, REPLICAS), "ann-postings")
-    asked = settle(assign_lists(classes.where("asked = 1"), graph, SEARCH_RATIO, SEARCH_LISTS), "ann-asked")
+    asked = settle(assign_lists(classes.where("asked = 1"), graph, SEARCH_RATIO, None), "ann-asked")
     # blocks of a list's postings and of its queries; one row per list (at most MAX_LISTS and a few)
     blocks = lambda df, name: df.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias(name))
     counts = F.broadcast(settle(blocks(postings, "p").join(blocks(asked, "q"), "list"), "ann-blocks"))

@@ -110,6 +110,17 @@ def test_exact_with_copies_blocks_and_bad_vectors(spark, monkeypatch):
     assert {r.query_id for r in got} == {0, 100, 200}
 
 
+def test_recall_with_several_hundred_lists(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST_ROWS", 50)
+    n = 16_000                                      # 320 lists
+    x = np.random.default_rng(9).normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]         # no cluster structure: the hardest case
+    table = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": x.tolist()}))
+    got = ann.nearest_neighbours(table, F.col("vec_id") % 200 == 0).toPandas().groupby("query_id").vec_id.agg(set)
+    hits = [len(set(np.argsort(((x - x[q]) ** 2).sum(1))[1:11]) & got[q]) for q in range(0, n, 200)]
+    assert np.mean(hits) / 10 >= 0.98
+
+
 def test_few_and_no_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     assert ann.nearest_neighbours(spark.createDataFrame([], schema), F.col("vec_id") % 100 == 0).count() == 0
