@@ -2,7 +2,8 @@
 
 A text is cut into sentences (lines end sentences; a sentence of more than ``MAX_WORDS`` words is cut into
 pieces from its start). From every sentence on, the shortest run of at least two sentences that holds ``MIN_WORDS``
-words is hashed (128 bits of the words, white space made uniform). Runs are joined over all documents; every sentence
+words is hashed (128 bits of the words, white space made uniform), and so is the shortest such run that ends at every
+sentence: together they cover all a longer run would, its tail too. Runs are joined over all documents; every sentence
 covered by a run that is not its first occurrence is removed.
 """
 
@@ -46,16 +47,27 @@ def sentences(text: str) -> tuple[list[tuple[int, int]], list[list[str]]]:
 
 
 def runs(words: list[list[str]]) -> Iterator[tuple[int, int]]:
-    """(first sentence, number of sentences) of the run that starts at each sentence, as far as there is one."""
+    """(first sentence, number of sentences) of the shortest run that starts at each sentence and of the shortest that ends
+    at each, as far as there is one; each run once."""
     n, j, held = len(words), 0, 0
+    shortest = {}
     for i in range(n):
         while j < n and (j - i < MIN_SENTENCES or held < MIN_WORDS):
             held += len(words[j])
             j += 1
         if j - i < MIN_SENTENCES or held < MIN_WORDS:
-            return
+            break
+        shortest[i] = j - i
         yield i, j - i
         held -= len(words[i])
+    i, held = 0, 0
+    for j in range(1, n + 1):
+        held += len(words[j - 1])
+        while j - i > MIN_SENTENCES and held - len(words[i]) >= MIN_WORDS:
+            held -= len(words[i])
+            i += 1
+        if j - i >= MIN_SENTENCES and held >= MIN_WORDS and shortest.get(i) != j - i:
+            yield i, j - i
 
 
 def span_places(keyed: DataFrame) -> DataFrame:

@@ -227,6 +227,29 @@ def test_span_dedup_equals_brute_force(docs_of):
     assert sum(passage[10:] in (r[3] or "") for r in got) == 1
 
 
+def test_span_dedup_covers_tails(docs_of):
+    rng = random.Random(11)
+
+    def sentence(n):
+        return " ".join(words(rng, n)).capitalize() + f" {rng.random()}."
+    copy = " ".join(sentence(n) for n in (14, 14, 2))
+    passages = [" ".join(sentence(rng.choice((2, 3, 6, 12))) for _ in range(9)) for _ in range(3)]
+    rows = [(0, copy), (1, copy)] + [(i, " ".join([sentence(12), passages[i % 3], sentence(3), sentence(15)])) for i in range(2, 17)]
+    seen, want = {}, {}
+    for i, t in rows:      # all runs, not only the shortest
+        found = span_dedup.sentences(t)[1]
+        gone = set()
+        for a in range(len(found)):
+            for b in range(a + span_dedup.MIN_SENTENCES, len(found) + 1):
+                key = tuple(x for w in found[a:b] for x in w)
+                if len(key) >= span_dedup.MIN_WORDS and seen.setdefault(key, (i, a)) != (i, a):
+                    gone |= set(range(a, b))
+        want[i] = len(gone)
+    got = {r.doc_id: r for r in span_dedup.remove_repeated_spans(docs_of(rows)).collect()}
+    assert {i: r.n_removed for i, r in got.items()} == want
+    assert got[1].text == "" and got[1].n_removed == 3
+
+
 def test_sentences_cover_the_text():
     t = "  A b. C d!  E\n\n" + " ".join(["x"] * 45) + "?"
     spans, found = span_dedup.sentences(t)
