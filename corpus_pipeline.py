@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemart.llm import lattice, line_dedup, mixing, nbsvm, simhash
-from pagemart.llm.common import read_table, settle
+from pagemart.llm.common import doc_key, read_table, settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -27,14 +27,11 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id. Of rows that share an id
-    one stays, and one of all rows without an id whose group has none."""
-    groups = simhash.near_duplicates(docs.select("doc_id", "text"))
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id IS NOT NULL").join(first.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = groups.where("component_id IS NULL").limit(1).select(F.lit(1).alias("one"))
-    one = docs.where("doc_id IS NULL").limit(1).withColumn("one", F.lit(1)).join(nameless, "one", "left_semi").drop("one")
-    return kept.select(*docs.columns).unionByName(one)
+    """One document of each group of near-duplicates: the first by (doc_id, text hash), one without an id only if no
+    member has one. Of rows alike in id and text one stays."""
+    key = ["k_id", "k_text"]
+    single = docs.select("*", *doc_key()).dropDuplicates(key)      # before the join, so that repeated rows meet in part already
+    return single.join(simhash.group_firsts(docs).hint("merge"), key, "left_semi").select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

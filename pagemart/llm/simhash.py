@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_KEYS, as_bytes, components, lookup, map_batches, settle
+from .common import HOT_KEYS, as_bytes, components, doc_key, lookup, map_batches, settle
 
 PIVOTS = 8            # one byte of a long each
 BUCKET_ROWS = 4096    # members of a bucket that one task compares
@@ -171,6 +171,26 @@ def fingerprint_links(distinct: DataFrame, max_bits: int, bucket_rows: int = BUC
     return dealt.mapInArrow(_links(masks, max_bits), "a long, b long")
 
 
+def _roots(classes: DataFrame, max_bits: int) -> DataFrame:
+    """(node, root) of the distinct fingerprints ``classes(fp)`` that have a link."""
+    distinct = settle(_with_pivots(classes), "simhash-pivots")
+    return components(fingerprint_links(distinct, max_bits), "simhash-links")
+
+
+def group_firsts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """One row per group of near-duplicates, groups without an id included: the key (k_id, k_text) of its first row by
+    (doc_id, text hash), rows without an id last. Groups are those of ``near_duplicates``; equal fingerprints meet by a
+    partial aggregation."""
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        fp = np.array([simhash64(t, shingle) for t in as_bytes(b.column(3))], dtype=np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), pa.array(fp)], names=["nameless", "k_id", "k_text", "fp"])
+    keyed = docs.select(F.col(doc_id).isNull().alias("nameless"), *doc_key(doc_id, text), F.col(text).cast("binary").alias("t"))
+    rows = map_batches(keyed, run, "nameless boolean, k_id long, k_text long, fp long")
+    classes = settle(rows.groupBy("fp").agg(F.min(F.struct("nameless", "k_id", "k_text")).alias("first")), "simhash-firsts")
+    grouped = classes.join(_roots(classes, max_bits).toDF("fp", "root"), "fp", "left").select(F.coalesce("root", "fp").alias("root"), "first")
+    return grouped.groupBy("root").agg(F.min("first").alias("first")).select("first.k_id", "first.k_text")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4,
                     max_bits: int = 4) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
@@ -182,8 +202,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     fps = settle(fingerprints(docs, doc_id, text, shingle), "simhash-fp")
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     classes = settle(classes, "simhash-classes")
-    distinct = settle(_with_pivots(classes), "simhash-pivots")
-    roots = components(fingerprint_links(distinct, max_bits), "simhash-links")
+    roots = _roots(classes, max_bits)
     linked = classes.join(roots.toDF("fp", "root"), "fp")
     least = linked.groupBy("root").agg(F.min("first_id").alias("least"))
     merged = linked.join(least, "root").select("fp", "least")

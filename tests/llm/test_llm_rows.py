@@ -173,3 +173,14 @@ def test_pipeline_takes_odd_rows(spark, docs_of):
     assert mixed.columns == docs.columns and mixed.where("text LIKE 'x%'").count() >= 2
     assert corpus_pipeline.pieces(spark, docs, SF).count() == len(rows)
     assert isinstance(corpus_pipeline.run, type(fill)) and pd.DataFrame(corpus_pipeline.STAGES).shape == (5, 2)
+
+
+def test_pipeline_keeps_one_of_every_group(spark, docs_of):
+    def text(word):
+        return " ".join(f"{word}{i}" for i in range(60))
+    rows = [(None, text("a")), (None, text("a")), (None, text("b")), (None, text("c")), (4, text("c")),     # a and b have no ids
+            (5, text("d")), (5, text("e")), (5, text("e")), (6, text("e")), (None, None), (7, "")]
+    near = corpus_pipeline.near_duplicates(spark, docs_of(rows), SF)
+    want = [(None, text("a")), (None, text("b")), (4, text("c")), (5, text("d")), (5, text("e")), (7, "")]
+    assert sorted((r.doc_id or 0, r.text) for r in near.collect()) == sorted((i or 0, x) for i, x in want)
+    assert near.columns == docs_of(rows).columns
