@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from pagemart.plans.refresh import LayerStore, refresh
 from pagemart.sources import landing
 from pagemart.streaming.ingest import STAGING_TABLES, daily_paths, start_ingest_stream

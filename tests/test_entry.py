@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF001, SF01
+from paths import SF001, SF01
 from pagemart.registry import Layers
 
 

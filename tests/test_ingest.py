@@ -9,7 +9,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from pagemart.plans.refresh import LayerStore
 from pagemart.sources import landing, pagelists
 from pagemart.sources.responses import ingest

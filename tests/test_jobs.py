@@ -67,7 +67,7 @@ def test_video_table_holds_posts_of_any_page(spark):
 
 def test_ods_outputs_follow_ddl_order(spark):
     import __spark_entry__ as E
-    from conftest import SF001
+    from paths import SF001
     assert tuple(E.queries()["ods_posts"](spark, SF001).columns) == ods.POST_COLUMNS
     assert tuple(E.queries()["ods_insights"](spark, SF001).columns) == ods.INSIGHT_COLUMNS
     assert tuple(E.queries()["ods_clients"](spark, SF001).columns) == ods.CLIENT_COLUMNS

@@ -6,7 +6,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF01
+from paths import SF01
 from oracle_compare import compare
 
 from pagemart.registry import QUERIES
@@ -32,7 +32,7 @@ TYPE_NAMES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "date":
 
 
 def test_result_types_agree(spark):
-    from conftest import SF001
+    from paths import SF001
     from oracle_compare import duck
     con = duck(SF001)
     ora = E.oracle_sql()

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import SF001
+from paths import SF001
 from pagemart.registry import QUERIES
 
 

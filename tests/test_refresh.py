@@ -9,7 +9,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from paths import SF01
 from pagemart.plans.rejects import RejectedRows
 from pagemart.plans.refresh import LayerStore, refresh
 from pagemart.registry import Layers

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF01
+from paths import SF01
 from pagemart.functions import has_json
 from pagemart.operators.explode import explode_json_object
 from pagemart.plans import ods
