@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_extract, lattice, line_dedup, mixing, nbsvm, simhash, span_dedup, token_counts, weak_rules
+from . import (ann, exact_topk, html_extract, lattice, line_dedup, merkle, mixing, nbsvm, simhash, span_dedup, token_counts,
+               vector_codes, weak_rules)
 from .common import read_table
 
 
@@ -58,6 +59,19 @@ def op10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_dedup.remove_repeated_spans(docs)
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(read_table(spark, sf_dir, "documents"))
+
+
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, _ = vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extract": op1_extract,
     "op2_simhash": op2_simhash,
@@ -69,8 +83,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix": op8_mix,
     "op9_neighbours": op9_neighbours,
     "op10_spans": op10_spans,
+    "op11_manifest": op11_manifest,
+    "op12_codes": op12_codes,
+    "op13_topk": op13_topk,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op8_mix": mixing.MIX_SQL,
+    "op11_manifest": merkle.MANIFEST_SQL,
+    "op12_codes": vector_codes.CODES_SQL,
+    "op13_topk": exact_topk.TOPK_SQL,
 }
