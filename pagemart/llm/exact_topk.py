@@ -79,7 +79,7 @@ class Query:
             if len(at) > self.k:                     # k candidates that reach this whatever the rest is
                 sure = score - more
                 reached = np.partition(sure, len(at) - self.k)[len(at) - self.k]
-                reached = math.floor(reached - abs(reached) * 1e-9) - 1
+                reached = min(math.floor(reached - abs(reached) * 1e-9) - 1, LONG_MAX)
                 floor = reached if floor is None else max(floor, reached)
             if floor is not None:
                 stay = score + more + abs(score.astype(float)) * 1e-9 + 1 >= floor
@@ -87,6 +87,8 @@ class Query:
         self.take(block.ids[at], score)
 
     def take(self, ids: np.ndarray, score: np.ndarray) -> None:
+        if score.dtype == object:
+            score = np.array([max(min(s, LONG_MAX), -LONG_MAX - 1) for s in score], dtype=object)
         if len(ids) > self.k:
             order = np.lexsort((ids, -score)) if score.dtype != object else sorted(range(len(ids)), key=lambda j: (-score[j], ids[j]))
             ids, score = ids[order[:self.k]], score[order[:self.k]]
@@ -120,8 +122,7 @@ class Tile:
                 q.meet(block)
 
     def found(self) -> list[tuple[int, int | None, int, int]]:
-        hold = lambda s: max(min(s, LONG_MAX), -LONG_MAX - 1)
-        return [(q.key, q.own, -i, hold(s)) for q in self.queries for s, i in q.best]
+        return [(q.key, q.own, -i, s) for q in self.queries for s, i in q.best]
 
 
 NO_ID = 2 ** 63 - 1      # stands for a null id: the last of equal scores
@@ -164,7 +165,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = TOP, vec_id: str = "ve
     another id than any, is last among ties and comes back as null. A row with a null id can only be a query if ``is_query`` says
     so. Queries that repeat id and vector are one; queries that share an id only are searched each. Repeated candidates are rows of their own.
     Null vectors and vectors with null or non-finite components take no part, zero vectors do. Vectors of different length have no
-    inner product and are not compared. Components and scores beyond the range of a long stay at its bounds. An
+    inner product and are not compared. Components and scores beyond the range of a long stay at its bounds, and tie there. An
     empty table gives no rows; further columns play no part, whatever their names."""
     spark = vectors.sparkSession
     rows = settle(vectors.where(usable(vec)).select(

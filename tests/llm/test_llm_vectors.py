@@ -181,8 +181,9 @@ def topk_by_hand(rows, k=5):
     ok = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
     asked = {(i, tuple(v)) for i, v in ok if i is not None and i % 50 == 0}
     for q, v in asked:
-        scored = sorted((-sum(a * b for a, b in zip(v, w)), c is None, c or 0) for c, w in ok if c != q and len(w) == len(v))
-        out += [(q, n, None if none else c, max(min(-s, 2 ** 63 - 1), -2 ** 63)) for n, (s, none, c) in enumerate(scored[:k], 1)]
+        held = lambda w: max(min(sum(a * b for a, b in zip(v, w)), 2 ** 63 - 1), -2 ** 63)
+        scored = sorted((-held(w), c is None, c or 0) for c, w in ok if c != q and len(w) == len(v))
+        out += [(q, n, None if none else c, -s) for n, (s, none, c) in enumerate(scored[:k], 1)]
     return sorted(out, key=repr)
 
 
