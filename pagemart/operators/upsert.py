@@ -99,6 +99,19 @@ def upsert_partial(records: DataFrame, keys: Sequence[str], seq: Sequence[str |
     picks = [F.expr(f"max_by(named_struct('v', `{c}`), {order[c]}).v").alias(c) for c in columns]
     if order_col is None:
         return recs.groupBy(*keys).agg(*picks)
-    lasts = F.expr("map_from_entries(filter(array(" + ", ".join(
-        f"named_struct('key', '{c}', 'value', max({order[c]}))" for c in columns) + "), e -> e.value IS NOT NULL))")
-    return recs.groupBy(*keys).agg(*picks, lasts.alias(order_col))
+    return recs.groupBy(*keys).agg(*picks, _latest(order).alias(order_col))
+
+
+def _latest(order: dict[str, str]) -> Column:
+    """Map from column to the highest order any row has for it."""
+    return F.expr("map_from_entries(filter(array(" + ", ".join(
+        f"named_struct('key', '{c}', 'value', max({o}))" for c, o in order.items()) + "), e -> e.value IS NOT NULL))")
+
+
+def merge_tracked(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], order_col: str) -> DataFrame:
+    """One row per key from rows that ``upsert_partial`` made with ``order_col``: per column the value of the row with the highest
+    order for it, null included; a column no row has an order for is NULL. Merging is associative and does not depend on
+    the order of the rows."""
+    order = {c: f"`{order_col}`['{c}']" for c in columns}
+    picks = [F.expr(f"max_by(named_struct('v', `{c}`), {order[c]}).v").alias(c) for c in columns]
+    return rows.groupBy(*keys).agg(*picks, _latest(order).alias(order_col))

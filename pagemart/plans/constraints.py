@@ -1,24 +1,31 @@
-"""The declared keys of the target tables, checked over a run's own tables.
+"""The declared keys of the staging and target tables, checked over a run's own tables in one pass.
+
+Every row is turned into claims (constraint, key, side): it holds a key that has to be unique, refers to a key of another
+table, or is the row others refer to. The claims of all tables are stacked and meet in a single aggregation on (constraint, key),
+so a table is read once however many constraints name it, and a key that many rows refer to is one row per task before
+the shuffle.
 
 Fixed values: the declarations below are those of the target schema.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.quality import duplicate_keys, orphans, unique_violations
-
 PRIMARY_KEYS = {
+    "stg_clients": ["id"], "stg_unmanaged_clients": ["id"], "stg_posts": ["id"], "stg_insights": ["id"],
     "ods_clients": ["client_id"], "ods_posts": ["post_id"], "ods_insights": ["insight_id"],
     "ods_data_video": ["post_id"],
     "ods_fans_country": ["insight_id", "country"], "ods_fans_city": ["insight_id", "city"],
     "ods_fans_locale": ["insight_id", "locale"],
     "dim_date": ["date_id"], "dim_client": ["client_id"], "dim_post_type": ["post_type_id"],
     "dim_location": ["location_id"], "fact_posts": ["post_id"], "fact_insights": ["insight_id"],
+    "fact_fan_demographics": ["fact_id"],
 }
 UNIQUE_KEYS = {"dim_date": ["full_date"], "dim_post_type": ["label"], "dim_location": ["location_type", "location_label"]}
 FOREIGN_KEYS = [  # child, column, parent, column
@@ -35,18 +42,77 @@ FOREIGN_KEYS = [  # child, column, parent, column
 ]
 
 
-def _shape(found: DataFrame, kind: str, table: str, cols: list[str]) -> DataFrame:
-    value = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in cols])
-    return found.select(F.lit(f"{kind} {table}({', '.join(cols)})").alias("broken"), value.alias("value"),
-                        F.col("n_rows").cast("bigint").alias("n_rows"))
+PRIMARY, UNIQUE, FOREIGN = "primary key", "unique", "foreign key"
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
+
+
+@dataclass
+class Constraint:
+    """A declared key; ``parent`` and ``parent_columns`` for a foreign key."""
+    kind: str
+    table: str
+    columns: Sequence[str]
+    parent: str | None = None
+    parent_columns: Sequence[str] = ()
+
+    @property
+    def name(self) -> str:
+        of = f"foreign key to {self.parent} of" if self.kind == FOREIGN else self.kind
+        return f"{of} {self.table}({', '.join(self.columns)})"
+
+    def holders(self) -> list[tuple[str, Sequence[str], bool]]:
+        """The sides of the constraint: (table, its columns, whether it is the side that is checked)."""
+        own = [(self.table, self.columns, True)]
+        return own + ([(self.parent, self.parent_columns, False)] if self.parent else [])
+
+
+def declared() -> list[Constraint]:
+    return ([Constraint(PRIMARY, t, k) for t, k in PRIMARY_KEYS.items()] + [Constraint(UNIQUE, t, k) for t, k in UNIQUE_KEYS.items()]
+            + [Constraint(FOREIGN, child, [c], parent, [p]) for child, c, parent, p in FOREIGN_KEYS])
 
 
-def violations(tables: dict[str, DataFrame]) -> DataFrame | None:
-    """(broken constraint, value, n_rows) over the tables given; constraints on other tables are skipped. None without any."""
-    parts = [_shape(duplicate_keys(tables[t], k), "primary key", t, k) for t, k in PRIMARY_KEYS.items() if t in tables]
-    parts += [_shape(unique_violations(tables[t], k), "unique", t, k) for t, k in UNIQUE_KEYS.items() if t in tables]
-    for child, c, parent, p in FOREIGN_KEYS:
-        if child in tables and parent in tables:
-            lost = orphans(tables[child].select(c), [c], tables[parent], [p]).groupBy(c).agg(F.count(F.lit(1)).alias("n_rows"))
-            parts.append(_shape(lost, f"foreign key to {parent} of", child, [c]))
+def _checkable(c: Constraint, tables: dict[str, DataFrame]) -> bool:
+    return all(t in tables and set(cols) <= set(tables[t].columns) for t, cols, _ in c.holders())
+
+
+def _numeric(c: Constraint, tables: dict[str, DataFrame]) -> bool:
+    """Whether the key starts with an integer on every side; that column then travels as a long, all others as text."""
+    return all(dict(tables[t].dtypes)[cols[0]] in INTEGERS for t, cols, _ in c.holders())
+
+
+def _claim(number: int, c: Constraint, cols: Sequence[str], checked: bool, numeric: bool) -> Column:
+    texts = [F.col(x).cast("string") for x in (cols[1:] if numeric else cols)]
+    claim = F.struct(F.lit(number).alias("c"), (F.col(cols[0]).cast("long") if numeric else F.lit(None).cast("long")).alias("num"),
+                     (F.array(*texts) if texts else F.lit(None).cast("array<string>")).alias("txt"), F.lit(checked).alias("checked"))
+    if c.kind == PRIMARY:
+        return claim                        # a null in a primary key is a violation; elsewhere it makes no claim
+    return F.when(reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in cols]), claim)
+
+
+def claims(tables: dict[str, DataFrame], checks: Sequence[Constraint]) -> DataFrame | None:
+    """Rows (c, num, txt, checked) of all ``tables`` for the constraints, one pass per table."""
+    by_table: dict[str, list[Column]] = {}
+    for i, c in enumerate(checks):
+        for table, cols, checked in c.holders():
+            by_table.setdefault(table, []).append(_claim(i, c, cols, checked, _numeric(c, tables)))
+    parts = [tables[t].select(F.explode(F.array(*own)).alias("x")).where("x IS NOT NULL").select("x.*") for t, own in by_table.items()]
     return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def violations(tables: dict[str, DataFrame], kinds: Sequence[str] = (PRIMARY, UNIQUE, FOREIGN)) -> DataFrame | None:
+    """(broken, value, n_rows): every key value that breaks a declared constraint and how many rows hold it, over the
+    tables given; constraints on other tables or on columns a table does not have are skipped. None without any."""
+    checks = [c for c in declared() if c.kind in kinds and _checkable(c, tables)]
+    stacked = claims(tables, checks)
+    if stacked is None:
+        return None
+    met = stacked.groupBy("c", "num", "txt").agg(F.count_if("checked").alias("n_rows"), F.bool_or(~F.col("checked")).alias("known"))
+    at = F.col("c") + 1
+    kind, name = (F.element_at(F.array(*[F.lit(v) for v in vs]), at) for vs in ([c.kind for c in checks], [c.name for c in checks]))
+    numeric = F.element_at(F.array(*[F.lit(_numeric(c, tables)) for c in checks]), at)
+    parts = F.concat(F.when(numeric, F.array(F.col("num").cast("string"))).otherwise(F.array().cast("array<string>")),
+                     F.coalesce("txt", F.array().cast("array<string>")))
+    keyed = met.select(kind.alias("kind"), name.alias("broken"), parts.alias("key"), "n_rows", "known")
+    broken = F.when(F.col("kind") == FOREIGN, ~F.col("known") & (F.col("n_rows") > 0)).when(F.col("kind") == UNIQUE, F.col("n_rows") > 1) \
+        .otherwise((F.col("n_rows") > 1) | F.exists("key", lambda k: k.isNull()))
+    return keyed.where(broken).select("broken", F.array_join("key", "|", "NULL").alias("value"), F.col("n_rows").cast("bigint").alias("n_rows"))

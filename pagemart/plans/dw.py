@@ -17,13 +17,16 @@ Scale notes
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import json_fields, to_int
-from ..operators import date_key, sequential_ids, unique_ids
-from .ods import CLIENT_COLUMNS, INSIGHT_COUNTERS, VIDEO_FIELDS, video_columns
+from ..operators import continued_ids, date_key, dense_ids, sequential_ids
+from .ods import CLIENT_COLUMNS, FAN_KINDS, INSIGHT_COUNTERS, VIDEO_FIELDS, video_columns
 
 # Fixed value (must equal the reference): first day of the date dimension.
 DATE_START = dt.date(2010, 1, 1)
@@ -79,18 +82,36 @@ def dim_client(clients_clean: DataFrame) -> DataFrame:
     return clients_clean.select(*CLIENT_COLUMNS)
 
 
+LOCATION_KEY = ["location_type", "location_label"]
+
+
+def post_type_labels(posts_clean: DataFrame) -> DataFrame:
+    return posts_clean.where(F.col("post_type").isNotNull()).select(F.col("post_type").alias("label")).distinct()
+
+
+def location_labels(fan_rows: DataFrame) -> DataFrame:
+    return fan_rows.select(*LOCATION_KEY).distinct()
+
+
 def dim_post_type(posts_clean: DataFrame) -> DataFrame:
     """Distinct non-NULL post type labels with dense ids in label order."""
-    labels = posts_clean.where(F.col("post_type").isNotNull()).select(F.col("post_type").alias("label")).distinct()
-    return sequential_ids(labels, ["label"], "post_type_id").select("post_type_id", "label")
+    return sequential_ids(post_type_labels(posts_clean), ["label"], "post_type_id").select("post_type_id", "label")
 
 
 def dim_location(fan_rows: DataFrame) -> DataFrame:
     """Distinct (type, label) over the fan entries of all kinds (``ods.fan_entries``; a NULL
     label is one value, as in UNION) with dense ids in (type, label) order."""
-    pairs = fan_rows.select("location_type", "location_label").distinct()
-    return sequential_ids(pairs, ["location_type", "location_label"], "location_id").select(
-        "location_id", "location_type", "location_label")
+    return sequential_ids(location_labels(fan_rows), LOCATION_KEY, "location_id").select("location_id", *LOCATION_KEY)
+
+
+def registered(labels: DataFrame, key: Sequence[str], id_col: str, known: DataFrame | None) -> DataFrame:
+    """Registry of a label dimension after this run (``operators.continued_ids``), with ``current``: whether the run holds the label.
+    The dimension is the rows that are current."""
+    key = list(key)
+    now = labels.select(*[F.col(c).alias(f"__{c}") for c in key], F.lit(True).alias("__now"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key])
+    return (continued_ids(labels, key, id_col, known).join(now, same, "left")
+            .select(id_col, *key, F.coalesce("__now", F.lit(False)).alias("current")))
 
 
 def click_columns(click_map: Column) -> dict[str, Column]:
@@ -131,12 +152,14 @@ def fact_fan_demographics(fan_rows: DataFrame, locations: DataFrame, start: dt.d
                           end: dt.date | None = None, with_fact_id: bool = True) -> DataFrame:
     """One row per fan entry (``ods.fan_entries``, all kinds in one table) whose (type, label)
     is a location and whose day is in the date dimension (both inner joins in the load: other
-    rows are dropped). One join on (type, label) serves all three kinds. ``fact_id`` is unique
-    but not dense, like a SERIAL filled by one statement."""
-    rows = fan_rows.join(locations, ["location_type", "location_label"], "inner")
+    rows are dropped). One join on (type, label) serves all three kinds. ``fact_id`` numbers the rows
+    1..n as the load's three statements do, country, city, then locale, each by insight and location."""
+    rows = fan_rows.join(locations, LOCATION_KEY, "inner")
     date_id = date_key(F.col("insight_date"), start, end).cast("int")
-    out = rows.select("insight_id", "client_id", date_id.alias("date_id"), "location_id", "nb_fans") \
+    cols = ["insight_id", "client_id", "date_id", "location_id", "nb_fans"]
+    kind = F.array_position(F.array(*map(F.lit, FAN_KINDS)), F.col("location_type")).cast("int")
+    out = rows.select("insight_id", "client_id", date_id.alias("date_id"), "location_id", "nb_fans", kind.alias("__kind")) \
               .where(F.col("date_id").isNotNull())
-    if with_fact_id:
-        out = unique_ids(out, "fact_id").select("fact_id", "insight_id", "client_id", "date_id", "location_id", "nb_fans")
-    return out
+    if not with_fact_id:
+        return out.select(*cols)
+    return dense_ids(out, ["__kind", "insight_id", "location_id"], "fact_id").select("fact_id", *cols)

@@ -15,6 +15,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +65,21 @@ class LayerStore:
             markers = markers.where(F.col("run_id") < F.lit(before))
         return markers.agg(F.max("run_id")).first()[0]
 
+    def last_of(self, table: str) -> DataFrame | None:
+        """``table`` of the newest committed run that wrote it, None if none did."""
+        try:
+            runs = self.spark.read.schema("run_id string").json(f"{self.root.rstrip('/')}/{MARKERS}/*")
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root.rstrip('/')}/{table}")
+            made = at.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(at)
+        except (AnalysisException, Py4JJavaError) as e:
+            if isinstance(e, AnalysisException) and e.getCondition() != "PATH_NOT_FOUND" or \
+                    isinstance(e, Py4JJavaError) and "FileNotFoundException" not in str(e.java_exception):
+                raise
+            return None
+        there = [f.getPath().getName() for f in made]
+        run = runs.where(F.col("run_id").isin(there)).agg(F.max("run_id")).first()[0]
+        return self.read(table, run) if run else None
+
     def read(self, table: str, run_id: str | None = None) -> DataFrame:
         """A table of the given run (default: the newest committed run)."""
         run = run_id or self.latest_run()
@@ -74,7 +90,7 @@ class LayerStore:
 
 def refresh(spark: SparkSession, staging: dict[str, DataFrame], store: LayerStore, start: dt.date = dw.DATE_START,
             end: dt.date | None = None, strict_deleted: bool = False, carry_clicks: bool = False,
-            partition_facts_by_year: bool = False, strict: bool = False) -> dict[str, DataFrame]:
+            partition_facts_by_year: bool = False, strict: bool = False, keep_keys: bool = False) -> dict[str, DataFrame]:
     """Run ODS, cleaning and DW from the four staging tables (``stg_clients``,
     ``stg_unmanaged_clients``, ``stg_posts``, ``stg_insights``); returns the written tables.
 
@@ -86,7 +102,11 @@ def refresh(spark: SparkSession, staging: dict[str, DataFrame], store: LayerStor
 
     ``rejects`` holds every value that could not be loaded (bad JSON, bad integers, labels dropped by
     cleaning) and ``broken_keys`` every violated key of the written tables; with ``strict`` a run
-    with rejects, or with a repeated primary key in the ODS, stops before it is committed."""
+    with rejects, or with a repeated primary key in the staging tables or the ODS, stops before it is committed.
+
+    With ``keep_keys`` the ids of post types and locations continue those of the last committed run under ``store.root`` that
+    kept them: known labels keep their id, new ones are appended (tables ``keys_post_type``, ``keys_location``). Otherwise every run
+    numbers its labels from 1."""
     end = end or dw.today_utc()
     stg_c, stg_u = staging["stg_clients"], staging["stg_unmanaged_clients"]
     stg_p, stg_i = staging["stg_posts"], staging["stg_insights"]
@@ -107,16 +127,21 @@ def refresh(spark: SparkSession, staging: dict[str, DataFrame], store: LayerStor
     out["rejects"] = store.write(refresh_rejects(stg_p, ods.ods_insights(stg_i, pages), carry_clicks), "rejects")
     if strict:
         bad = out["rejects"].limit(1).collect()
-        keys = constraints.violations({t: out[t] for t in ("ods_clients", "ods_posts", "ods_insights", "ods_data_video")})
-        bad = bad or keys.where("broken LIKE 'primary%'").limit(1).collect()
+        bad = bad or constraints.violations(staging | out, [constraints.PRIMARY]).limit(1).collect()
         if bad:
             raise RejectedRows(f"run {store.run_id}: {bad[0].asDict()}")
 
     # dimensions, written before the facts that carry their ids
     out["dim_date"] = store.write(dw.dim_date(spark, start, end), "dim_date")
     out["dim_client"] = store.write(dw.dim_client(out["ods_clients"]), "dim_client")
-    out["dim_post_type"] = store.write(dw.dim_post_type(out["ods_posts"]), "dim_post_type")
-    out["dim_location"] = store.write(dw.dim_location(fan_rows), "dim_location")
+    for table, labels, key, id_col in (
+            ("post_type", dw.post_type_labels(out["ods_posts"]), ["label"], "post_type_id"),
+            ("location", dw.location_labels(fan_rows), dw.LOCATION_KEY, "location_id")):
+        known = store.last_of(f"keys_{table}") if keep_keys else None
+        registry = dw.registered(labels, key, id_col, known)
+        if keep_keys:
+            registry = store.write(registry, f"keys_{table}")
+        out[f"dim_{table}"] = store.write(registry.where("current").select(id_col, *key), f"dim_{table}")
 
     # facts. The post fact takes the video counters from the same staged row as the post (the
     # video table is a projection of it), which replaces a shuffle join of two post-sized tables.
@@ -130,6 +155,6 @@ def refresh(spark: SparkSession, staging: dict[str, DataFrame], store: LayerStor
     out["fact_insights"] = write_fact(dw.fact_insights(out["ods_insights"], start, end), "fact_insights")
     out["fact_fan_demographics"] = write_fact(
         dw.fact_fan_demographics(fan_rows, out["dim_location"], start, end), "fact_fan_demographics")
-    out["broken_keys"] = store.write(constraints.violations(out), "broken_keys")
+    out["broken_keys"] = store.write(constraints.violations(staging | out), "broken_keys")
     store.commit()
     return out

@@ -9,6 +9,7 @@ order and are compared.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -21,7 +22,9 @@ from .functions.posts import clean_post_type
 from .operators import (bad_ints, bad_json, duplicate_keys, insert_ignore, insert_or_replace, orphans, unique_violations,
                         upsert_partial)
 from .plans import clean, constraints, dw, ods, rejects
+from .session import ensure_checkpoint_dir
 from .sources import testdata
+from .storage import written
 
 
 class Layers:
@@ -92,10 +95,24 @@ class Layers:
         return dw.fact_posts(posts, self.dim_post_type, self.video(), self.start)
 
     def key_tables(self) -> dict[str, DataFrame]:
-        return {"ods_clients": self.ods_clients(), "ods_posts": self.ods_posts(), "ods_insights": self.ods_insights,
-                "ods_data_video": self.video(), "dim_date": self.dim_date(), "dim_client": dw.dim_client(self.clean_clients()),
-                "dim_post_type": self.dim_post_type, "dim_location": self.dim_location, "fact_posts": self.fact_posts(),
-                "fact_insights": self.fact_insights(), "fact_fan_demographics": self.fact_fan_demographics()}
+        """Every table that declares a key. What several of them come from is written first, so that it is built once."""
+        at = Layers(self.spark, self.sf_dir, self.start)
+        at.pages = written(self.pages, "keys-pages")
+        at.ods_insights = written(clean.clean_insights(at.ods_insights), "keys-insights")
+        at.clean_fan_rows = fans = written(at.clean_fan_rows, "keys-fans")
+        posts = written(at.clean_posts(), "keys-posts").withColumn("data", F.lit(None).cast("string"))   # no key in the payload
+        clients = written(self.clean_clients(), "keys-clients")
+        at.dim_post_type = written(dw.dim_post_type(posts), "keys-post-types")
+        at.dim_location = written(dw.dim_location(fans), "keys-locations")
+        dates = written(self.dim_date(), "keys-dates")
+        per_kind = {f"ods_fans_{kind}": fans.where(F.col("location_type") == kind)
+                    .select("insight_id", "client_id", F.col("location_label").alias(label)) for kind, (_, label, _) in ods.FAN_KINDS.items()}
+        return {"stg_clients": self.stg.clients, "stg_unmanaged_clients": self.stg.unmanaged_clients, "stg_posts": self.stg.posts,
+                "stg_insights": self.stg.insights, "ods_clients": clients, "ods_posts": posts, "ods_insights": at.ods_insights,
+                "ods_data_video": self.video(), **per_kind, "dim_date": dates, "dim_client": dw.dim_client(clients),
+                "dim_post_type": at.dim_post_type, "dim_location": at.dim_location, "fact_posts": dw.fact_posts(posts, at.dim_post_type, None, self.start),
+                "fact_insights": dw.fact_insights(at.ods_insights, self.start),
+                "fact_fan_demographics": dw.fact_fan_demographics(fans, at.dim_location, self.start)}
 
     def fact_insights(self) -> DataFrame:
         return dw.fact_insights(self.clean_insights(), self.start)
@@ -190,9 +207,29 @@ def _staged_as_adapter(table: str, adapter) -> Callable[[SparkSession, str], Dat
     return run
 
 
-def _last_planned_day(spark: SparkSession, sf_dir: str) -> dt.date:
-    """A fixed end instead of today, so the result can be compared."""
-    return dt.date(2030, 12, 31)
+def _staged_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts table of the landed responses when they are staged in three batches, as deltas, and a third of the buckets is
+    compacted between."""
+    from .sources import landing
+    from .streaming.deltas import DeltaStore
+    from .streaming.ingest import stage_batch
+    at = LANDED.get(sf_dir)
+    landed = spark.read.parquet(at) if at else written(landing.landed_responses(spark, sf_dir), "landed")
+    root = f"{ensure_checkpoint_dir(spark)}/deltas-{uuid.uuid4().hex}"
+    for i in range(3):
+        stage_batch(spark, landed.where(F.pmod(F.xxhash64("page_id", "chunk"), F.lit(3)) == i), root, i)
+        if i == 1:
+            DeltaStore(spark, root).compact(["stg_posts"], range(0, 64, 3))
+    return DeltaStore(spark, root).read("stg_posts")
+
+
+def _keys_over_runs(L: Layers) -> DataFrame:
+    """Page names as labels: a first run sees the managed list, a second one both lists, a third only the unmanaged one. Known
+    names keep their id, new ones are appended, names that are gone stay registered."""
+    managed, unmanaged = (df.select(initcap_words(F.col("name")).alias("label")) for df in (L.stg.clients, L.stg.unmanaged_clients))
+    first = written(dw.registered(managed.distinct(), ["label"], "label_id", None), "registry")
+    second = written(dw.registered(managed.unionByName(unmanaged).distinct(), ["label"], "label_id", first), "registry")
+    return dw.registered(unmanaged.distinct(), ["label"], "label_id", second)
 
 
 def _unique_values(L: Layers) -> DataFrame:
@@ -246,7 +283,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_fans": _L(lambda L: L.clean_fan_rows),
     # star schema
     "dim_date": _L(lambda L: L.dim_date()),
-    "dim_date_production": lambda spark, sf_dir: dw.dim_date(spark, end=_last_planned_day(spark, sf_dir)),
+    "dim_date_production": _L(lambda L: dw.dim_date_through(L.days().select(F.make_date(F.year("d"), F.lit(12), F.lit(31)).alias("d")), L.start)),
     "dim_client": _L(lambda L: dw.dim_client(L.clean_clients())),
     "dim_post_type": _L(lambda L: L.dim_post_type),
     "dim_location": _L(lambda L: L.dim_location),
@@ -254,6 +291,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_posts_from_1995": lambda spark, sf_dir: Layers(spark, sf_dir, dt.date(1995, 1, 1)).fact_posts_with_clicks(),
     "fact_insights": _L(lambda L: L.fact_insights()),
     "fact_fan_demographics": _L(lambda L: L.fact_fan_demographics()),
+    "fact_fan_demographics_ids": _L(lambda L: dw.fact_fan_demographics(L.clean_fan_rows, L.dim_location, L.start)),
+    "keys_over_runs": _L(_keys_over_runs),
     # scalar functions and predicates on whole staging tables
     "initcap_words": _L(lambda L: _both_client_lists(L).select(
         "id", "list", "name", initcap_words(F.col("name")).alias("name_initcap"))),
@@ -282,6 +321,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_unmanaged_clients": _staged_as_adapter("unmanaged_clients", testdata.stg_unmanaged_clients),
     "ingest_insights": _staged_as_adapter("insights", testdata.stg_insights),
     "ingest_posts": _staged_as_adapter("posts", testdata.stg_posts),
+    "ingest_posts_deltas": lambda spark, sf_dir: _staged_in_batches(spark, sf_dir).select(*testdata.stg_posts(spark, sf_dir).columns),
     "ingest_rejects": lambda spark, sf_dir: _ingested(spark, sf_dir).rejects.select("source", "page_id", "chunk", "reason"),
     # keyed write semantics on lineitem as a record stream
     "upsert_partial": q_upsert_partial,

@@ -2,14 +2,13 @@
 
 Landed responses arrive as files (parquet or JSON lines with the columns of
 ``sources.responses``). A file-source stream picks up new files; each micro-batch is staged
-with the same rules as the batch ingest and upserted into the previous staging version:
+with the same rules as the batch ingest and written as one delta of every staging table
+(``streaming.deltas``): a batch writes its own volume, not the load's. Readers merge the deltas.
 
-    stg(version n) = upsert(stg(version n-1), records of batch n)
-
-Every micro-batch writes a complete new staging version named after its batch id and then its
-marker, so a batch that is retried after a failure rewrites the same version (idempotent), and
-readers only see committed versions (``LayerStore.read``). Rejected pages of each batch are kept
-with the version. ``trigger(availableNow=True)`` processes everything landed so far and stops,
+The deltas of a batch are named after its batch id and its marker is written last, so a batch
+that is retried after a failure rewrites the same deltas (idempotent), and readers only see
+committed batches (``DeltaStore.read``). Rejected pages of each batch are kept
+with it. ``trigger(availableNow=True)`` processes everything landed so far and stops,
 which is how a daily run uses it; a continuous trigger works the same way.
 
 Order: records are ordered by (list, list position, response page, array position). Staging keeps the
@@ -17,9 +16,9 @@ order of the record behind every stored value (column ``__order``), so the resul
 how the responses are split into batches, nor on the order the batches come in.
 
 Staging is a full refresh per load (the run empties it first): give each load (e.g. each day) its
-own ``landing_dir``, ``root`` and checkpoint folder, see ``daily_paths``. Within a load, versions
-build on each other; a new load starts from nothing. A version rewrites the load's staging, so
-its cost follows one load's volume, not the history.
+own ``landing_dir``, ``root`` and checkpoint folder, see ``daily_paths``. Within a load, deltas
+build on each other; a new load starts from nothing. ``compact_every`` merges them into the base
+whenever so many are open.
 """
 
 from __future__ import annotations
@@ -27,9 +26,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.refresh import LayerStore
 from ..session import ensure_checkpoint_dir
 from ..sources.responses import RejectedTooMany, ingest
+from .deltas import DeltaStore
 
 LANDED_SCHEMA = ("source string, source_rank int, list_pos bigint, page_id int, chunk int, status int, "
                  "body string")
@@ -41,19 +40,14 @@ def version_id(batch_id: int) -> str:
 
 
 def stage_batch(spark: SparkSession, batch: DataFrame, root: str, batch_id: int,
-                max_reject_ratio: float | None = None) -> LayerStore:
-    """Upsert one batch of landed responses into the newest staging version under ``root``
-    and commit the result as the version of ``batch_id``. A batch with too many rejected
-    responses fails before its commit marker, so readers never see it."""
-    previous = LayerStore(spark, root)
-    # a retried batch upserts into the version before its own again (never into itself)
-    last = previous.latest_run(before=version_id(batch_id))
-    targets = {t: previous.read(t, last) for t in STAGING_TABLES} if last else {}
+                max_reject_ratio: float | None = None, compact_every: int | None = None) -> DeltaStore:
+    """Stage one batch of landed responses as the deltas of ``batch_id`` under ``root`` and commit
+    them. A batch with too many rejected responses fails before its commit marker, so readers never see it."""
     ensure_checkpoint_dir(spark)
-    staged = ingest(batch, targets, track_order=True).materialize()  # validate once for all five outputs
-    store = LayerStore(spark, root, run_id=version_id(batch_id), mode="overwrite")
+    staged = ingest(batch, track_order=True).materialize()  # validate once for all five outputs
+    store = DeltaStore(spark, root, run_id=version_id(batch_id), mode="overwrite")
     for name, df in staged.tables().items():
-        store.write(df, name)
+        store.write_delta(df, name)
     rejects = store.write(staged.rejects, "stg_rejects")
     if max_reject_ratio is not None:
         # from what was written: no second validation pass; the version stays uncommitted
@@ -62,6 +56,8 @@ def stage_batch(spark: SparkSession, batch: DataFrame, root: str, batch_id: int,
             raise RejectedTooMany(f"batch {batch_id}: {bad} of {landed} responses rejected "
                                   f"(limit {max_reject_ratio:.1%})")
     store.commit()
+    if compact_every is not None and store.open_deltas() >= compact_every:
+        store.compact(STAGING_TABLES)
     return store
 
 
@@ -75,7 +71,8 @@ def daily_paths(base: str, day: str) -> dict[str, str]:
 
 def start_ingest_stream(spark: SparkSession, landing_dir: str, root: str, checkpoint_dir: str,
                         fmt: str = "parquet", available_now: bool = True, max_files_per_trigger: int | None = None,
-                        max_reject_ratio: float | None = None, entries: DataFrame | None = None):
+                        max_reject_ratio: float | None = None, entries: DataFrame | None = None,
+                        compact_every: int | None = None):
     """Start the stream; returns the ``StreamingQuery``. ``entries`` (``pagelists.list_entries``) supplies source_rank and list_pos;
     responses of pages that are on no list keep their own."""
     # landed files may sit in sub-folders (one per fetcher, hour, ...)
@@ -90,7 +87,7 @@ def start_ingest_stream(spark: SparkSession, landing_dir: str, root: str, checkp
             "source", F.coalesce("r", "source_rank").alias("source_rank"), F.coalesce("p", "list_pos").alias("list_pos"),
             "page_id", "chunk", "status", "body")
     writer = (landed.writeStream
-              .foreachBatch(lambda df, batch_id: stage_batch(spark, df, root, batch_id, max_reject_ratio))
+              .foreachBatch(lambda df, batch_id: stage_batch(spark, df, root, batch_id, max_reject_ratio, compact_every))
               .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from paths import SF001
 from pagemart.plans.refresh import LayerStore, refresh
 from pagemart.sources import landing
+from pagemart.streaming.deltas import DeltaStore
 from pagemart.streaming.ingest import STAGING_TABLES, daily_paths, start_ingest_stream
 
 
@@ -21,7 +22,7 @@ def test_landed_to_star_schema(spark, scratch):
     landed.where(F.col("source") == "unmanaged").write.parquet(os.path.join(paths["landing_dir"], "unmanaged"))
     start_ingest_stream(spark, paths["landing_dir"] + "/*", paths["root"], paths["checkpoint_dir"]).awaitTermination(300)
 
-    staging = LayerStore(spark, paths["root"])
+    staging = DeltaStore(spark, paths["root"])
     stg = {t: staging.read(t) for t in STAGING_TABLES}
     assert stg["stg_posts"].count() > 0 and stg["stg_insights"].count() > 0
     assert staging.read("stg_rejects").count() > 0

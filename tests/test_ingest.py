@@ -13,6 +13,7 @@ from paths import SF001
 from pagemart.plans.refresh import LayerStore
 from pagemart.sources import landing, pagelists
 from pagemart.sources.responses import ingest
+from pagemart.streaming.deltas import DeltaStore
 from pagemart.streaming.ingest import STAGING_TABLES, start_ingest_stream
 
 LANDED = "source string, source_rank int, list_pos bigint, page_id int, chunk int, status int, body string"
@@ -110,7 +111,7 @@ def test_streaming_batches_upsert_into_previous_version(spark, scratch):
     second.write.parquet(os.path.join(land, "part=2"))
     q = start_ingest_stream(spark, land, root, os.path.join(scratch, "ckpt"))
     q.awaitTermination(120)
-    store = LayerStore(spark, root)
+    store = DeltaStore(spark, root)
     post = store.read("stg_posts").first()
     assert (post.id, post.likes, post.message) == (9, None, "m")
     assert store.read("stg_clients").first().name == "a"
@@ -242,7 +243,7 @@ def test_a_very_long_value_is_staged_by_record(spark):
     from pyspark.sql import functions as F
     from pagemart.sources.responses import ingest_records
     env = spark.createDataFrame([("managed", 0, 0, 1, 0, 200, body({"id": 1}), "envelope", None)], LANDED + ", part string, array_pos int")
-    long = spark.range(1).select(F.concat(F.lit('{"id": 5, "message": "'), F.repeat(F.lit("x"), 25_000_000), F.lit('"}')).alias("b"))
+    long = spark.range(1).select(F.concat(F.lit('{"id": 5, "message": "'), F.expr("repeat('x', CAST(id AS INT) + 25000000)"), F.lit('"}')).alias("b"))
     rec = env.drop("body", "part", "array_pos").crossJoin(long).select("*", F.lit("post").alias("part"), F.lit(0).alias("array_pos")).withColumnRenamed("b", "body")
     out = ingest_records(env.unionByName(rec))
     assert out.posts.select(F.length("message").alias("n")).first().n == 25_000_000 and out.rejects.count() == 0

@@ -61,11 +61,25 @@ def test_insights_semi_join_on_managed_pages(spark):
     assert "LeftSemi" in p and "BroadcastHashJoin" in p
 
 
-def test_dense_ids_rank_in_buckets(spark):
+def test_dense_ids_rank_in_ranges(spark):
     p = plan(QUERIES["dim_location"](spark, SF001))
-    # labels are ranked per bucket; only the bucket counts meet in one task
+    # labels are ranked per key range; what meets in one task is the drawn cut keys (of a fixed number) and the range counts
     assert "Coalesce 1" not in p and "hashpartitioning(__b" in p
-    assert p.count("SinglePartition") == 1 and p.count("FileScan parquet") <= 6
+    assert p.count("SinglePartition") == 1 and "TakeOrderedAndProject(limit=255" in p
+
+
+def test_key_checks_read_each_table_once(spark):
+    from pagemart.plans import constraints
+    from pagemart.registry import Layers
+    from pagemart.storage import written
+    tables = {t: written(df.select(*[c for c in df.columns if c in KEY_COLUMNS]), t) for t, df in Layers(spark, SF001).key_tables().items()}
+    p = plan(constraints.violations(tables))
+    assert p.count("FileScan parquet") == len(tables) == 18
+    assert p.count("Exchange hashpartitioning") == 1 and "Join" not in p and "partial_" in p
+
+
+KEY_COLUMNS = {"id", "client_id", "post_id", "insight_id", "country", "city", "locale", "date_id", "full_date", "post_type_id", "label",
+               "location_id", "location_type", "location_label", "fact_id"}
 
 
 def test_hot_key_aggregations_are_partial(spark):
