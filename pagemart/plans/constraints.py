@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PRIMARY_KEYS = {
@@ -54,6 +54,7 @@ class Constraint:
     columns: Sequence[str]
     parent: str | None = None
     parent_columns: Sequence[str] = ()
+    numeric: bool = False
 
     @property
     def name(self) -> str:
@@ -71,48 +72,51 @@ def declared() -> list[Constraint]:
             + [Constraint(FOREIGN, child, [c], parent, [p]) for child, c, parent, p in FOREIGN_KEYS])
 
 
-def _checkable(c: Constraint, tables: dict[str, DataFrame]) -> bool:
-    return all(t in tables and set(cols) <= set(tables[t].columns) for t, cols, _ in c.holders())
+def _checkable(tables: dict[str, DataFrame], kinds: Sequence[str]) -> list[Constraint]:
+    """The declared constraints of these kinds whose tables and columns are there. A key that starts with an integer on every
+    side is numeric: that column travels as a long, all others as text."""
+    types = {t: dict(df.dtypes) for t, df in tables.items()}
+    checks = [c for c in declared() if c.kind in kinds and all(set(cols) <= set(types.get(t, ())) for t, cols, _ in c.holders())]
+    for c in checks:
+        c.numeric = all(types[t][cols[0]] in INTEGERS for t, cols, _ in c.holders())
+    return checks
 
 
-def _numeric(c: Constraint, tables: dict[str, DataFrame]) -> bool:
-    """Whether the key starts with an integer on every side; that column then travels as a long, all others as text."""
-    return all(dict(tables[t].dtypes)[cols[0]] in INTEGERS for t, cols, _ in c.holders())
-
-
-def _claim(number: int, c: Constraint, cols: Sequence[str], checked: bool, numeric: bool) -> Column:
-    texts = [F.col(x).cast("string") for x in (cols[1:] if numeric else cols)]
-    claim = F.struct(F.lit(number).alias("c"), (F.col(cols[0]).cast("long") if numeric else F.lit(None).cast("long")).alias("num"),
-                     (F.array(*texts) if texts else F.lit(None).cast("array<string>")).alias("txt"), F.lit(checked).alias("checked"))
+def _claim_sql(number: int, c: Constraint, cols: Sequence[str], checked: bool, numeric: bool) -> str:
+    # as text: a Column built node by node costs a driver round trip per node
+    texts = ", ".join(f"CAST(`{x}` AS STRING)" for x in (cols[1:] if numeric else cols))
+    num = f"CAST(`{cols[0]}` AS BIGINT)" if numeric else "CAST(NULL AS BIGINT)"
+    txt = f"array({texts})" if texts else "CAST(NULL AS ARRAY<STRING>)"
+    claim = f"named_struct('c', {number}, 'num', {num}, 'txt', {txt}, 'checked', {str(checked).lower()})"
     if c.kind == PRIMARY:
         return claim                        # a null in a primary key is a violation; elsewhere it makes no claim
-    return F.when(reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in cols]), claim)
+    return f"CASE WHEN {' AND '.join(f'`{x}` IS NOT NULL' for x in cols)} THEN {claim} END"
 
 
 def claims(tables: dict[str, DataFrame], checks: Sequence[Constraint]) -> DataFrame | None:
     """Rows (c, num, txt, checked) of all ``tables`` for the constraints, one pass per table."""
-    by_table: dict[str, list[Column]] = {}
+    by_table: dict[str, list[str]] = {}
     for i, c in enumerate(checks):
         for table, cols, checked in c.holders():
-            by_table.setdefault(table, []).append(_claim(i, c, cols, checked, _numeric(c, tables)))
-    parts = [tables[t].select(F.explode(F.array(*own)).alias("x")).where("x IS NOT NULL").select("x.*") for t, own in by_table.items()]
+            by_table.setdefault(table, []).append(_claim_sql(i, c, cols, checked, c.numeric))
+    parts = [tables[t].selectExpr(f"inline(array({', '.join(own)}))").where("c IS NOT NULL") for t, own in by_table.items()]
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 def violations(tables: dict[str, DataFrame], kinds: Sequence[str] = (PRIMARY, UNIQUE, FOREIGN)) -> DataFrame | None:
     """(broken, value, n_rows): every key value that breaks a declared constraint and how many rows hold it, over the
     tables given; constraints on other tables or on columns a table does not have are skipped. None without any."""
-    checks = [c for c in declared() if c.kind in kinds and _checkable(c, tables)]
+    checks = _checkable(tables, kinds)
     stacked = claims(tables, checks)
     if stacked is None:
         return None
     met = stacked.groupBy("c", "num", "txt").agg(F.count_if("checked").alias("n_rows"), F.bool_or(~F.col("checked")).alias("known"))
-    at = F.col("c") + 1
-    kind, name = (F.element_at(F.array(*[F.lit(v) for v in vs]), at) for vs in ([c.kind for c in checks], [c.name for c in checks]))
-    numeric = F.element_at(F.array(*[F.lit(_numeric(c, tables)) for c in checks]), at)
-    parts = F.concat(F.when(numeric, F.array(F.col("num").cast("string"))).otherwise(F.array().cast("array<string>")),
-                     F.coalesce("txt", F.array().cast("array<string>")))
-    keyed = met.select(kind.alias("kind"), name.alias("broken"), parts.alias("key"), "n_rows", "known")
-    broken = F.when(F.col("kind") == FOREIGN, ~F.col("known") & (F.col("n_rows") > 0)).when(F.col("kind") == UNIQUE, F.col("n_rows") > 1) \
-        .otherwise((F.col("n_rows") > 1) | F.exists("key", lambda k: k.isNull()))
-    return keyed.where(broken).select("broken", F.array_join("key", "|", "NULL").alias("value"), F.col("n_rows").cast("bigint").alias("n_rows"))
+    # literal lists by constraint number, as text again
+    kind, name, numeric = (f"element_at(array({', '.join(vs)}), c + 1)" for vs in (
+        [f"'{c.kind}'" for c in checks], [f"'{c.name}'" for c in checks], [str(c.numeric).lower() for c in checks]))
+    empty = "CAST(array() AS ARRAY<STRING>)"
+    keyed = met.selectExpr(f"{kind} AS kind", f"{name} AS broken", "n_rows", "known",
+                           f"concat(CASE WHEN {numeric} THEN array(CAST(num AS STRING)) ELSE {empty} END, coalesce(txt, {empty})) AS key")
+    broken = f"""CASE kind WHEN '{FOREIGN}' THEN NOT known AND n_rows > 0 WHEN '{UNIQUE}' THEN n_rows > 1
+                 ELSE n_rows > 1 OR exists(key, k -> k IS NULL) END"""
+    return keyed.where(broken).selectExpr("broken", "array_join(key, '|', 'NULL') AS value", "CAST(n_rows AS BIGINT) AS n_rows")

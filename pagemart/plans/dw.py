@@ -108,6 +108,8 @@ def registered(labels: DataFrame, key: Sequence[str], id_col: str, known: DataFr
     """Registry of a label dimension after this run (``operators.continued_ids``), with ``current``: whether the run holds the label.
     The dimension is the rows that are current."""
     key = list(key)
+    if known is None:
+        return sequential_ids(labels.select(*key), key, id_col).select(id_col, *key, F.lit(True).alias("current"))
     now = labels.select(*[F.col(c).alias(f"__{c}") for c in key], F.lit(True).alias("__now"))
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key])
     return (continued_ids(labels, key, id_col, known).join(now, same, "left")

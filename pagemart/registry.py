@@ -95,24 +95,22 @@ class Layers:
         return dw.fact_posts(posts, self.dim_post_type, self.video(), self.start)
 
     def key_tables(self) -> dict[str, DataFrame]:
-        """Every table that declares a key. What several of them come from is written first, so that it is built once."""
-        at = Layers(self.spark, self.sf_dir, self.start)
-        at.pages = written(self.pages, "keys-pages")
-        at.ods_insights = written(clean.clean_insights(at.ods_insights), "keys-insights")
-        at.clean_fan_rows = fans = written(at.clean_fan_rows, "keys-fans")
-        posts = written(at.clean_posts(), "keys-posts").withColumn("data", F.lit(None).cast("string"))   # no key in the payload
+        """Every table that declares a key. What several of them come from is written first, so that it is built once; the rest
+        reads key columns only."""
+        self.pages = written(self.pages, "keys-pages")
+        self.clean_fan_rows = fans = written(self.clean_fan_rows, "keys-fans")
+        self.dim_location = written(self.dim_location, "keys-locations")
+        posts = written(self.clean_posts(), "keys-posts").withColumn("data", F.lit(None).cast("string"))    # the payload holds no key
         clients = written(self.clean_clients(), "keys-clients")
-        at.dim_post_type = written(dw.dim_post_type(posts), "keys-post-types")
-        at.dim_location = written(dw.dim_location(fans), "keys-locations")
-        dates = written(self.dim_date(), "keys-dates")
+        types = written(dw.dim_post_type(posts), "keys-post-types")
         per_kind = {f"ods_fans_{kind}": fans.where(F.col("location_type") == kind)
                     .select("insight_id", "client_id", F.col("location_label").alias(label)) for kind, (_, label, _) in ods.FAN_KINDS.items()}
         return {"stg_clients": self.stg.clients, "stg_unmanaged_clients": self.stg.unmanaged_clients, "stg_posts": self.stg.posts,
-                "stg_insights": self.stg.insights, "ods_clients": clients, "ods_posts": posts, "ods_insights": at.ods_insights,
-                "ods_data_video": self.video(), **per_kind, "dim_date": dates, "dim_client": dw.dim_client(clients),
-                "dim_post_type": at.dim_post_type, "dim_location": at.dim_location, "fact_posts": dw.fact_posts(posts, at.dim_post_type, None, self.start),
-                "fact_insights": dw.fact_insights(at.ods_insights, self.start),
-                "fact_fan_demographics": dw.fact_fan_demographics(fans, at.dim_location, self.start)}
+                "stg_insights": self.stg.insights, "ods_clients": clients, "ods_posts": posts, "ods_insights": self.ods_insights,
+                "ods_data_video": self.video(), **per_kind, "dim_date": self.dim_date(), "dim_client": dw.dim_client(clients),
+                "dim_post_type": types, "dim_location": self.dim_location, "fact_posts": dw.fact_posts(posts, types, None, self.start),
+                "fact_insights": self.fact_insights(),
+                "fact_fan_demographics": dw.fact_fan_demographics(fans, self.dim_location, self.start)}
 
     def fact_insights(self) -> DataFrame:
         return dw.fact_insights(self.clean_insights(), self.start)

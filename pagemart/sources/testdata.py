@@ -12,6 +12,8 @@ Only the staging columns the jobs use are produced; the rest of the staging sche
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -167,18 +169,18 @@ class Staging:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
-    @property
+    @cached_property
     def clients(self) -> DataFrame:
         return stg_clients(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def unmanaged_clients(self) -> DataFrame:
         return stg_unmanaged_clients(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def posts(self) -> DataFrame:
         return stg_posts(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def insights(self) -> DataFrame:
         return stg_insights(self.spark, self.sf_dir)
