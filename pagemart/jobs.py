@@ -21,7 +21,6 @@ from pyspark.sql import SparkSession
 from .plans.dw import DATE_START
 from .plans.refresh import LayerStore, refresh
 from .sources import pagelists
-from .storage import written
 from .streaming.deltas import DeltaStore
 from .streaming.ingest import LANDED_SCHEMA, STAGING_TABLES, daily_paths, start_ingest_stream
 
@@ -74,9 +73,10 @@ def run_refresh(spark: SparkSession, base: str, day: str, start: dt.date = DATE_
     version = staging.latest_run()
     if version is None:
         raise FileNotFoundError(f"no committed staging for {day} under {base}")
-    # merged once: the refresh reads each table several times
-    tables = {t: written(staging.read(t, version), t) for t in STAGING_TABLES}
-    store = LayerStore(spark, f"{base.rstrip('/')}/dw")
+    # a run that stopped is continued, and tables whose inputs did not change are not written again
+    store = LayerStore(spark, f"{base.rstrip('/')}/dw", source=f"{day} {version}")
+    # merged and written once: the refresh reads each table several times
+    tables = {t: store.layer(t, lambda t=t: staging.read(t, version)) for t in STAGING_TABLES}
     refresh(spark, tables, store, start=start, end=end, partition_facts_by_year=partition_facts_by_year,
             strict_deleted=strict_deleted, carry_clicks=carry_clicks, strict=strict, keep_keys=keep_keys)
     return store.run_id

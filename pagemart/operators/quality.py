@@ -43,6 +43,34 @@ def orphans(child: DataFrame, fk: Sequence[str], parent: DataFrame, pk: Sequence
     return child.where(no_null).join(parent_keys, fk, "left_anti")
 
 
+def orphans_dense(child: DataFrame, fk: str, parent: DataFrame, pk: str | None = None) -> DataFrame:
+    """``orphans`` for one integer key, decided by bitmaps: the same rows, without moving the child rows that have a parent.
+
+    The keys of both sides become bitmaps of 32,768 keys each; a task reports one bitmap per bucket it meets, not its rows.
+    A bucket in which both sides together have more keys than the parent alone holds orphans. Child rows of the other buckets
+    go no further; in these the bit of their key tells. Meant for keys that lie close together (surrogate ids): a bitmap
+    of one key is as large as one of many."""
+    pk = pk or fk
+
+    def bits(df: DataFrame, col: str) -> DataFrame:
+        if dict(df.dtypes)[col] not in ("tinyint", "smallint", "int", "bigint"):
+            raise ValueError(f"{col} is no integer key")
+        key = F.col(col).cast("bigint")
+        return (df.where(F.col(col).isNotNull()).groupBy(F.bitmap_bucket_number(key).alias("__bucket"))
+                .agg(F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("__bits")))
+    both = bits(parent, pk).withColumn("__own", F.lit(True)).unionByName(bits(child, fk).withColumn("__own", F.lit(False)))
+    held = F.max(F.when(F.col("__own"), F.col("__bits")))                    # at most one row of the parent per bucket
+    open_ = (both.groupBy("__bucket").agg(F.bitmap_count(F.bitmap_or_agg("__bits")).alias("__all"), held.alias("__held"))
+             .where(F.col("__all") > F.coalesce(F.bitmap_count("__held"), F.lit(0))).select("__bucket", "__held"))
+    key = F.col(fk).cast("bigint")
+    at = F.bitmap_bit_position(key)
+    byte = F.conv(F.hex(F.substring("__held", F.expr("__at div 8 + 1"), F.lit(1))), 16, 10).cast("int")
+    unset = F.expr("shiftright(__byte, cast(__at % 8 as int)) & 1") == 0
+    tested = (child.where(F.col(fk).isNotNull()).withColumn("__bucket", F.bitmap_bucket_number(key)).withColumn("__at", at)
+              .join(open_, "__bucket").withColumn("__byte", byte))
+    return tested.where(F.col("__held").isNull() | unset).select(*child.columns)
+
+
 NOT_ONE_OBJECT = "not one JSON object"
 
 

@@ -52,24 +52,30 @@ def insert_ignore(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Co
     return first_wins(old.unionByName(new), keys, [_SRC]).drop(_SRC)
 
 
-class DuplicateKeyInBatch(ValueError):
-    """One batch sets the same key twice (the database refuses such an upsert)."""
+DUPLICATE_KEY = "DUPLICATE_KEY_IN_BATCH"    # what the error of a strict ``insert_or_replace`` starts with
 
 
 def insert_or_replace(rows: DataFrame, keys: Sequence[str], target: DataFrame | None = None,
-                      strict: bool = False) -> DataFrame:
+                      strict: bool = False, table: str = "rows") -> DataFrame:
     """Target after ``INSERT rows ON CONFLICT (keys) DO UPDATE`` of all columns. ``rows`` must be
-    unique on ``keys``: the database rejects a batch touching one key twice. ``strict=True``
-    checks that first (one aggregation job, stops at the first repeated key) and raises
-    ``DuplicateKeyInBatch``; otherwise the first row of a repeated key wins."""
-    if strict:
-        repeated = rows.groupBy(*keys).count().where("count > 1").limit(1).collect()
-        if repeated:
-            raise DuplicateKeyInBatch(f"key {tuple(repeated[0])[:-1]} appears {repeated[0]['count']} times")
-    if target is None:
+    unique on ``keys``: the database rejects a batch touching one key twice. ``strict=True`` asserts
+    that in the aggregation that merges, so the job that uses the result fails, naming ``table`` and the
+    key; no job of its own is run. Otherwise one row of a repeated key is taken."""
+    keys = list(keys)
+    if target is None and not strict:
         return rows
-    both = rows.withColumn(_SRC, F.lit(0)).unionByName(target.select(*rows.columns).withColumn(_SRC, F.lit(1)))
-    return first_wins(both, keys, [_SRC]).drop(_SRC)
+    both = rows.withColumn(_SRC, F.lit(0))
+    if target is not None:
+        both = both.unionByName(target.select(*rows.columns).withColumn(_SRC, F.lit(1)))
+    if not strict:
+        return first_wins(both, keys, [_SRC]).drop(_SRC)
+    payload = [c for c in rows.columns if c not in keys]
+    picked = both.groupBy(*keys).agg(F.min_by(F.struct(F.col(_SRC), *payload), _SRC).alias(_ROW), F.count_if(F.col(_SRC) == 0).alias("__n"))
+    shown = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit("NULL"))) for k in keys])
+    error = F.raise_error(F.concat(F.lit(f"{DUPLICATE_KEY}: {table} sets "), shown, F.lit(" "), F.col("__n"), F.lit(" times")))
+    # a filter, which no column pruning leaves out
+    once = picked.where(F.when(F.col("__n") > 1, error.cast("boolean")).otherwise(F.lit(True)))
+    return once.select(*keys, f"{_ROW}.*").select(*rows.columns)
 
 
 def upsert_partial(records: DataFrame, keys: Sequence[str], seq: Sequence[str | Column], present: str,

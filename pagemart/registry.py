@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .functions import (blank_to_null, has_json, initcap_words, locale_braces, platform_ok, post_type,
                         reactions_total, simple_braces, strip_nul)
 from .functions.posts import clean_post_type
-from .operators import (bad_ints, bad_json, duplicate_keys, insert_ignore, insert_or_replace, orphans, unique_violations,
+from .operators import (bad_ints, bad_json, duplicate_keys, insert_ignore, insert_or_replace, orphans, orphans_dense, unique_violations,
                         upsert_partial)
 from .plans import clean, constraints, dw, ods, rejects
 from .session import ensure_checkpoint_dir
@@ -333,6 +333,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_constraints": _L(lambda L: constraints.violations(L.key_tables())),
     "refresh_rejects": _L(lambda L: rejects.refresh_rejects(L.stg.posts, L.ods_insights, carry_clicks=True)),
     "check_fk": _L(lambda L: orphans(L.video().select("post_id"), ["post_id"], L.ods_posts(), ["post_id"])),
+    "check_fk_bitmap": _L(lambda L: orphans_dense(L.video().select("post_id"), "post_id", L.ods_posts(), "post_id")),
     "check_ints": _L(_fan_value_ints),
     "fan_label_rejects": _L(lambda L: rejects.fan_rejects(L.ods_insights)
                             .where(F.col("reason").isin(rejects.BLANK_LABEL, rejects.LABEL_COLLIDES))

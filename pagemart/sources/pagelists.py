@@ -1,10 +1,10 @@
 """Page lists: which pages to fetch, in which order.
 
 The managed list is one JSON document ``{success, message, data: [{id, name, social_type,
-managed}]}``; the unmanaged list's entries are ``{page: {id}}`` or ``{id}``. A document is read
-whole by one task (JSON documents do not split), which is fine for a list of pages; a list
-that grows large should be landed as JSON lines (``multiline=False``: one entry per line,
-splittable) instead.
+managed}]}``; the unmanaged list's entries are ``{page: {id}}`` or ``{id}``. A document is parsed
+whole by one task (JSON documents do not split); a list that grows large should be landed as JSON
+lines (``multiline=False``: one entry per line), whose blocks are read by as many tasks. Places in the list come
+from counts per block.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..storage import written
+
 MANAGED_LIST = "success boolean, message string, data array<struct<id:string, name:string, social_type:string, managed:int>>"
 MANAGED_ENTRY = "id string, name string, social_type string, managed int"
 # ids are read as text: a list may hold them as numbers or as strings
@@ -30,14 +32,24 @@ def _entries(spark: SparkSession, path: str, doc_schema: str, entry_schema: str,
         docs = reader.schema(doc_schema).option("multiLine", True).json(path).select("*", F.col("_metadata.file_path").alias("__file"))
         data = F.when(F.col("data").isNull(), F.raise_error(F.concat(F.lit("page list without data: "), F.col("__file")))
                       .cast(docs.schema["data"].dataType)).otherwise(F.col("data"))
-        rows = docs.select("__file", F.posexplode(data).alias("__at", "e")).select("__file", F.col("__at").cast("bigint").alias("__at"), "e.*")
+        rows = docs.select(F.struct("__file").alias("__block"), F.posexplode(data).alias("__at", "e")).select("__block", F.col("__at").cast("bigint").alias("__at"), "e.*")
     else:
-        # Spark packs splits by size, so the place in the file is (file, block start, place in the split)
+        # a block of a file is read by one task, in order; which blocks a task gets does not matter
         rows = (reader.schema(entry_schema).json(path)
-                .select("*", F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b")).alias("__file"))
+                .select("*", F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b")).alias("__block"))
                 .withColumn("__at", F.monotonically_increasing_id()))
-    position = F.row_number().over(Window.orderBy("__file", "__at")) - 1    # a list of pages, read whole by one task anyway
-    return rows.withColumn("list_pos", position).drop("__file", "__at")
+    return _positions(rows).drop("__block", "__at")
+
+
+def _positions(rows: DataFrame) -> DataFrame:
+    """``list_pos`` of rows that carry their block (``__block``, in file order) and a rising number in it (``__at``, without gaps). The
+    rows are written first, so that their numbers and the counts of the blocks agree; each block adds the counts of those before it. What
+    meets in one task is one row per block."""
+    placed = written(rows, "page-list")
+    blocks = placed.groupBy("__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+    before = F.sum("__n").over(Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1))
+    shifts = blocks.select("__block", (F.coalesce(before, F.lit(0)) - F.col("__first")).alias("__shift"))
+    return placed.join(shifts, "__block").withColumn("list_pos", F.col("__at") + F.col("__shift")).drop("__shift")
 
 
 def read_managed_list(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:

@@ -55,23 +55,15 @@ class DeltaStore(LayerStore):
 
     def versions(self) -> list[str]:
         """Committed batches, oldest first (one short name per batch)."""
-        try:
-            markers = self.spark.read.schema("run_id string").json(f"{self.root.rstrip('/')}/{MARKERS}/*")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return []
-        return sorted(r.run_id for r in markers.distinct().collect())
+        markers = self._markers(MARKERS, "run_id string")
+        return sorted(r.run_id for r in markers.distinct().collect()) if markers is not None else []
 
     def _states(self) -> tuple[str | None, list]:
         """Name and rows of the newest state (one row per table and bucket)."""
-        try:
-            rows = self.spark.read.schema(STATE_SCHEMA).json(f"{self.root.rstrip('/')}/{STATES}/*") \
-                .withColumn("state", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        rows = self._markers(STATES, STATE_SCHEMA)
+        if rows is None:
             return None, []
+        rows = rows.withColumn("state", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
         last = rows.agg(F.max("state")).first()[0]
         return last, rows.where(F.col("state") == F.lit(last)).collect()
 

@@ -213,6 +213,14 @@ def test_list_order_is_file_order(spark, scratch):
             f.write("".join('{"id": "%d"}\n' % i for i in ids))
     got = [r.id for r in pagelists.read_unmanaged_list(spark, d, multiline=False).orderBy("list_pos").collect()]
     assert got == [*range(3), *range(100, 2100)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")              # a split for every dozen entries
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        split = pagelists.read_unmanaged_list(spark, d, multiline=False)
+        assert [r.id for r in split.orderBy("list_pos").collect()] == got and split.agg({"list_pos": "max"}).first()[0] == len(got) - 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
     entries = spark.createDataFrame([("unmanaged", 1, 0, 5), ("unmanaged", 1, 1, 6)], "source string, source_rank int, list_pos bigint, page_id int")
     landed = spark.createDataFrame([("unmanaged", 1, 0, 6, 0, 200, "{}")], LANDED)
     assert [r.page_id for r in pagelists.without_response(entries, landed).collect()] == [5]

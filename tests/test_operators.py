@@ -167,10 +167,31 @@ def test_upsert_does_not_depend_on_batches(spark):
 
 def test_insert_or_replace_strict_rejects_repeated_keys(spark):
     import pytest
-    from pagemart.operators.upsert import DuplicateKeyInBatch
-    target = spark.createDataFrame([(1, "old")], "k int, v string")
+    from pyspark.errors import PySparkException
+    target = spark.createDataFrame([(1, "old"), (9, "kept")], "k int, v string")
     new = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
-    with pytest.raises(DuplicateKeyInBatch):
-        insert_or_replace(new, ["k"], target, strict=True)
-    ok = spark.createDataFrame([(1, "a"), (2, "c")], "k int, v string")
-    assert rows(insert_or_replace(ok, ["k"], target, strict=True), "k", "v") == [(1, "a"), (2, "c")]
+    for t in (target, None):
+        merged = insert_or_replace(new, ["k"], t, strict=True, table="stg_pages")      # building it runs nothing
+        for use in (merged, merged.select("k"), merged.groupBy().count()):
+            with pytest.raises(PySparkException, match="DUPLICATE_KEY_IN_BATCH: stg_pages sets k=1 2 times"):
+                use.collect()
+    ok = spark.createDataFrame([(1, "a"), (2, "c"), (None, "n")], "k int, v string")
+    assert rows(insert_or_replace(ok, ["k"], target, strict=True), "k", "v") == [(None, "n"), (1, "a"), (2, "c"), (9, "kept")]
+    assert rows(insert_or_replace(ok, ["k"], strict=True), "k", "v") == [(None, "n"), (1, "a"), (2, "c")]
+
+
+def test_orphans_by_bitmap(spark):
+    from pagemart.operators import orphans_dense
+    rng = random.Random(3)
+    held = [rng.randrange(-70_000, 200_000) for _ in range(60_000)] + [0, 32_768, -32_768, 2 ** 40]
+    used = [rng.choice(held) for _ in range(5000)] + [rng.randrange(-100_000, 300_000) for _ in range(300)] + [None, 0, 1, -1, 2 ** 40, 2 ** 40 + 1, 2 ** 41]
+    parent = spark.createDataFrame([(k,) for k in held], "id bigint").repartition(5)
+    child = spark.createDataFrame([(k, i) for i, k in enumerate(used)], "fk bigint, n int").repartition(4)
+    want = rows(orphans(child, ["fk"], parent, ["id"]), "fk", "n")
+    found = orphans_dense(child, "fk", parent, "id")
+    assert rows(found, "fk", "n") == want and 2 ** 40 + 1 in {k for k, _ in want}
+    assert rows(orphans_dense(child, "fk", parent.limit(0), "id"), "n") == [(i,) for i, k in enumerate(used) if k is not None]
+    assert orphans_dense(child.limit(0), "fk", parent, "id").count() == 0
+    # bitmaps are what is shuffled; the rows of the child meet the open buckets
+    p = found._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bitmap_construct_agg" in p and "LeftAnti" not in p
