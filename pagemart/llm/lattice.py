@@ -6,9 +6,8 @@ Spark higher-order ``aggregate`` folds each lattice to its best path. The model'
 ranks (BPE), for which the path of highest score sum is not what the tokenizer returns; so the fold takes the edges in the tokenizer's
 order: at each step the adjacent pair that spans the best-scored edge is joined, the leftmost on ties.
 
-Words are looked up for every document in two tiers. The most frequent ones (at most ``FREQUENT`` rows) are broadcast. All
-others go through a shuffle: each rare word is sent, with the blocks of documents that hold it, to its lattice, and its
-ids to those blocks, where the documents meet them.
+Documents are taken in blocks of neighbouring rows. Every block asks for each of its words once; the answers (word, ids) go to
+the blocks that asked, where the documents, packed, meet them. One way serves all words, frequent or rare.
 """
 
 from __future__ import annotations
@@ -16,23 +15,22 @@ from __future__ import annotations
 import heapq
 import io
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_text, settle
+from .common import as_text
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-FREQUENT = 300_000       # words in the broadcast tier at most
-LOCAL_COUNT = 3          # rarer words of a task are left to the shuffle tier
-FLUSH_WORDS = 400_000    # distinct words a task counts before it hands them on
-BLOCK_BYTES = 8 << 20    # text per block of documents, about
+BLOCK_BYTES = 24 << 20   # text per block of documents, about; a longer document is a block of its own
+SLICE_UNITS = 400_000    # tokens of a block turned into ids at once, about
 FOLD_LENGTH = 60         # characters; longer words are folded with a heap instead of the SQL aggregate
 
 # a word: the spaces before it and a run of letters, or of anything else (numerals that re counts as \w are no letters)
@@ -67,11 +65,6 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(" " + (text.replace(SPACE, " ") if SPACE in text else text)) if text else []
 
 
-def tokens_of(text: str) -> list[str] | None:
-    """What stands between the spaces of a text, if these are single: the words of token t are those of " " + t. None for other texts."""
-    return None if not text or "  " in text or text[0] == " " or SPACE in text else text.split(" ")
-
-
 def heap_path(word: str, known: dict[str, tuple[int, float]], longest: int) -> list[int]:
     """The same path as the SQL fold, for long words: boundaries left after joining the best pairs first."""
     n = len(word)
@@ -94,8 +87,14 @@ def heap_path(word: str, known: dict[str, tuple[int, float]], longest: int) -> l
     return [i for i in range(n) if alive[i]] + [n]
 
 
-def encode_words(words: DataFrame, pieces: list[tuple[str, int, float]], byte0: int, keep: list[str]) -> DataFrame:
-    """``words(word, *keep)``, one row per word and partitioned by word, with ids array<int>: the lattice and its fold.
+def _heap_ids(word: str, known: dict[str, tuple[int, float]], longest: int, byte0: int) -> list[int]:
+    b = heap_path(word, known, longest)
+    return [x for s, e in zip(b, b[1:], strict=False) for x in (
+        [known[word[s:e]][0]] if word[s:e] in known else [byte0 + c for c in word[s:e].encode()])]
+
+
+def encode_words(words: DataFrame, pieces: list[tuple[str, int, float]], byte0: int) -> DataFrame:
+    """``words(word)``, one row per word and partitioned by word, with ids array<int>: the lattice and its fold.
 
     An edge is one number: score rank, place, length and id from the highest bits down, so sorted edges come in the order in
     which the tokenizer merges. The fold's state has a bit per place between characters that still is a boundary (and the sign, once
@@ -106,15 +105,15 @@ def encode_words(words: DataFrame, pieces: list[tuple[str, int, float]], byte0:
     if longest > 31 or max(i for _, i, _ in pieces) >= 1 << 20:
         raise ValueError("pieces of up to 31 characters and ids below 2^20 are expected")
     rank = {v: r for r, v in enumerate(sorted({-v for _, _, v in pieces}))}
-    table = F.broadcast(spark.createDataFrame([(p, (rank[-v] << 31) + i) for p, i, v in pieces], "piece string, code long"))
+    # the empty substring is an edge of no length at place 0, so that a word without any matching piece keeps a row
+    rows = [("", 0), *((p, (rank[-v] << 31) + i) for p, i, v in pieces)]
+    table = F.broadcast(spark.createDataFrame(rows, "piece string, code long"))
     n = f"if(char_length(word) <= {FOLD_LENGTH}, char_length(word), 1)"      # a long word only keeps its row here
-    cuts = (words.select("word", *keep, F.explode(F.expr(f"sequence(0, {n} - 1)")).alias("s"))
-            .select("word", *keep, "s", F.explode(F.expr(f"sequence(1, least({longest}, {n} - s))")).alias("l"))
-            .select("word", *keep, "s", "l", F.expr("substring(word, s + 1, l)").alias("piece")))
-    # a word without any matching piece keeps one row without an edge
-    edges = cuts.join(table, "piece", "left").where("code IS NOT NULL OR s + l = 1")
-    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list(F.expr("code + s * 33554432L + l * 1048576L"))).alias("edges"),
-                                        *[F.first(c).alias(c) for c in keep])
+    cuts = (words.select("word", F.explode(F.expr(f"sequence(0, {n} - 1)")).alias("s"))
+            .select("word", "s", F.explode(F.expr(f"sequence(if(s = 0, 0, 1), least({longest}, {n} - s))")).alias("l"))
+            .select("word", F.expr("s * 33554432L + l * 1048576L").alias("at"), F.expr("substring(word, s + 1, l)").alias("piece")))
+    edges = cuts.join(table, "piece").select("word", (F.col("code") + F.col("at")).alias("e"))
+    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list("e")).alias("edges"))
     lattice = grouped.withColumn("n", F.char_length("word"))
 
     def let(name: str, value: str, body: str) -> str:
@@ -139,7 +138,7 @@ def encode_words(words: DataFrame, pieces: list[tuple[str, int, float]], byte0:
                 "flatten(transform(slice(b, 1, size(b) - 1), (a, i) -> " + let("one", span, f"if(size(one) = 1, one, {spell})") + "))")
     ids = let("pairs", pairs, let("path", fold, let("taken", taken,
               f"if(size(taken) = bit_count(path) - 1, transform(sort_array(taken), e -> cast(e & 1048575 AS int)), {mixed})")))
-    folded = lattice.select("word", *keep, F.expr(f"if(n <= {FOLD_LENGTH}, {ids}, NULL)").alias("ids"))
+    folded = lattice.select("word", F.expr(f"if(n <= {FOLD_LENGTH}, {ids}, NULL)").alias("ids"))
     known = {p: (i, v) for p, i, v in pieces}
 
     def long_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,55 +147,66 @@ def encode_words(words: DataFrame, pieces: list[tuple[str, int, float]], byte0:
             if ids.null_count:
                 filled = ids.to_pylist()
                 for k in [k for k, x in enumerate(filled) if x is None]:
-                    word = batch.column(0)[k].as_py()
-                    b = heap_path(word, known, longest)
-                    filled[k] = [x for s, e in zip(b, b[1:], strict=False) for x in (
-                        [known[word[s:e]][0]] if word[s:e] in known else [byte0 + c for c in word[s:e].encode()])]
+                    filled[k] = _heap_ids(batch.column(0)[k].as_py(), known, longest, byte0)
                 ids = pa.array(filled, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=batch.schema.names)
     return folded.mapInArrow(long_words, folded.schema)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[str] = Counter()
-    tokens: Counter[str] = Counter()
-
-    def flush() -> pa.RecordBatch:
-        for t, n in tokens.items():
-            for w in WORD.findall(" " + t):
-                counts[w] += n
-        often = [(w, n) for w, n in counts.items() if n >= LOCAL_COUNT]
-        counts.clear()
-        tokens.clear()
-        return pa.RecordBatch.from_arrays([pa.array([w for w, _ in often], pa.string()), pa.array([n for _, n in often], pa.int64())],
-                                          names=["word", "n"])
-    for b in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
-        for t in as_text(b.column(0)):
-            single = tokens_of(t)
-            if single is None:
-                counts.update(words_of(t))
-            else:
-                tokens.update(single)
-        if len(counts) + len(tokens) > FLUSH_WORDS:
-            yield flush()
-    yield flush()
-
-
-def frequent_words(docs: DataFrame, text: str, most: int) -> tuple[DataFrame, int]:
-    """At most ``most`` frequent words, and about how many bytes of text there are. Counts leave out what is rare within a
-    task; which words are frequent only decides how a word is looked up, not what its ids are."""
-    counts = docs.select(F.col(text).cast("binary")).mapInArrow(_counted, "word string, n long")
-    counts = settle(counts.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
-    level = F.floor(F.log2("n") * 8)
-    shape = counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words"), F.sum(F.col("n") * F.octet_length("word")).alias("bytes"))
-    rows = sorted(shape.collect(), key=lambda r: -r["level"])       # a few hundred rows at most
-    held, least = 0, None
-    for r in rows:
-        if held + r["words"] > most:
-            break
-        held, least = held + r["words"], r["level"]
-    few = counts.where(level >= least) if least is not None else counts.limit(0)
-    return few.select("word"), sum(r["bytes"] for r in rows)
+def _blocks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of a task in blocks, each with its number: partition and place. Where a block ends depends on the rows alone."""
+    part, held, size, at = TaskContext.get().partitionId(), [], 0, 0
+
+    def block() -> tuple[int, pa.RecordBatch]:
+        return (part << 32) + at, pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    for b in batches:
+        while b.num_rows:
+            sums = size + np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            stop = int(np.searchsorted(sums, BLOCK_BYTES)) + 1
+            held.append(b.slice(0, stop))
+            if stop > b.num_rows:
+                size = int(sums[-1])
+                break
+            yield block()
+            held, size, at, b = [], 0, at + 1, b.slice(stop)
+    if held:
+        yield block()
+
+
+def _texts(column: pa.Array) -> pa.StringArray:
+    """The texts of a binary column; null is empty, broken UTF-8 becomes U+FFFD."""
+    try:
+        return pc.fill_null(column.cast(pa.string()), "")
+    except pa.ArrowInvalid:
+        return pa.array(as_text(column), pa.string())
+
+
+def _units(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[str]]]:
+    """Texts as numbers of units, and every unit's words: text i is ``codes[start[i]:stop[i]]``. In a text with single spaces only, a unit is
+    what stands between two spaces, and its words are those of the unit behind a space; in others every word is a unit."""
+    odd = pc.or_(pc.or_(pc.equal(texts, ""), pc.starts_with(texts, " ")), pc.or_(pc.match_substring(texts, "  "), pc.match_substring(texts, SPACE)))
+    parts = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
+    flat = parts.flatten().dictionary_encode()
+    units = [WORD.findall(" " + t) for t in flat.dictionary.to_pylist()]
+    numbers: dict[str, int] = {}
+    others = [[numbers.setdefault(w, len(numbers) + len(units)) for w in words_of(t)] for t in texts.filter(odd).to_pylist()]
+    units += [[w] for w in numbers]
+    codes = np.concatenate([flat.indices.to_numpy(zero_copy_only=False), *(np.array(o, dtype=np.int32) for o in others)]).astype(np.int32)
+    lengths = np.zeros(len(texts), dtype=np.int64)
+    is_odd = odd.to_numpy(zero_copy_only=False)
+    lengths[~is_odd] = pc.list_value_length(parts).to_numpy(zero_copy_only=False)
+    lengths[is_odd] = [len(o) for o in others]
+    order = np.concatenate([np.flatnonzero(~is_odd), np.flatnonzero(is_odd)])       # the order of the codes
+    stop = np.empty(len(texts), dtype=np.int64)
+    stop[order] = np.cumsum(lengths[order])
+    return codes, stop - lengths, stop, units
+
+
+def _gathered(values: np.ndarray, offsets: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists ``values[offsets[i]:offsets[i + 1]]`` of all ``picks`` in a row, and where each ends."""
+    length = np.diff(offsets)[picks]
+    stop = np.cumsum(length)
+    return values[np.repeat(offsets[picks] - (stop - length), length) + np.arange(stop[-1] if len(stop) else 0)], stop
 
 
 def _packed(rows: pa.RecordBatch) -> bytes:
@@ -211,90 +221,96 @@ def _spell(spelled: dict[int, bytes], ids: list[int]) -> str:
     return b"".join([spelled.get(i, b"") for i in ids]).decode("utf-8", "replace").removeprefix(" ")
 
 
-def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL, frequent: int = FREQUENT, decoded: str | None = None) -> DataFrame:
+def _spelled_rows(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Texts from their bytes, without the tokenizer's leading space; broken UTF-8 becomes U+FFFD."""
+    first, stop = offsets[:-1], offsets[1:]
+    skip = (first < stop) & (data[np.minimum(first, max(len(data) - 1, 0))] == 32) if len(data) else np.zeros(len(first), dtype=bool)
+    raw = data.tobytes()
+    return pa.array([raw[a + k:b].decode("utf-8", "replace") for a, b, k in zip(first.tolist(), stop.tolist(), skip.tolist())], pa.string())
+
+
+def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL, decoded: str | None = None, drop_text: bool = False) -> DataFrame:
     """``docs`` with ids array<int> and n_tokens, as the model's own encoder gives them (no begin or end marks). ``decoded`` names a column
-    for the text that the ids decode to (as ``decode`` gives it), made where the ids are.
+    for the text that the ids decode to (as ``decode`` gives it), made where the ids are; ``drop_text`` leaves the text itself out.
 
-    A null or empty text has no ids. Characters without a piece become byte pieces. Repeated rows are encoded each. Columns named ids or
-    n_tokens are replaced; all others stay."""
+    A null or empty text has no ids. Characters without a piece become byte pieces. Repeated rows are encoded each; texts may have any
+    length a row can hold. Columns named ids or n_tokens are replaced; all others stay, whatever their names."""
     spark = docs.sparkSession
     pieces, byte0, spelled_ids = piece_table(model_path)
     results = ["ids", "n_tokens", *([decoded] if decoded else [])]
     docs = docs.drop(*results)
-    few, n_bytes = frequent_words(docs, text, frequent)
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))     # small in bytes, but work for every core
-    known = settle(encode_words(few.repartition(width, "word"), pieces, byte0, []), "word-ids").toArrow()   # at most `frequent` rows
-    ids_of = {w: np.asarray(i.values, dtype=np.uint32).tobytes() for w, i in zip(known["word"].to_pylist(), known["ids"], strict=True)}
-    shared = spark.sparkContext.broadcast(ids_of)
-    blocks = max(1, -(-n_bytes // BLOCK_BYTES))
-    block = F.pmod(F.xxhash64(*docs.columns), F.lit(blocks)).cast("int").alias("block")
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value
-        for b in (b.slice(i, 2000) for b in batches for i in range(0, b.num_rows, 2000)):
-            found: dict[int, set[str]] = {}
-            tokens: dict[int, set[str]] = {}
-            for k, t in zip(b.column(0).to_pylist(), as_text(b.column(1)), strict=True):
-                single = tokens_of(t)
-                if single is None:
-                    found.setdefault(k, set()).update(w for w in words_of(t) if w not in held)
-                else:
-                    tokens.setdefault(k, set()).update(single)
-            for k, ts in tokens.items():
-                found.setdefault(k, set()).update(w for t in ts if " " + t not in held for w in WORD.findall(" " + t) if w not in held)
-            words = [w for ws in found.values() for w in ws]
-            at = [k for k, ws in found.items() for _ in ws]
-            if words:
-                yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(at, pa.int32())], names=["word", "block"])
-    asked = docs.select(block, F.col(text).cast("binary")).mapInArrow(rare, "word string, block int")
-    answers = encode_words(asked.groupBy("word").agg(F.collect_set("block").alias("blocks")), pieces, byte0, ["blocks"])
-    answers = answers.select(F.explode("blocks").alias("block"), F.lit(0).alias("kind"), "word", "ids", F.lit(None).cast("binary").alias("rows"))
+    where = docs.columns.index(text)
+    # plain names while the rows travel, so that no name can clash
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).withColumn(f"c{where}", F.col(f"c{where}").cast("binary"))
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, rows in _blocks(batches, 0):
+            found = list({w for unit in _units(_texts(rows.column(0)))[3] for w in unit})
+            for first in range(0, len(found), 20_000):
+                own = found[first:first + 20_000]
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(own), pa.int64()), pa.array(own, pa.string())], names=["block", "word"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = b.column(0).to_numpy()
-            rest = b.select(list(range(1, b.num_columns)))
-            order = np.argsort(at, kind="stable")
-            at = at[order]
-            cuts = np.flatnonzero(np.diff(at)) + 1
-            parts = np.split(order, cuts)
-            yield pa.RecordBatch.from_arrays([pa.array([at[c] for c in [0, *cuts]], pa.int32()),
-                                              pa.array([_packed(rest.take(pa.array(p))) for p in parts], pa.binary())], names=["block", "rows"])
-    packed = docs.select(block, *docs.columns).mapInArrow(pack, "block int, rows binary")
+        for block, rows in _blocks(batches, where):
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_packed(rows)], pa.binary())], names=["block", "rows"])
+    asked = plain.select(f"c{where}").mapInArrow(words, "block long, word string").repartition("word")
+    answers = asked.join(encode_words(asked.select("word").distinct(), pieces, byte0).hint("merge"), "word")
+    answers = answers.select("block", F.lit(0).alias("kind"), "word", "ids", F.lit(None).cast("binary").alias("rows"))
+    packed = plain.mapInArrow(pack, "block long, rows binary")
     packed = packed.select("block", F.lit(1).alias("kind"), F.lit(None).cast("string").alias("word"), F.lit(None).cast("array<int>").alias("ids"), "rows")
-
-    where = docs.columns.index(text)
+    known = {p: (i, v) for p, i, v in pieces}
+    longest = max(len(p) for p, _, _ in pieces)
+    kept = [i for i in range(len(docs.columns)) if not (drop_text and i == where)]
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, own, now = shared.value, {}, None
-        spelled = dict(enumerate(spelled_ids))
-        known: dict[str, bytes] = {}        # ids of the block's tokens
-
-        def ids_of_text(t: str) -> bytes:
-            single = tokens_of(t)
-            if single is None:
-                return b"".join([held.get(w) or own[w] for w in words_of(t)])
-            for x in set(single).difference(known):
-                known[x] = b"".join([held.get(w) or own[w] for w in WORD.findall(" " + x)])
-            return b"".join([known[x] for x in single])
+        own: dict[str, bytes] = {}
+        now = None
+        spelled = np.frombuffer(b"".join(spelled_ids), dtype=np.uint8)
+        letters = np.cumsum([0, *map(len, spelled_ids)])
+
+        def ids_of(word: str) -> bytes:
+            # every word was asked for; one that was not, because a row came to another block when it was read again, is folded here
+            return own.get(word) or np.array(_heap_ids(word, known, longest, byte0), dtype=np.int32).tobytes()
         for b in batches:
-            for k, kind, w, i, rows in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if k != now:
-                    now, own, known = k, {}, {}
-                if kind == 0:
-                    own[w] = np.array(i, dtype=np.uint32).tobytes()
+            blocks, kinds = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            cuts = [0, *(np.flatnonzero((blocks[1:] != blocks[:-1]) | (kinds[1:] != kinds[:-1])) + 1).tolist(), b.num_rows]
+            for first, last in zip(cuts, cuts[1:], strict=False):
+                if blocks[first] != now:
+                    now, own = blocks[first], {}
+                part = b.slice(first, last - first)
+                if kinds[first] == 0:
+                    lists = part.column(3)
+                    raw, at = lists.flatten().to_numpy(zero_copy_only=False).tobytes(), (4 * np.cumsum([0, *pc.list_value_length(lists).to_pylist()])).tolist()
+                    own.update(zip(part.column(2).to_pylist(), [raw[x:y] for x, y in zip(at, at[1:], strict=False)], strict=True))
                     continue
-                part = pa.ipc.open_stream(rows).read_next_batch()
-                for first in range(0, part.num_rows, 200):
-                    docs_ = part.slice(first, 200)
-                    ids = [np.frombuffer(ids_of_text(t), dtype=np.uint32).astype(np.int32) for t in as_text(docs_.column(where))]
-                    more = [pa.array([_spell(spelled, x.tolist()) for x in ids], pa.string())] if decoded else []
-                    yield pa.RecordBatch.from_arrays([*docs_.columns, pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int32()), *more],
-                                                     names=[*docs_.schema.names, *results])
-    schema = spark.createDataFrame([], docs.schema).withColumns({"ids": F.lit(None).cast("array<int>"), "n_tokens": F.lit(None).cast("int"),
-                                                                         **({decoded: F.lit(None).cast("string")} if decoded else {})}).schema
+                for row in part.column(4):                          # one block of documents at a time
+                    docs_ = pa.ipc.open_stream(row.as_buffer()).read_next_batch()
+                    yield from assembled(docs_, ids_of, spelled, letters)
+
+    def assembled(rows: pa.RecordBatch, ids_of, spelled: np.ndarray, letters: np.ndarray) -> Iterator[pa.RecordBatch]:
+        codes, start, stop, units = _units(_texts(rows.column(where)))
+        each = [b"".join([ids_of(w) for w in unit]) for unit in units]
+        ids, at = np.array(np.frombuffer(b"".join(each) or b"\0" * 4, dtype=np.int32)), np.cumsum([0, *[len(e) // 4 for e in each]])
+        size = np.cumsum(stop - start)
+        first = 0
+        while first < rows.num_rows:
+            last = max(first + 1, int(np.searchsorted(size, (size[first - 1] if first else 0) + SLICE_UNITS, side="right")))
+            picks = np.concatenate([codes[x:y] for x, y in zip(start[first:last].tolist(), stop[first:last].tolist(), strict=True)])
+            values, ends = _gathered(ids, at, picks)
+            bounds = np.concatenate([[0], np.concatenate([[0], ends])[np.cumsum(stop[first:last] - start[first:last])]])
+            more = []
+            if decoded:
+                data, byte_ends = _gathered(spelled, letters, values)
+                more = [_spelled_rows(data, np.concatenate([[0], byte_ends])[bounds])]
+            docs_ = rows.slice(first, last - first)
+            columns = [docs_.column(i) if i != where else docs_.column(i).view(pa.string()) for i in kept]
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, pa.int32())),
+                                              pa.array(np.diff(bounds), pa.int32()), *more], names=[*(f"c{i}" for i in kept), *results])
+            first = last
+    schema = spark.createDataFrame([], plain.withColumn(f"c{where}", F.lit(None).cast("string")).schema).select(*[f"c{i}" for i in kept]) \
+        .withColumns({"ids": F.lit(None).cast("array<int>"), "n_tokens": F.lit(None).cast("int"), **({decoded: F.lit(None).cast("string")} if decoded else {})}).schema
     met = answers.unionByName(packed).repartition("block").sortWithinPartitions("block", "kind")
-    return met.mapInArrow(assemble, schema)
+    return met.mapInArrow(assemble, schema).toDF(*[docs.columns[i] for i in kept], *results)
 
 
 def decode(encoded: DataFrame, ids: str = "ids", out: str = "decoded", model_path: str = MODEL) -> DataFrame:

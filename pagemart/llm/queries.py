@@ -26,7 +26,7 @@ def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = lattice.encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), decoded="decoded")
+    encoded = lattice.encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), decoded="decoded", drop_text=True)
     return encoded.select("doc_id", "n_tokens", "ids", "decoded")
 
 

@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from pagemart.llm import html_extract, lattice, nbsvm, queries, token_counts, weak_rules
 from pagemart.llm.common import read_table
@@ -174,10 +175,12 @@ PROBES = ["", None, "a", " a", "hello  world", "x\ny", "日本語テキスト 
           "<s> </s> <0x0A>", "😀😀 ok", "▁x", "  ", "\n\n", "x² ½ Ⅷ ²."]
 
 
-@pytest.mark.parametrize("frequent", [lattice.FREQUENT, 0])
-def test_pieces_equal_the_model(docs_of, frequent):
+@pytest.mark.parametrize("block", [lattice.BLOCK_BYTES, 50])
+def test_pieces_equal_the_model(docs_of, monkeypatch, block):
+    monkeypatch.setattr(lattice, "BLOCK_BYTES", block)
+    monkeypatch.setattr(lattice, "SLICE_UNITS", block)
     sp = sentencepiece.SentencePieceProcessor(model_file=lattice.MODEL)
-    got = lattice.decode(lattice.encode(docs_of([(i, t) for i, t in enumerate(PROBES * 4)]), frequent=frequent)).collect()
+    got = lattice.decode(lattice.encode(docs_of([(i, t) for i, t in enumerate(PROBES * 4)]))).collect()
     assert len(got) == 4 * len(PROBES)
     for r in got:
         assert list(r.ids) == sp.encode(r.text or "") and r.n_tokens == len(r.ids), r.text
@@ -187,10 +190,16 @@ def test_pieces_equal_the_model(docs_of, frequent):
 def test_round_trip_of_a_table(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=lattice.MODEL)
     docs = read_table(spark, SF, "documents").select("doc_id", "text")
-    got = lattice.decode(lattice.encode(docs, frequent=3000)).toPandas()
+    got = lattice.decode(lattice.encode(docs)).toPandas()
     assert len(got) == docs.count() and (got.decoded == got.text).all()
     assert all(list(i) == sp.encode(t) for i, t in zip(got.ids, got.text))
 
 
-def test_pieces_of_an_empty_table(docs_of):
+def test_pieces_of_an_empty_table_and_clashing_names(docs_of):
     assert lattice.encode(docs_of([])).count() == 0
+    docs = docs_of([(1, "one two"), (2, None)])
+    names = ["block", "word", "kind", "rows", "c0", "c1", "piece", "edges", "n", "ids"]
+    odd = docs.select("*", *[F.lit(f"own {c}").alias(c) for c in names])
+    got = lattice.encode(odd, decoded="back", drop_text=True).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.back, *(r[c] for c in names[:-1])) for r in got] == [(i, t, *(f"own {c}" for c in names[:-1])) for i, t in ((1, "one two"), (2, ""))]
+    assert got[0].n_tokens == len(got[0].ids) > 0 and "text" not in got[0]
