@@ -3,8 +3,14 @@
 Centroids come from a two-level k-means on a bounded sample, with more sub-centroids for larger clusters,
 so that the posting lists are about even. A proximity graph over the centroids is searched in memory, by a beam. Every vector
 enters the list of its nearest centroid and, if it lies near a boundary, those of further centroids within a distance
-ratio. A query reads all lists whose centroids are within a ratio of its nearest one, however many they are. Lists are cut into blocks, so a
-long list is the work of many tasks. Equal vectors are one row of the index; their ids are kept beside it.
+ratio. A query finds its lists by the graph as well: those within a ratio of the nearest, out of a budget of nearest lists
+that is set by the recall of a bounded sample of queries on the sample of vectors, so it grows with what the data need. Lists are
+dealt out to shards, a bounded number of vectors each; a query goes to a shard once, reads its lists there, and its best
+of the whole shard come back. Equal vectors are one row of the index; their ids are kept beside it. Vectors of different
+length have indexes of their own.
+
+Distances that pick candidates are taken from vectors moved to the sample's middle and allow for their rounding; results
+are distances of the original vectors.
 """
 
 from __future__ import annotations
@@ -23,8 +29,10 @@ LIST_ROWS = 200          # vectors per list aimed at
 MAX_LISTS = 16_384
 SAMPLE_PER_LIST = 8      # the sample has at most MAX_LISTS * SAMPLE_PER_LIST vectors
 REPLICA_RATIO, REPLICAS = 1.12, 4
-SEARCH_RATIO = 1.35      # the only bound on the lists a query reads: their number follows the data, not the table's size
-BLOCK_ROWS = 4096
+SEARCH_RATIO = 1.35
+PROBES, PROBE_RECALL = 256, 0.99     # sample queries, and the share of their sample neighbours that the budget of lists has to reach
+SHARD_ROWS = 65_536      # postings of a shard
+CHUNK_ROWS = 4096        # queries that meet a shard at once
 SLICE_ROWS = 8192        # rows of a batch handed on
 DEGREE, BEAM = 16, 64
 
@@ -103,11 +111,6 @@ class CentroidGraph:
         order = np.argsort(dist, axis=1, kind="stable")[:, :n]
         return np.take_along_axis(nodes, order, 1), np.sqrt(np.take_along_axis(dist, order, 1))
 
-    def all(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All centroids, in their order, and their distances to every row of x."""
-        dist = np.sqrt(_distances(x, self.centroids))
-        return np.broadcast_to(np.arange(len(self.centroids)), dist.shape), dist
-
 
 def _matrix(column: pa.Array) -> np.ndarray:
     """Vectors from their bytes (little-endian doubles)."""
@@ -131,40 +134,70 @@ def clean_vectors(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return map_batches(rows, run, "vec_id long, vec binary")
 
 
-def assign_lists(classes: DataFrame, graph, ratio: float, most: int | None) -> DataFrame:
-    """``classes`` (cid, vec) once per posting list (list) whose centroid is within ``ratio`` of the nearest: of the ``most``
-    nearest the graph finds, or of all lists (None), by the distances to all centroids."""
+def list_budget(sample: np.ndarray, graph: CentroidGraph, k: int = 10) -> int:
+    """How many nearest lists reach ``PROBE_RECALL`` of the ``k`` nearest sample vectors of ``PROBES`` of them, each vector
+    standing in the lists that ``assign_lists`` gives it."""
+    lists = len(graph.centroids)
+    probes = sample[:PROBES]
+    if len(sample) <= k + 1 or lists == 1:
+        return lists
+    place = np.full((len(probes), lists), lists)
+    rank = np.argsort(_distances(probes, graph.centroids), axis=1, kind="stable")
+    np.put_along_axis(place, rank, np.arange(lists)[None, :], axis=1)        # place[q, l]: how near list l is to probe q
+    near = np.argsort(_distances(probes, sample), axis=1, kind="stable")[:, :k + 1]
+    at, dist = graph.search(sample[np.unique(near)], min(REPLICAS, lists))
+    held = np.where((at >= 0) & (dist <= REPLICA_RATIO * dist.min(1, keepdims=True) + 1e-12), at, at[:, :1])
+    own = held[np.searchsorted(np.unique(near), near)]                       # (probe, neighbour, its lists)
+    needed = np.take_along_axis(place[:, None, :], own, axis=2).min(2)
+    return int(np.quantile(needed, PROBE_RECALL)) + 1
+
+
+def assign_lists(classes: DataFrame, graph, ratio: float, most: int) -> DataFrame:
+    """``classes`` (cid, vec), one row each with lists: those of the ``most`` nearest lists the graph finds whose centroid is within
+    ``ratio`` of the nearest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = CentroidGraph(*graph.value)
+        centre, *parts = graph.value
+        index = CentroidGraph(*parts)
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                lists, dist = index.search(_matrix(part.column(1)), most) if most else index.all(_matrix(part.column(1)))
-                row, col = np.nonzero((lists >= 0) & (dist <= ratio * dist.min(1, keepdims=True) + 1e-12))
-                for first in range(0, len(row), SLICE_ROWS):
-                    r, c = row[first:first + SLICE_ROWS], col[first:first + SLICE_ROWS]
-                    pick = pa.array(r)
-                    yield pa.RecordBatch.from_arrays([pa.array(lists[r, c], pa.int32()), part.column(0).take(pick), part.column(1).take(pick)],
-                                                     names=["list", "cid", "vec"])
-    return classes.select("cid", "vec").mapInArrow(run, "list int, cid long, vec binary")
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                lists, dist = index.search(_matrix(part.column(1)) - centre, most, max(BEAM, most))
+                fits = (lists >= 0) & (dist <= ratio * dist.min(1, keepdims=True) + 1e-12)
+                fits[:, 0] = True
+                found = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(fits.sum(1))]), pa.int32()), pa.array(lists[fits], pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), found], names=["cid", "vec", "lists"])
+    return classes.select("cid", "vec").mapInArrow(run, "cid long, vec binary, lists array<int>")
 
 
 def _nearest(top: int):
-    """Cogrouped query and posting rows of one block: every query's ``top`` nearest of the block."""
+    """Cogrouped queries and postings of one shard: every query's ``top`` nearest among the postings of its lists."""
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
         out_q, out_c, out_s = [], [], []
         if queries.num_rows and rows.num_rows:
-            p, ids = _matrix(rows["vec"].combine_chunks()), rows["cid"].to_numpy()
-            q_ids, q_all = queries["cid"].to_numpy(), _matrix(queries["vec"].combine_chunks())
-            few = min(len(ids), top + 8)
-            for at in range(0, len(q_all), 256):
-                q = q_all[at:at + 256]
-                near = np.argpartition(_distances(q, p), few - 1, axis=1)[:, :few]
-                exact = np.sqrt(((q[:, None, :] - p[near]) ** 2).sum(2))
-                order = np.lexsort((ids[near], exact), axis=1)[:, :top]
-                out_q.append(np.repeat(q_ids[at:at + 256], order.shape[1]))
-                out_c.append(np.take_along_axis(ids[near], order, 1).ravel())
-                out_s.append(np.take_along_axis(exact, order, 1).ravel())
+            p, ids, own = _matrix(rows["vec"].combine_chunks()), rows["cid"].to_numpy(), rows["list"].to_numpy()
+            order = np.argsort(own, kind="stable")
+            p, ids, own = p[order], ids[order], own[order]
+            heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            spans = dict(zip(own[heads].tolist(), zip(heads.tolist(), [*heads[1:].tolist(), len(own)], strict=True), strict=True))
+            moved = p - p.mean(0)
+            size = (moved * moved).sum(1)
+            asked = queries["lists"].combine_chunks()
+            for i, (q_id, q) in enumerate(zip(queries["cid"].to_pylist(), _matrix(queries["vec"].combine_chunks()), strict=True)):
+                at = np.concatenate([np.arange(*spans[x]) for x in asked[i].values.to_pylist() if x in spans] or [np.zeros(0, dtype=int)])
+                if not len(at):
+                    continue
+                m = q - p.mean(0)
+                rough = size[at] - 2 * (moved[at] @ m)
+                if len(at) > top:
+                    # what rounding may hide is looked at as well
+                    slack = 1e-12 * (size[at].max() + m @ m) * (8 + len(m))
+                    at = at[rough <= np.partition(rough, top - 1)[top - 1] + slack]
+                at = at[np.unique(ids[at], return_index=True)[1]]            # a vector may stand in several lists
+                exact = np.sqrt(((q - p[at]) ** 2).sum(1))
+                best = np.lexsort((ids[at], exact))[:top]
+                out_q.append(np.full(len(best), q_id))
+                out_c.append(ids[at][best])
+                out_s.append(exact[best])
         cat = lambda x, t: pa.array(np.concatenate(x) if x else [], t)
         return pa.table({"q": cat(out_q, pa.int64()), "cid": cat(out_c, pa.int64()), "score": cat(out_s, pa.float64())})
     return run
@@ -175,15 +208,21 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, vec_id: str =
     vec_id, score (Euclidean distance of the original vectors, in double precision); ties go to the smaller vec_id. The
     query's own row is no candidate.
 
-    Vectors that ``clean_vectors`` leaves out take no part, nor do vectors of another length than that of the smallest usable id.
-    Repeated rows (same id and vector) count once. Fewer candidates than ``k`` give fewer rows; an empty table none."""
+    Vectors that ``clean_vectors`` leaves out take no part. Vectors of different length are no candidates of each other. Repeated rows
+    (same id and vector) count once. Fewer candidates than ``k`` give fewer rows; an empty table none. Further columns play no part."""
     spark = vectors.sparkSession
     rows = settle(clean_vectors(vectors, vec_id, embedding).distinct(), "ann-rows")
-    first = rows.orderBy("vec_id", "vec").limit(1).collect()
-    if not first:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(F.length("vec") == len(first[0]["vec"]))
+    found = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    # one search per vector length; a table of embeddings has one
+    for r in sorted(rows.groupBy(F.length("vec").alias("size")).agg(F.max(is_query.cast("int")).alias("asked")).collect()):
+        if r["asked"]:
+            found = found.unionByName(_search(rows.where(F.length("vec") == r["size"]), is_query, k))
+    return found
+
 
+def _search(rows: DataFrame, is_query, k: int) -> DataFrame:
+    """``nearest_neighbours`` of (vec_id, vec) rows of one length, none repeated."""
+    spark = rows.sparkSession
     # equal vectors are one class: its smallest ids are all a result can need of it
     sizes = rows.groupBy("vec").agg(F.min("vec_id").alias("cid"), F.count(F.lit(1)).alias("n"),
                                     F.max(is_query.cast("int")).alias("asked"))
@@ -196,20 +235,31 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 10, vec_id: str =
     lists = int(min(MAX_LISTS, max(1, total // LIST_ROWS)))
     sample = (classes.select("vec").orderBy(F.xxhash64("vec")).limit(SAMPLE_PER_LIST * MAX_LISTS if lists == MAX_LISTS
                                                                      else max(1000, SAMPLE_PER_LIST * lists)).toArrow())
-    built = CentroidGraph.build(balanced_centroids(_matrix(sample["vec"].combine_chunks()), lists))
-    graph = spark.sparkContext.broadcast((built.centroids, built.neighbours, built.entries))
-
-    postings = settle(assign_lists(classes, graph, REPLICA_RATIO, REPLICAS), "ann-postings")
-    asked = settle(assign_lists(classes.where("asked = 1"), graph, SEARCH_RATIO, None), "ann-asked")
-    # blocks of a list's postings and of its queries; one row per list (at most MAX_LISTS and a few)
-    blocks = lambda df, name: df.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias(name))
-    counts = F.broadcast(settle(blocks(postings, "p").join(blocks(asked, "q"), "list"), "ann-blocks"))
-    own = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int").alias(f"{n}_at")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias(f"{n}_at")
-    key = ["list", "p_at", "q_at"]
-    left = asked.join(counts, "list").select("list", "cid", "vec", own("q"), every("p")).groupBy(*key)
-    right = postings.join(counts, "list").select("list", "cid", "vec", own("p"), every("q")).groupBy(*key)
-    found = left.cogroup(right).applyInArrow(_nearest(k + 1), "q long, cid long, score double")
+    drawn = _matrix(sample["vec"].combine_chunks())
+    centre = drawn.mean(0)
+    built = CentroidGraph.build(balanced_centroids(drawn - centre, lists))
+    budget = list_budget(drawn - centre, built, k)
+    graph = spark.sparkContext.broadcast((centre, built.centroids, built.neighbours, built.entries))
+
+    postings = settle(assign_lists(classes, graph, REPLICA_RATIO, REPLICAS).select("cid", "vec", F.explode("lists").alias("list")), "ann-postings")
+    asked = settle(assign_lists(classes.where("asked = 1"), graph, SEARCH_RATIO, budget), "ann-asked")
+    # a list's postings lie in one shard or, if it is long, in several of its own; one row per list (at most MAX_LISTS and a few)
+    counts = postings.groupBy("list").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("list").rowsBetween(Window.unboundedPreceding, -1))
+    shards = F.broadcast(settle(counts.select("list", F.floor(F.coalesce(before, F.lit(0)) / SHARD_ROWS).cast("int").alias("shard"),
+                                              F.ceil(F.col("n") / SHARD_ROWS).cast("int").alias("parts")), "ann-shards"))
+    n_chunks = max(1, -(-asked.count() // CHUNK_ROWS))
+    own = F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int").alias("part")
+    right = (postings.join(shards, "list").select("shard", own, "list", "cid", "vec")
+             .select("*", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("chunk")))
+    wanted = (asked.select("cid", F.explode("lists").alias("list")).join(shards, "list")
+              .select("cid", "list", "shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+              .groupBy("cid", "shard", "part").agg(F.collect_set("list").alias("lists")))
+    left = (wanted.join(asked.select("cid", "vec"), "cid")
+            .select("shard", "part", F.pmod(F.xxhash64("cid"), F.lit(n_chunks)).cast("int").alias("chunk"), "cid", "vec", "lists"))
+    key = ["shard", "part", "chunk"]
+    left, right = left.toDF(*left.columns), right.toDF(*right.columns)
+    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_nearest(k + 1), "q long, cid long, score double")
 
     best = found.groupBy("q", "cid").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("q").orderBy("score", "cid"))

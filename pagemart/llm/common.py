@@ -59,6 +59,13 @@ def doc_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
             F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("k_text")]
 
 
+def sheltered(docs: DataFrame, *needed: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with its columns called own_0, own_1, ..., so that no name clashes with a helper column, and the new
+    names of the columns ``needed``."""
+    names = [f"own_{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), [names[docs.columns.index(c)] for c in needed]
+
+
 def lookup(rows: DataFrame, table: DataFrame, keys: list[str], n: str, total: int) -> DataFrame:
     """Inner join of ``rows`` with ``table`` (one row per key, ``n`` = the key's row count in
     ``rows``, never null). Hot keys are joined by a broadcast of their bounded table rows, so no task

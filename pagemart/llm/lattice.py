@@ -29,7 +29,7 @@ from .common import as_text
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-BLOCK_BYTES = 24 << 20   # text per block of documents, about; a longer document is a block of its own
+BLOCK_BYTES = 12 << 20   # text per block of documents, about; a longer document is a block of its own
 SLICE_UNITS = 400_000    # tokens of a block turned into ids at once, about
 FOLD_LENGTH = 60         # characters; longer words are folded with a heap instead of the SQL aggregate
 
@@ -94,7 +94,7 @@ def _heap_ids(word: str, known: dict[str, tuple[int, float]], longest: int, byte
 
 
 def encode_words(words: DataFrame, pieces: list[tuple[str, int, float]], byte0: int) -> DataFrame:
-    """``words(word)``, one row per word and partitioned by word, with ids array<int>: the lattice and its fold.
+    """``words(word)``, one row per word of at most ``FOLD_LENGTH`` characters and partitioned by word, with ids array<int>: the lattice and its fold.
 
     An edge is one number: score rank, place, length and id from the highest bits down, so sorted edges come in the order in
     which the tokenizer merges. The fold's state has a bit per place between characters that still is a boundary (and the sign, once
@@ -108,7 +108,7 @@ def encode_words(words: DataFrame, pieces: list[tuple[str, int, float]], byte0:
     # the empty substring is an edge of no length at place 0, so that a word without any matching piece keeps a row
     rows = [("", 0), *((p, (rank[-v] << 31) + i) for p, i, v in pieces)]
     table = F.broadcast(spark.createDataFrame(rows, "piece string, code long"))
-    n = f"if(char_length(word) <= {FOLD_LENGTH}, char_length(word), 1)"      # a long word only keeps its row here
+    n = "char_length(word)"
     cuts = (words.select("word", F.explode(F.expr(f"sequence(0, {n} - 1)")).alias("s"))
             .select("word", "s", F.explode(F.expr(f"sequence(if(s = 0, 0, 1), least({longest}, {n} - s))")).alias("l"))
             .select("word", F.expr("s * 33554432L + l * 1048576L").alias("at"), F.expr("substring(word, s + 1, l)").alias("piece")))
@@ -138,19 +138,7 @@ def encode_words(words: DataFrame, pieces: list[tuple[str, int, float]], byte0:
                 "flatten(transform(slice(b, 1, size(b) - 1), (a, i) -> " + let("one", span, f"if(size(one) = 1, one, {spell})") + "))")
     ids = let("pairs", pairs, let("path", fold, let("taken", taken,
               f"if(size(taken) = bit_count(path) - 1, transform(sort_array(taken), e -> cast(e & 1048575 AS int)), {mixed})")))
-    folded = lattice.select("word", F.expr(f"if(n <= {FOLD_LENGTH}, {ids}, NULL)").alias("ids"))
-    known = {p: (i, v) for p, i, v in pieces}
-
-    def long_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(batch.num_columns - 1)
-            if ids.null_count:
-                filled = ids.to_pylist()
-                for k in [k for k, x in enumerate(filled) if x is None]:
-                    filled[k] = _heap_ids(batch.column(0)[k].as_py(), known, longest, byte0)
-                ids = pa.array(filled, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=batch.schema.names)
-    return folded.mapInArrow(long_words, folded.schema)
+    return lattice.select("word", F.expr(ids).alias("ids"))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[int, pa.RecordBatch]]:
@@ -211,7 +199,7 @@ def _gathered(values: np.ndarray, offsets: np.ndarray, picks: np.ndarray) -> tup
 
 def _packed(rows: pa.RecordBatch) -> bytes:
     out = io.BytesIO()
-    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))) as w:
         w.write_batch(rows)
     return out.getvalue()
 
@@ -245,7 +233,7 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL, decoded
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in _blocks(batches, 0):
-            found = list({w for unit in _units(_texts(rows.column(0)))[3] for w in unit})
+            found = list({w for unit in _units(_texts(rows.column(0)))[3] for w in unit if len(w) <= FOLD_LENGTH})
             for first in range(0, len(found), 20_000):
                 own = found[first:first + 20_000]
                 yield pa.RecordBatch.from_arrays([pa.array([block] * len(own), pa.int64()), pa.array(own, pa.string())], names=["block", "word"])
@@ -253,8 +241,10 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL, decoded
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in _blocks(batches, where):
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_packed(rows)], pa.binary())], names=["block", "rows"])
-    asked = plain.select(f"c{where}").mapInArrow(words, "block long, word string").repartition("word")
-    answers = asked.join(encode_words(asked.select("word").distinct(), pieces, byte0).hint("merge"), "word")
+    # the two tests are always true; with them both uses of `asked` stay alike, so that it is made and shuffled once
+    asked = plain.select(f"c{where}").mapInArrow(words, "block long, word string").where("word IS NOT NULL").repartition("word")
+    distinct = asked.groupBy("word").agg(F.min("block").alias("b")).where("b >= 0").select("word")
+    answers = asked.join(encode_words(distinct, pieces, byte0).hint("merge"), "word")
     answers = answers.select("block", F.lit(0).alias("kind"), "word", "ids", F.lit(None).cast("binary").alias("rows"))
     packed = plain.mapInArrow(pack, "block long, rows binary")
     packed = packed.select("block", F.lit(1).alias("kind"), F.lit(None).cast("string").alias("word"), F.lit(None).cast("array<int>").alias("ids"), "rows")
@@ -269,7 +259,7 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL, decoded
         letters = np.cumsum([0, *map(len, spelled_ids)])
 
         def ids_of(word: str) -> bytes:
-            # every word was asked for; one that was not, because a row came to another block when it was read again, is folded here
+            # words too long for the fold are not asked for; nor, if a row came to another block when it was read again, are its words
             return own.get(word) or np.array(_heap_ids(word, known, longest, byte0), dtype=np.int32).tobytes()
         for b in batches:
             blocks, kinds = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))

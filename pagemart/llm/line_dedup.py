@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, lookup, settle
+from .common import doc_key, lookup, settle, sheltered
 
 DIVISOR = 2       # a boundary at one line in so many
 
@@ -83,7 +83,10 @@ def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     all places but its first, wherever the chunk boundaries fall; a line goes if a window or chunk over it has an earlier place.
     Of equal chunks the first by (id, text hash, line) stays; null ids come first. A document may lose all lines; its text is then
     empty. A null text stays null with n_lines 0. Repeated rows are one document: each of them keeps or loses the same
-    lines. Columns of ``docs`` named n_lines or n_removed are replaced; all others stay."""
+    lines. Columns of ``docs`` named n_lines or n_removed are replaced; all others stay, whatever their names. Texts and lines may have
+    any length."""
+    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    docs, (doc_id, text) = sheltered(docs.select(*names), doc_id, text)
     key, hashes, place = ["k_id", "k_text"], ["h", "h2"], F.struct("k_id", "k_text", "start", "n")
     keyed = docs.select(*doc_key(doc_id, text), F.col(text).alias("text"))
     places = chunk_places(keyed, divisor)
@@ -104,11 +107,11 @@ def deduplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     late = lookup(places, settle(proven, "line-proven"), hashes, "copies", total).where(place != F.col("first"))
     removed = settle(late.groupBy(*key).agg(F.collect_set(span).alias("gone")), "line-gone")
 
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    kept = docs.columns
     whole = (docs.select(*kept, *doc_key(doc_id, text)).join(removed.hint("merge"), key, "left")
              .withColumn("lines", F.split(F.coalesce(F.col(text), F.lit("")), "\n")))
     return (whole.withColumn("left", F.when(F.col("gone").isNull(), F.col("lines")).otherwise(without("lines", "gone")))
             .withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(F.size("lines")))
             .withColumn("n_removed", F.size("lines") - F.size("left"))
             .withColumn(text, F.when(F.col("gone").isNull(), F.col(text)).otherwise(F.array_join("left", "\n")))
-            .select(*kept, "n_lines", "n_removed"))
+            .select(*kept, "n_lines", "n_removed").toDF(*names, "n_lines", "n_removed"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_text, doc_key, lookup, settle
+from .common import as_text, doc_key, lookup, settle, sheltered
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
@@ -120,7 +120,11 @@ def remove_repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "
 
     The first occurrence by (id, text hash, place) stays; null ids come first. A null text stays null with
     no sentences; texts without a run stay as they are. Repeated rows are one document: all of them keep or lose the same
-    sentences. Columns of ``docs`` named like the results are replaced; all others stay."""
+    sentences. Columns of ``docs`` named like the results are replaced; all others stay, whatever their names. Texts may have any
+    length."""
+    results = ("n_sentences", "n_removed", "removed")
+    names = [c for c in docs.columns if c not in results]
+    docs, (doc_id, text) = sheltered(docs.select(*names), doc_id, text)
     key, hashes = ["k_id", "k_text"], ["h", "h2"]
     keyed = docs.select(*doc_key(doc_id, text), F.col(text).cast("binary").alias("t"))
     places = settle(span_places(keyed), "span-places")
@@ -131,8 +135,7 @@ def remove_repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     late = lookup(places, again, hashes, "copies", places.count()).where(place != F.col("first"))
     gone = settle(late.groupBy(*key).agg(F.collect_set(F.struct("at", "n")).alias("gone")), "span-gone")
 
-    results = ("n_sentences", "n_removed", "removed")
-    kept = [c for c in docs.columns if c not in results]
+    kept = docs.columns
     joined = docs.select(*kept, *doc_key(doc_id, text)).join(gone.hint("merge"), key, "left").select(*kept, "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,4 +150,4 @@ def remove_repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, *results])
     spans = T.ArrayType(T.StructType().add("start", "integer").add("end", "integer"))
     schema = docs.select(*kept).schema.add("n_sentences", "integer").add("n_removed", "integer").add("removed", spans)
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema).toDF(*names, *results)

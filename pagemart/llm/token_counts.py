@@ -25,6 +25,11 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+# fixed value: what the vocabulary's splitting takes as white space
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = 50_000        # white space characters in a row that the splitting is spared
+
+
 class Encoder:
     """Byte-level BPE of a rank file's content, with token spans."""
 
@@ -34,10 +39,22 @@ class Encoder:
         self.n_bytes = np.zeros(max(table.values()) + 1, dtype=np.int64)
         self.n_bytes[list(table.values())] = [len(k) for k in table]
 
+    def encode(self, text: str) -> list[int]:
+        """The token ids of a text. The splitting's look-ahead fails on very long runs of white space; such a run is one
+        piece, up to its last character if something follows, and is merged as one."""
+        ids: list[int] = []
+        at = 0
+        for m in re.finditer(f"[{WHITE}]{{{LONG_RUN},}}", text):
+            stop = m.end() - (m.end() < len(text))
+            ids += self.encoding.encode_ordinary(text[at:m.start()])
+            ids += self.encoding._encode_single_piece(text[m.start():stop].encode())
+            at = stop
+        return ids + self.encoding.encode_ordinary(text[at:])
+
     def spans(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """First character and end (exclusive) of every token of the texts laid end to end; each text is
         encoded by itself. A token of part of a character covers it."""
-        ids = np.concatenate([np.array(self.encoding.encode_ordinary(t), dtype=np.int64) for t in texts])
+        ids = np.concatenate([np.array(self.encode(t), dtype=np.int64) for t in texts])
         ends = np.cumsum(self.n_bytes[ids])
         starts = ends - self.n_bytes[ids]
         if sum(map(len, texts)) != (ends[-1] if len(ends) else 0):     # not pure ASCII: bytes to characters
@@ -118,7 +135,7 @@ def section_tokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """One row per section (sentence or line) of every document: doc_id, section (from 0), start and end (characters), n_tokens, n_crossing
     (those of them that reach over its boundary).
 
-    A null or empty text is one empty section without tokens. Repeated rows are counted each; other columns are
+    A null or empty text is one empty section without tokens; texts and runs of white space may have any length. Repeated rows are counted each; other columns are
     not read. The rank file is read where the driver runs and sent to the tasks (its size is the vocabulary's)."""
     with open(ranks_path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())

@@ -95,7 +95,8 @@ def test_recall_on_the_table(spark):
 
 
 def test_exact_with_copies_blocks_and_bad_vectors(spark, monkeypatch):
-    monkeypatch.setattr(ann, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(ann, "SHARD_ROWS", 16)
+    monkeypatch.setattr(ann, "CHUNK_ROWS", 2)
     rng = np.random.default_rng(4)
     x = rng.normal(size=(300, 5))
     x[100:200] = x[100]                      # a third of the rows are one vector
@@ -121,6 +122,28 @@ def test_recall_with_several_hundred_lists(spark, monkeypatch):
     assert np.mean(hits) / 10 >= 0.98
 
 
+@pytest.mark.parametrize("shift, clusters, size", [(0, 60, 16), (1e8, 0, 8), (1e6, 60, 64)])
+def test_recall_of_clustered_and_shifted_vectors(spark, monkeypatch, shift, clusters, size):
+    monkeypatch.setattr(ann, "LIST_ROWS", 10)
+    n = 3000                                        # 300 lists
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(n, size)) + (3 * rng.normal(size=(clusters, size))[rng.integers(0, clusters, n)] if clusters else 0) + shift
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(-100, [1.0]), (-99, [2.0]), (-98, [2.5, 1.0])]      # other lengths at the smallest ids
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest_neighbours(table, F.col("vec_id") % 100 == 0).toPandas().groupby("query_id").vec_id.agg(set)
+    hits = [len(set(np.argsort(((x - x[q]) ** 2).sum(1), kind="stable")[1:11]) & got[q]) for q in range(0, n, 100)]
+    assert np.mean(hits) / 10 >= 0.95 and got[-100] == {-99} and len(got) == 31
+
+
+def test_budget_of_lists_follows_the_data():
+    rng = np.random.default_rng(2)
+    sizes = []
+    for clusters in (400, 0):
+        x = rng.normal(size=(4000, 16)) + (20 * rng.normal(size=(clusters, 16))[rng.integers(0, clusters, 4000)] if clusters else 0)
+        sizes.append(ann.list_budget(x, ann.CentroidGraph.build(ann.balanced_centroids(x, 200))))
+    assert sizes[0] < 0.2 * sizes[1] and sizes[1] <= 200
+
+
 def test_few_and_no_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     assert ann.nearest_neighbours(spark.createDataFrame([], schema), F.col("vec_id") % 100 == 0).count() == 0
@@ -175,6 +198,21 @@ def test_pipeline_takes_odd_rows(spark, docs_of):
     assert isinstance(corpus_pipeline.run, type(fill)) and pd.DataFrame(corpus_pipeline.STAGES).shape == (5, 2)
 
 
+def test_clashing_names(spark, docs_of):
+    from pagemart.llm import line_dedup, span_dedup
+    text = "First line of a passage.\nSecond line of the same passage, which has some more words to be long enough."
+    docs = docs_of([(1, text + "\nown end"), (2, "own start\n" + text), (3, "w " * 5)])
+    names = ["left", "lines", "gone", "k_id", "k_text", "spans", "place", "col", "copies", "m_id", "m_text", "epoch", "n", "h", "start", "own_0", "size", "key", "slice"]
+    odd = docs.select(*[F.lit(f"own {c}").alias(c) for c in names], "*")
+    for run in (lambda d: line_dedup.deduplicate_lines(d, overlapping=True), span_dedup.remove_repeated_spans,
+                *(lambda d, f=f: f(spark, d, SF) for f in (corpus_pipeline.line_dedup_stage, corpus_pipeline.near_duplicates, corpus_pipeline.source_mix))):
+        want, got = run(docs), run(odd)
+        assert got.columns == [*names, *want.columns]
+        rows = got.collect()
+        assert all(r[c] == f"own {c}" for r in rows for c in names)
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
 def test_pipeline_keeps_one_of_every_group(spark, docs_of):
     def text(word):
         return " ".join(f"{word}{i}" for i in range(60))

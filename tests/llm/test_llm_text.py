@@ -169,6 +169,19 @@ def test_section_tokens_add_up(spark, docs_of):
     assert token_counts.section_tokens(docs_of([])).count() == 0 and got.n_crossing.sum() > 0
 
 
+def test_long_white_space(spark, docs_of, monkeypatch):
+    enc = token_counts.Encoder(open(token_counts.RANKS, "rb").read())
+    texts = ["a" + ws * n + tail for ws in (" ", "\n", " \t\u3000", "\u200b") for n in (1, 2, 3, 4, 7, 40) for tail in ("", "b", "7 x", "!", "'s")]
+    want = [enc.encoding.encode_ordinary(t) for t in texts]
+    monkeypatch.setattr(token_counts, "LONG_RUN", 3)
+    assert [enc.encode(t) for t in texts] == want
+    monkeypatch.undo()
+    got = token_counts.section_tokens(docs_of([(1, "one." + " " * 2_000_000 + "two"), (2, " " * 2_000_000)])).toPandas()
+    few = len(enc.encoding.encode_ordinary("one." + " " * 100 + "two"))
+    assert got[got.doc_id == 1].n_tokens.sum() == few + 2_000_000 - 100 and got[got.doc_id == 1].end.max() == 2_000_007
+    assert got[got.doc_id == 2].n_tokens.sum() == 2_000_000
+
+
 # ---- pieces ------------------------------------------------------------------------------------
 
 PROBES = ["", None, "a", " a", "hello  world", "x\ny", "日本語テキスト です", "\x00a", "é", "a\r\n", "ACGT" * 60, "naïve café — “quotes” 12,345.67!!!   end ",
