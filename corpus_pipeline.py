@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemart.llm import lattice, line_dedup, mixing, nbsvm, simhash
-from pagemart.llm.common import doc_key, read_table, settle
+from pagemart.llm.common import doc_key, read_table, settle, sheltered
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -30,21 +30,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near-duplicates: the first by (doc_id, text hash), one without an id only if no
     member has one. Of rows alike in id and text one stays."""
     key = ["k_id", "k_text"]
-    single = docs.select("*", *doc_key()).dropDuplicates(key)      # before the join, so that repeated rows meet in part already
-    return single.join(simhash.group_firsts(docs).hint("merge"), key, "left_semi").select(*docs.columns)
+    plain, (doc_id, text) = sheltered(docs, "doc_id", "text")
+    single = plain.select("*", *doc_key(doc_id, text)).dropDuplicates(key)      # before the join, so that repeated rows meet in part already
+    return single.join(simhash.group_firsts(docs).hint("merge"), key, "left_semi").select(*plain.columns).toDF(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources: every document once per epoch it is taken in, so a row may come up to three times."""
+    plain, (doc_id, text) = sheltered(docs, "doc_id", "text")          # no name of the table can clash
     taken = mixing.mix(docs).select(F.col("doc_id").alias("m_id"), F.col("k_text").alias("m_text"), "copies").where("copies > 0")
-    text = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    met = docs.join(taken.hint("merge"), F.col("doc_id").eqNullSafe(F.col("m_id")) & (text == F.col("m_text")))
-    return met.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("col")
+    met = plain.join(taken.hint("merge"), F.col(doc_id).eqNullSafe(F.col("m_id")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("m_text")))
+    return met.select(*plain.columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("epoch")).drop("epoch").toDF(*docs.columns)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every row, and the text they decode to."""
-    return lattice.encode(docs, decoded="decoded").select("doc_id", "lang", "source", "n_tokens", "ids", "decoded")
+    return lattice.encode(docs, decoded="decoded", drop_text=True).select("doc_id", "lang", "source", "n_tokens", "ids", "decoded")
 
 
 STAGES: list[tuple[str, Stage]] = [
