@@ -3,8 +3,8 @@
 Centroids come from a two-level k-means on a bounded sample, with more sub-centroids for larger clusters,
 so that the posting lists are about even. A proximity graph over the centroids is searched in memory, by a beam. Every vector
 enters the list of its nearest centroid and, if it lies near a boundary, those of further centroids within a distance
-ratio. A query finds its lists by the graph as well: those within a ratio of the nearest, out of a budget of nearest lists
-that is set by the recall of a bounded sample of queries on the sample of vectors, so it grows with what the data need. Lists are
+ratio. A query finds its lists by the graph as well: those within a ratio of the nearest, out of a budget of nearest lists.
+Ratio and budget are set by the recall of a bounded sample of queries on the sample of vectors, so they grow with what the data need. Lists are
 dealt out to shards, a bounded number of vectors each; a query goes to a shard once, reads its lists there, and its best
 of the whole shard come back. Equal vectors are one row of the index; their ids are kept beside it. Vectors of different
 length have indexes of their own.
@@ -15,6 +15,7 @@ are distances of the original vectors.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +30,7 @@ LIST_ROWS = 200          # vectors per list aimed at
 MAX_LISTS = 16_384
 SAMPLE_PER_LIST = 8      # the sample has at most MAX_LISTS * SAMPLE_PER_LIST vectors
 REPLICA_RATIO, REPLICAS = 1.12, 4
-SEARCH_RATIO = 1.35
+SEARCH_RATIO = 1.35      # at least
 PROBES, PROBE_RECALL = 256, 0.99     # sample queries, and the share of their sample neighbours that the budget of lists has to reach
 SHARD_ROWS = 65_536      # postings of a shard
 CHUNK_ROWS = 4096        # queries that meet a shard at once
@@ -77,7 +78,15 @@ class CentroidGraph:
         k = len(centroids)
         rows = [np.argsort(_distances(centroids[i:i + 512], centroids), axis=1, kind="stable")[:, :degree + 1]
                 for i in range(0, k, 512)]
-        return CentroidGraph(centroids, np.concatenate(rows), np.arange(0, k, max(1, k // max(64, round(k ** 0.5)))))
+        near = np.concatenate(rows)
+        # links both ways: a small cluster apart from the others is reached through those it is nearest to
+        source, target = np.repeat(np.arange(k), near.shape[1]), near.ravel()
+        order = np.lexsort((np.tile(np.arange(near.shape[1]), k), target))
+        place = np.arange(len(order)) - np.searchsorted(target[order], target[order])
+        back = np.tile(np.arange(k)[:, None], (1, degree))
+        some = place < degree
+        back[target[order][some], place[some]] = source[order][some]
+        return CentroidGraph(centroids, np.concatenate([near, back], axis=1), np.arange(0, k, max(1, k // max(256, 4 * round(k ** 0.5)))))
 
     def search(self, x: np.ndarray, n: int, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
         """The ``n`` nearest centroids found for every row of x, and their distances: best-first search with a beam,
@@ -103,6 +112,10 @@ class CentroidGraph:
             new = self.neighbours[nodes[live, best[live]]]
             d = np.maximum(own[live][:, None] + norm[new] - 2 * np.einsum("nd,nkd->nk", x[live], self.centroids[new]), 0)
             d[(new[:, :, None] == nodes[live][:, None, :]).any(2)] = np.inf       # already in the beam
+            near_order = np.argsort(new, axis=1, kind="stable")                      # a node may be linked twice
+            twice = np.zeros_like(d, dtype=bool)
+            np.put_along_axis(twice, near_order[:, 1:], np.diff(np.take_along_axis(new, near_order, 1), axis=1) == 0, axis=1)
+            d[twice] = np.inf
             all_d, all_n = np.concatenate([dist[live], d], 1), np.concatenate([nodes[live], new], 1)
             all_done = np.concatenate([done[live], np.isinf(d)], 1)
             keep = np.argpartition(all_d, beam - 1, axis=1)[:, :beam]
@@ -134,22 +147,26 @@ def clean_vectors(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return map_batches(rows, run, "vec_id long, vec binary")
 
 
-def list_budget(sample: np.ndarray, graph: CentroidGraph, k: int = 10) -> int:
-    """How many nearest lists reach ``PROBE_RECALL`` of the ``k`` nearest sample vectors of ``PROBES`` of them, each vector
-    standing in the lists that ``assign_lists`` gives it."""
+def search_bounds(sample: np.ndarray, graph: CentroidGraph, k: int = 10) -> tuple[int, float]:
+    """How many nearest lists, and which distance ratio, reach ``PROBE_RECALL`` of the ``k`` nearest sample vectors of ``PROBES`` of
+    them, each vector standing in the lists that ``assign_lists`` gives it."""
     lists = len(graph.centroids)
     probes = sample[:PROBES]
     if len(sample) <= k + 1 or lists == 1:
-        return lists
-    place = np.full((len(probes), lists), lists)
-    rank = np.argsort(_distances(probes, graph.centroids), axis=1, kind="stable")
-    np.put_along_axis(place, rank, np.arange(lists)[None, :], axis=1)        # place[q, l]: how near list l is to probe q
+        return lists, math.inf
+    to_lists = np.sqrt(_distances(probes, graph.centroids))
+    place = np.empty((len(probes), lists), dtype=np.int64)                   # place[q, l]: how near list l is to probe q
+    np.put_along_axis(place, np.argsort(to_lists, axis=1, kind="stable"), np.arange(lists)[None, :], axis=1)
     near = np.argsort(_distances(probes, sample), axis=1, kind="stable")[:, :k + 1]
-    at, dist = graph.search(sample[np.unique(near)], min(REPLICAS, lists))
+    members = np.unique(near)
+    at, dist = graph.search(sample[members], min(REPLICAS, lists))
     held = np.where((at >= 0) & (dist <= REPLICA_RATIO * dist.min(1, keepdims=True) + 1e-12), at, at[:, :1])
-    own = held[np.searchsorted(np.unique(near), near)]                       # (probe, neighbour, its lists)
-    needed = np.take_along_axis(place[:, None, :], own, axis=2).min(2)
-    return int(np.quantile(needed, PROBE_RECALL)) + 1
+    own = held[np.searchsorted(members, near)].reshape(len(probes), -1)      # (probe, neighbour and its lists)
+    shape = (*near.shape, -1)
+    rank = np.take_along_axis(place, own, axis=1).reshape(shape).min(2)
+    ratio = (np.take_along_axis(to_lists, own, axis=1).reshape(shape).min(2) + 1e-12) / (to_lists.min(1) + 1e-12)[:, None]
+    half = 1 - (1 - PROBE_RECALL) / 2                                        # each of the two bounds may lose half
+    return int(np.quantile(rank, half)) + 1, max(SEARCH_RATIO, float(np.quantile(ratio, half)))
 
 
 def assign_lists(classes: DataFrame, graph, ratio: float, most: int) -> DataFrame:
@@ -188,11 +205,12 @@ def _nearest(top: int):
                     continue
                 m = q - p.mean(0)
                 rough = size[at] - 2 * (moved[at] @ m)
-                if len(at) > top:
+                few = top * REPLICAS                                         # a vector may stand in so many lists
+                if len(at) > few:
                     # what rounding may hide is looked at as well
                     slack = 1e-12 * (size[at].max() + m @ m) * (8 + len(m))
-                    at = at[rough <= np.partition(rough, top - 1)[top - 1] + slack]
-                at = at[np.unique(ids[at], return_index=True)[1]]            # a vector may stand in several lists
+                    at = at[rough <= np.partition(rough, few - 1)[few - 1] + slack]
+                at = at[np.unique(ids[at], return_index=True)[1]]
                 exact = np.sqrt(((q - p[at]) ** 2).sum(1))
                 best = np.lexsort((ids[at], exact))[:top]
                 out_q.append(np.full(len(best), q_id))
@@ -238,11 +256,11 @@ def _search(rows: DataFrame, is_query, k: int) -> DataFrame:
     drawn = _matrix(sample["vec"].combine_chunks())
     centre = drawn.mean(0)
     built = CentroidGraph.build(balanced_centroids(drawn - centre, lists))
-    budget = list_budget(drawn - centre, built, k)
+    budget, ratio = search_bounds(drawn - centre, built, k)
     graph = spark.sparkContext.broadcast((centre, built.centroids, built.neighbours, built.entries))
 
     postings = settle(assign_lists(classes, graph, REPLICA_RATIO, REPLICAS).select("cid", "vec", F.explode("lists").alias("list")), "ann-postings")
-    asked = settle(assign_lists(classes.where("asked = 1"), graph, SEARCH_RATIO, budget), "ann-asked")
+    asked = settle(assign_lists(classes.where("asked = 1"), graph, ratio, budget), "ann-asked")
     # a list's postings lie in one shard or, if it is long, in several of its own; one row per list (at most MAX_LISTS and a few)
     counts = postings.groupBy("list").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.orderBy("list").rowsBetween(Window.unboundedPreceding, -1))
