@@ -157,13 +157,14 @@ def fold(doc_id: str = "doc_id"):
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
     """(rank, text, y) of at most ``per_class`` documents of either label outside the held-out fold. Ids
-    labelled both ways are left out."""
+    labelled both ways are left out; an id with several texts teaches by the first in byte order."""
     ids = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (fold() != 1)).groupBy("doc_id")
            .agg(F.min(label).alias("y"), F.max(label).alias("y2")).where("y = y2").drop("y2")
            .withColumn("rank", F.xxhash64("doc_id")))
     picked = [ids.where(F.col("y") == k).orderBy("rank", "doc_id").limit(per_class) for k in (0, 1)]
     few = picked[0].unionByName(picked[1])     # at most 2 * per_class rows
-    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("rank", "text", "y")
+    found = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
+    return found.groupBy("rank", "y").agg(F.min("text").alias("text")).select("rank", "text", "y")      # one text per id, however often it comes
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> Model:

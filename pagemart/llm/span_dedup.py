@@ -10,6 +10,7 @@ covered by a run that is not its first occurrence is removed.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +24,23 @@ from .common import as_text, doc_key, lookup, settle, sheltered
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
-MAX_WORDS = 20
+MAX_WORDS = 20           # longer sentences are cut
+CUT_WORDS = 8            # before one word in so many
 _SENTENCE_END = re.compile(r"(?:[.!?]+\s|\n)\s*")
 _WORD = re.compile(r"\S+")
 
 
+def content_cuts(words: list[str]) -> list[int]:
+    """Where a long sentence is cut: before words whose hash falls on a residue, and where a piece would exceed ``MAX_WORDS``. The places
+    depend on the words, not on the sentence's start, so they come back wherever a passage without sentence ends stands."""
+    cuts, last = [], 0
+    for i in range(1, len(words)):
+        if zlib.crc32(words[i].encode("utf-8", "replace")) % CUT_WORDS == 0 or i - last >= MAX_WORDS:
+            cuts.append(i)
+            last = i
+    return cuts
+
+
 def sentences(text: str) -> tuple[list[tuple[int, int]], list[list[str]]]:
     """Character spans (the white space after a sentence included) and words of the sentences of a text."""
     spans: list[tuple[int, int]] = []
@@ -36,9 +49,11 @@ def sentences(text: str) -> tuple[list[tuple[int, int]], list[list[str]]]:
     for end in [*(m.end() for m in _SENTENCE_END.finditer(text)), len(text)]:
         found = text[at:end].split()
         if len(found) > MAX_WORDS:
-            starts = [at + m.start() for m in _WORD.finditer(text[at:end])][MAX_WORDS::MAX_WORDS]
+            cuts = content_cuts(found)
+            begins = [at + m.start() for m in _WORD.finditer(text[at:end])]
+            starts = [begins[i] for i in cuts]
             spans += zip([at, *starts], [*starts, end], strict=True)
-            words += [found[i:i + MAX_WORDS] for i in range(0, len(found), MAX_WORDS)]
+            words += [found[i:j] for i, j in zip([0, *cuts], [*cuts, len(found)], strict=True)]
         elif found:
             spans.append((at, end))
             words.append(found)

@@ -250,6 +250,18 @@ def test_span_dedup_covers_tails(docs_of):
     assert got[1].text == "" and got[1].n_removed == 3
 
 
+def test_span_dedup_without_sentence_ends(docs_of):
+    rng = random.Random(21)
+    passage = " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(400)}" for _ in range(120))
+    rows = [(i, " ".join(f"own{i}x{j}" for j in range(n)) + " " + passage + " " + " ".join(f"end{i}x{j}" for j in range(n))) for i, n in enumerate((3, 1, 7, 16, 40))]
+    got = {r.doc_id: r for r in span_dedup.remove_repeated_spans(docs_of(rows)).collect()}
+    for i, t in rows[1:]:
+        left = got[i].text.split()
+        assert got[i].n_removed > 5
+        assert len([w for w in left if w in set(passage.split())]) <= 2 * span_dedup.MAX_WORDS
+    assert got[0].n_removed == 0
+
+
 def test_sentences_cover_the_text():
     t = "  A b. C d!  E\n\n" + " ".join(["x"] * 45) + "?"
     spans, found = span_dedup.sentences(t)
