@@ -175,7 +175,8 @@ def _units(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, l
     odd = pc.or_(pc.or_(pc.equal(texts, ""), pc.starts_with(texts, " ")), pc.or_(pc.match_substring(texts, "  "), pc.match_substring(texts, SPACE)))
     parts = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
     flat = parts.flatten().dictionary_encode()
-    units = [WORD.findall(" " + t) for t in flat.dictionary.to_pylist()]
+    # plain letters are one word; the pattern sees to the others
+    units = [[" " + t] if t.isascii() and t.isalpha() else WORD.findall(" " + t) for t in flat.dictionary.to_pylist()]
     numbers: dict[str, int] = {}
     others = [[numbers.setdefault(w, len(numbers) + len(units)) for w in words_of(t)] for t in texts.filter(odd).to_pylist()]
     units += [[w] for w in numbers]
@@ -190,13 +191,6 @@ def _units(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, l
     return codes, stop - lengths, stop, units
 
 
-def _gathered(values: np.ndarray, offsets: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The lists ``values[offsets[i]:offsets[i + 1]]`` of all ``picks`` in a row, and where each ends."""
-    length = np.diff(offsets)[picks]
-    stop = np.cumsum(length)
-    return values[np.repeat(offsets[picks] - (stop - length), length) + np.arange(stop[-1] if len(stop) else 0)], stop
-
-
 def _packed(rows: pa.RecordBatch) -> bytes:
     out = io.BytesIO()
     with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))) as w:
@@ -209,14 +203,6 @@ def _spell(spelled: dict[int, bytes], ids: list[int]) -> str:
     return b"".join([spelled.get(i, b"") for i in ids]).decode("utf-8", "replace").removeprefix(" ")
 
 
-def _spelled_rows(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    """Texts from their bytes, without the tokenizer's leading space; broken UTF-8 becomes U+FFFD."""
-    first, stop = offsets[:-1], offsets[1:]
-    skip = (first < stop) & (data[np.minimum(first, max(len(data) - 1, 0))] == 32) if len(data) else np.zeros(len(first), dtype=bool)
-    raw = data.tobytes()
-    return pa.array([raw[a + k:b].decode("utf-8", "replace") for a, b, k in zip(first.tolist(), stop.tolist(), skip.tolist())], pa.string())
-
-
 def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL, decoded: str | None = None, drop_text: bool = False) -> DataFrame:
     """``docs`` with ids array<int> and n_tokens, as the model's own encoder gives them (no begin or end marks). ``decoded`` names a column
     for the text that the ids decode to (as ``decode`` gives it), made where the ids are; ``drop_text`` leaves the text itself out.
@@ -255,8 +241,6 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL, decoded
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: dict[str, bytes] = {}
         now = None
-        spelled = np.frombuffer(b"".join(spelled_ids), dtype=np.uint8)
-        letters = np.cumsum([0, *map(len, spelled_ids)])
 
         def ids_of(word: str) -> bytes:
             # words too long for the fold are not asked for; nor, if a row came to another block when it was read again, are its words
@@ -275,27 +259,25 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL, decoded
                     continue
                 for row in part.column(4):                          # one block of documents at a time
                     docs_ = pa.ipc.open_stream(row.as_buffer()).read_next_batch()
-                    yield from assembled(docs_, ids_of, spelled, letters)
+                    yield from assembled(docs_, ids_of)
 
-    def assembled(rows: pa.RecordBatch, ids_of, spelled: np.ndarray, letters: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def assembled(rows: pa.RecordBatch, ids_of) -> Iterator[pa.RecordBatch]:
         codes, start, stop, units = _units(_texts(rows.column(where)))
-        each = [b"".join([ids_of(w) for w in unit]) for unit in units]
-        ids, at = np.array(np.frombuffer(b"".join(each) or b"\0" * 4, dtype=np.int32)), np.cumsum([0, *[len(e) // 4 for e in each]])
+        ids = [ids_of(u[0]) if len(u) == 1 else b"".join([ids_of(w) for w in u]) for u in units]       # of every unit, as bytes
+        said = [b"".join([spelled_ids[i] for i in memoryview(x).cast("i")]) for x in ids] if decoded else []
         size = np.cumsum(stop - start)
         first = 0
         while first < rows.num_rows:
             last = max(first + 1, int(np.searchsorted(size, (size[first - 1] if first else 0) + SLICE_UNITS, side="right")))
-            picks = np.concatenate([codes[x:y] for x, y in zip(start[first:last].tolist(), stop[first:last].tolist(), strict=True)])
-            values, ends = _gathered(ids, at, picks)
-            bounds = np.concatenate([[0], np.concatenate([[0], ends])[np.cumsum(stop[first:last] - start[first:last])]])
-            more = []
-            if decoded:
-                data, byte_ends = _gathered(spelled, letters, values)
-                more = [_spelled_rows(data, np.concatenate([[0], byte_ends])[bounds])]
+            picks = [codes[x:y].tolist() for x, y in zip(start[first:last].tolist(), stop[first:last].tolist(), strict=True)]
+            found = [b"".join([ids[c] for c in p]) for p in picks]
+            n = np.array([len(f) // 4 for f in found], dtype=np.int32)
+            values = pa.array(np.frombuffer(b"".join(found), dtype=np.int32) if n.any() else np.zeros(0, np.int32))
+            more = [pa.array([b"".join([said[c] for c in p]).decode("utf-8", "replace").removeprefix(" ") for p in picks], pa.string())] if decoded else []
             docs_ = rows.slice(first, last - first)
             columns = [docs_.column(i) if i != where else docs_.column(i).view(pa.string()) for i in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, pa.int32())),
-                                              pa.array(np.diff(bounds), pa.int32()), *more], names=[*(f"c{i}" for i in kept), *results])
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), values),
+                                              pa.array(n), *more], names=[*(f"c{i}" for i in kept), *results])
             first = last
     schema = spark.createDataFrame([], plain.withColumn(f"c{where}", F.lit(None).cast("string")).schema).select(*[f"c{i}" for i in kept]) \
         .withColumns({"ids": F.lit(None).cast("array<int>"), "n_tokens": F.lit(None).cast("int"), **({decoded: F.lit(None).cast("string")} if decoded else {})}).schema
