@@ -118,8 +118,8 @@ def test_a_stopped_refresh_goes_on(spark, scratch, monkeypatch):
     stg = testdata.Staging(spark, SF001)
     staging = {"stg_clients": stg.clients, "stg_unmanaged_clients": stg.unmanaged_clients, "stg_posts": stg.posts, "stg_insights": stg.insights}
 
-    def run(source="day 1", end=dt.date(2025, 1, 1)):
-        store = LayerStore(spark, scratch, source=source)
+    def run(end=dt.date(2025, 1, 1)):
+        store = LayerStore(spark, scratch, source="day 1")
         return refresh(spark, staging, store, start=dt.date(1990, 1, 1), end=end), store
     with monkeypatch.context() as m:
         m.setattr(dw, "fact_insights", lambda *a: 1 / 0)
@@ -138,5 +138,6 @@ def test_a_stopped_refresh_goes_on(spark, scratch, monkeypatch):
     assert not set(second.paths) - set(second.reused) and LayerStore(spark, scratch).latest_run() == second.run_id
     _, later = run(end=dt.date(2025, 1, 2))                 # one setting: only what depends on it
     assert set(later.paths) - set(later.reused) == {"dim_date", "fact_posts", "fact_insights", "fact_fan_demographics", "broken_keys"}
-    _, other = run(source="day 2")
+    other = LayerStore(spark, scratch, source="day 2")      # another source: nothing fits
+    other.layer("dim_date", lambda: spark.range(1))
     assert not other.reused
