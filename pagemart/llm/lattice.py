@@ -29,7 +29,7 @@ from .common import as_text
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-BLOCK_BYTES = 12 << 20   # text per block of documents, about; a longer document is a block of its own
+BLOCK_BYTES = 8 << 20   # text per block of documents, about; a longer document is a block of its own
 SLICE_UNITS = 400_000    # tokens of a block turned into ids at once, about
 FOLD_LENGTH = 60         # characters; longer words are folded with a heap instead of the SQL aggregate
 
