@@ -25,7 +25,7 @@ from .common import as_text, doc_key, lookup, settle, sheltered
 MIN_SENTENCES = 2
 MIN_WORDS = 20
 MAX_WORDS = 20           # longer sentences are cut
-CUT_WORDS = 8            # before one word in so many
+CUT_WORDS = 16            # before one word in so many
 _SENTENCE_END = re.compile(r"(?:[.!?]+\s|\n)\s*")
 _WORD = re.compile(r"\S+")
 
