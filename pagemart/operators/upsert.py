@@ -102,7 +102,7 @@ def upsert_partial(records: DataFrame, keys: Sequence[str], seq: Sequence[str |
     own = f"coalesce({stored}['{{c}}'], {_SRC})" if stored in recs.columns else _SRC
     order = {c: f"CASE WHEN array_contains(`{present}`, '{c}') THEN {own.format(c=c)} END" for c in columns}
     # one SQL expression per column (a Column built node by node costs a driver round trip per node)
-    picks = [F.expr(f"max_by(named_struct('v', `{c}`), {order[c]}).v").alias(c) for c in columns]
+    picks = [F.expr(f"max_by(`{c}`, {order[c]})").alias(c) for c in columns]
     if order_col is None:
         return recs.groupBy(*keys).agg(*picks)
     return recs.groupBy(*keys).agg(*picks, _latest(order).alias(order_col))
@@ -119,5 +119,5 @@ def merge_tracked(rows: DataFrame, keys: Sequence[str], columns: Sequence[str],
     order for it, null included; a column no row has an order for is NULL. Merging is associative and does not depend on
     the order of the rows."""
     order = {c: f"`{order_col}`['{c}']" for c in columns}
-    picks = [F.expr(f"max_by(named_struct('v', `{c}`), {order[c]}).v").alias(c) for c in columns]
+    picks = [F.expr(f"max_by(`{c}`, {order[c]})").alias(c) for c in columns]
     return rows.groupBy(*keys).agg(*picks, _latest(order).alias(order_col))

@@ -76,32 +76,40 @@ def _from_text_sql(x: str, typ: str) -> str:
 # The record expressions below are written as SQL text and turned into one Column each: built
 # node by node from Python they would cost thousands of driver round trips per plan.
 
-def raw_record_sql(rec: str, cols: list[tuple[str, str]]) -> str:
-    """``struct<keys, raw>`` for one record given as a VARIANT: the keys it carries and its
-    values as text (an object or array value as its JSON text)."""
-    return (f"named_struct('keys', map_keys(try_variant_get({rec}, '$', 'map<string,variant>')), "
-            f"'raw', try_variant_get({rec}, '$', '{all_strings(cols).simpleString()}'))")
-
-
-def type_record_sql(p: str, cols: list[tuple[str, str]]) -> str:
-    """Add ``v``, the values typed for the staging columns, to a ``raw_record`` struct ``p``.
-    ``p`` must be an already computed value (a column or a lambda variable): inside array
-    lambdas Spark does not share repeated sub-expressions, so the raw struct is built once in
-    an earlier projection and only read here."""
-    typed = ", ".join(f"'{n}', {_from_text_sql(f'{p}.raw.`{n}`', t)}" for n, t in cols)
-    return f"named_struct('keys', {p}.keys, 'raw', {p}.raw, 'v', named_struct({typed}))"
-
-
-def record_problem_sql(p: str, cols: list[tuple[str, str]]) -> str:
-    """First problem of a typed record: not an object, unknown column, no id, a value the column
-    type cannot hold; NULL when the record is fine."""
+def typed_columns_sql(r: str, cols: list[tuple[str, str]]) -> list[str]:
+    """``present`` (the keys it carries) and the staging columns of one record given as a map of texts ``r``.
+
+    The lambda behind ``present`` keeps this projection out of whole-stage code: as one method, the columns would be too large for
+    the JIT and run ten times slower; outside, Spark splits them into methods."""
+    return [f"filter(map_keys({r}), k -> k IS NOT NULL) AS present",
+            *(f"{_from_text_sql(f'{r}[{n!r}]', t)} AS `{n}`" for n, t in cols)]
+
+
+def _suspicious_sql(m: str, cols: list[tuple[str, str]]) -> str:
+    """Whether any entry of the record's map is of an unknown column or a value its column cannot hold. It looks at the entries
+    there are, not at every column there could be."""
+    of: dict[str, list[str]] = {}
+    for n, t in cols:
+        of.setdefault(t, []).append(f"'{n}'")
+    texts = ", ".join(of.pop("string"))
+    others = ", ".join(n for names in of.values() for n in names)
+    tests = " ".join(f"WHEN k IN ({', '.join(names)}) THEN ({_from_text_sql('v', t)}) IS NULL" for t, names in of.items())
+    return (f"size(map_filter({m}, (k, v) -> CASE WHEN k IN ({texts}) THEN false "
+            f"WHEN v IS NULL THEN k NOT IN ({others}) {tests} ELSE true END)) > 0")
+
+
+def record_problem_sql(m: str, cols: list[tuple[str, str]]) -> str:
+    """First problem of a record given as a map of texts: not an object, unknown column, no id, a value the column type cannot
+    hold; NULL when the record is fine. ``m`` must be an already computed value (a column or a lambda variable): inside
+    array lambdas Spark does not share repeated sub-expressions."""
     names = ", ".join(f"'{n}'" for n, _ in cols)
-    wrong = " ".join(f"WHEN {p}.raw.`{n}` IS NOT NULL AND {p}.v.`{n}` IS NULL THEN '{n}'" for n, t in cols
+    wrong = " ".join(f"WHEN {m}['{n}'] IS NOT NULL AND ({_from_text_sql(f'{m}[{n!r}]', t)}) IS NULL THEN '{n}'" for n, t in cols
                      if t != "string")
-    unknown = f"array_except({p}.keys, array({names}))"
-    return (f"CASE WHEN {p}.keys IS NULL THEN 'record is not a JSON object' "
+    unknown = f"array_except(map_keys({m}), array({names}))"
+    return (f"CASE WHEN {m} IS NULL THEN 'record is not a JSON object' "
+            f"WHEN {m}['id'] IS NOT NULL AND NOT ({_suspicious_sql(m, cols)}) THEN NULL "
             f"WHEN size({unknown}) > 0 THEN concat('unknown column: ', array_join({unknown}, ',')) "
-            f"WHEN {p}.raw.id IS NULL THEN 'record without id' "
+            f"WHEN {m}['id'] IS NULL THEN 'record without id' "
             f"ELSE concat('bad value for ', CASE {wrong} END) END")
 
 
@@ -109,49 +117,38 @@ def _first_problem_sql(arr: str, cols) -> str:
     return f"try_element_at(filter(transform({arr}, p -> {record_problem_sql('p', cols)}), b -> b IS NOT NULL), 1)"
 
 
+RECORD = "map<string,string>"     # a record: its keys and their values as text (an object or array as its JSON text)
+
+
 def check_responses(landed: DataFrame) -> DataFrame:
-    """Landed rows plus ``page``, ``insights``, ``posts`` (parsed records) and ``reason``
-    (NULL when the page is accepted). The body is parsed once, into a VARIANT; everything
-    else navigates that binary value."""
+    """Landed rows plus ``page``, ``insights``, ``posts`` (records as maps of texts) and ``reason``
+    (NULL when the page is accepted). The body is parsed once, into a VARIANT, and every record is taken out of
+    that binary value once; the checks read the maps."""
     with_v = landed.withColumn("__v", F.try_parse_json("body"))
     # Structure tests use typed extraction (NULL when the shape is wrong) instead of
-    # schema_of_variant, which would describe every nested record of the body.
-    envelope = F.expr(f"""CASE
-        WHEN status <> 200 THEN concat('http status ', CAST(status AS STRING))
-        WHEN __v IS NULL AND octet_length(body) > {ONE_VALUE_BYTES} THEN 'body is not JSON, or too large to parse as one value'
-        WHEN __v IS NULL THEN 'body is not JSON'
-        WHEN NOT {json_truthy_sql("try_variant_get(__v, '$.success', 'variant')")} THEN 'success is false or missing'
-        WHEN try_variant_get(__v, '$.data.page', 'variant') IS NULL
-          OR is_variant_null(try_variant_get(__v, '$.data.page', 'variant')) THEN 'no data.page'
-        WHEN try_variant_get(__v, '$.data.insights', 'array<variant>') IS NULL THEN 'no insights array'
-        WHEN try_variant_get(__v, '$.data.posts', 'variant') IS NOT NULL
-          AND try_variant_get(__v, '$.data.posts', 'array<variant>') IS NULL THEN 'posts is not an array'
-        END""")
-
-    def records(path: str, cols) -> Column:
-        arr = f"coalesce(try_variant_get(__v, '{path}', 'array<variant>'), cast(array() AS array<variant>))"
-        return F.expr(f"transform({arr}, r -> {raw_record_sql('r', cols)})")
-
-    raw = with_v.select(
-        *landed.columns,
-        F.expr(raw_record_sql("try_variant_get(__v, '$.data.page', 'variant')", STG_CLIENT_COLUMNS)).alias("page"),
-        records("$.data.insights", STG_INSIGHT_COLUMNS).alias("insights"),
-        records("$.data.posts", STG_POST_COLUMNS).alias("posts"),
-        envelope.alias("__envelope"),
-    )
-    parsed = raw.select(
+    # schema_of_variant, which would describe every nested record of the body; what can be large is extracted once.
+    parts = with_v.select(
         *landed.columns,
-        F.expr(type_record_sql("page", STG_CLIENT_COLUMNS)).alias("page"),
-        F.expr(f"transform(insights, p -> {type_record_sql('p', STG_INSIGHT_COLUMNS)})").alias("insights"),
-        F.expr(f"transform(posts, p -> {type_record_sql('p', STG_POST_COLUMNS)})").alias("posts"),
-        "__envelope",
+        F.expr(f"try_variant_get(__v, '$.data.page', '{RECORD}')").alias("page"),
+        F.expr(f"try_variant_get(__v, '$.data.insights', 'array<{RECORD}>')").alias("insights"),
+        F.expr(f"try_variant_get(__v, '$.data.posts', 'array<{RECORD}>')").alias("posts"),
+        F.expr(f"""CASE
+            WHEN status <> 200 THEN concat('http status ', CAST(status AS STRING))
+            WHEN __v IS NULL AND octet_length(body) > {ONE_VALUE_BYTES} THEN 'body is not JSON, or too large to parse as one value'
+            WHEN __v IS NULL THEN 'body is not JSON'
+            WHEN NOT {json_truthy_sql("try_variant_get(__v, '$.success', 'variant')")} THEN 'success is false or missing'
+            WHEN try_variant_get(__v, '$.data.page', 'variant') IS NULL
+              OR is_variant_null(try_variant_get(__v, '$.data.page', 'variant')) THEN 'no data.page'
+            END""").alias("__envelope"),
+        # the keys alone: whether there are posts at all, of whatever shape
+        F.expr("coalesce(array_contains(map_keys(try_variant_get(__v, '$.data', 'map<string,boolean>')), 'posts'), false)").alias("__has_posts"),
     )
     reason = F.expr(f"""coalesce(__envelope,
-        CASE WHEN ({record_problem_sql('page', STG_CLIENT_COLUMNS)}) IS NOT NULL
-             THEN concat('page: ', {record_problem_sql('page', STG_CLIENT_COLUMNS)}) END,
+        CASE WHEN insights IS NULL THEN 'no insights array' WHEN posts IS NULL AND __has_posts THEN 'posts is not an array' END,
+        concat('page: ', {record_problem_sql('page', STG_CLIENT_COLUMNS)}),
         concat('insight: ', {_first_problem_sql('insights', STG_INSIGHT_COLUMNS)}),
         concat('post: ', {_first_problem_sql('posts', STG_POST_COLUMNS)}))""")
-    return parsed.withColumn("reason", reason).drop("__envelope")
+    return parts.withColumn("reason", reason).drop("__envelope", "__has_posts")
 
 
 class RejectedTooMany(RuntimeError):
@@ -167,7 +164,7 @@ class Staged:
 
     @cached_property
     def _pages(self) -> DataFrame:
-        return _records(self.checked, "page", many=False)
+        return _records(self.checked, "page", STG_CLIENT_COLUMNS, many=False)
 
     @cached_property
     def clients(self) -> DataFrame:
@@ -181,12 +178,12 @@ class Staged:
 
     @cached_property
     def insights(self) -> DataFrame:
-        return _stage(_records(self.checked, "insights", many=True), STG_INSIGHT_COLUMNS,
+        return _stage(_records(self.checked, "insights", STG_INSIGHT_COLUMNS), STG_INSIGHT_COLUMNS,
                       self.targets.get("stg_insights"), self.track_order)
 
     @cached_property
     def posts(self) -> DataFrame:
-        return _stage(_records(self.checked, "posts", many=True), STG_POST_COLUMNS, self.targets.get("stg_posts"), self.track_order)
+        return _stage(_records(self.checked, "posts", STG_POST_COLUMNS), STG_POST_COLUMNS, self.targets.get("stg_posts"), self.track_order)
 
     @cached_property
     def rejects(self) -> DataFrame:
@@ -195,16 +192,9 @@ class Staged:
     def materialize(self) -> "Staged":
         """Validate once for all outputs: a job that writes every staging table (and the
         rejects) would otherwise re-run the whole validation per table. Keeps only what the
-        outputs read (keys, typed values, reason; not the raw text) and checkpoints it to
+        outputs read (the records and the reason, not the body) and checkpoints it to
         ``spark.checkpoint.dir``, which also cuts the lineage back to the landed files."""
-        def slim(arr: str) -> Column:
-            return F.transform(arr, lambda r: F.struct(r["keys"].alias("keys"), r["v"].alias("v")))
-        base = [c for c in self.checked.columns if c not in ("body", "page", "insights", "posts", "reason")]
-        slim_df = self.checked.select(
-            *base, "reason",
-            F.struct(F.col("page.keys").alias("keys"), F.col("page.v").alias("v")).alias("page"),
-            slim("insights").alias("insights"), slim("posts").alias("posts"))
-        self.checked = slim_df.checkpoint(eager=True)
+        self.checked = self.checked.drop("body").checkpoint(eager=True)
         for name in ("_pages", "clients", "unmanaged_clients", "insights", "posts", "rejects"):
             self.__dict__.pop(name, None)
         return self
@@ -229,7 +219,7 @@ class Staged:
                 "stg_insights": self.insights, "stg_posts": self.posts}
 
 
-def _records(checked: DataFrame, field: str, many: bool) -> DataFrame:
+def _records(checked: DataFrame, field: str, cols: list[tuple[str, str]], many: bool = True) -> DataFrame:
     """Records of accepted pages only. The accept test sits *inside* the generator
     (``explode(when(reason IS NULL, records))``) rather than in a filter: Catalyst would push a
     filter on ``reason`` below the projection that computes it and evaluate the whole
@@ -239,7 +229,7 @@ def _records(checked: DataFrame, field: str, many: bool) -> DataFrame:
     arr = F.col(field) if many else F.array(F.col(field))
     rows = checked.select(*base, F.posexplode(F.when(ok, arr)).alias("array_pos", "r"))
     pos = F.col("array_pos").cast("int") if many else F.lit(-1)
-    return rows.select(*base, pos.alias("array_pos"), F.col("r.keys").alias("present"), "r.v.*")
+    return rows.select(*base, pos.alias("array_pos"), *map(F.expr, typed_columns_sql("r", cols)))
 
 
 ORDER = "__order"   # per stored row: which record each column's value comes from
@@ -279,14 +269,11 @@ PARTS = {"insight": STG_INSIGHT_COLUMNS, "post": STG_POST_COLUMNS}
 
 
 def _parsed_parts(rows: DataFrame, part: str, cols: list[tuple[str, str]]) -> DataFrame:
-    """Records of one part with their typed values and first problem. The text is parsed to a map of texts, so a
+    """Records of one part (maps of texts) with their first problem. The text is parsed to a map of texts, so a
     record's strings may have any length a row can hold."""
-    raw = ", ".join(f"'{n}', m['{n}']" for n, _ in cols)
     parsed = (rows.where(F.col("part") == part)
               # a generator keeps the parse from being put into every use of its result
-              .select(*PAGE_KEY, "array_pos", F.explode(F.array(F.from_json("body", "map<string,string>", JSON_OPTIONS))).alias("m"))
-              .select(*PAGE_KEY, "array_pos", F.expr(f"named_struct('keys', map_keys(m), 'raw', named_struct({raw}))").alias("p"))
-              .select(*PAGE_KEY, "array_pos", F.expr(type_record_sql("p", cols)).alias("r")))
+              .select(*PAGE_KEY, "array_pos", F.explode(F.array(F.from_json("body", RECORD, JSON_OPTIONS))).alias("r")))
     return parsed.withColumn("problem", F.expr(f"concat('{part}: ', {record_problem_sql('r', cols)})"))
 
 
@@ -312,12 +299,12 @@ class StagedRecords(Staged):
 
     @cached_property
     def _pages(self) -> DataFrame:
-        return _records(self.checked.join(self.bad_pages.select(*PAGE_KEY), PAGE_KEY, "left_anti"), "page", many=False)
+        return _records(self.checked.join(self.bad_pages.select(*PAGE_KEY), PAGE_KEY, "left_anti"), "page", STG_CLIENT_COLUMNS, many=False)
 
     def _of(self, part: str) -> DataFrame:
         good = self.parts[part].join(self.bad_pages.select(*PAGE_KEY), PAGE_KEY, "left_anti")
         return good.select("source", "source_rank", "list_pos", "chunk", F.col("array_pos").cast("int").alias("array_pos"),
-                           F.col("r.keys").alias("present"), "r.v.*")
+                           *map(F.expr, typed_columns_sql("r", PARTS[part])))
 
     @cached_property
     def insights(self) -> DataFrame:
