@@ -44,7 +44,9 @@ def list_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(source, source_rank, list_pos, page_id, chunk, status, body), one row per response."""
+    """(source, source_rank, list_pos, page_id, chunk, status, body), one row per response.
+
+    Every chunk of a page gets a row with the page's own JSON, so records and page meet in one aggregation and no body is shuffled."""
     entries = list_entries(spark, sf_dir)
     posts = testdata.stg_posts(spark, sf_dir)
     insights = testdata.stg_insights(spark, sf_dir)
@@ -55,8 +57,8 @@ def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .groupBy("page_id").agg(F.sum("p").alias("n_posts"), F.sum("i").alias("n_insights")))
     chunks_of = per_kind.select("page_id", F.greatest(F.lit(1), F.ceil(
         F.greatest("n_posts", "n_insights") / F.lit(CHUNK))).alias("n_chunks"))
-    pages = (entries.select("source", "page_id").join(chunks_of, "page_id", "left")
-                               .select("source", "page_id", F.coalesce("n_chunks", F.lit(1)).alias("n_chunks")))
+    listed = entries.join(chunks_of, "page_id", "left").withColumn("n_chunks", F.coalesce("n_chunks", F.lit(1)))
+    pages = listed.select("source", "page_id", "n_chunks")
     both_lists = F.col("page_id") % 10 == 0
     partial = (F.col("source") == "unmanaged") & both_lists
     partial_json = _json([F.col("id"), F.col("page_id"),
@@ -71,14 +73,15 @@ def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source", "page_id", (F.col("id") % F.col("n_chunks")).alias("chunk"),
         F.lit(None).cast("struct<id:bigint,j:string>").alias("post"),
         F.struct(F.col("id"), _json([F.col(c) for c in insights.columns]).alias("j")).alias("insight"))
-    page_rows = entries.select("source", "page_id", F.lit(0).cast("bigint").alias("chunk"),
-                               F.lit(None).cast("struct<id:bigint,j:string>").alias("post"),
-                               F.lit(None).cast("struct<id:bigint,j:string>").alias("insight"))
-    chunks = (post_rows.unionByName(insight_rows).unionByName(page_rows)
+    page_rows = listed.select("source", "page_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_chunks") - 1)).alias("chunk"),
+                              F.struct("source_rank", "list_pos", "page_json").alias("page"))
+    chunks = (post_rows.unionByName(insight_rows).unionByName(page_rows, allowMissingColumns=True)
+              .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "source", "page_id", "chunk")
               .groupBy("source", "page_id", "chunk")
-              .agg(F.array_sort(F.collect_list("post")).alias("posts"),
-                   F.array_sort(F.collect_list("insight")).alias("insights")))
-    resp = chunks.join(entries, ["source", "page_id"])
+              .agg(F.sort_array(F.collect_list("post")).alias("posts"),
+                   F.sort_array(F.collect_list("insight")).alias("insights"), F.max("page").alias("page"))
+              .where((F.col("chunk") == 0) | (F.size("posts") + F.size("insights") > 0)))
+    resp = chunks.select("source", "page_id", "chunk", "posts", "insights", "page.*")
     p = F.col("page_id")
     managed = F.col("source") == "managed"
     status = F.when(managed & (p % 23 == 0), F.lit(404)).otherwise(F.lit(200))

@@ -4,12 +4,24 @@ from __future__ import annotations
 
 import json
 
+from paths import SF001
+from pagemart.sources import landing
 from pagemart.sources.responses import check_responses, ingest
 
 LANDED = "source string, source_rank int, list_pos bigint, page_id int, chunk int, status int, body string"
 
 
 
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_body_is_shuffled_or_joined(spark):
+    p = plan(landing.landed_responses(spark, SF001))
+    above = p[:p.index("collect_list")]             # what comes after the records of a response are together
+    assert "Join" not in above and "Exchange" not in above
+
+
 def test_records_are_taken_out_once_and_judged_as_ever(spark):
     cases = [('{"page": {"id": 1}, "insights": [], "posts": null}', "posts is not an array"),
              ('{"page": {"id": 1}, "insights": [], "posts": {"id": 1}}', "posts is not an array"),
