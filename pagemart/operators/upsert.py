@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 _ROW = "__row"
 _SRC = "__src"
+_PRESENT = "__present"
 
 
 def _order(cols: Sequence[str | Column]) -> Column:
@@ -86,38 +87,44 @@ def upsert_partial(records: DataFrame, keys: Sequence[str], seq: Sequence[str |
     value (NULL for a new key).
 
     A ``target`` row counts as older than every record. With ``order_col`` the result also holds, per
-    key, the order of the record each column's value comes from (a map from column to order); a target
+    key, the order of the record each column's value comes from (an array of orders, each with its columns); a target
     with that column competes by it, so any split of the same records into batches gives the same rows."""
     keys, columns = list(keys), list(columns)
-    recs = records.select(*keys, *columns, F.col(present).alias(present), _order([F.lit(1), *seq]).alias(_SRC))
-    seq_type = recs.schema[_SRC].dataType
-    stored = "__stored"
+    recs = records.select(*keys, *columns, F.col(present).alias(_PRESENT), _order([F.lit(1), *seq]).alias(_SRC))
     if target is not None:
-        first = F.struct(F.lit(0).alias(seq_type.fields[0].name),
-                         *[F.lit(None).cast(f.dataType).alias(f.name) for f in seq_type.fields[1:]])
-        known = order_col is not None and order_col in target.columns
-        base = target.select(*keys, *columns, (F.map_keys(order_col) if known else F.array(*map(F.lit, columns))).alias(present),
-                             first.alias(_SRC), *([F.col(order_col).alias(stored)] if known else []))
-        recs = base.unionByName(recs, allowMissingColumns=True)
-    own = f"coalesce({stored}['{{c}}'], {_SRC})" if stored in recs.columns else _SRC
-    order = {c: f"CASE WHEN array_contains(`{present}`, '{c}') THEN {own.format(c=c)} END" for c in columns}
+        if order_col is not None and order_col in target.columns:
+            base = _as_records(target, keys, columns, order_col)
+        else:
+            seq_type = recs.schema[_SRC].dataType
+            first = F.struct(F.lit(0).alias(seq_type.fields[0].name),
+                             *[F.lit(None).cast(f.dataType).alias(f.name) for f in seq_type.fields[1:]])
+            base = target.select(*keys, *columns, F.array(*map(F.lit, columns)).alias(_PRESENT), first.alias(_SRC))
+        recs = base.unionByName(recs)
+    return _latest_per_column(recs, keys, columns, order_col)
+
+
+def _as_records(rows: DataFrame, keys: list[str], columns: list[str], order_col: str) -> DataFrame:
+    """Rows with ``order_col`` as the records their values come from: one per order, which holds that order's columns."""
+    return (rows.select(*keys, *columns, F.explode_outer(order_col).alias(_SRC))
+            .select(*keys, *columns, F.col(f"{_SRC}.columns").alias(_PRESENT), F.col(f"{_SRC}.seq").alias(_SRC)))
+
+
+def _latest_per_column(recs: DataFrame, keys: list[str], columns: list[str], order_col: str | None) -> DataFrame:
+    order = {c: f"CASE WHEN array_contains({_PRESENT}, '{c}') THEN {_SRC} END" for c in columns}
     # one SQL expression per column (a Column built node by node costs a driver round trip per node)
-    picks = [F.expr(f"max_by(`{c}`, {order[c]})").alias(c) for c in columns]
+    picks = [F.expr(f"max_by(`{c}`, {o})").alias(c) for c, o in order.items()]
     if order_col is None:
         return recs.groupBy(*keys).agg(*picks)
-    return recs.groupBy(*keys).agg(*picks, _latest(order).alias(order_col))
-
-
-def _latest(order: dict[str, str]) -> Column:
-    """Map from column to the highest order any row has for it."""
-    return F.expr("map_from_entries(filter(array(" + ", ".join(
-        f"named_struct('key', '{c}', 'value', max({o}))" for c, o in order.items()) + "), e -> e.value IS NOT NULL))")
+    found = "filter(array(" + ", ".join(f"named_struct('c', '{c}', 'seq', max({o}))" for c, o in order.items()) + "), e -> e.seq IS NOT NULL)"
+    grouped = recs.groupBy(*keys).agg(*picks, F.expr(found).alias(order_col))
+    runs = (f"transform(array_distinct(transform(`{order_col}`, e -> e.seq)), s -> named_struct('seq', s, "
+            f"'columns', transform(filter(`{order_col}`, e -> e.seq = s), e -> e.c)))")
+    return grouped.withColumn(order_col, F.expr(runs))
 
 
 def merge_tracked(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], order_col: str) -> DataFrame:
     """One row per key from rows that ``upsert_partial`` made with ``order_col``: per column the value of the row with the highest
     order for it, null included; a column no row has an order for is NULL. Merging is associative and does not depend on
     the order of the rows."""
-    order = {c: f"`{order_col}`['{c}']" for c in columns}
-    picks = [F.expr(f"max_by(`{c}`, {order[c]})").alias(c) for c in columns]
-    return rows.groupBy(*keys).agg(*picks, _latest(order).alias(order_col))
+    keys, columns = list(keys), list(columns)
+    return _latest_per_column(_as_records(rows, keys, columns, order_col), keys, columns, order_col)

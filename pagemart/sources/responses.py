@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from ..functions.jsontext import JSON_OPTIONS
 from ..operators.upsert import upsert_partial
-from ..schemas import STG_CLIENT_COLUMNS, STG_INSIGHT_COLUMNS, STG_POST_COLUMNS, all_strings
+from ..schemas import STG_CLIENT_COLUMNS, STG_INSIGHT_COLUMNS, STG_POST_COLUMNS
+from ..storage import remove, written_at
 
 # The JSON parser takes strings up to 20M characters and values up to 128 MB. A larger body may be sound; it has to be
 # landed record by record (``ingest_records``).
@@ -159,6 +160,8 @@ class Staged:
     """Staging tables after one ingest, plus the rejected pages. Each table is planned on
     first access, so a caller that needs one table does not build the others."""
 
+    _path: str | None = None
+
     def __init__(self, checked: DataFrame, targets: dict[str, DataFrame], track_order: bool = False):
         self.checked, self.targets, self.track_order = checked, targets, track_order
 
@@ -192,13 +195,19 @@ class Staged:
     def materialize(self) -> "Staged":
         """Validate once for all outputs: a job that writes every staging table (and the
         rejects) would otherwise re-run the whole validation per table. Keeps only what the
-        outputs read (the records and the reason, not the body) and checkpoints it to
-        ``spark.checkpoint.dir``, which also cuts the lineage back to the landed files."""
-        self.checked = self.checked.drop("body").checkpoint(eager=True)
+        outputs read (the records and the reason, not the body) and writes it under
+        ``spark.checkpoint.dir``, which also cuts the lineage back to the landed files; each output then reads its own columns only."""
+        self.checked, self._path = written_at(self.checked.drop("body"), "staged")
         for name in ("_pages", "clients", "unmanaged_clients", "insights", "posts", "rejects"):
             self.__dict__.pop(name, None)
         return self
 
+    def release(self) -> None:
+        """Remove what ``materialize`` wrote; the outputs cannot be read any more."""
+        if self._path is not None:
+            remove(self.checked.sparkSession, self._path)
+            self._path = None
+
     def reject_ratio(self) -> float:
         """Share of landed responses rejected (one aggregation, two numbers to the driver)."""
         row = self.checked.agg(F.count(F.lit(1)).alias("n"),

@@ -49,6 +49,7 @@ def stage_batch(spark: SparkSession, batch: DataFrame, root: str, batch_id: int,
     for name, df in staged.tables().items():
         store.write_delta(df, name)
     rejects = store.write(staged.rejects, "stg_rejects")
+    staged.release()
     if max_reject_ratio is not None:
         # from what was written: no second validation pass; the version stays uncommitted
         landed, bad = batch.count(), rejects.count()
