@@ -6,15 +6,18 @@ Spark higher-order ``aggregate`` folds each lattice to its best path. The model'
 ranks (BPE), for which the path of highest score sum is not what the tokenizer returns; so the fold takes the edges in the tokenizer's
 order: at each step the adjacent pair that spans the best-scored edge is joined, the leftmost on ties.
 
-Documents are taken in blocks of neighbouring rows. Every block asks for each of its words once; the answers (word, ids) go to
-the blocks that asked, where the documents, packed, meet them. One way serves all words, frequent or rare.
+Documents are taken in blocks of neighbouring rows and split once: a block holds its distinct words and its texts as numbers of them.
+Words are dealt into buckets. Every block asks each bucket for its words there, in one packed row, and gets their ids back in that order, so
+neither words nor ids travel as rows of their own, and no text travels. One way serves all words, frequent or rare.
 """
 
 from __future__ import annotations
 
 import heapq
 import io
+import pickle
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +33,9 @@ from .common import as_text
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 BLOCK_BYTES = 8 << 20   # text per block of documents, about; a longer document is a block of its own
-SLICE_UNITS = 400_000    # tokens of a block turned into ids at once, about
-FOLD_LENGTH = 60         # characters; longer words are folded with a heap instead of the SQL aggregate
+SLICE_UNITS = 400_000   # words of a block turned into ids at once, about
+LEAST_BUCKETS = 256     # of words; more if more partitions are shuffled
+FOLD_LENGTH = 60        # characters; longer words are folded with a heap instead of the SQL aggregate
 
 # a word: the spaces before it and a run of letters, or of anything else (numerals that re counts as \w are no letters)
 _NUMERALS = "\u00b2\u00b3\u00b9\u00bc-\u00be\u2070-\u209c\u2150-\u218b\u2460-\u24ff"
@@ -94,7 +98,7 @@ def _heap_ids(word: str, known: dict[str, tuple[int, float]], longest: int, byte
 
 
 def encode_words(words: DataFrame, pieces: list[tuple[str, int, float]], byte0: int) -> DataFrame:
-    """``words(word)``, one row per word of at most ``FOLD_LENGTH`` characters and partitioned by word, with ids array<int>: the lattice and its fold.
+    """``words(bucket, word)``, one row per word of at most ``FOLD_LENGTH`` characters and partitioned by bucket, with ids array<int>: the lattice and its fold.
 
     An edge is one number: score rank, place, length and id from the highest bits down, so sorted edges come in the order in
     which the tokenizer merges. The fold's state has a bit per place between characters that still is a boundary (and the sign, once
@@ -109,11 +113,11 @@ def encode_words(words: DataFrame, pieces: list[tuple[str, int, float]], byte0:
     rows = [("", 0), *((p, (rank[-v] << 31) + i) for p, i, v in pieces)]
     table = F.broadcast(spark.createDataFrame(rows, "piece string, code long"))
     n = "char_length(word)"
-    cuts = (words.select("word", F.explode(F.expr(f"sequence(0, {n} - 1)")).alias("s"))
-            .select("word", "s", F.explode(F.expr(f"sequence(if(s = 0, 0, 1), least({longest}, {n} - s))")).alias("l"))
-            .select("word", F.expr("s * 33554432L + l * 1048576L").alias("at"), F.expr("substring(word, s + 1, l)").alias("piece")))
-    edges = cuts.join(table, "piece").select("word", (F.col("code") + F.col("at")).alias("e"))
-    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list("e")).alias("edges"))
+    cuts = (words.select("bucket", "word", F.explode(F.expr(f"sequence(0, {n} - 1)")).alias("s"))
+            .select("bucket", "word", "s", F.explode(F.expr(f"sequence(if(s = 0, 0, 1), least({longest}, {n} - s))")).alias("l"))
+            .select("bucket", "word", F.expr("s * 33554432L + l * 1048576L").alias("at"), F.expr("substring(word, s + 1, l)").alias("piece")))
+    edges = cuts.join(table, "piece").select("bucket", "word", (F.col("code") + F.col("at")).alias("e"))
+    grouped = edges.groupBy("bucket", "word").agg(F.sort_array(F.collect_list("e")).alias("edges"))
     lattice = grouped.withColumn("n", F.char_length("word"))
 
     def let(name: str, value: str, body: str) -> str:
@@ -138,10 +142,10 @@ def encode_words(words: DataFrame, pieces: list[tuple[str, int, float]], byte0:
                 "flatten(transform(slice(b, 1, size(b) - 1), (a, i) -> " + let("one", span, f"if(size(one) = 1, one, {spell})") + "))")
     ids = let("pairs", pairs, let("path", fold, let("taken", taken,
               f"if(size(taken) = bit_count(path) - 1, transform(sort_array(taken), e -> cast(e & 1048575 AS int)), {mixed})")))
-    return lattice.select("word", F.expr(ids).alias("ids"))
+    return lattice.select("bucket", "word", F.expr(ids).alias("ids"))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+def _blocks(batches: Iterator[pa.RecordBatch], text: int, block_bytes: int) -> Iterator[tuple[int, pa.RecordBatch]]:
     """The rows of a task in blocks, each with its number: partition and place. Where a block ends depends on the rows alone."""
     part, held, size, at = TaskContext.get().partitionId(), [], 0, 0
 
@@ -150,7 +154,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[int,
     for b in batches:
         while b.num_rows:
             sums = size + np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-            stop = int(np.searchsorted(sums, BLOCK_BYTES)) + 1
+            stop = int(np.searchsorted(sums, block_bytes)) + 1
             held.append(b.slice(0, stop))
             if stop > b.num_rows:
                 size = int(sums[-1])
@@ -169,26 +173,109 @@ def _texts(column: pa.Array) -> pa.StringArray:
         return pa.array(as_text(column), pa.string())
 
 
-def _units(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[str]]]:
-    """Texts as numbers of units, and every unit's words: text i is ``codes[start[i]:stop[i]]``. In a text with single spaces only, a unit is
-    what stands between two spaces, and its words are those of the unit behind a space; in others every word is a unit."""
+def _listed(values: pa.Array, counts: np.ndarray) -> pa.ListArray:
+    """``values`` cut into lists of ``counts`` values each."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), values)
+
+
+def _sums(counts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sums of runs of ``lengths`` counts each."""
+    ends = np.cumsum(lengths)
+    return np.diff(np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], ends])])
+
+
+def _parts(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and bytes of strings (none is null)."""
+    if not len(strings):
+        return np.zeros(0, np.int32), np.zeros(0, np.uint8)
+    _, offsets, data = strings.buffers()
+    at = np.frombuffer(offsets, dtype=np.int32)[strings.offset:strings.offset + len(strings) + 1]
+    return np.diff(at), np.frombuffer(data or b"", dtype=np.uint8)[at[0]:at[-1]]
+
+
+def _strings(lengths: np.ndarray, data: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """Strings from their lengths and bytes."""
+    at = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.Array.from_buffers(kind, len(lengths), [None, pa.py_buffer(at), pa.py_buffer(data)])
+
+
+def _joined(strings: pa.Array, lengths: np.ndarray) -> pa.Array:
+    """Runs of ``lengths`` strings each, laid end to end."""
+    own, data = _parts(strings)
+    return _strings(_sums(own, lengths), data, strings.type)
+
+
+def _pressed(*arrays: np.ndarray) -> bytes:
+    """Arrays of numbers in few bytes: their lowest bytes, then the next ones, and so on, compressed."""
+    codec = pa.Codec("zstd", compression_level=3)
+    planes = [np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T) for x in arrays]
+    return pickle.dumps([(x.dtype.str, len(x), codec.compress(p, asbytes=True) if len(x) else b"") for x, p in zip(arrays, planes, strict=True)])
+
+
+def _unpressed(data: bytes) -> list[np.ndarray]:
+    codec, out = pa.Codec("zstd"), []
+    for kind, n, packed in pickle.loads(data):
+        size = np.dtype(kind).itemsize
+        raw = np.frombuffer(codec.decompress(packed, n * size), dtype=np.uint8) if n else np.zeros(0, np.uint8)
+        out.append(np.ascontiguousarray(raw.reshape(size, n).T).view(kind).reshape(n))
+    return out
+
+
+def _numbered(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, pa.StringArray]:
+    """Texts as numbers of words in a row, how many each text has, and the distinct words, frequent ones first. A text with single spaces only is
+    split at them first, and the words of what stands between two spaces are found once."""
     odd = pc.or_(pc.or_(pc.equal(texts, ""), pc.starts_with(texts, " ")), pc.or_(pc.match_substring(texts, "  "), pc.match_substring(texts, SPACE)))
-    parts = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
-    flat = parts.flatten().dictionary_encode()
+    split = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
+    flat = split.flatten().dictionary_encode()
     # plain letters are one word; the pattern sees to the others
-    units = [[" " + t] if t.isascii() and t.isalpha() else WORD.findall(" " + t) for t in flat.dictionary.to_pylist()]
-    numbers: dict[str, int] = {}
-    others = [[numbers.setdefault(w, len(numbers) + len(units)) for w in words_of(t)] for t in texts.filter(odd).to_pylist()]
-    units += [[w] for w in numbers]
-    codes = np.concatenate([flat.indices.to_numpy(zero_copy_only=False), *(np.array(o, dtype=np.int32) for o in others)]).astype(np.int32)
-    lengths = np.zeros(len(texts), dtype=np.int64)
-    is_odd = odd.to_numpy(zero_copy_only=False)
-    lengths[~is_odd] = pc.list_value_length(parts).to_numpy(zero_copy_only=False)
+    plain = pc.ascii_is_alpha(flat.dictionary)
+    one = pc.binary_join_element_wise(pa.scalar(""), flat.dictionary.filter(plain), " ")
+    found = [WORD.findall(" " + t) for t in flat.dictionary.filter(pc.invert(plain)).to_pylist()]
+    others = [words_of(t) for t in texts.filter(odd).to_pylist()]
+    words = pa.chunked_array([one, *(pa.array([w for f in lists for w in f], pa.string()) for lists in (found, others))], pa.string())
+    words = words.combine_chunks().dictionary_encode()
+    words, number = words.dictionary, words.indices.to_numpy(zero_copy_only=False)
+    counts = np.concatenate([np.ones(len(one), np.int32), np.array([len(f) for f in found], np.int32)])
+    n_inside = int(counts.sum())
+    # what stands between spaces, as it comes in the texts: its place among the plain ones and the others behind them, and its words
+    is_plain, is_odd = (x.to_numpy(zero_copy_only=False) for x in (plain, odd))
+    place = np.where(is_plain, np.cumsum(is_plain) - 1, len(one) + np.cumsum(~is_plain) - 1)[flat.indices.to_numpy(zero_copy_only=False)]
+    inside = _listed(pa.array(number[:n_inside]), counts).take(pa.array(place)).flatten().to_numpy(zero_copy_only=False)
+    codes, lengths = np.concatenate([inside, number[n_inside:]]), np.zeros(len(texts), np.int32)
+    lengths[~is_odd] = _sums(counts[place], pc.list_value_length(split).to_numpy(zero_copy_only=False))
     lengths[is_odd] = [len(o) for o in others]
-    order = np.concatenate([np.flatnonzero(~is_odd), np.flatnonzero(is_odd)])       # the order of the codes
-    stop = np.empty(len(texts), dtype=np.int64)
-    stop[order] = np.cumsum(lengths[order])
-    return codes, stop - lengths, stop, units
+    if is_odd.any():                    # back into the order of the texts
+        order = np.concatenate([np.flatnonzero(~is_odd), np.flatnonzero(is_odd)])
+        codes = _listed(pa.array(codes), lengths[order]).take(pa.array(np.argsort(order))).flatten().to_numpy(zero_copy_only=False)
+    often = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+    return np.argsort(often).astype(np.int32)[codes], lengths, words.take(pa.array(often))
+
+
+def _buckets(words: pa.StringArray, n: int) -> np.ndarray:
+    """A number below ``n`` for every word, from its bytes alone."""
+    lengths, data = _parts(words)
+    if not len(lengths):
+        return np.zeros(0, np.int32)
+    starts = np.cumsum(lengths, dtype=np.int64) - lengths
+    powers = np.multiply.accumulate(np.full(int(lengths.max()), 0x9E3779B97F4A7C15, dtype=np.uint64))
+    h = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * powers[np.arange(len(data)) - np.repeat(starts, lengths)], starts)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return ((h >> np.uint64(33)) % np.uint64(n)).astype(np.int32)
+
+
+def _asked(words: pa.StringArray, n: int) -> Iterator[tuple[int, np.ndarray, tuple[np.ndarray, np.ndarray]]]:
+    """Of each bucket the words of at most ``FOLD_LENGTH`` characters: bucket, places among all words, lengths and bytes."""
+    short = np.flatnonzero(pc.less_equal(pc.utf8_length(words), FOLD_LENGTH).to_numpy(zero_copy_only=False))
+    buckets = _buckets(words.take(pa.array(short)), n)
+    order = np.argsort(buckets, kind="stable")
+    cuts = np.flatnonzero(np.diff(buckets[order])) + 1
+    for found in np.split(order, cuts) if len(order) else []:
+        yield int(buckets[found[0]]), short[found], _parts(words.take(pa.array(short[found])))
+
+
+def _mark(lengths: np.ndarray, data: np.ndarray) -> int:
+    """A checksum of asked words, by which an answer is known to be theirs."""
+    return zlib.crc32(np.ascontiguousarray(data), zlib.crc32(lengths.astype(np.int32)))
 
 
 def _packed(rows: pa.RecordBatch) -> bytes:
@@ -198,6 +285,17 @@ def _packed(rows: pa.RecordBatch) -> bytes:
     return out.getvalue()
 
 
+def _without_space(texts: pa.Array) -> pa.StringArray:
+    """Decoded bytes as texts, without the tokenizer's leading space."""
+    lengths, data = _parts(texts)
+    starts = (np.cumsum(lengths, dtype=np.int64) - lengths)[lengths > 0]
+    stay = np.ones(len(data), dtype=bool)
+    stay[starts] = data[starts] != ord(" ")
+    lengths = lengths.copy()
+    lengths[lengths > 0] -= ~stay[starts]
+    return _texts(_strings(lengths, data[stay], texts.type))
+
+
 def _spell(spelled: dict[int, bytes], ids: list[int]) -> str:
     """The text of some ids: their bytes in a row, without the tokenizer's leading space."""
     return b"".join([spelled.get(i, b"") for i in ids]).decode("utf-8", "replace").removeprefix(" ")
@@ -216,73 +314,112 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL, decoded
     where = docs.columns.index(text)
     # plain names while the rows travel, so that no name can clash
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).withColumn(f"c{where}", F.col(f"c{where}").cast("binary"))
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, rows in _blocks(batches, 0):
-            found = list({w for unit in _units(_texts(rows.column(0)))[3] for w in unit if len(w) <= FOLD_LENGTH})
-            for first in range(0, len(found), 20_000):
-                own = found[first:first + 20_000]
-                yield pa.RecordBatch.from_arrays([pa.array([block] * len(own), pa.int64()), pa.array(own, pa.string())], names=["block", "word"])
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, rows in _blocks(batches, where):
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_packed(rows)], pa.binary())], names=["block", "rows"])
-    # the two tests are always true; with them both uses of `asked` stay alike, so that it is made and shuffled once
-    asked = plain.select(f"c{where}").mapInArrow(words, "block long, word string").where("word IS NOT NULL").repartition("word")
-    distinct = asked.groupBy("word").agg(F.min("block").alias("b")).where("b >= 0").select("word")
-    answers = asked.join(encode_words(distinct, pieces, byte0).hint("merge"), "word")
-    answers = answers.select("block", F.lit(0).alias("kind"), "word", "ids", F.lit(None).cast("binary").alias("rows"))
-    packed = plain.mapInArrow(pack, "block long, rows binary")
-    packed = packed.select("block", F.lit(1).alias("kind"), F.lit(None).cast("string").alias("word"), F.lit(None).cast("array<int>").alias("ids"), "rows")
+    kept = [i for i in range(len(docs.columns)) if not (drop_text and i == where)]
+    n_parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = max(LEAST_BUCKETS, 2 * n_parts)
+    block_bytes, slice_words = BLOCK_BYTES, SLICE_UNITS
     known = {p: (i, v) for p, i, v in pieces}
     longest = max(len(p) for p, _, _ in pieces)
-    kept = [i for i in range(len(docs.columns)) if not (drop_text and i == where)]
+    spellings = pa.array(spelled_ids, pa.binary())
 
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: dict[str, bytes] = {}
-        now = None
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, rows in _blocks(batches, where, block_bytes):
+            codes, lengths, words = _numbered(_texts(rows.column(where)))
+            columns = [*(rows.column(i) for i in kept), pa.array(lengths)]
+            held = _packed(pa.RecordBatch.from_arrays(columns, names=[*(f"c{i}" for i in kept), "lengths"]))
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *(pa.array([x], pa.binary()) for x in (held, _pressed(codes), _pressed(*_parts(words))))],
+                                             names=["block", "rows", "codes", "words"])
 
-        def ids_of(word: str) -> bytes:
-            # words too long for the fold are not asked for; nor, if a row came to another block when it was read again, are its words
-            return own.get(word) or np.array(_heap_ids(word, known, longest, byte0), dtype=np.int32).tobytes()
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for block, words in zip(b.column(0).to_pylist(), b.column(3), strict=True):
+                asked = [(k, _pressed(*x)) for k, _, x in _asked(_strings(*_unpressed(words.as_buffer()), pa.string()), n_buckets)]
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in asked], pa.int32()), pa.array([block] * len(asked), pa.int64()),
+                                                  pa.array([x for _, x in asked], pa.binary())], names=["bucket", "block", "words"])
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Most repeats go here, in bounded memory, the others by ``distinct``."""
+        kept_ = pa.array([], pa.string())
         for b in batches:
-            blocks, kinds = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            cuts = [0, *(np.flatnonzero((blocks[1:] != blocks[:-1]) | (kinds[1:] != kinds[:-1])) + 1).tolist(), b.num_rows]
-            for first, last in zip(cuts, cuts[1:], strict=False):
-                if blocks[first] != now:
-                    now, own = blocks[first], {}
-                part = b.slice(first, last - first)
-                if kinds[first] == 0:
-                    lists = part.column(3)
-                    raw, at = lists.flatten().to_numpy(zero_copy_only=False).tobytes(), (4 * np.cumsum([0, *pc.list_value_length(lists).to_pylist()])).tolist()
-                    own.update(zip(part.column(2).to_pylist(), [raw[x:y] for x, y in zip(at, at[1:], strict=False)], strict=True))
-                    continue
-                for row in part.column(4):                          # one block of documents at a time
-                    docs_ = pa.ipc.open_stream(row.as_buffer()).read_next_batch()
-                    yield from assembled(docs_, ids_of)
-
-    def assembled(rows: pa.RecordBatch, ids_of) -> Iterator[pa.RecordBatch]:
-        codes, start, stop, units = _units(_texts(rows.column(where)))
-        ids = [ids_of(u[0]) if len(u) == 1 else b"".join([ids_of(w) for w in u]) for u in units]       # of every unit, as bytes
-        said = [b"".join([spelled_ids[i] for i in memoryview(x).cast("i")]) for x in ids] if decoded else []
-        size = np.cumsum(stop - start)
-        first = 0
+            for first in range(0, b.num_rows, 200):
+                new = pc.unique(pa.chunked_array([_strings(*_unpressed(x.as_buffer()), pa.string()) for x in b.column(2).slice(first, 200)], pa.string()))
+                new = new.filter(pc.invert(pc.is_in(new, value_set=kept_)))
+                kept_ = new if len(kept_) > 500_000 else pa.concat_arrays([kept_, new])
+                yield pa.RecordBatch.from_arrays([pa.array(_buckets(new, n_buckets)), new], names=["bucket", "word"])
+
+    def answer(asked: pa.Table, encoded: pa.Table) -> pa.Table:
+        words, lists = (encoded.column(c).combine_chunks() for c in ("word", "ids"))
+        n_ids = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int32)
+        columns = [asked.column(c).combine_chunks() for c in ("block", "bucket", "words")]
+        kept_, marks, answers, first = [], [], [], 0
+        while first < asked.num_rows:           # so many rows at once that they hold as many words as the bucket, about
+            held, size = [], 0
+            while first + len(held) < asked.num_rows and size <= len(words):
+                held.append(_unpressed(columns[2][first + len(held)].as_buffer()))
+                size += len(held[-1][0])
+            places = pc.index_in(_strings(*(np.concatenate(x) for x in zip(*held, strict=True)), pa.string()), value_set=words)
+            at = np.cumsum([0, *(len(x) for x, _ in held)]).tolist()
+            for i, (begin, end) in enumerate(zip(at, at[1:], strict=False)):
+                own = places.slice(begin, end - begin)
+                if not own.null_count:
+                    kept_.append(first + i)
+                    marks.append(_mark(*held[i]))
+                    answers.append(_pressed(n_ids[own.to_numpy(zero_copy_only=False)], lists.take(own).flatten().to_numpy(zero_copy_only=False)))
+            first += len(held)
+        kept_ = pa.array(kept_, pa.int64())
+        return pa.table([columns[0].take(kept_), columns[1].take(kept_), pa.array(marks, pa.int64()), pa.array(answers, pa.binary())],
+                        names=["block", "bucket", "mark", "ids"])
+
+    def assemble(held: pa.Table, answers: pa.Table) -> pa.Table:
+        own = dict(zip(answers.column("bucket").to_pylist(), zip(answers.column("mark").to_pylist(), answers.column("ids"), strict=True), strict=True))
+        return pa.Table.from_batches([part for row in zip(*(held.column(c) for c in ("rows", "codes", "words")), strict=True) for part in assembled(*row, own)])
+
+    def assembled(packed: pa.Scalar, codes_: pa.Scalar, words_: pa.Scalar, own: dict[int, tuple[int, pa.Scalar]]) -> Iterator[pa.RecordBatch]:
+        rows = pa.ipc.open_stream(packed.as_buffer()).read_next_batch()
+        codes, words = _unpressed(codes_.as_buffer())[0], _strings(*_unpressed(words_.as_buffer()), pa.string())
+        # the ids of every word, in the order in which the answers hold them
+        places, counts, ids, left = [], [], [], np.ones(len(words), dtype=bool)
+        for k, at, asked in _asked(words, n_buckets):
+            mark, packed_ids = own.get(k, (None, None))
+            if mark == _mark(*asked):
+                for whole, part in zip((counts, ids), _unpressed(packed_ids.as_buffer()), strict=True):
+                    whole.append(part)
+                places.append(at)
+                left[at] = False
+        # words too long for the fold are not asked for; nor, if rows came in another order when they were read again, are a block's words
+        rest = [_heap_ids(w, known, longest, byte0) for w in words.filter(pa.array(left)).to_pylist()]
+        places.append(np.flatnonzero(left))
+        counts.append(np.array([len(r) for r in rest], np.int32))
+        ids.append(np.array([i for r in rest for i in r], np.int32))
+        counts, ids = np.concatenate(counts), pa.array(np.concatenate(ids))
+        row = np.empty(len(words), np.int32)
+        row[np.concatenate(places)] = np.arange(len(words), dtype=np.int32)
+        codes, lists = row[codes], _listed(ids, counts)
+        said = _joined(spellings.take(ids), counts) if decoded else None
+        lengths = rows.column(len(kept)).to_numpy(zero_copy_only=False)
+        ends, first = np.cumsum(lengths, dtype=np.int64), 0
         while first < rows.num_rows:
-            last = max(first + 1, int(np.searchsorted(size, (size[first - 1] if first else 0) + SLICE_UNITS, side="right")))
-            picks = [codes[x:y].tolist() for x, y in zip(start[first:last].tolist(), stop[first:last].tolist(), strict=True)]
-            found = [b"".join([ids[c] for c in p]) for p in picks]
-            n = np.array([len(f) // 4 for f in found], dtype=np.int32)
-            values = pa.array(np.frombuffer(b"".join(found), dtype=np.int32) if n.any() else np.zeros(0, np.int32))
-            more = [pa.array([b"".join([said[c] for c in p]).decode("utf-8", "replace").removeprefix(" ") for p in picks], pa.string())] if decoded else []
+            begin = int(ends[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, begin + slice_words, side="right")))
+            part, own_lengths = codes[begin:int(ends[last - 1])], lengths[first:last]
+            n = _sums(counts[part], own_lengths).astype(np.int32)
+            more = [_without_space(_joined(said.take(pa.array(part)), own_lengths))] if decoded else []
             docs_ = rows.slice(first, last - first)
-            columns = [docs_.column(i) if i != where else docs_.column(i).view(pa.string()) for i in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), values),
-                                              pa.array(n), *more], names=[*(f"c{i}" for i in kept), *results])
+            columns = [docs_.column(j) if i != where else docs_.column(j).view(pa.string()) for j, i in enumerate(kept)]
+            yield pa.RecordBatch.from_arrays([*columns, _listed(lists.take(pa.array(part)).flatten(), n), pa.array(n), *more],
+                                             names=[*(f"c{i}" for i in kept), *results])
             first = last
     schema = spark.createDataFrame([], plain.withColumn(f"c{where}", F.lit(None).cast("string")).schema).select(*[f"c{i}" for i in kept]) \
         .withColumns({"ids": F.lit(None).cast("array<int>"), "n_tokens": F.lit(None).cast("int"), **({decoded: F.lit(None).cast("string")} if decoded else {})}).schema
-    met = answers.unionByName(packed).repartition("block").sortWithinPartitions("block", "kind")
-    return met.mapInArrow(assemble, schema).toDF(*[docs.columns[i] for i in kept], *results)
+    # both shuffles below are made once and read twice
+    held = plain.mapInArrow(split, "block long, rows binary, codes binary, words binary").repartition("block")
+    asked = held.mapInArrow(ask, "bucket int, block long, words binary").repartition(n_parts, "bucket")
+    # words grow a hundredfold in the lattice, so their partitions are not to be put together; sorted, the edges need no more sorting
+    distinct = asked.mapInArrow(once, "bucket int, word string").repartition(n_parts, "bucket").distinct().sortWithinPartitions("bucket", "word")
+    encoded = encode_words(distinct, pieces, byte0)
+    answers = asked.groupBy("bucket").cogroup(encoded.groupBy("bucket")).applyInArrow(answer, "block long, bucket int, mark long, ids binary")
+    met = held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(assemble, schema)
+    return met.toDF(*[docs.columns[i] for i in kept], *results)
 
 
 def decode(encoded: DataFrame, ids: str = "ids", out: str = "decoded", model_path: str = MODEL) -> DataFrame:

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import random
+import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -216,3 +219,46 @@ def test_pieces_of_an_empty_table_and_clashing_names(docs_of):
     got = lattice.encode(odd, decoded="back", drop_text=True).orderBy("doc_id").collect()
     assert [(r.doc_id, r.back, *(r[c] for c in names[:-1])) for r in got] == [(i, t, *(f"own {c}" for c in names[:-1])) for i, t in ((1, "one two"), (2, ""))]
     assert got[0].n_tokens == len(got[0].ids) > 0 and "text" not in got[0]
+
+
+def test_numbered_words_equal_the_split_texts():
+    texts = [t or "" for t in PROBES] + ["one two, three", "two  one", "Straße — 12 three.", "x" * 300 + " one"]
+    random.Random(5).shuffle(texts)
+    codes, lengths, words = lattice._numbered(pa.array(texts, pa.string()))
+    words, ends = words.to_pylist(), np.cumsum(lengths)
+    assert len(set(words)) == len(words) and [[words[c] for c in codes[e - n:e]] for e, n in zip(ends, lengths, strict=True)] == [lattice.words_of(t) for t in texts]
+    assert lattice._numbered(pa.array([], pa.string()))[0].tolist() == []
+
+
+def test_packed_words_come_back():
+    words = pa.array([" one", " zwölf", "日本", " one more"] * 50 + ["y" * 61, "z" * 5000], pa.string())
+    lengths, data = lattice._unpressed(lattice._pressed(*lattice._parts(words.slice(1))))
+    assert lattice._strings(lengths, data, pa.string()).equals(words.slice(1))
+    assert (lattice._buckets(words, 7)[1:] == lattice._buckets(words.slice(1), 7)).all() and set(lattice._buckets(words, 7)) <= set(range(7))
+    asked = list(lattice._asked(words, 7))
+    assert sorted(i for _, at, _ in asked for i in at) == list(range(200))        # long words are not asked for
+    assert all(lattice._strings(*x, pa.string()).equals(words.take(pa.array(at))) for _, at, x in asked)
+
+
+def test_pieces_move_no_row_per_word_and_block(spark, docs_of):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(6000)]
+    docs = docs_of([(i, " ".join(rng.sample(words, len(words)))) for i in range(16)]).repartition(8).select("doc_id", "text")
+    got = lattice.encode(docs, decoded="back")
+    assert all(r.back == r.text for r in got.collect())
+    plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
+    final = plan[:plan.index("Initial Plan")]
+    rows = [float(x) for x in re.findall(r"ShuffleQueryStage .*rowCount=([0-9.E+]+)", final)]
+    assert rows and sum(rows) < 6 * len(words)           # a row for each of 8 blocks' words, asked and answered, would be 16 times as many
+    assert "REPARTITION_BY_NUM" in plan                  # the lattice's partitions are not put together
+
+
+def test_splitting_a_block_takes_little_memory():
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz.,", k=7)) for _ in range(200_000)]
+    texts = pa.array([" ".join(words[i:i + 1000]) for i in range(0, len(words), 1000)])
+    tracemalloc.start()
+    lattice._numbered(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6       # lists of words per unit took 40 MB, this 23
