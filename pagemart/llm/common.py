@@ -39,7 +39,20 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
         for b in batches:
             if b.num_rows:
                 yield fn(b)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(returning(run), schema)
+
+
+def returning(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, a function for ``mapInArrow``, that gives Arrow's unused memory back after each result and at its end: Python workers
+    stay for later steps, and with them what they hold."""
+    def returned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(batches):
+            yield out
+            del out
+            pa.default_memory_pool().release_unused()
+        del batches
+        pa.default_memory_pool().release_unused()
+    return returned
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_text
+from .common import as_text, returning
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -371,6 +371,7 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL, decoded
                         names=["block", "bucket", "mark", "ids"])
 
     def assemble(held: pa.Table, answers: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()       # what the block before has left
         own = dict(zip(answers.column("bucket").to_pylist(), zip(answers.column("mark").to_pylist(), answers.column("ids"), strict=True), strict=True))
         return pa.Table.from_batches([part for row in zip(*(held.column(c) for c in ("rows", "codes", "words")), strict=True) for part in assembled(*row, own)])
 
@@ -412,10 +413,10 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL, decoded
     schema = spark.createDataFrame([], plain.withColumn(f"c{where}", F.lit(None).cast("string")).schema).select(*[f"c{i}" for i in kept]) \
         .withColumns({"ids": F.lit(None).cast("array<int>"), "n_tokens": F.lit(None).cast("int"), **({decoded: F.lit(None).cast("string")} if decoded else {})}).schema
     # both shuffles below are made once and read twice
-    held = plain.mapInArrow(split, "block long, rows binary, codes binary, words binary").repartition("block")
-    asked = held.mapInArrow(ask, "bucket int, block long, words binary").repartition(n_parts, "bucket")
+    held = plain.mapInArrow(returning(split), "block long, rows binary, codes binary, words binary").repartition("block")
+    asked = held.mapInArrow(returning(ask), "bucket int, block long, words binary").repartition(n_parts, "bucket")
     # words grow a hundredfold in the lattice, so their partitions are not to be put together; sorted, the edges need no more sorting
-    distinct = asked.mapInArrow(once, "bucket int, word string").repartition(n_parts, "bucket").distinct().sortWithinPartitions("bucket", "word")
+    distinct = asked.mapInArrow(returning(once), "bucket int, word string").repartition(n_parts, "bucket").distinct().sortWithinPartitions("bucket", "word")
     encoded = encode_words(distinct, pieces, byte0)
     answers = asked.groupBy("bucket").cogroup(encoded.groupBy("bucket")).applyInArrow(answer, "block long, bucket int, mark long, ids binary")
     met = held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(assemble, schema)

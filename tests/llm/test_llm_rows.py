@@ -222,3 +222,21 @@ def test_pipeline_keeps_one_of_every_group(spark, docs_of):
     want = [(None, text("a")), (None, text("b")), (4, text("c")), (5, text("d")), (5, text("e")), (7, "")]
     assert sorted((r.doc_id or 0, r.text) for r in near.collect()) == sorted((i or 0, x) for i, x in want)
     assert near.columns == docs_of(rows).columns
+
+
+def test_python_workers_give_memory_back(monkeypatch):
+    import pyarrow as pa
+    from pagemart.llm import common
+    calls, sent = [], {}
+
+    class Pool:
+        def release_unused(self):
+            calls.append(1)
+
+    class Frame:
+        def mapInArrow(self, run, schema):      # noqa: N802  as Spark names it
+            sent["run"] = run
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    common.map_batches(Frame(), lambda b: b, "")
+    batches = [pa.RecordBatch.from_arrays([pa.array([i])], names=["a"]) for i in range(3)]
+    assert list(sent["run"](iter(batches))) == batches and len(calls) == 4
