@@ -60,6 +60,16 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def each_bytes(column: pa.Array) -> Iterator[bytes]:
+    """As ``as_bytes``, one row at a time: only the Arrow batch is held whole."""
+    return (x.as_py() or b"" for x in column.cast(pa.binary()))
+
+
+def each_text(column: pa.Array) -> Iterator[str]:
+    """As ``as_text``, one row at a time."""
+    return (x.decode("utf-8", "replace") for x in each_bytes(column))
+
+
 def as_text(column: pa.Array) -> list[str]:
     """Texts of a string or binary column; null is empty, broken UTF-8 becomes U+FFFD."""
     return [x.decode("utf-8", "replace") for x in as_bytes(column)]

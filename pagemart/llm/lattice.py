@@ -18,7 +18,7 @@ import io
 import pickle
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,7 @@ from .common import as_text, returning
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 BLOCK_BYTES = 8 << 20   # text per block of documents, about; a longer document is a block of its own
+FOUND_BYTES = 256 << 10 # text whose words are Python strings at once, about
 SLICE_UNITS = 400_000   # words of a block turned into ids at once, about
 LEAST_BUCKETS = 256     # of words; more if more partitions are shuffled
 FOLD_LENGTH = 60        # characters; longer words are folded with a heap instead of the SQL aggregate
@@ -111,7 +112,8 @@ def encode_words(words: DataFrame, pieces: list[tuple[str, int, float]], byte0:
     rank = {v: r for r, v in enumerate(sorted({-v for _, _, v in pieces}))}
     # the empty substring is an edge of no length at place 0, so that a word without any matching piece keeps a row
     rows = [("", 0), *((p, (rank[-v] << 31) + i) for p, i, v in pieces)]
-    table = F.broadcast(spark.createDataFrame(rows, "piece string, code long"))
+    # as an Arrow table, which starts no Python workers of a second kind beside those of the other steps
+    table = F.broadcast(spark.createDataFrame(pa.table(dict(zip(("piece", "code"), map(list, zip(*rows, strict=True)), strict=True)))))
     n = "char_length(word)"
     cuts = (words.select("bucket", "word", F.explode(F.expr(f"sequence(0, {n} - 1)")).alias("s"))
             .select("bucket", "word", "s", F.explode(F.expr(f"sequence(if(s = 0, 0, 1), least({longest}, {n} - s))")).alias("l"))
@@ -155,12 +157,14 @@ def _blocks(batches: Iterator[pa.RecordBatch], text: int, block_bytes: int) -> I
         while b.num_rows:
             sums = size + np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
             stop = int(np.searchsorted(sums, block_bytes)) + 1
-            held.append(b.slice(0, stop))
             if stop > b.num_rows:
+                held.append(b.take(pa.array(np.arange(b.num_rows))))     # a copy, so that the batch it ends can go before the next one comes
                 size = int(sums[-1])
                 break
+            held.append(b.slice(0, stop))
             yield block()
             held, size, at, b = [], 0, at + 1, b.slice(stop)
+        del b
     if held:
         yield block()
 
@@ -180,8 +184,9 @@ def _listed(values: pa.Array, counts: np.ndarray) -> pa.ListArray:
 
 def _sums(counts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Sums of runs of ``lengths`` counts each."""
-    ends = np.cumsum(lengths)
-    return np.diff(np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], ends])])
+    sums, ends = np.zeros(len(counts) + 1, np.int64), np.cumsum(lengths)
+    np.cumsum(counts, out=sums[1:])
+    return np.diff(sums[np.concatenate([[0], ends])])
 
 
 def _parts(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -221,29 +226,46 @@ def _unpressed(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def _found(texts: pa.StringArray, find: Callable[[str], list[str]]) -> tuple[list[pa.StringArray], np.ndarray]:
+    """The words that ``find`` finds in texts, in a row, and how many each text has. About 256 KB of texts are Python strings at once; they take ten
+    times the room of Arrow's."""
+    arrays, counts, first = [], [np.zeros(0, np.int32)], 0
+    ends = np.cumsum(_parts(texts)[0], dtype=np.int64)
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + FOUND_BYTES, side="right")))
+        lists = [find(t) for t in texts.slice(first, last - first).to_pylist()]
+        arrays.append(pa.array([w for f in lists for w in f], pa.string()))
+        counts.append(np.array([len(f) for f in lists], np.int32))
+        first = last
+    return arrays, np.concatenate(counts)
+
+
 def _numbered(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, pa.StringArray]:
     """Texts as numbers of words in a row, how many each text has, and the distinct words, frequent ones first. A text with single spaces only is
     split at them first, and the words of what stands between two spaces are found once."""
     odd = pc.or_(pc.or_(pc.equal(texts, ""), pc.starts_with(texts, " ")), pc.or_(pc.match_substring(texts, "  "), pc.match_substring(texts, SPACE)))
     split = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
-    flat = split.flatten().dictionary_encode()
+    n_split, flat = pc.list_value_length(split).to_numpy(zero_copy_only=False), split.flatten().dictionary_encode()
+    del split
     # plain letters are one word; the pattern sees to the others
     plain = pc.ascii_is_alpha(flat.dictionary)
     one = pc.binary_join_element_wise(pa.scalar(""), flat.dictionary.filter(plain), " ")
-    found = [WORD.findall(" " + t) for t in flat.dictionary.filter(pc.invert(plain)).to_pylist()]
-    others = [words_of(t) for t in texts.filter(odd).to_pylist()]
-    words = pa.chunked_array([one, *(pa.array([w for f in lists for w in f], pa.string()) for lists in (found, others))], pa.string())
-    words = words.combine_chunks().dictionary_encode()
+    found, n_found = _found(flat.dictionary.filter(pc.invert(plain)), lambda t: WORD.findall(" " + t))
+    others, n_others = _found(texts.filter(odd), words_of)
+    words = pa.chunked_array([one, *found, *others], pa.string()).combine_chunks().dictionary_encode()
     words, number = words.dictionary, words.indices.to_numpy(zero_copy_only=False)
-    counts = np.concatenate([np.ones(len(one), np.int32), np.array([len(f) for f in found], np.int32)])
+    del found, others
+    counts = np.concatenate([np.ones(len(one), np.int32), n_found])
     n_inside = int(counts.sum())
     # what stands between spaces, as it comes in the texts: its place among the plain ones and the others behind them, and its words
     is_plain, is_odd = (x.to_numpy(zero_copy_only=False) for x in (plain, odd))
-    place = np.where(is_plain, np.cumsum(is_plain) - 1, len(one) + np.cumsum(~is_plain) - 1)[flat.indices.to_numpy(zero_copy_only=False)]
+    place = np.where(is_plain, np.cumsum(is_plain) - 1, len(one) + np.cumsum(~is_plain) - 1).astype(np.int32)[flat.indices.to_numpy(zero_copy_only=False)]
     inside = _listed(pa.array(number[:n_inside]), counts).take(pa.array(place)).flatten().to_numpy(zero_copy_only=False)
     codes, lengths = np.concatenate([inside, number[n_inside:]]), np.zeros(len(texts), np.int32)
-    lengths[~is_odd] = _sums(counts[place], pc.list_value_length(split).to_numpy(zero_copy_only=False))
-    lengths[is_odd] = [len(o) for o in others]
+    del flat, inside
+    lengths[~is_odd] = _sums(counts[place], n_split)
+    lengths[is_odd] = n_others
+    del place
     if is_odd.any():                    # back into the order of the texts
         order = np.concatenate([np.flatnonzero(~is_odd), np.flatnonzero(is_odd)])
         codes = _listed(pa.array(codes), lengths[order]).take(pa.array(np.argsort(order))).flatten().to_numpy(zero_copy_only=False)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import astuple, dataclass
 
 import numpy as np
@@ -16,12 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_text, map_batches
+from .common import each_text, map_batches, returning
 
 DIMENSIONS = 1 << 20
 PER_CLASS = 3000
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
-_CACHE_TOKENS = 400_000
+_CACHE_TOKENS = 100_000   # about 15 MB of a worker
 
 
 class Features:
@@ -29,9 +30,9 @@ class Features:
     capital, upper case, digits, the symbols themselves, or "as the token before")."""
 
     def __init__(self) -> None:
-        self.cache: dict[str, tuple[int, int]] = {}
+        self.cache: dict[str, int] = {}     # hash, and the shape above its 32 bits
 
-    def _token(self, token: str) -> tuple[int, int]:
+    def _token(self, token: str) -> int:
         h = zlib.crc32(token.encode("utf-8", "replace"))
         if not (token[0].isalnum() or token[0] == "_"):
             shape = h
@@ -41,16 +42,16 @@ class Features:
             shape = 4
         if len(self.cache) >= _CACHE_TOKENS:
             self.cache.clear()
-        self.cache[token] = (h, shape)
-        return h, shape
+        self.cache[token] = both = shape << 32 | h
+        return both
 
     def __call__(self, text: str) -> np.ndarray:
         tokens = _TOKEN.findall(text)
         if not tokens:
             return np.zeros(0, dtype=np.int32)
         get, new = self.cache.get, self._token
-        pairs = np.array([get(t) or new(t) for t in tokens], dtype=np.uint64)
-        word, shape = pairs[:, 0], pairs[:, 1].copy()
+        both = np.array([get(t) or new(t) for t in tokens], dtype=np.uint64)
+        word, shape = both & np.uint64(0xFFFFFFFF), both >> np.uint64(32)
         shape[1:][word[1:] == word[:-1]] = 5
         grams = [word * np.uint64(0x9E3779B97F4A7C15),
                  (word[:-1] * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (word[1:] * np.uint64(0x165667B19E3779F9)),
@@ -170,7 +171,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> Model:
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         features = Features()
-        x = [features(t) for t in as_text(b.column(1))]
+        x = [features(t) for t in each_text(b.column(1))]
         return pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.int32())), b.column(2)], names=["rank", "x", "y"])
     sample = map_batches(labelled_sample(docs, labels, label, per_class)
                          .select("rank", F.col("text").cast("binary"), F.col("y").cast("int")),
@@ -189,11 +190,14 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", per_cla
     kept = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
     schema = docs.select(*kept).schema
 
-    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+    at = [c.lower() for c in kept].index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, features = Model(*shared.value), Features()
-        score = np.array([model.score(features(t)) for t in as_text(b.column(b.num_columns - 1))])
-        return pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(score)], names=[*kept, "score"])
-    out = map_batches(docs.select(*kept, F.col("text").cast("binary").alias("_text")), run,
-                      schema.add("score", "double"))
+        for b in batches:
+            score = np.array([model.score(features(t)) for t in each_text(b.column(at))], dtype=np.float64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score)], names=[*kept, "score"])
+    # the text crosses once: as a string it is not looked into before each_text takes its bytes
+    out = docs.select(*kept).mapInArrow(returning(run), schema.add("score", "double"))
     return (out.withColumn("held_out", fold() == 1)
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_KEYS, as_bytes, components, doc_key, lookup, map_batches, settle
+from .common import HOT_KEYS, components, doc_key, each_bytes, lookup, map_batches, settle
 
 PIVOTS = 8            # one byte of a long each
 BUCKET_ROWS = 4096    # members of a bucket that one task compares
@@ -57,7 +57,7 @@ def pivot_distances(fp: np.ndarray) -> np.ndarray:
 def fingerprints(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
     """(doc_id, fp): no shuffle, null texts count as empty."""
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        fp = np.array([simhash64(t, shingle) for t in as_bytes(b.column(1))], dtype=np.uint64).view(np.int64)
+        fp = np.array([simhash64(t, shingle) for t in each_bytes(b.column(1))], dtype=np.uint64).view(np.int64)
         return pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["doc_id", "fp"])
     return map_batches(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("t")),
                        run, "doc_id long, fp long")
@@ -182,7 +182,7 @@ def group_firsts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     (doc_id, text hash), rows without an id last. Groups are those of ``near_duplicates``; equal fingerprints meet by a
     partial aggregation."""
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        fp = np.array([simhash64(t, shingle) for t in as_bytes(b.column(3))], dtype=np.uint64).view(np.int64)
+        fp = np.array([simhash64(t, shingle) for t in each_bytes(b.column(3))], dtype=np.uint64).view(np.int64)
         return pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), pa.array(fp)], names=["nameless", "k_id", "k_text", "fp"])
     keyed = docs.select(F.col(doc_id).isNull().alias("nameless"), *doc_key(doc_id, text), F.col(text).cast("binary").alias("t"))
     rows = map_batches(keyed, run, "nameless boolean, k_id long, k_text long, fp long")

@@ -240,3 +240,62 @@ def test_python_workers_give_memory_back(monkeypatch):
     common.map_batches(Frame(), lambda b: b, "")
     batches = [pa.RecordBatch.from_arrays([pa.array([i])], names=["a"]) for i in range(3)]
     assert list(sent["run"](iter(batches))) == batches and len(calls) == 4
+
+
+def test_workers_hold_few_texts_as_python_objects(spark):
+    import tracemalloc
+
+    import pyarrow as pa
+    from pagemart.llm import lattice, nbsvm, simhash
+    sent = {}
+
+    class Frame:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):      # noqa: N802  as Spark names it
+            sent["run"] = run
+
+    def peak(call):
+        tracemalloc.start()
+        try:
+            got = call()
+            return got, tracemalloc.get_traced_memory()[1] / 1e6
+        finally:
+            tracemalloc.stop()
+    texts = [f"a{i}b  c{i},d  " * 1000 for i in range(1000)]       # 15 MB or more
+    simhash.fingerprints(Frame(), "doc_id", "text", 4)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(texts, pa.binary())], names=["doc_id", "t"])
+    got, mb = peak(lambda: list(sent["run"](iter([batch]))))
+    assert mb < 5 and got[0].column(1).to_numpy().view(np.uint64).tolist() == [simhash.simhash64(t.encode()) for t in texts]
+    # distinct tokens: what is remembered of them is bounded
+    features = nbsvm.Features()
+    _, mb = peak(lambda: [features(" ".join(f"t{i * 1000 + j}" for j in range(1000))) for i in range(350)])
+    assert mb < 30
+    # a block of texts that have to be looked through word by word
+    some = pa.array(texts[:200])
+    (codes, lengths, words), mb = peak(lambda: lattice._numbered(some))
+    found = [lattice.words_of(t) for t in texts[:200]]
+    assert lengths.tolist() == [len(f) for f in found] and words.take(pa.array(codes)).to_pylist() == [w for f in found for w in f]
+    assert mb < 25
+
+
+def _nodes(plan, name):
+    below = plan.children()
+    own = [plan] if plan.getClass().getSimpleName() == name else []
+    return own + [x for i in range(below.size()) for x in _nodes(below.apply(i), name)]
+
+
+def test_texts_cross_to_python_once_and_pieces_need_no_python(spark, docs_of):
+    from pagemart.llm import lattice, nbsvm
+    docs = docs_of([(i, f"text {i}") for i in range(8)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
+    node, = _nodes(nbsvm.classify(docs, labels)._jdf.queryExecution().analyzed(), "MapInArrow")
+    sent = node.child().output()
+    assert [sent.apply(i).name() for i in range(sent.size())] == docs.columns
+    pieces, byte0, _ = lattice.piece_table()
+    words = spark.range(1).selectExpr("cast(id as int) AS bucket", "' word' AS word")
+    encoded = lattice.encode_words(words, pieces, byte0)
+    for node in _nodes(encoded._jdf.queryExecution().analyzed(), "LogicalRDD"):
+        assert "PythonRDD" not in node.rdd().toDebugString()
+    assert encoded.count() == 1
