@@ -15,13 +15,19 @@ before the shuffle (no whole group is ever held by one task, unlike ``row_number
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import written_at
+from .quality import unique_violations
+
+BROADCAST_KEYS = 2_000_000      # one number each
 _ROW = "__row"
 _SRC = "__src"
 _PRESENT = "__present"
+_SEQ, _VALUE = "seq", "value"
 
 
 def _order(cols: Sequence[str | Column]) -> Column:
@@ -103,6 +109,15 @@ def upsert_partial(records: DataFrame, keys: Sequence[str], seq: Sequence[str |
     return _latest_per_column(recs, keys, columns, order_col)
 
 
+def only_records(records: DataFrame, keys: Sequence[str], seq: Sequence[str | Column], present: str, columns: Sequence[str],
+                 order_col: str) -> DataFrame:
+    """``upsert_partial`` of records that are the only ones of their keys: they are the rows, so nothing is shuffled or aggregated.
+    ``present`` has to name keys and columns only, each once, and a record to be NULL in the columns it does not hold."""
+    held = reduce(lambda names, k: F.array_remove(names, F.lit(k)), keys, F.col(present))
+    order = F.struct(_order([F.lit(1), *seq]).alias("seq"), held.alias("columns"))
+    return records.select(*keys, *columns, F.when(F.size(held) > 0, F.array(order)).otherwise(F.array()).alias(order_col))
+
+
 def _as_records(rows: DataFrame, keys: list[str], columns: list[str], order_col: str) -> DataFrame:
     """Rows with ``order_col`` as the records their values come from: one per order, which holds that order's columns."""
     return (rows.select(*keys, *columns, F.explode_outer(order_col).alias(_SRC))
@@ -110,21 +125,29 @@ def _as_records(rows: DataFrame, keys: list[str], columns: list[str], order_col:
 
 
 def _latest_per_column(recs: DataFrame, keys: list[str], columns: list[str], order_col: str | None) -> DataFrame:
-    order = {c: f"CASE WHEN array_contains({_PRESENT}, '{c}') THEN {_SRC} END" for c in columns}
+    held = {c: f"CASE WHEN array_contains({_PRESENT}, '{c}') THEN %s END" for c in columns}
     # one SQL expression per column (a Column built node by node costs a driver round trip per node)
-    picks = [F.expr(f"max_by(`{c}`, {o})").alias(c) for c, o in order.items()]
     if order_col is None:
-        return recs.groupBy(*keys).agg(*picks)
-    found = "filter(array(" + ", ".join(f"named_struct('c', '{c}', 'seq', max({o}))" for c, o in order.items()) + "), e -> e.seq IS NOT NULL)"
-    grouped = recs.groupBy(*keys).agg(*picks, F.expr(found).alias(order_col))
+        return recs.groupBy(*keys).agg(*[F.expr(f"max_by(`{c}`, {h % _SRC})").alias(c) for c, h in held.items()])
+    # order and value in one state per column
+    latest = recs.groupBy(*keys).agg(*[F.expr(f"max({h % f'named_struct({_SEQ!r}, {_SRC}, {_VALUE!r}, `{c}`)'})").alias(c) for c, h in held.items()])
+    found = "filter(array(" + ", ".join(f"named_struct('c', '{c}', 'seq', `{c}`.{_SEQ})" for c in columns) + "), e -> e.seq IS NOT NULL)"
+    grouped = latest.select(*keys, *[F.col(f"`{c}`.{_VALUE}").alias(c) for c in columns], F.expr(found).alias(order_col))
     runs = (f"transform(array_distinct(transform(`{order_col}`, e -> e.seq)), s -> named_struct('seq', s, "
             f"'columns', transform(filter(`{order_col}`, e -> e.seq = s), e -> e.c)))")
     return grouped.withColumn(order_col, F.expr(runs))
 
 
+def repeated_keys(rows: DataFrame, key: str) -> tuple[DataFrame, str]:
+    """Values of ``key`` that more than one of ``rows`` has, written, and their folder. It reads the key alone; a join with them
+    moves rows only if there are too many such values for a broadcast."""
+    keys, path = written_at(unique_violations(rows, [key]).select(key), "repeated")
+    return (F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys), path
+
+
 def merge_tracked(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], order_col: str) -> DataFrame:
     """One row per key from rows that ``upsert_partial`` made with ``order_col``: per column the value of the row with the highest
     order for it, null included; a column no row has an order for is NULL. Merging is associative and does not depend on
-    the order of the rows."""
+    the order of the rows. The only row of a key is left as it is."""
     keys, columns = list(keys), list(columns)
     return _latest_per_column(_as_records(rows, keys, columns, order_col), keys, columns, order_col)

@@ -25,13 +25,14 @@ its last value, as a Python JSON load does; with it off such a body is rejected
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.jsontext import JSON_OPTIONS
-from ..operators.upsert import upsert_partial
+from ..operators.upsert import only_records, repeated_keys, upsert_partial
 from ..schemas import STG_CLIENT_COLUMNS, STG_INSIGHT_COLUMNS, STG_POST_COLUMNS
 from ..storage import remove, written_at
 
@@ -152,6 +153,11 @@ def check_responses(landed: DataFrame) -> DataFrame:
     return parts.withColumn("reason", reason).drop("__envelope", "__has_posts")
 
 
+# For a table that is soon read whole and removed: looking every key and value of the records up in dictionaries, and keeping their least
+# and greatest, is a third of the time of writing them.
+READ_ONCE = {"parquet.enable.dictionary": "false", "parquet.column.statistics.enabled": "false"}
+
+
 class RejectedTooMany(RuntimeError):
     """More pages were rejected than a run accepts."""
 
@@ -161,9 +167,11 @@ class Staged:
     first access, so a caller that needs one table does not build the others."""
 
     _path: str | None = None
+    by_id = False       # whether ids stand apart from the records (``materialize``)
 
     def __init__(self, checked: DataFrame, targets: dict[str, DataFrame], track_order: bool = False):
         self.checked, self.targets, self.track_order = checked, targets, track_order
+        self._scratch: list[str] = []
 
     @cached_property
     def _pages(self) -> DataFrame:
@@ -171,22 +179,31 @@ class Staged:
 
     @cached_property
     def clients(self) -> DataFrame:
-        return _stage(self._pages.where(F.col("source") == "managed"), STG_CLIENT_COLUMNS,
-                      self.targets.get("stg_clients"), self.track_order)
+        return self._staged("stg_clients", "page", STG_CLIENT_COLUMNS, lambda: self._pages.where(F.col("source") == "managed"), "managed")
 
     @cached_property
     def unmanaged_clients(self) -> DataFrame:
-        return _stage(self._pages.where(F.col("source") == "unmanaged"), STG_CLIENT_COLUMNS,
-                      self.targets.get("stg_unmanaged_clients"), self.track_order)
+        return self._staged("stg_unmanaged_clients", "page", STG_CLIENT_COLUMNS, lambda: self._pages.where(F.col("source") == "unmanaged"), "unmanaged")
 
     @cached_property
     def insights(self) -> DataFrame:
-        return _stage(_records(self.checked, "insights", STG_INSIGHT_COLUMNS), STG_INSIGHT_COLUMNS,
-                      self.targets.get("stg_insights"), self.track_order)
+        return self._staged("stg_insights", "insights", STG_INSIGHT_COLUMNS, lambda: _records(self.checked, "insights", STG_INSIGHT_COLUMNS))
 
     @cached_property
     def posts(self) -> DataFrame:
-        return _stage(_records(self.checked, "posts", STG_POST_COLUMNS), STG_POST_COLUMNS, self.targets.get("stg_posts"), self.track_order)
+        return self._staged("stg_posts", "posts", STG_POST_COLUMNS, lambda: _records(self.checked, "posts", STG_POST_COLUMNS))
+
+    def _staged(self, table: str, field: str, cols, records: Callable[[], DataFrame], source: str | None = None) -> DataFrame:
+        target = self.targets.get(table)
+        if not self.by_id or target is not None or not self.track_order:
+            return _stage(records(), cols, target, self.track_order)
+        pages = self.checked if source is None else self.checked.where(F.col("source") == source)
+        ids = F.explode(F.when(F.col("reason").isNull(), F.col(_ids(field)))).alias("id")
+        repeated, path = repeated_keys(pages.select(ids), "id")
+        self._scratch.append(path)
+        only, several = (_records(pages, field, cols, field != "page", (repeated, how)) for how in ("left_anti", "left_semi"))
+        rows = only_records(only, ["id"], SEQ, "present", [n for n, _ in cols if n != "id"], ORDER)
+        return rows.select(*[n for n, _ in cols], ORDER).unionByName(_stage(several, cols, None, True))
 
     @cached_property
     def rejects(self) -> DataFrame:
@@ -196,8 +213,12 @@ class Staged:
         """Validate once for all outputs: a job that writes every staging table (and the
         rejects) would otherwise re-run the whole validation per table. Keeps only what the
         outputs read (the records and the reason, not the body) and writes it under
-        ``spark.checkpoint.dir``, which also cuts the lineage back to the landed files; each output then reads its own columns only."""
-        self.checked, self._path = written_at(self.checked.drop("body"), "staged")
+        ``spark.checkpoint.dir``, which also cuts the lineage back to the landed files; each output then reads its own columns only.
+        The ids of the records stand in columns of their own, so which keys have more than one record is found without the records."""
+        ids = [F.expr(f"transform({arr}, r -> {_id_sql(cols)})").alias(_ids(field)) for field, arr, cols in (
+            ("page", "array(page)", STG_CLIENT_COLUMNS), ("insights", "insights", STG_INSIGHT_COLUMNS), ("posts", "posts", STG_POST_COLUMNS))]
+        self.checked, self._path = written_at(self.checked.drop("body").select("*", *ids), "staged", **READ_ONCE)
+        self.by_id = True
         for name in ("_pages", "clients", "unmanaged_clients", "insights", "posts", "rejects"):
             self.__dict__.pop(name, None)
         return self
@@ -205,8 +226,9 @@ class Staged:
     def release(self) -> None:
         """Remove what ``materialize`` wrote; the outputs cannot be read any more."""
         if self._path is not None:
-            remove(self.checked.sparkSession, self._path)
-            self._path = None
+            for path in (self._path, *self._scratch):
+                remove(self.checked.sparkSession, path)
+            self._path, self._scratch = None, []
 
     def reject_ratio(self) -> float:
         """Share of landed responses rejected (one aggregation, two numbers to the driver)."""
@@ -228,19 +250,31 @@ class Staged:
                 "stg_insights": self.insights, "stg_posts": self.posts}
 
 
-def _records(checked: DataFrame, field: str, cols: list[tuple[str, str]], many: bool = True) -> DataFrame:
+def _records(checked: DataFrame, field: str, cols: list[tuple[str, str]], many: bool = True, of: tuple[DataFrame, str] | None = None) -> DataFrame:
     """Records of accepted pages only. The accept test sits *inside* the generator
     (``explode(when(reason IS NULL, records))``) rather than in a filter: Catalyst would push a
     filter on ``reason`` below the projection that computes it and evaluate the whole
-    validation twice; it never pushes a predicate through a generator."""
+    validation twice; it never pushes a predicate through a generator. ``of``: ids, and the kind of join with them that tells which
+    records are typed at all."""
     base = ["source", "source_rank", "list_pos", "chunk"]
     ok = F.col("reason").isNull()
     arr = F.col(field) if many else F.array(F.col(field))
     rows = checked.select(*base, F.posexplode(F.when(ok, arr)).alias("array_pos", "r"))
+    if of is not None:
+        ids, how = of
+        rows = rows.withColumn("id", F.expr(_id_sql(cols))).join(ids, "id", how).drop("id")
     pos = F.col("array_pos").cast("int") if many else F.lit(-1)
     return rows.select(*base, pos.alias("array_pos"), *map(F.expr, typed_columns_sql("r", cols)))
 
 
+def _ids(field: str) -> str:
+    return f"__{field}_ids"
+
+
+def _id_sql(cols: list[tuple[str, str]]) -> str:
+    return _from_text_sql("r['id']", dict(cols)["id"])
+
+
 ORDER = "__order"   # per stored row: which record each column's value comes from
 
 
@@ -289,6 +323,11 @@ def _parsed_parts(rows: DataFrame, part: str, cols: list[tuple[str, str]]) -> Da
 class StagedRecords(Staged):
     """Staging tables from responses landed record by record."""
 
+    def materialize(self) -> "StagedRecords":
+        super().materialize()
+        self.by_id = False      # a bad record elsewhere may reject a page
+        return self
+
     def __init__(self, rows: DataFrame, targets: dict[str, DataFrame], track_order: bool = False):
         envelopes = rows.where("part = 'envelope'").drop("part", "array_pos")
         super().__init__(check_responses(envelopes), targets, track_order)

@@ -15,11 +15,11 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return written_at(df, what)[0]
 
 
-def written_at(df: DataFrame, what: str) -> tuple[DataFrame, str]:
-    """``written``, and the folder, for callers that remove it sooner."""
+def written_at(df: DataFrame, what: str, **options: str) -> tuple[DataFrame, str]:
+    """``written`` with options of the Parquet writer, and the folder, for callers that remove it sooner."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     folder, files = _folder(spark, path)
     files.deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path), path

@@ -25,9 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from ..operators.upsert import merge_tracked
+from ..operators.upsert import merge_tracked, repeated_keys
 from ..plans.refresh import MARKERS, LayerStore
 from ..sources.responses import ORDER
+from ..storage import remove
 
 BUCKETS = 64
 STATES = "_base"
@@ -96,10 +97,12 @@ class DeltaStore(LayerStore):
         rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         return rows.drop("version")
 
-    def _merged(self, rows: DataFrame, with_bucket: bool) -> DataFrame:
-        keys = ["bucket", self.key] if with_bucket else [self.key]
+    def _merged(self, rows: DataFrame) -> tuple[DataFrame, str]:
+        """One row per key, and the folder of what this wrote: the keys that lie in several parts. Rows of other keys stay as they are."""
         columns = [c for c in rows.columns if c not in ("bucket", self.key, ORDER)]
-        return merge_tracked(rows, keys, columns, ORDER)
+        repeated, path = repeated_keys(rows, self.key)
+        several = merge_tracked(rows.join(repeated, self.key, "left_semi"), [self.key], columns, ORDER)
+        return rows.join(repeated, self.key, "left_anti").select(*several.columns).unionByName(several), path
 
     def read(self, table: str, run_id: str | None = None, with_order: bool = False) -> DataFrame:
         """``table`` after all committed batches (up to ``run_id``, if given). Tables that are not kept as deltas are those of the batch."""
@@ -113,7 +116,7 @@ class DeltaStore(LayerStore):
             if any(r.through > run_id for r in states if r.tab == table):
                 raise ValueError(f"{table} is compacted beyond {run_id}")
             versions = [v for v in versions if v <= run_id]
-        merged = self._merged(self._parts(table, states, versions), with_bucket=False)
+        merged, _ = self._merged(self._parts(table, states, versions))
         return merged if with_order else merged.drop(ORDER)
 
     def open_deltas(self) -> int:
@@ -135,8 +138,9 @@ class DeltaStore(LayerStore):
         for table in tables:
             path = f"{self.root.rstrip('/')}/{table}/base/version={name}"
             rows = self._parts(table, states, versions, some)
-            dealt = rows.repartition(len(some), "bucket")          # the merge keeps this dealing: one shuffle
-            self._merged(dealt, with_bucket=True).write.mode("overwrite").partitionBy("bucket").parquet(path)
+            merged, scratch = self._merged(rows)
+            merged.select("*", self._bucket()).repartition(len(some), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+            remove(self.spark, scratch)
             try:
                 filled = {r.bucket for r in self.spark.read.schema("bucket int").parquet(path).select("bucket").distinct().collect()}
             except AnalysisException:

@@ -23,6 +23,9 @@ whenever so many are open.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,9 +49,16 @@ def stage_batch(spark: SparkSession, batch: DataFrame, root: str, batch_id: int,
     ensure_checkpoint_dir(spark)
     staged = ingest(batch, track_order=True).materialize()  # validate once for all five outputs
     store = DeltaStore(spark, root, run_id=version_id(batch_id), mode="overwrite")
-    for name, df in staged.tables().items():
-        store.write_delta(df, name)
-    rejects = store.write(staged.rejects, "stg_rejects")
+
+    def write(table: str) -> DataFrame | None:
+        df = getattr(staged, table.removeprefix("stg_"))        # planning it looks for repeated ids
+        return store.write(df, table) if table == "stg_rejects" else store.write_delta(df, table)
+    # the outputs do not depend on each other: while the last tasks of one run, the next one's take the free cores
+    with ThreadPoolExecutor(len(STAGING_TABLES) + 1) as pool:
+        *deltas, rejected = [pool.submit(inheritable_thread_target(spark)(write), t) for t in (*reversed(STAGING_TABLES), "stg_rejects")]
+    for done in deltas:
+        done.result()
+    rejects = rejected.result()
     staged.release()
     if max_reject_ratio is not None:
         # from what was written: no second validation pass; the version stays uncommitted
