@@ -125,12 +125,12 @@ def _as_records(rows: DataFrame, keys: list[str], columns: list[str], order_col:
 
 
 def _latest_per_column(recs: DataFrame, keys: list[str], columns: list[str], order_col: str | None) -> DataFrame:
-    held = {c: f"CASE WHEN array_contains({_PRESENT}, '{c}') THEN %s END" for c in columns}
+    order = {c: f"CASE WHEN array_contains({_PRESENT}, '{c}') THEN {_SRC} END" for c in columns}
     # one SQL expression per column (a Column built node by node costs a driver round trip per node)
     if order_col is None:
-        return recs.groupBy(*keys).agg(*[F.expr(f"max_by(`{c}`, {h % _SRC})").alias(c) for c, h in held.items()])
-    # order and value in one state per column
-    latest = recs.groupBy(*keys).agg(*[F.expr(f"max({h % f'named_struct({_SEQ!r}, {_SRC}, {_VALUE!r}, `{c}`)'})").alias(c) for c, h in held.items()])
+        return recs.groupBy(*keys).agg(*[F.expr(f"max_by(`{c}`, {o})").alias(c) for c, o in order.items()])
+    # the value with its order: one aggregate per column finds both
+    latest = recs.groupBy(*keys).agg(*[F.expr(f"max_by(named_struct('{_SEQ}', {_SRC}, '{_VALUE}', `{c}`), {o})").alias(c) for c, o in order.items()])
     found = "filter(array(" + ", ".join(f"named_struct('c', '{c}', 'seq', `{c}`.{_SEQ})" for c in columns) + "), e -> e.seq IS NOT NULL)"
     grouped = latest.select(*keys, *[F.col(f"`{c}`.{_VALUE}").alias(c) for c in columns], F.expr(found).alias(order_col))
     runs = (f"transform(array_distinct(transform(`{order_col}`, e -> e.seq)), s -> named_struct('seq', s, "

@@ -201,9 +201,13 @@ class Staged:
         ids = F.explode(F.when(F.col("reason").isNull(), F.col(_ids(field)))).alias("id")
         repeated, path = repeated_keys(pages.select(ids), "id")
         self._scratch.append(path)
-        only, several = (_records(pages, field, cols, field != "page", (repeated, how)) for how in ("left_anti", "left_semi"))
-        rows = only_records(only, ["id"], SEQ, "present", [n for n, _ in cols if n != "id"], ORDER)
-        return rows.select(*[n for n, _ in cols], ORDER).unionByName(_stage(several, cols, None, True))
+        keys = F.explode(F.when(F.col("reason").isNull(), F.col(_keys(field)))).alias("key")
+        found = {r.key for r in pages.select(keys).distinct().collect()} | {"id"}      # accepted records have no other keys than columns
+        held = [(n, t) for n, t in cols if n in found] if len(found) > 1 else cols
+        only, several = (_records(pages, field, held, field != "page", (repeated, how)) for how in ("left_anti", "left_semi"))
+        rows = (only_records(only, ["id"], SEQ, "present", [n for n, _ in held if n != "id"], ORDER)
+                .unionByName(_stage(several, held, None, True)))
+        return rows.select(*[F.col(n) if (n, t) in held else F.lit(None).cast(t).alias(n) for n, t in cols], ORDER)
 
     @cached_property
     def rejects(self) -> DataFrame:
@@ -214,10 +218,12 @@ class Staged:
         rejects) would otherwise re-run the whole validation per table. Keeps only what the
         outputs read (the records and the reason, not the body) and writes it under
         ``spark.checkpoint.dir``, which also cuts the lineage back to the landed files; each output then reads its own columns only.
-        The ids of the records stand in columns of their own, so which keys have more than one record is found without the records."""
-        ids = [F.expr(f"transform({arr}, r -> {_id_sql(cols)})").alias(_ids(field)) for field, arr, cols in (
-            ("page", "array(page)", STG_CLIENT_COLUMNS), ("insights", "insights", STG_INSIGHT_COLUMNS), ("posts", "posts", STG_POST_COLUMNS))]
-        self.checked, self._path = written_at(self.checked.drop("body").select("*", *ids), "staged", **READ_ONCE)
+        The ids and the keys of the records stand in columns of their own: which ids more than one record has, and which columns any
+        record holds, is found without the records."""
+        parts = [("page", "array(page)", STG_CLIENT_COLUMNS), ("insights", "insights", STG_INSIGHT_COLUMNS), ("posts", "posts", STG_POST_COLUMNS)]
+        ids = [F.expr(f"transform({arr}, r -> {_id_sql(cols)})").alias(_ids(field)) for field, arr, cols in parts]
+        keys = [F.expr(f"array_distinct(flatten(transform({arr}, r -> map_keys(r))))").alias(_keys(field)) for field, arr, _ in parts]
+        self.checked, self._path = written_at(self.checked.drop("body").select("*", *ids, *keys), "staged", **READ_ONCE)
         self.by_id = True
         for name in ("_pages", "clients", "unmanaged_clients", "insights", "posts", "rejects"):
             self.__dict__.pop(name, None)
@@ -262,7 +268,8 @@ def _records(checked: DataFrame, field: str, cols: list[tuple[str, str]], many:
     rows = checked.select(*base, F.posexplode(F.when(ok, arr)).alias("array_pos", "r"))
     if of is not None:
         ids, how = of
-        rows = rows.withColumn("id", F.expr(_id_sql(cols))).join(ids, "id", how).drop("id")
+        # accepted records have ids; said on both sides, a shuffle for the join is made once for the two kinds
+        rows = rows.withColumn("id", F.expr(_id_sql(cols))).where("id IS NOT NULL").join(ids, "id", how).drop("id")
     pos = F.col("array_pos").cast("int") if many else F.lit(-1)
     return rows.select(*base, pos.alias("array_pos"), *map(F.expr, typed_columns_sql("r", cols)))
 
@@ -271,6 +278,10 @@ def _ids(field: str) -> str:
     return f"__{field}_ids"
 
 
+def _keys(field: str) -> str:
+    return f"__{field}_keys"
+
+
 def _id_sql(cols: list[tuple[str, str]]) -> str:
     return _from_text_sql("r['id']", dict(cols)["id"])
 

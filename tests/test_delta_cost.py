@@ -51,6 +51,7 @@ def test_records_alone_and_together_give_the_upsert(spark, monkeypatch, broadcas
     lazy, staged = ingest(df, track_order=True), ingest(df, track_order=True).materialize()
     for name in ("posts", "insights", "clients", "unmanaged_clients"):
         assert orders(getattr(staged, name)) == orders(getattr(lazy, name)), name
+    assert [(f.name, f.dataType) for f in staged.posts.schema if f.name != ORDER] == [(f.name, f.dataType) for f in lazy.posts.schema if f.name != ORDER]
     rows = {r.id: r for r in staged.posts.collect()}
     assert len(rows[1000][ORDER]) == 1 and 5000 in rows
     staged.release()
@@ -64,6 +65,16 @@ def test_the_only_record_of_an_id_is_not_shuffled(spark):
     staged.release()
 
 
+def test_columns_no_record_holds_are_not_taken_out_of_the_records(spark):
+    staged = ingest(landed(spark, [(0, 1, True, [{"id": 1, "likes": 2}, {"id": 2}])]), track_order=True).materialize()
+    p = plan(staged.posts)
+    assert "[likes]" in p and "[shares]" not in p and staged.posts.schema["shares"].dataType.simpleString() == "int"
+    nothing = ingest(landed(spark, [(0, 1, True, [{"id": 1}, {"id": 1}]), (0, 2, False, [])]), track_order=True).materialize()
+    assert [(r.id, r.likes, r[ORDER]) for r in nothing.posts.collect()] == [(1, None, [])] and nothing.unmanaged_clients.count() == 0
+    for s in (staged, nothing):
+        s.release()
+
+
 def test_deltas_without_a_common_id_are_read_as_they_are(spark, scratch):
     for i in range(2):
         stage_batch(spark, landed(spark, [(0, 10 * i + k, True, [{"id": 100 * i + k, "likes": k}]) for k in range(4)]), scratch, i)
